@@ -75,3 +75,335 @@ def q_windowed_success_rate_hourly(spark, sf_dir):
 @register("hopping_success_rate", _window_sql(3600, 600))
 def q_hopping_success_rate(spark, sf_dir):
     return hopping_success_rate(load_log_view(spark, sf_dir, dirty=True), "1 hour", "10 minutes")
+
+
+# --- P1-P6, F2: per-event projections on the dirty view ---------------------
+
+from loglens import functions as LF  # noqa: E402
+from loglens.operators.parse import log_defaults, outcome_flags, parse_for_rates  # noqa: E402
+
+
+@register("status_strict", O.with_view(
+    f"SELECT event_id, message, {O.status_strict()} AS status FROM v", dirty=True))
+def q_status_strict(spark, sf_dir):
+    v = load_log_view(spark, sf_dir, dirty=True)
+    return v.select("event_id", "message", LF.status_strict("message").alias("status"))
+
+
+@register("status_regex", O.with_view(
+    f"SELECT event_id, message, {O.status_regex()} AS status FROM v", dirty=True))
+def q_status_regex(spark, sf_dir):
+    v = load_log_view(spark, sf_dir, dirty=True)
+    return v.select("event_id", "message", LF.status_regex("message").alias("status"))
+
+
+@register("status_last_segment", O.with_view(
+    f"SELECT event_id, message, {O.status_last()} AS code, "
+    f"TRY_CAST({O.status_last()} AS DOUBLE) AS code_value FROM v", dirty=True))
+def q_status_last_segment(spark, sf_dir):
+    v = load_log_view(spark, sf_dir, dirty=True)
+    code = LF.status_last_segment("message")
+    return v.select("event_id", "message", code.alias("code"),
+                    code.try_cast("double").alias("code_value"))
+
+
+@register("outcome_flags", O.with_view(f"""
+SELECT event_id, message,
+       starts_with({O.status_strict()}, '2') AS success_2xx,
+       {O.failure_not_ok()} AS failure_not_200,
+       CAST({O.status_regex()} < 400 AS INTEGER) AS success_below_400,
+       {O.status_regex()} BETWEEN 400 AND 599 AS error_4xx_5xx
+FROM v""", dirty=True))
+def q_outcome_flags(spark, sf_dir):
+    v = load_log_view(spark, sf_dir, dirty=True).select("event_id", "message")
+    return outcome_flags(v)
+
+
+@register("event_time", O.with_view(f"""
+SELECT event_id, "timestamp", {O.ts_seconds('"timestamp"')} AS event_time_second,
+       {O.ts_micros('"timestamp"')} AS event_time
+FROM v""", dirty=True))
+def q_event_time(spark, sf_dir):
+    v = load_log_view(spark, sf_dir, dirty=True)
+    return v.select("event_id", "timestamp",
+                    LF.epoch_to_timestamp_seconds("timestamp").alias("event_time_second"),
+                    LF.epoch_to_timestamp("timestamp").alias("event_time"))
+
+
+@register("log_defaults", O.with_view("""
+SELECT event_id, batch_id, pos, coalesce(service, 'unknown_service') AS service,
+       coalesce(message, '') AS message, coalesce("timestamp", 0.0) AS "timestamp"
+FROM v""", dirty=True))
+def q_log_defaults(spark, sf_dir):
+    return log_defaults(load_log_view(spark, sf_dir, dirty=True))
+
+
+@register("drop_incomplete")
+def q_drop_incomplete(spark, sf_dir):
+    v = load_log_view(spark, sf_dir, dirty=True).select("event_id", "service", "timestamp", "message")
+    return parse_for_rates(v).select("event_id", "service", "status", "event_time", "is_success")
+
+
+ORACLE["drop_incomplete"] = O.with_view(f"""
+, p AS (SELECT event_id, service, {O.status_regex()} AS status,
+               {O.ts_seconds('"timestamp"')} AS event_time FROM v)
+SELECT event_id, service, status, event_time, CAST(status < 400 AS INTEGER) AS is_success
+FROM p WHERE service IS NOT NULL AND status IS NOT NULL AND event_time IS NOT NULL""", dirty=True)
+
+
+# --- A1, A2: running success rate and span (late + dirty view) --------------
+
+from loglens.operators.running import (  # noqa: E402
+    running_success_rate,
+    running_success_rate_target,
+    running_time_span,
+)
+
+_RUN_EVENTS = f"""
+, e AS (SELECT batch_id, coalesce(service, 'unknown_service') AS svc,
+               {O.status_strict()} AS code, coalesce("timestamp", 0.0) AS ts FROM v)"""
+_SPAN = """
+, sb AS (SELECT batch_id, max(CASE WHEN ts > 0 THEN ts END) AS bnew,
+                min(CASE WHEN ts <> 0 THEN ts END) AS bold FROM e GROUP BY batch_id)
+, sp AS (SELECT batch_id,
+                max(bnew) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS newest,
+                min(bold) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS oldest
+         FROM sb)"""
+
+
+@register("running_time_span", O.with_view(_RUN_EVENTS + _SPAN + f"""
+SELECT batch_id, {O.ts_micros('newest')} AS newest_considered, {O.ts_micros('oldest')} AS oldest_considered
+FROM sp WHERE newest IS NOT NULL AND oldest IS NOT NULL""", dirty=True, late=True))
+def q_running_time_span(spark, sf_dir):
+    return running_time_span(load_log_view(spark, sf_dir, dirty=True, late=True))
+
+
+@register("running_success_rate", O.with_view(_RUN_EVENTS + _SPAN + f"""
+, pb AS (SELECT batch_id, svc, count(code) AS n,
+                sum(CASE WHEN starts_with(code, '2') THEN 1 ELSE 0 END) AS s
+         FROM e GROUP BY batch_id, svc)
+, c AS (SELECT batch_id, svc,
+               sum(n) OVER w AS total, sum(s) OVER w AS successes
+        FROM pb WINDOW w AS (PARTITION BY svc ORDER BY batch_id
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT c.batch_id, c.svc AS service, CAST(successes AS BIGINT) AS successes,
+       CAST(total AS BIGINT) AS total,
+       coalesce(CAST(successes AS DOUBLE) / NULLIF(total, 0), 0.0) AS value,
+       {O.ts_micros('newest')} AS newest_considered, {O.ts_micros('oldest')} AS oldest_considered
+FROM c JOIN sp ON c.batch_id = sp.batch_id
+WHERE newest IS NOT NULL AND oldest IS NOT NULL""", dirty=True, late=True))
+def q_running_success_rate(spark, sf_dir):
+    return running_success_rate(load_log_view(spark, sf_dir, dirty=True, late=True))
+
+
+@register("running_success_rate_target", O.with_view(_RUN_EVENTS + _SPAN + f"""
+, pb AS (SELECT batch_id, count(CASE WHEN svc = 'monitoring' THEN code END) AS n,
+                sum(CASE WHEN svc = 'monitoring' AND starts_with(code, '2') THEN 1 ELSE 0 END) AS s
+         FROM e GROUP BY batch_id)
+, c AS (SELECT batch_id, sum(n) OVER w AS total, sum(s) OVER w AS successes
+        FROM pb WINDOW w AS (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT c.batch_id, CAST(successes AS BIGINT) AS successes, CAST(total AS BIGINT) AS total,
+       coalesce(CAST(successes AS DOUBLE) / NULLIF(total, 0), 0.0) AS value,
+       {O.ts_micros('newest')} AS newest_considered, {O.ts_micros('oldest')} AS oldest_considered
+FROM c JOIN sp ON c.batch_id = sp.batch_id
+WHERE newest IS NOT NULL AND oldest IS NOT NULL""", dirty=True, late=True))
+def q_running_success_rate_target(spark, sf_dir):
+    return running_success_rate_target(load_log_view(spark, sf_dir, dirty=True, late=True))
+
+
+# --- A3, A3b: trailing window anchored on the newest event ------------------
+
+from loglens.operators.sliding import sliding_failure_rate, sliding_failures  # noqa: E402
+
+_EMITS = """
+, b AS (SELECT batch_id, max(coalesce("timestamp", 0.0)) AS bmax FROM v GROUP BY batch_id)
+, c AS (SELECT batch_id, bmax,
+               coalesce(max(bmax) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING
+                                        AND 1 PRECEDING), 0.0) AS prev FROM b)
+, em AS (SELECT batch_id, bmax AS nw FROM c WHERE bmax > prev)"""
+
+
+def _sliding_sql(window_s: int, rate: bool) -> str:
+    if rate:
+        ev = f"""
+, f AS (SELECT batch_id, coalesce("timestamp", 0.0) AS ts,
+               CASE WHEN {O.status_regex()} BETWEEN 400 AND 599 THEN 1 ELSE 0 END AS err
+        FROM v WHERE service = 'monitoring')"""
+        value = "coalesce(CAST(sum(f.err) AS DOUBLE) / NULLIF(count(f.ts), 0), 0.0)"
+    else:
+        ev = f"""
+, f AS (SELECT batch_id, coalesce("timestamp", 0.0) AS ts FROM v
+        WHERE service = 'monitoring' AND {O.failure_not_ok()})"""
+        value = "CAST(count(f.ts) AS DOUBLE)"
+    return O.with_view(_EMITS + ev + f"""
+SELECT em.batch_id, {value} AS value, {O.ts_micros('em.nw')} AS newest_considered,
+       {O.ts_micros(f'em.nw - {float(window_s)}')} AS oldest_considered
+FROM em LEFT JOIN f ON f.batch_id <= em.batch_id AND f.ts >= em.nw - {float(window_s)}
+GROUP BY em.batch_id, em.nw""", dirty=True, late=True)
+
+
+@register("sliding_failures", _sliding_sql(60, False))
+def q_sliding_failures(spark, sf_dir):
+    return sliding_failures(load_log_view(spark, sf_dir, dirty=True, late=True), window_seconds=60)
+
+
+@register("sliding_failures_6h", _sliding_sql(21600, False))
+def q_sliding_failures_6h(spark, sf_dir):
+    return sliding_failures(load_log_view(spark, sf_dir, dirty=True, late=True), window_seconds=21600)
+
+
+@register("sliding_failure_rate", _sliding_sql(60, True))
+def q_sliding_failure_rate(spark, sf_dir):
+    return sliding_failure_rate(load_log_view(spark, sf_dir, dirty=True, late=True), window_seconds=60)
+
+
+@register("sliding_failure_rate_6h", _sliding_sql(21600, True))
+def q_sliding_failure_rate_6h(spark, sf_dir):
+    return sliding_failure_rate(load_log_view(spark, sf_dir, dirty=True, late=True),
+                                window_seconds=21600)
+
+
+# --- A4, A4b, A5: uniform sample and its mode -------------------------------
+
+from loglens.operators.sample import (  # noqa: E402
+    reservoir_mode,
+    reservoir_sample,
+    reservoir_sample_by_batch,
+)
+
+_KEYED = f"""
+, k AS (SELECT event_id, batch_id, service, {O.status_last()} AS code,
+               md5(CAST(event_id AS VARCHAR) || ':42') AS sample_key FROM v)"""
+_SAMPLE = _KEYED + """
+, s AS (SELECT * FROM k ORDER BY sample_key, event_id LIMIT 10)"""
+
+
+@register("reservoir_sample", O.with_view(
+    _SAMPLE + " SELECT event_id, batch_id, service, code, sample_key FROM s", dirty=True))
+def q_reservoir_sample(spark, sf_dir):
+    return reservoir_sample(load_log_view(spark, sf_dir, dirty=True), k=10, seed=42)
+
+
+@register("reservoir_mode", O.with_view(_SAMPLE + f"""
+, m AS (SELECT code, count(*) AS sample_count FROM s GROUP BY code
+        ORDER BY sample_count DESC, code ASC NULLS LAST LIMIT 1)
+, sp AS (SELECT max("timestamp") AS nw, min("timestamp") AS od FROM v)
+SELECT TRY_CAST(code AS DOUBLE) AS value, code, sample_count,
+       {O.ts_micros('nw')} AS newest_considered, {O.ts_micros('od')} AS oldest_considered
+FROM m, sp""", dirty=True))
+def q_reservoir_mode(spark, sf_dir):
+    return reservoir_mode(load_log_view(spark, sf_dir, dirty=True), k=10, seed=42)
+
+
+@register("reservoir_sample_by_batch", O.with_view(_KEYED + """
+, cand AS (SELECT * FROM k
+           QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY sample_key, event_id) <= 10)
+, b AS (SELECT DISTINCT batch_id FROM v)
+SELECT b.batch_id, cand.event_id, cand.code, cand.sample_key
+FROM b JOIN cand ON cand.batch_id <= b.batch_id
+QUALIFY row_number() OVER (PARTITION BY b.batch_id ORDER BY cand.sample_key, cand.event_id) <= 10""",
+    dirty=True, late=True))
+def q_reservoir_sample_by_batch(spark, sf_dir):
+    return reservoir_sample_by_batch(load_log_view(spark, sf_dir, dirty=True, late=True), k=10, seed=42)
+
+
+# --- A8, F7, A9: Bloom filter ------------------------------------------------
+
+from loglens.operators.bloom import (  # noqa: E402
+    BUCKET_BITS,
+    bloom_build,
+    bloom_contains,
+    bloom_forward,
+    bloom_hit_ratio,
+)
+from loglens.sources.views import read_table  # noqa: E402
+
+
+def _idx_sql(text: str, i: str, m: int) -> str:
+    return (f"((('0x' || substr(sha256(unhex(lpad(to_hex({i}), 4, '0')) || encode({text})), 1, 8))"
+            f"::BIGINT) % {m})")
+
+
+def _log_patterns(v):
+    """Patterns of interest derived from the stream: the messages of the
+    monitoring service's 4xx/5xx events."""
+    from pyspark.sql import functions as F
+    return (v.where((F.col("service") == "monitoring") & (LF.status_regex("message") >= 400))
+            .select(F.col("message").alias("pattern")).distinct())
+
+
+_LOG_PATTERNS_SQL = f"""
+, pat AS (SELECT DISTINCT message AS pattern FROM v
+          WHERE service = 'monitoring' AND {O.status_regex()} >= 400)"""
+
+
+def _bits_sql(pat: str, m: int, k: int) -> str:
+    return f"""
+, bits AS (SELECT DISTINCT {_idx_sql('p.pattern', 'r.i', m)} AS bit
+           FROM {pat} p, range(0, {k}) r(i) WHERE p.pattern IS NOT NULL)"""
+
+
+def _probe_sql(src: str, id_cols: str, text: str, m: int, k: int) -> str:
+    return f"""
+, probe AS (SELECT {id_cols}, bool_and(b.bit IS NOT NULL) AS hit
+            FROM {src} t CROSS JOIN range(0, {k}) r(i)
+            LEFT JOIN bits b ON b.bit = {_idx_sql(text, 'r.i', m)}
+            GROUP BY {id_cols})"""
+
+
+@register("bloom_indices", f"""
+SELECT item_id, r.i AS hash_number, {_idx_sql('text', 'r.i', 1_000_000)} AS bit
+FROM benchmark, range(0, 7) r(i)""")
+def q_bloom_indices(spark, sf_dir):
+    from pyspark.sql import functions as F
+    b = read_table(spark, sf_dir, "benchmark")
+    return b.select("item_id", F.posexplode(F.array(*LF.bloom_indices("text", 7, 1_000_000)))).select(
+        "item_id", F.col("pos").cast("bigint").alias("hash_number"), F.col("col").alias("bit"))
+
+
+@register("bloom_build", f"""
+WITH pat AS (SELECT text AS pattern FROM benchmark) {_bits_sql('pat', 1_000_000, 7)}
+SELECT CAST(bit // {BUCKET_BITS} + 1 AS BIGINT) AS bucket, count(*) AS bits_set
+FROM bits GROUP BY bit // {BUCKET_BITS}""")
+def q_bloom_build(spark, sf_dir):
+    from pyspark.sql import functions as F
+    pats = read_table(spark, sf_dir, "benchmark").select(F.col("text").alias("pattern"))
+    return bloom_build(pats, m_bits=1_000_000, k_hashes=7).select(
+        "bucket", F.expr("bitmap_count(bitmap)").alias("bits_set"))
+
+
+@register("bloom_forward", O.with_view(_LOG_PATTERNS_SQL + _bits_sql("pat", 64, 3)
+                                       + _probe_sql("v", "t.event_id", "coalesce(t.message, '')", 64, 3) + """
+SELECT v.event_id, v.batch_id, v.service, v.message FROM v JOIN probe p ON v.event_id = p.event_id
+WHERE p.hit""", dirty=True))
+def q_bloom_forward(spark, sf_dir):
+    v = load_log_view(spark, sf_dir, dirty=True)
+    filt = bloom_build(_log_patterns(v), m_bits=64, k_hashes=3)
+    return bloom_forward(v, filt, m_bits=64, k_hashes=3).select("event_id", "batch_id", "service", "message")
+
+
+@register("bloom_hit_ratio", O.with_view(_LOG_PATTERNS_SQL + _bits_sql("pat", 500_000, 8)
+                                         + _probe_sql("v", "t.event_id", "coalesce(t.message, '')", 500_000, 8) + f"""
+SELECT v.batch_id, CAST(sum(CASE WHEN p.hit THEN 1 ELSE 0 END) AS BIGINT) AS hits, count(*) AS events,
+       CAST(sum(CASE WHEN p.hit THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS value,
+       {O.ts_micros('max(v."timestamp")')} AS newest_considered,
+       {O.ts_micros('min(v."timestamp")')} AS oldest_considered
+FROM v JOIN probe p ON v.event_id = p.event_id
+GROUP BY v.batch_id HAVING count(v."timestamp") > 0""", dirty=True, late=True))
+def q_bloom_hit_ratio(spark, sf_dir):
+    v = load_log_view(spark, sf_dir, dirty=True, late=True)
+    filt = bloom_build(_log_patterns(v), m_bits=500_000, k_hashes=8)
+    return bloom_hit_ratio(v, filt, m_bits=500_000, k_hashes=8)
+
+
+@register("bloom_documents", f"""
+WITH pat AS (SELECT text AS pattern FROM benchmark) {_bits_sql('pat', 1_000_000, 7)}
+{_probe_sql('documents', 't.doc_id', "coalesce(t.text, '')", 1_000_000, 7)}
+SELECT doc_id, hit FROM probe""")
+def q_bloom_documents(spark, sf_dir):
+    from pyspark.sql import functions as F
+    pats = read_table(spark, sf_dir, "benchmark").select(F.col("text").alias("pattern"))
+    filt = bloom_build(pats, m_bits=1_000_000, k_hashes=7)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bloom_contains(docs, filt, F.coalesce(F.col("text"), F.lit("")), "hit",
+                          m_bits=1_000_000, k_hashes=7).select("doc_id", "hit")

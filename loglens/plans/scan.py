@@ -11,9 +11,11 @@ whole input into one task.  Instead the order key is cut into blocks:
    blocked again when there are many blocks);
 3. offset and in-block value are combined after an equi-join on the block.
 
-Level ``j`` of the recursion has ``rows / (width * fanout**j)`` rows, so the
-single top-level window sees a table whose size is bounded by the key range,
-not by the data.
+With one level (the default) the top window sees ``key range / width``
+rows (one per block: a million batches of 1024 make 1,000 rows), bounded by
+the key range, not by the data.  ``levels > 1`` blocks the block table again
+for very long orders.  Each level reads its input twice (running values and
+block totals); identical exchanges below are reused by Spark.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ def prefix_scan(
     tie_by: Sequence[str] = (),
     block_width: float = 1024,
     fanout: int = 1024,
-    levels: int = 2,
+    levels: int = 1,
     exclusive: bool = False,
     descending: bool = False,
 ) -> DataFrame:
