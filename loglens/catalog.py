@@ -407,3 +407,118 @@ def q_bloom_documents(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return bloom_contains(docs, filt, F.coalesce(F.col("text"), F.lit("")), "hit",
                           m_bits=1_000_000, k_hashes=7).select("doc_id", "hit")
+
+
+# --- S1-S7, U2: file sources (write the view as files, read them back) -----
+
+from loglens.session import scratch_path  # noqa: E402
+from loglens.sources.files import (  # noqa: E402
+    json_array_lines,
+    parse_log_files,
+    quarantine_files,
+    read_logs,
+    read_raw_files,
+    unprocessed_files,
+    write_batch_files,
+    write_log_files,
+)
+from loglens.sources.patterns import read_patterns  # noqa: E402
+
+
+@register("read_logs", O.with_view(
+    'SELECT batch_id, pos, service, "timestamp", message FROM v', dirty=True))
+def q_read_logs(spark, sf_dir):
+    from pyspark.sql import functions as F
+    out = scratch_path(spark, "read_logs")
+    write_log_files(load_log_view(spark, sf_dir, dirty=True), out)
+    logs = read_logs(spark, out, glob="*.txt", require_files=True)
+    return logs.select(F.col("batch_id").cast("bigint").alias("batch_id"), "pos", "service",
+                       "timestamp", "message")
+
+
+@register("quarantine_files", O.with_view("""
+SELECT DISTINCT batch_id FROM v WHERE batch_id % 11 = 5 OR batch_id % 13 = 7""", dirty=True))
+def q_quarantine_files(spark, sf_dir):
+    from pyspark.sql import functions as F
+    lines = json_array_lines(load_log_view(spark, sf_dir, dirty=True))
+    b = F.col("batch_id")
+    # damage some files: an unterminated array, and JSON lines instead of an array
+    line = (F.when(b % 11 == 5, F.regexp_replace("line", r"\]$", ""))
+            .when(b % 13 == 7, F.regexp_replace(F.regexp_replace("line", r"^[\[,]", ""), r"\]$", ""))
+            .otherwise(F.col("line")))
+    out = scratch_path(spark, "quarantine")
+    write_batch_files(lines.withColumn("line", line), out, clustered=True)
+    raw = read_raw_files(spark, out, glob="*.txt")
+    return quarantine_files(raw).select(F.col("batch_id").cast("bigint").alias("batch_id"))
+
+
+@register("unprocessed_files", O.with_view("""
+SELECT DISTINCT batch_id FROM v
+WHERE batch_id NOT IN (SELECT batch_id FROM v WHERE pos = 0 AND service = 'training')""", dirty=True))
+def q_unprocessed_files(spark, sf_dir):
+    from pyspark.sql import functions as F
+    out = scratch_path(spark, "unprocessed")
+    write_log_files(load_log_view(spark, sf_dir, dirty=True), out)
+    raw = read_raw_files(spark, out, glob="*.txt")
+    listed = raw.select("file_path", "batch_id")
+    events = parse_log_files(raw)
+    # the manifest of processed files: those whose first event is from 'training'
+    processed = events.where((F.col("pos") == 0) & (F.col("service") == "training")).select("file_path")
+    return unprocessed_files(listed, processed).select(F.col("batch_id").cast("bigint").alias("batch_id"))
+
+
+@register("read_patterns", O.with_view("""
+SELECT message AS pattern FROM v WHERE message IS NOT NULL AND message <> ''""", dirty=True))
+def q_read_patterns(spark, sf_dir):
+    from pyspark.sql import functions as F
+    v = load_log_view(spark, sf_dir, dirty=True)
+    out = scratch_path(spark, "patterns")
+    padded = F.concat(F.lit("  "), F.coalesce("message", F.lit("")), F.lit(" \t"))
+    v.select(padded.alias("value")).write.text(out)
+    return read_patterns(spark, out)
+
+
+# --- K4: generator; K1/P8: result log ---------------------------------------
+
+from loglens.sinks import result_log_rows  # noqa: E402
+from loglens.sources.generate import generate_logs  # noqa: E402
+
+
+def _draw_sql(tag: str, x: str) -> str:
+    return f"(('0x' || substr(md5('42:{tag}:' || CAST({x} AS VARCHAR)), 1, 8))::BIGINT)"
+
+
+@register("generate_logs", f"""
+WITH e AS (SELECT CAST(event_id // 100 AS BIGINT) AS batch_id, CAST(event_id % 100 AS BIGINT) AS pos,
+                  ([{', '.join(O.q(s) for s in ('training', 'evaluation', 'inference', 'monitoring'))}])
+                  [{_draw_sql('service', 'event_id')} % 4 + 1] AS service
+           FROM events)
+, b AS (SELECT batch_id, {_draw_sql('step', 'batch_id')} % 401 - 100 AS step,
+               ([200, 201, 202, 203, 400, 401, 402, 403, 404, 500])[{_draw_sql('code', 'batch_id')} % 10 + 1] AS code
+        FROM (SELECT DISTINCT batch_id FROM e))
+, w AS (SELECT batch_id, 1704067200.0 + CAST(sum(step) OVER (ORDER BY batch_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS "timestamp",
+               'HTTP Status Code: ' || CAST(code AS VARCHAR) AS message FROM b)
+SELECT e.batch_id, e.pos, e.service, CAST(w."timestamp" AS DOUBLE) AS "timestamp", w.message
+FROM e JOIN w ON e.batch_id = w.batch_id""")
+def q_generate_logs(spark, sf_dir):
+    return generate_logs(read_table(spark, sf_dir, "events").select("event_id"))
+
+
+def _fmt_ts_sql(x: str) -> str:
+    return (f"strftime({x}, '%Y-%m-%d %H:%M:%S') || CASE WHEN epoch_us({x}) % 1000000 <> 0 "
+            f"THEN '.' || lpad(CAST(epoch_us({x}) % 1000000 AS VARCHAR), 6, '0') ELSE '' END")
+
+
+ORACLE_RESULTS_LOG = None  # filled below from the running-rate oracle
+
+
+@register("results_log")
+def q_results_log(spark, sf_dir):
+    return result_log_rows(q_running_success_rate_target(spark, sf_dir))
+
+
+ORACLE["results_log"] = (
+    "SELECT batch_id, printf('%.4f', value) AS value_text, "
+    f"{_fmt_ts_sql('newest_considered')} AS newest_text, {_fmt_ts_sql('oldest_considered')} AS oldest_text "
+    f"FROM ({ORACLE['running_success_rate_target']})")

@@ -1,0 +1,62 @@
+"""Synthetic log generator as a Spark job.
+
+Every input row (an id from a driver table) becomes one event, so the work
+grows with the table.  Batch ``b`` holds ids ``b*n .. b*n+n-1``; each batch
+draws one status code and one time step, each event one service.  Draws are
+integer hashes (first 32 bits of ``md5("seed:tag:x")``), reproducible in any
+engine; the event time of batch ``b`` is ``start`` plus the running sum of
+the steps up to ``b`` (a random walk, blocked prefix scan).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from loglens.plans.scan import prefix_scan
+from loglens.schema import (
+    GENERATOR_SEED,
+    GENERATOR_STEP_MAX,
+    GENERATOR_STEP_MIN,
+    SERVICES,
+    STATUS_CODES,
+    STATUS_TAG,
+)
+
+DEFAULT_START = 1_704_067_200.0  # 2024-01-01T00:00:00Z
+EVENTS_PER_BATCH = 100
+
+
+def draw(seed: int, tag: str, x: Column) -> Column:
+    """Uniform 32-bit integer from ``md5("seed:tag:x")``."""
+    h = F.md5(F.concat(F.lit(f"{seed}:{tag}:"), x.cast("string")))
+    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+
+
+def generate_logs(ids: DataFrame, id_col: str = "event_id", *,
+                  events_per_batch: int = EVENTS_PER_BATCH, seed: int = GENERATOR_SEED,
+                  start: float = DEFAULT_START) -> DataFrame:
+    """``(batch_id, pos, service, timestamp, message)``, one event per id."""
+    i = F.col(id_col)
+    events = ids.select(
+        F.floor(i / events_per_batch).cast("bigint").alias("batch_id"),
+        F.pmod(i, F.lit(events_per_batch)).cast("bigint").alias("pos"),
+        F.element_at(F.array(*[F.lit(s) for s in SERVICES]),
+                     (draw(seed, "service", i) % len(SERVICES) + 1).cast("int")).alias("service"),
+    )
+    span = GENERATOR_STEP_MAX - GENERATOR_STEP_MIN + 1
+    b = F.col("batch_id")
+    batches = events.select("batch_id").distinct().select(
+        "batch_id",
+        (draw(seed, "step", b) % span + GENERATOR_STEP_MIN).alias("_step"),
+        F.element_at(F.array(*[F.lit(c) for c in STATUS_CODES]),
+                     (draw(seed, "code", b) % len(STATUS_CODES) + 1).cast("int")).alias("_code"),
+    )
+    walked = prefix_scan(batches, "batch_id", [("_walk", "sum", "_step")], block_width=1024)
+    per_batch = walked.select(
+        "batch_id",
+        (F.lit(float(start)) + F.col("_walk").cast("double")).alias("timestamp"),
+        F.concat(F.lit(STATUS_TAG), F.col("_code").cast("string")).alias("message"),
+    )
+    return events.join(per_batch, "batch_id").select(
+        "batch_id", "pos", "service", "timestamp", "message")
