@@ -522,3 +522,43 @@ ORACLE["results_log"] = (
     "SELECT batch_id, printf('%.4f', value) AS value_text, "
     f"{_fmt_ts_sql('newest_considered')} AS newest_text, {_fmt_ts_sql('oldest_considered')} AS oldest_text "
     f"FROM ({ORACLE['running_success_rate_target']})")
+
+
+# --- Streaming forms (file stream, availableNow) -----------------------------
+
+from loglens.streaming.operators import (  # noqa: E402
+    start_running_success_rate,
+    start_windowed_success_rate,
+)
+from loglens.streaming.state import last_epoch  # noqa: E402
+
+
+def _stream_files(spark, sf_dir, name):
+    src = scratch_path(spark, f"{name}-src")
+    write_log_files(load_log_view(spark, sf_dir, dirty=True), src)
+    return src
+
+
+@register("stream_windowed_success_rate", ORACLE["windowed_success_rate"])
+def q_stream_windowed_success_rate(spark, sf_dir):
+    src = _stream_files(spark, sf_dir, "stream-windowed")
+    out = scratch_path(spark, "stream-windowed-out")
+    q = start_windowed_success_rate(spark, src, out, glob="*.txt", output_mode="complete",
+                                    trigger={"availableNow": True}, max_files_per_trigger=10,
+                                    window_duration="10 seconds", slide_duration="10 seconds")
+    q.awaitTermination()
+    return last_epoch(spark, out).select("window_start", "window_end", "service", "total",
+                                         "successes", "success_rate")
+
+
+@register("stream_running_counts", O.with_view(f"""
+SELECT coalesce(service, 'unknown_service') AS service, count({O.status_strict()}) AS total,
+       CAST(sum(CASE WHEN starts_with({O.status_strict()}, '2') THEN 1 ELSE 0 END) AS BIGINT) AS successes
+FROM v GROUP BY 1""", dirty=True))
+def q_stream_running_counts(spark, sf_dir):
+    src = _stream_files(spark, sf_dir, "stream-running")
+    out = scratch_path(spark, "stream-running-out")
+    q = start_running_success_rate(spark, src, out, glob="*.txt", trigger={"availableNow": True},
+                                   max_files_per_trigger=10)
+    q.awaitTermination()
+    return last_epoch(spark, out, "per_service").select("service", "total", "successes")
