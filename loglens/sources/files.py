@@ -96,7 +96,7 @@ def file_batches(events: DataFrame, order: tuple[str, ...] = ("file_modified", "
     files = events.select(*FILE_COLS).distinct()
     numbered = materialize(files.orderBy(*order).select(
         "file_path", F.monotonically_increasing_id().alias("batch_id")))
-    return events.join(numbered, "file_path")
+    return events.drop("batch_id").join(numbered, "file_path")
 
 
 def unprocessed_files(listed: DataFrame, processed: DataFrame, key: str = "file_path") -> DataFrame:
