@@ -425,13 +425,27 @@ from loglens.sources.files import (  # noqa: E402
 from loglens.sources.patterns import read_patterns  # noqa: E402
 
 
+_STAGED: dict[tuple, str] = {}
+
+
+def staged_log_files(spark, sf_dir: str) -> str:
+    """The dirty view written as JSON-array log files, once per session and
+    table directory, in the shared checkpoint folder (the input of the file
+    and stream queries)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    path = _STAGED.get(key)
+    if path is None:
+        path = scratch_path(spark, "staged-logs")
+        write_log_files(load_log_view(spark, sf_dir, dirty=True), path)
+        _STAGED[key] = path
+    return path
+
+
 @register("read_logs", O.with_view(
     'SELECT batch_id, pos, service, "timestamp", message FROM v', dirty=True))
 def q_read_logs(spark, sf_dir):
     from pyspark.sql import functions as F
-    out = scratch_path(spark, "read_logs")
-    write_log_files(load_log_view(spark, sf_dir, dirty=True), out)
-    logs = read_logs(spark, out, glob="*.txt", require_files=True)
+    logs = read_logs(spark, staged_log_files(spark, sf_dir), glob="*.txt", require_files=True)
     return logs.select(F.col("batch_id").cast("bigint").alias("batch_id"), "pos", "service",
                        "timestamp", "message")
 
@@ -457,9 +471,7 @@ SELECT DISTINCT batch_id FROM v
 WHERE batch_id NOT IN (SELECT batch_id FROM v WHERE pos = 0 AND service = 'training')""", dirty=True))
 def q_unprocessed_files(spark, sf_dir):
     from pyspark.sql import functions as F
-    out = scratch_path(spark, "unprocessed")
-    write_log_files(load_log_view(spark, sf_dir, dirty=True), out)
-    raw = read_raw_files(spark, out, glob="*.txt")
+    raw = read_raw_files(spark, staged_log_files(spark, sf_dir), glob="*.txt")
     listed = raw.select("file_path", "batch_id")
     events = parse_log_files(raw)
     # the manifest of processed files: those whose first event is from 'training'
@@ -533,10 +545,12 @@ from loglens.streaming.operators import (  # noqa: E402
 from loglens.streaming.state import last_epoch  # noqa: E402
 
 
+# files per micro-batch when replaying a whole table through a stream
+STREAM_FILES = 250
+
+
 def _stream_files(spark, sf_dir, name):
-    src = scratch_path(spark, f"{name}-src")
-    write_log_files(load_log_view(spark, sf_dir, dirty=True), src)
-    return src
+    return staged_log_files(spark, sf_dir)
 
 
 @register("stream_windowed_success_rate", ORACLE["windowed_success_rate"])
@@ -544,7 +558,7 @@ def q_stream_windowed_success_rate(spark, sf_dir):
     src = _stream_files(spark, sf_dir, "stream-windowed")
     out = scratch_path(spark, "stream-windowed-out")
     q = start_windowed_success_rate(spark, src, out, glob="*.txt", output_mode="complete",
-                                    trigger={"availableNow": True}, max_files_per_trigger=10,
+                                    trigger={"availableNow": True}, max_files_per_trigger=STREAM_FILES,
                                     window_duration="10 seconds", slide_duration="10 seconds")
     q.awaitTermination()
     return last_epoch(spark, out).select("window_start", "window_end", "service", "total",
@@ -559,6 +573,6 @@ def q_stream_running_counts(spark, sf_dir):
     src = _stream_files(spark, sf_dir, "stream-running")
     out = scratch_path(spark, "stream-running-out")
     q = start_running_success_rate(spark, src, out, glob="*.txt", trigger={"availableNow": True},
-                                   max_files_per_trigger=10)
+                                   max_files_per_trigger=STREAM_FILES)
     q.awaitTermination()
     return last_epoch(spark, out, "per_service").select("service", "total", "successes")

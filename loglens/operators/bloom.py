@@ -58,30 +58,48 @@ def _bit(bitmap: str, index: str) -> Column:
         f"cast(pmod({index}, 8) as int)) & 1, 0)")
 
 
-def bloom_contains(df: DataFrame, bitmaps: DataFrame, text: Column | str, out: str = "hit",
-                   m_bits: int = BLOOM_BITS, k_hashes: int = BLOOM_HASHES) -> DataFrame:
-    """Add boolean ``out``: all ``k`` bits of ``text`` are set (a probable member)."""
-    side = _filter_side(bitmaps, m_bits)
-    t = F.col(text) if isinstance(text, str) else text
-    cur = df.withColumn("_bl_t", t)
+def _probe(df: DataFrame, side: DataFrame, text: str, out: str, m_bits: int,
+           k_hashes: int) -> DataFrame:
+    cur = df
     for i in range(k_hashes):
-        cur = cur.withColumn(f"_bl_i{i}", bloom_index("_bl_t", i, m_bits))
-        b = side.select(F.col("bucket").alias(f"_bl_b{i}"), F.col("bitmap").alias(f"_bl_m{i}"))
-        cur = cur.join(b, (F.floor(F.col(f"_bl_i{i}") / BUCKET_BITS) + 1) == F.col(f"_bl_b{i}"), "left")
-        cur = cur.withColumn(f"_bl_h{i}", _bit(f"_bl_m{i}", f"_bl_i{i}")).drop(
-            f"_bl_m{i}", f"_bl_b{i}", f"_bl_i{i}")
+        idx, f = f"_bl_i{i}", f"_bl_f{i}"
+        cur = cur.withColumn(idx, bloom_index(text, i, m_bits))
+        # the same filter DataFrame under k aliases: one broadcast, reused k times
+        cur = cur.join(side.alias(f), (F.floor(F.col(idx) / BUCKET_BITS) + 1) == F.col(f"{f}.bucket"), "left")
+        cur = cur.withColumn(f"_bl_h{i}", _bit(f"{f}.bitmap", idx)).drop(
+            F.col(f"{f}.bucket")).drop(F.col(f"{f}.bitmap")).drop(idx)
     hit = None
     for i in range(k_hashes):
         c = F.col(f"_bl_h{i}") == 1
         hit = c if hit is None else (hit & c)
-    return cur.withColumn(out, hit).drop("_bl_t", *[f"_bl_h{i}" for i in range(k_hashes)])
+    return cur.withColumn(out, hit).drop(*[f"_bl_h{i}" for i in range(k_hashes)])
+
+
+def bloom_contains(df: DataFrame, bitmaps: DataFrame, text: Column | str, out: str = "hit",
+                   m_bits: int = BLOOM_BITS, k_hashes: int = BLOOM_HASHES,
+                   dedupe: bool = False) -> DataFrame:
+    """Add boolean ``out``: all ``k`` bits of ``text`` are set (a probable member).
+
+    ``dedupe`` hashes each distinct text once and joins the answers back:
+    the right choice for log messages, which repeat heavily (map-side
+    distinct, then a small join that the adaptive planner broadcasts, or
+    splits if one message dominates).  Without it every row is hashed in
+    place and the probe side never shuffles (the choice for unique texts).
+    """
+    side = _filter_side(bitmaps, m_bits)
+    t = F.col(text) if isinstance(text, str) else text
+    if not dedupe:
+        return _probe(df.withColumn("_bl_t", t), side, "_bl_t", out, m_bits, k_hashes).drop("_bl_t")
+    texts = df.select(t.alias("_bl_t")).distinct()
+    hits = _probe(texts, side, "_bl_t", out, m_bits, k_hashes)
+    return df.withColumn("_bl_t", t).join(hits, "_bl_t", "left").drop("_bl_t")
 
 
 def bloom_forward(df: DataFrame, bitmaps: DataFrame, message: str = "message",
                   m_bits: int = BLOOM_BITS, k_hashes: int = BLOOM_HASHES) -> DataFrame:
     """Events whose message is (probably) in the pattern list; no false negatives."""
     msg = F.coalesce(F.col(message), F.lit(""))
-    return bloom_contains(df, bitmaps, msg, "_fwd", m_bits, k_hashes).where("_fwd").drop("_fwd")
+    return bloom_contains(df, bitmaps, msg, "_fwd", m_bits, k_hashes, dedupe=True).where("_fwd").drop("_fwd")
 
 
 def bloom_hit_ratio(df: DataFrame, bitmaps: DataFrame, batch: str = "batch_id",
@@ -89,7 +107,7 @@ def bloom_hit_ratio(df: DataFrame, bitmaps: DataFrame, batch: str = "batch_id",
     """Per batch: share of all its events that the filter forwards, with the
     batch's own time span; batches without any timestamp emit nothing."""
     msg = F.coalesce(F.col("message"), F.lit(""))
-    tested = bloom_contains(df, bitmaps, msg, "_hit", m_bits, k_hashes)
+    tested = bloom_contains(df, bitmaps, msg, "_hit", m_bits, k_hashes, dedupe=True)
     return (tested.groupBy(batch)
             .agg(F.sum(F.col("_hit").cast("int")).alias("hits"),
                  F.count(F.lit(1)).alias("events"),

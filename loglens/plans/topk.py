@@ -16,7 +16,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TOP_ROWS = 1024
 
 
 def bottom_k(arr: Column, k: int) -> Column:
@@ -24,10 +23,11 @@ def bottom_k(arr: Column, k: int) -> Column:
 
 
 def levels_for(span: int, width: int) -> int:
-    """Block levels so the top window sees at most ``TOP_ROWS`` rows."""
-    if span <= TOP_ROWS:
+    """Block levels so that every growing window (each block, and the top)
+    sees at most ``width`` rows: the merge cost stays ``O(rows * width * k)``."""
+    if span <= width:
         return 0
-    return max(1, math.ceil(math.log(span / TOP_ROWS) / math.log(width)))
+    return max(1, math.ceil(math.log(span / width) / math.log(width)))
 
 
 def prefix_bottom_k(df: DataFrame, order_col: str, arr_col: str, out: str, k: int, *,
