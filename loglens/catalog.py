@@ -267,6 +267,7 @@ def q_sliding_failure_rate_6h(spark, sf_dir):
 
 from loglens.operators.sample import (  # noqa: E402
     reservoir_mode,
+    reservoir_mode_by_batch,
     reservoir_sample,
     reservoir_sample_by_batch,
 )
@@ -307,6 +308,31 @@ def q_reservoir_sample_by_batch(spark, sf_dir):
     return reservoir_sample_by_batch(load_log_view(spark, sf_dir, dirty=True, late=True), k=10, seed=42)
 
 
+_BY_BATCH_SQL = _KEYED + """
+, cand AS (SELECT * FROM k
+           QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY sample_key, event_id) <= 10)
+, b AS (SELECT DISTINCT batch_id FROM v)
+, sb AS (SELECT b.batch_id, cand.event_id, cand.code, cand.sample_key
+         FROM b JOIN cand ON cand.batch_id <= b.batch_id
+         QUALIFY row_number() OVER (PARTITION BY b.batch_id ORDER BY cand.sample_key, cand.event_id) <= 10)"""
+
+
+@register("reservoir_mode_by_batch", O.with_view(_BY_BATCH_SQL + f"""
+, cnt AS (SELECT batch_id, code, count(*) AS sample_count FROM sb GROUP BY batch_id, code)
+, md AS (SELECT * FROM cnt QUALIFY row_number() OVER (PARTITION BY batch_id
+         ORDER BY sample_count DESC, code ASC NULLS LAST) = 1)
+, pb AS (SELECT batch_id, max("timestamp") AS bmax, min("timestamp") AS bmin FROM v GROUP BY batch_id)
+, sp AS (SELECT batch_id,
+                max(bmax) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nw,
+                min(bmin) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS od
+         FROM pb)
+SELECT md.batch_id, TRY_CAST(code AS DOUBLE) AS value, code, sample_count,
+       {O.ts_micros('nw')} AS newest_considered, {O.ts_micros('od')} AS oldest_considered
+FROM md JOIN sp ON md.batch_id = sp.batch_id""", dirty=True, late=True))
+def q_reservoir_mode_by_batch(spark, sf_dir):
+    return reservoir_mode_by_batch(load_log_view(spark, sf_dir, dirty=True, late=True), k=10, seed=42)
+
+
 # --- A8, F7, A9: Bloom filter ------------------------------------------------
 
 from loglens.operators.bloom import (  # noqa: E402

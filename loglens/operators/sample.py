@@ -91,3 +91,26 @@ def reservoir_sample_by_batch(df: DataFrame, k: int = RESERVOIR_SIZE,
     merged = prefix_bottom_k(per_batch, batch, "_arr", "_s", k, width=block_width,
                              levels=levels_for(span, block_width))
     return merged.select(batch, F.inline("_s")).select(batch, "event_id", "code", "sample_key")
+
+
+def reservoir_mode_by_batch(df: DataFrame, k: int = RESERVOIR_SIZE, seed: int = GENERATOR_SEED,
+                            id_col: str = "event_id", batch: str = "batch_id") -> DataFrame:
+    """The result after every batch: mode of the sample at that point (ties:
+    smallest code) and the running span of all timestamps seen."""
+    from loglens.plans.scan import prefix_scan
+
+    samples = reservoir_sample_by_batch(df, k, seed, id_col, batch)
+    counts = samples.groupBy(batch, "code").agg(F.count(F.lit(1)).alias("sample_count"))
+    best = Window.partitionBy(batch).orderBy(F.desc("sample_count"), F.asc_nulls_last("code"))
+    mode = counts.withColumn("_rn", F.row_number().over(best)).where(F.col("_rn") == 1).drop("_rn")
+    per_batch = df.groupBy(batch).agg(F.max("timestamp").alias("_bmax"), F.min("timestamp").alias("_bmin"))
+    span = prefix_scan(per_batch, batch, [("_new", "max", "_bmax"), ("_old", "min", "_bmin")],
+                       block_width=1024)
+    return mode.join(span, batch).select(
+        batch,
+        F.col("code").try_cast("double").alias("value"),
+        "code",
+        "sample_count",
+        epoch_to_timestamp("_new").alias("newest_considered"),
+        epoch_to_timestamp("_old").alias("oldest_considered"),
+    )

@@ -7,3 +7,14 @@ replayed micro-batch overwrites its own output (idempotent).
 """
 
 from loglens.streaming.source import read_log_stream  # noqa: F401
+
+
+def stop_after_drain(query, timeout_s: float | None = None) -> None:
+    """Process everything already available, then stop (no result is lost)."""
+    if query.isActive:
+        query.processAllAvailable()
+        query.stop()
+    if timeout_s is None:
+        query.awaitTermination()
+    else:
+        query.awaitTermination(timeout_s)
