@@ -28,6 +28,11 @@ from loglens.plans.scan import prefix_scan
 from loglens.schema import DEFAULT_TIMESTAMP, SLIDING_WINDOW_SECONDS, TARGET_SERVICE
 
 BATCH_BLOCK = 1024
+# As-of blocks: one second of event time (so one block holds at most the
+# distinct failure timestamps of one second, whatever the window), blocked
+# again by 1024 s so the top window sees span/1024 s rows.
+TIME_BLOCK_SECONDS = 1.0
+TIME_LEVELS = 2
 
 
 def emitting_batches(df: DataFrame, batch: str = "batch_id") -> DataFrame:
@@ -65,7 +70,7 @@ def trailing_window_counts(df: DataFrame, weights: dict[str, Column], *,
               .withColumn("_q", F.col("_ts") + F.lit(float(window_seconds))))
     # first emitting batch whose newest > ts + window
     ends = min_after(events, "_q", emits, "newest", batch, "_exp",
-                     block_width=float(window_seconds))
+                     block_width=TIME_BLOCK_SECONDS, levels=TIME_LEVELS)
     # +w at arrival, -w at expiry (one pass over ``ends``)
     arrive = F.struct(F.col("_arr").alias("b"), *[F.col(n).alias(n) for n in names])
     expire = F.struct(F.greatest("_arr", "_exp").alias("b"), *[(-F.col(n)).alias(n) for n in names])

@@ -19,7 +19,8 @@ from loglens.plans.scan import prefix_scan
 
 def min_after(queries: DataFrame, query_key: str, records: DataFrame, record_key: str,
               record_value: str, out: str, *, block_width: float,
-              partition_by: Sequence[str] = ()) -> DataFrame:
+              partition_by: Sequence[str] = (), levels: int = 1,
+              fanout: int = 1024) -> DataFrame:
     """Add ``out`` = min(record_value) over records with key > query key
     (null when there is none) to every query row."""
     qcols = [c for c in queries.columns if c not in partition_by]
@@ -36,5 +37,6 @@ def min_after(queries: DataFrame, query_key: str, records: DataFrame, record_key
         F.col(record_value).alias(val), F.lit(0).alias(isq))
     scanned = prefix_scan(q.unionByName(r), key, [(out, "min", val)],
                           partition_by=partition_by, tie_by=[isq],
-                          block_width=block_width, exclusive=True, descending=True)
+                          block_width=block_width, levels=levels, fanout=fanout,
+                          exclusive=True, descending=True)
     return scanned.where(F.col(isq) == 1).select(*partition_by, *qcols, out)

@@ -26,14 +26,15 @@ def test_prefix_scan(spark, levels, exclusive, descending):
         assert got[k] == want
 
 
-def test_min_after(spark):
+@pytest.mark.parametrize("levels", [1, 2])
+def test_min_after(spark, levels):
     rnd = random.Random(3)
     recs = sorted(rnd.sample(range(1000), 60))
     records = spark.createDataFrame([(float(t), i) for i, t in enumerate(recs)], "t double, c long")
     qs = [float(rnd.randint(-10, 1010)) for _ in range(300)] + [float(recs[5])]
     queries = spark.createDataFrame([(i, q) for i, q in enumerate(qs)], "id long, q double")
     got = {r.id: r.first for r in min_after(queries, "q", records, "t", "c", "first",
-                                             block_width=25.0).collect()}
+                                             block_width=5.0, levels=levels, fanout=4).collect()}
     for i, q in enumerate(qs):
         after = [c for c, t in enumerate(recs) if t > q]
         assert got[i] == (min(after) if after else None)
