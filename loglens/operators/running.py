@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglens.functions import epoch_to_timestamp, safe_ratio, status_strict, success_2xx
+from loglens.plans.materialize import materialize
 from loglens.plans.scan import prefix_scan
 from loglens.schema import DEFAULT_SERVICE, DEFAULT_TIMESTAMP, TARGET_SERVICE
 
@@ -59,15 +60,24 @@ def running_success_rate(df: DataFrame, batch: str = "batch_id") -> DataFrame:
     """Cumulative 2xx share of coded events per service, one row per
     (batch, service present in the batch), with the global running span.
 
-    Uncoded events stay out of the rate but inside the span.
+    Uncoded events stay out of the rate but inside the span.  One pass over
+    the events: the per-(batch, service) aggregate also carries the span
+    inputs, and the per-batch span is rolled up from it.
     """
     coded = _coded(df)
-    per = coded.groupBy(batch, "_svc").agg(
+    # small (batch x service) table read by two branches: written once
+    per = materialize(coded.groupBy(batch, "_svc").agg(
         F.count("_code").alias("_n"),
-        F.sum(F.when(F.col("_code").isNotNull(), F.col("_ok")).otherwise(0)).alias("_s"))
-    scanned = prefix_scan(per, batch, [("total", "sum", "_n"), ("successes", "sum", "_s")],
+        F.sum(F.when(F.col("_code").isNotNull(), F.col("_ok")).otherwise(0)).alias("_s"),
+        *_span_aggs()), "running-per-batch")
+    scanned = prefix_scan(per.drop("_bnew", "_bold"), batch,
+                          [("total", "sum", "_n"), ("successes", "sum", "_s")],
                           partition_by=["_svc"], block_width=BATCH_BLOCK)
-    span = running_time_span(df, batch)
+    per_batch = per.groupBy(batch).agg(F.max("_bnew").alias("_bnew"), F.min("_bold").alias("_bold"))
+    span = prefix_scan(per_batch, batch, [("_newest", "max", "_bnew"), ("_oldest", "min", "_bold")],
+                       block_width=BATCH_BLOCK)
+    span = span.where(F.col("_newest").isNotNull() & F.col("_oldest").isNotNull()).select(
+        *_span_cols(batch))
     return scanned.join(span, on=batch, how="inner").select(
         batch,
         F.col("_svc").alias("service"),

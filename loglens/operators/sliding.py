@@ -58,7 +58,7 @@ def trailing_window_counts(df: DataFrame, weights: dict[str, Column], *,
     names = list(weights)
     ts = F.coalesce(F.col("timestamp"), F.lit(DEFAULT_TIMESTAMP))
     # one row per emitting batch; materialised because three branches read it
-    emits = materialize(emitting_batches(df, batch))
+    emits = materialize(emitting_batches(df, batch), "emitting-batches")
     weighted = df.select(F.col(batch).alias("_arr"), ts.alias("_ts"),
                          *[w.cast("bigint").alias(n) for n, w in weights.items()])
     any_w = None

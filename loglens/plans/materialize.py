@@ -1,18 +1,23 @@
-"""Cutting lineage: reliable checkpoints in the cluster's shared folder."""
+"""Cutting lineage: a table written to the cluster's shared checkpoint folder.
+
+Used for small intermediate tables that several branches read (each branch
+prunes different columns, which defeats exchange reuse and would recompute
+the input).  The table is written once as Parquet under
+``spark.checkpoint.dir`` and read back: the plan downstream shrinks to a
+file scan, the input is computed exactly once (an eager ``checkpoint()``
+computes it twice unless cached), and a lost executor re-reads the files
+instead of recomputing the lineage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from loglens.session import checkpoint_root
-
+from loglens.session import scratch_path
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Eager reliable ``checkpoint()`` under ``spark.checkpoint.dir``.
 
-    Used for small intermediate tables that several branches read: the plan
-    downstream shrinks to a file scan, and a lost executor re-reads the
-    checkpoint instead of recomputing the lineage.
-    """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    spark = df.sparkSession
+    path = scratch_path(spark, f"mat-{name}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -90,12 +90,12 @@ def file_batches(events: DataFrame, order: tuple[str, ...] = ("file_modified", "
 
     The file list (one row per file) is sorted by ``order`` with Spark's
     range-partitioned sort, numbered with ``monotonically_increasing_id``
-    (increasing along the sort, not dense) and checkpointed so a recomputed
-    task sees the same numbers.  ``order=("file_path",)`` gives name order.
+    (increasing along the sort, not dense) and written to the shared
+    checkpoint folder so a recomputed task sees the same numbers.  ``order=("file_path",)`` gives name order.
     """
     files = events.select(*FILE_COLS).distinct()
     numbered = materialize(files.orderBy(*order).select(
-        "file_path", F.monotonically_increasing_id().alias("batch_id")))
+        "file_path", F.monotonically_increasing_id().alias("batch_id")), "file-batches")
     return events.drop("batch_id").join(numbered, "file_path")
 
 
