@@ -476,19 +476,34 @@ def q_read_logs(spark, sf_dir):
                        "timestamp", "message")
 
 
-@register("quarantine_files", O.with_view("""
-SELECT DISTINCT batch_id FROM v WHERE batch_id % 11 = 5 OR batch_id % 13 = 7""", dirty=True))
-def q_quarantine_files(spark, sf_dir):
+def damaged_log_lines(v):
+    """The view as file lines, some files damaged: an unterminated array
+    (batch mod 11 = 5) and JSON lines instead of an array (batch mod 13 = 7).
+    Every event is still written."""
     from pyspark.sql import functions as F
-    lines = json_array_lines(load_log_view(spark, sf_dir, dirty=True))
+    lines = json_array_lines(v)
     b = F.col("batch_id")
-    # damage some files: an unterminated array, and JSON lines instead of an array
     line = (F.when(b % 11 == 5, F.regexp_replace("line", r"\]$", ""))
             .when(b % 13 == 7, F.regexp_replace(F.regexp_replace("line", r"^[\[,]", ""), r"\]$", ""))
             .otherwise(F.col("line")))
-    out = scratch_path(spark, "quarantine")
-    write_batch_files(lines.withColumn("line", line), out, clustered=True)
-    raw = read_raw_files(spark, out, glob="*.txt")
+    return lines.withColumn("line", line)
+
+
+def staged_damaged_files(spark, sf_dir: str) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, "damaged")
+    path = _STAGED.get(key)
+    if path is None:
+        path = scratch_path(spark, "staged-damaged")
+        write_batch_files(damaged_log_lines(load_log_view(spark, sf_dir, dirty=True)), path, clustered=True)
+        _STAGED[key] = path
+    return path
+
+
+@register("quarantine_files", O.with_view("""
+SELECT DISTINCT batch_id FROM v WHERE batch_id % 11 = 5 OR batch_id % 13 = 7""", dirty=True))
+def q_quarantine_files(spark, sf_dir):
+    from pyspark.sql import functions as F
+    raw = read_raw_files(spark, staged_damaged_files(spark, sf_dir), glob="*.txt")
     return quarantine_files(raw).select(F.col("batch_id").cast("bigint").alias("batch_id"))
 
 

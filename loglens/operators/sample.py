@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loglens.functions import epoch_to_timestamp, status_last_segment
+from loglens.plans.materialize import materialize
 from loglens.plans.topk import bottom_k as _bottom_k
 from loglens.plans.topk import levels_for, prefix_bottom_k
 from loglens.schema import GENERATOR_SEED, RESERVOIR_SIZE
@@ -85,7 +86,9 @@ def reservoir_sample_by_batch(df: DataFrame, k: int = RESERVOIR_SIZE,
     rank = Window.partitionBy(batch).orderBy("sample_key", id_col)
     cand = keyed.withColumn("_rn", F.row_number().over(rank)).where(F.col("_rn") <= k)
     item = F.struct(F.col("sample_key"), F.col(id_col).alias("event_id"), F.col("code"))
-    per_batch = cand.groupBy(batch).agg(_bottom_k(F.collect_list(item), k).alias("_arr"))
+    # at most k candidates per batch, read by every level of the merge: written once
+    per_batch = materialize(cand.groupBy(batch).agg(_bottom_k(F.collect_list(item), k).alias("_arr")),
+                            "sample-candidates")
     bounds = per_batch.agg(F.min(batch), F.max(batch)).first()
     span = 0 if bounds[0] is None else int(bounds[1]) - int(bounds[0]) + 1
     merged = prefix_bottom_k(per_batch, batch, "_arr", "_s", k, width=block_width,
