@@ -563,9 +563,6 @@ def _fmt_ts_sql(x: str) -> str:
             f"THEN '.' || lpad(CAST(epoch_us({x}) % 1000000 AS VARCHAR), 6, '0') ELSE '' END")
 
 
-ORACLE_RESULTS_LOG = None  # filled below from the running-rate oracle
-
-
 @register("results_log")
 def q_results_log(spark, sf_dir):
     return result_log_rows(q_running_success_rate_target(spark, sf_dir))

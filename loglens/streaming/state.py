@@ -33,10 +33,21 @@ def read_state(spark: SparkSession, root: str, epoch: int, schema: T.StructType)
     return spark.createDataFrame([], schema)
 
 
-def write_state(df: DataFrame, root: str, epoch: int) -> DataFrame:
+# versions kept behind the newest, like Spark's spark.sql.streaming.minBatchesToRetain
+RETAIN_VERSIONS = 100
+
+
+def write_state(df: DataFrame, root: str, epoch: int, retain: int | None = RETAIN_VERSIONS) -> DataFrame:
+    """Write version ``epoch``; drop the version ``retain`` micro-batches back."""
+    spark = df.sparkSession
     p = f"{root}/state/v={epoch}"
     df.write.mode("overwrite").parquet(p)
-    return df.sparkSession.read.schema(df.schema).parquet(p)
+    if retain is not None and epoch - retain >= 0:
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/state/v={epoch - retain}")
+        fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(old):
+            fs.delete(old, True)
+    return spark.read.schema(df.schema).parquet(p)
 
 
 def write_result(df: DataFrame, root: str, epoch: int) -> None:

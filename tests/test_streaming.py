@@ -47,7 +47,7 @@ def test_windowed_complete_equals_batch(spark, tmp_path):
 def test_watermark_late_row_by_mode(spark, tmp_path):
     rows = [[ev(service="s", t=t, code=200)] for t in (100, 500, 101, 600)]
     results = {}
-    for mode in ("complete", "update"):
+    for mode in ("complete", "update", "append"):
         src, out = str(tmp_path / f"src-{mode}"), str(tmp_path / f"out-{mode}")
         os.makedirs(src)
         q = start_windowed_success_rate(spark, src, out, output_mode=mode,
@@ -65,6 +65,7 @@ def test_watermark_late_row_by_mode(spark, tmp_path):
         results[mode] = w100.agg(F.max("total")).first()[0]
     assert results["complete"] == 2
     assert results["update"] == 1
+    assert results["append"] == 1
 
 
 def test_running_stream_equals_batch(spark, tmp_path):
