@@ -71,3 +71,19 @@ def test_by_batch_matches_bruteforce(spark):
             seen.append((hashlib.md5(f"{eid}:9".encode()).hexdigest(), eid))
             eid += 1
         assert sorted(got[b]) == sorted(e for _, e in sorted(seen)[:4])
+
+
+def test_by_batch_hot_batch(spark):
+    """A batch holding most rows still yields exactly the prefix bottom-k."""
+    batches = [[ev(t=i, code=200)] for i in range(10)]
+    batches[3] = batches[3] + [ev(t=3, code=500)] * 500
+    df = events_df(spark, batches)
+    got = {}
+    for r in reservoir_sample_by_batch(df, k=5, seed=1).collect():
+        got.setdefault(r.batch_id, set()).add(r.event_id)
+    eid, seen = 0, []
+    for b, batch in enumerate(batches):
+        for _ in batch:
+            seen.append((hashlib.md5(f"{eid}:1".encode()).hexdigest(), eid))
+            eid += 1
+        assert got[b] == {e for _, e in sorted(seen)[:5]}

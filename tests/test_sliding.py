@@ -78,3 +78,15 @@ def test_rate(spark):
     df = events_df(spark, [[ev(t=10, code=200), ev(t=20, code=404), ev(t=30, code=302),
                             ev(t=40, code=500)]])
     assert values(sliding_failure_rate(df)) == [(0, 0.5)]
+
+
+def test_hot_batch_and_shared_timestamp_match_bruteforce(spark):
+    """One batch holds most events, many sharing one timestamp."""
+    rnd = random.Random(11)
+    hot = [ev(service=rnd.choice(["monitoring", "training"]), t=500, code=rnd.choice([200, 500]))
+           for _ in range(300)]
+    batches = [[ev(t=rnd.randint(400, 600), code=rnd.choice([200, 404]))] for _ in range(20)]
+    batches[7] = batches[7] + hot
+    df = events_df(spark, batches)
+    for w in (60, 3600):
+        assert values(sliding_failures(df, window_seconds=w)) == [(b, v) for b, v in brute(batches, w)]
