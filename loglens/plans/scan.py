@@ -14,8 +14,9 @@ whole input into one task.  Instead the order key is cut into blocks:
 With one level (the default) the top window sees ``key range / width``
 rows (one per block: a million batches of 1024 make 1,000 rows), bounded by
 the key range, not by the data.  ``levels > 1`` blocks the block table again
-for very long orders.  Each level reads its input twice (running values and
-block totals); identical exchanges below are reused by Spark.
+for very long orders.  The input is shuffled once (by block); block totals
+are aggregated on the window's output, which is already partitioned by
+block, so they need no exchange of their own.
 """
 
 from __future__ import annotations
@@ -73,7 +74,10 @@ def _scan(df, blk, order_cols, aggs, parts, fanout, levels, exclusive, descendin
          .rowsBetween(Window.unboundedPreceding, frame_end))
     local = df.withColumns({f"_l_{o}": _AGG[k](F.col(i)).over(w) for o, k, i in aggs})
 
-    totals = df.groupBy(*parts, blk).agg(*[_AGG[k](F.col(i)).alias(f"_t_{o}") for o, k, i in aggs])
+    # block totals from the window's output: it is already partitioned by
+    # (parts, block), so this aggregate needs no exchange and the input is
+    # consumed once
+    totals = local.groupBy(*parts, blk).agg(*[_AGG[k](F.col(i)).alias(f"_t_{o}") for o, k, i in aggs])
     t_aggs = [(f"_o_{o}", k, f"_t_{o}") for o, k, _ in aggs]
     if levels > 1:
         up = f"_blk{levels - 1}"

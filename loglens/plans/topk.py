@@ -42,7 +42,7 @@ def prefix_bottom_k(df: DataFrame, order_col: str, arr_col: str, out: str, k: in
     d = df.withColumn(blk, F.floor(F.col(order_col) / width).cast("bigint"))
     w = Window.partitionBy(blk).orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
     local = d.withColumn("_tk_loc", bottom_k(F.flatten(F.collect_list(arr_col).over(w)), k))
-    blocks = d.groupBy(blk).agg(bottom_k(F.flatten(F.collect_list(arr_col)), k).alias("_tk_b"))
+    blocks = local.groupBy(blk).agg(bottom_k(F.flatten(F.collect_list(arr_col)), k).alias("_tk_b"))
     carry = prefix_bottom_k(blocks, blk, "_tk_b", "_tk_c", k, width=width, levels=levels - 1,
                             exclusive=True).select(F.col(blk).alias("_tk_k"), "_tk_c")
     joined = local.join(carry, local[blk] == carry["_tk_k"], "left")
