@@ -4,7 +4,8 @@ Build: the ``k`` bit indices of every pattern, deduplicated, folded into
 Spark bitmaps (``bitmap_construct_agg``; 32,768 bits per bucket, bit ``i``
 in byte ``i // 8`` at bit ``i % 8``, LSB first).  The whole filter is
 ``m / 8`` bytes, so its size is known before it is built: it is broadcast
-when ``m / 8`` fits under the broadcast limit and joined by shuffle otherwise.
+when that bound fits under the session's broadcast-join threshold and joined
+by shuffle otherwise (also when broadcasting is disabled).
 
 Test: for each index ``i`` an equi-join on the bucket number fetches one
 bucket, from which one bit is read.  The ``k`` joins are unrolled, so the
@@ -20,7 +21,7 @@ from loglens.functions import bloom_index, bloom_indices, epoch_to_timestamp
 from loglens.schema import BLOOM_BITS, BLOOM_HASHES
 
 BUCKET_BITS = 32768  # bits per Spark bitmap bucket
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
 
 def bloom_bits(patterns: DataFrame, text_col: str = "pattern", m_bits: int = BLOOM_BITS,
@@ -38,16 +39,22 @@ def bloom_build(patterns: DataFrame, text_col: str = "pattern", m_bits: int = BL
         F.expr("bitmap_construct_agg(bitmap_bit_position(bit + 1))").alias("bitmap"))
 
 
-def _filter_side(bitmaps: DataFrame, m_bits: int) -> DataFrame:
-    limit = bitmaps.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+def broadcast_limit(spark) -> int:
+    """The session's broadcast-join threshold in bytes (-1: disabled)."""
     try:
-        limit_bytes = int(str(limit).lower().rstrip("b")) if limit else DEFAULT_BROADCAST_BYTES
-    except ValueError:
-        limit_bytes = DEFAULT_BROADCAST_BYTES
-    limit_bytes = max(limit_bytes, DEFAULT_BROADCAST_BYTES)
-    # size is m/8 bytes plus one row header per bucket: known before the build
-    size = m_bits // 8 + 64 * (m_bits // BUCKET_BITS + 1)
-    return F.broadcast(bitmaps) if size <= limit_bytes else bitmaps
+        return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    except Exception:  # noqa: BLE001 - non-classic sessions: the documented default
+        return DEFAULT_BROADCAST_BYTES
+
+
+def filter_bytes(m_bits: int) -> int:
+    """Upper bound of the built filter: m/8 bytes plus a row header per bucket."""
+    return m_bits // 8 + 64 * (m_bits // BUCKET_BITS + 1)
+
+
+def _filter_side(bitmaps: DataFrame, m_bits: int) -> DataFrame:
+    limit = broadcast_limit(bitmaps.sparkSession)
+    return F.broadcast(bitmaps) if 0 < filter_bytes(m_bits) <= limit else bitmaps
 
 
 def _bit(bitmap: str, index: str) -> Column:

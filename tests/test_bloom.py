@@ -37,3 +37,21 @@ def test_no_false_negatives_and_fp_rate(spark):
     fp = bloom_contains(others, filt, "t", "hit", m_bits=m, k_hashes=k).where("hit").count() / 20000
     theory = (1 - math.exp(-k * n / m)) ** k
     assert abs(fp - theory) < 0.02
+
+
+def test_shuffle_path_when_filter_exceeds_broadcast_limit(spark):
+    from loglens.operators.bloom import broadcast_limit, filter_bytes
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert broadcast_limit(spark) == -1
+        pats = spark.createDataFrame([("HTTP Status Code: 500",)], "pattern string")
+        filt = bloom_build(pats, m_bits=8192, k_hashes=3)
+        df = events_df(spark, [[ev(service="s", t=0, code=200), ev(service="s", t=0, code=500)]])
+        r = bloom_hit_ratio(df, filt, m_bits=8192, k_hashes=3)
+        assert abs(r.first().value - 0.5) < 1e-9
+        assert "BroadcastExchange" not in r._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert filter_bytes(1_000_000) < 200_000
