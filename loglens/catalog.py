@@ -614,3 +614,46 @@ def q_stream_running_counts(spark, sf_dir):
                                    max_files_per_trigger=STREAM_FILES)
     q.awaitTermination()
     return last_epoch(spark, out, "per_service").select("service", "total", "successes")
+
+
+from loglens.streaming.operators import start_bloom_ratio, start_sliding_failures  # noqa: E402
+
+
+@register("stream_sliding_failures_6h", O.with_view(f"""
+, m AS (SELECT max(coalesce("timestamp", 0.0)) AS nw FROM v)
+, f AS (SELECT coalesce("timestamp", 0.0) AS ts FROM v
+        WHERE service = 'monitoring' AND {O.failure_not_ok()})
+SELECT CAST(count(f.ts) AS DOUBLE) AS value, {O.ts_micros('m.nw')} AS newest_considered,
+       {O.ts_micros('m.nw - 21600.0')} AS oldest_considered
+FROM m LEFT JOIN f ON f.ts >= m.nw - 21600.0 GROUP BY m.nw""", dirty=True))
+def q_stream_sliding_failures_6h(spark, sf_dir):
+    """All files arrive before the first poll: one micro-batch, one result."""
+    src = staged_log_files(spark, sf_dir)
+    out = scratch_path(spark, "stream-sliding-out")
+    q = start_sliding_failures(spark, src, out, glob="*.txt", trigger={"availableNow": True},
+                               max_files_per_trigger=None, window_seconds=21600)
+    q.awaitTermination()
+    return last_epoch(spark, out).select("value", "newest_considered", "oldest_considered")
+
+
+@register("stream_bloom_hit_ratio", O.with_view(_LOG_PATTERNS_SQL + _bits_sql("pat", 500_000, 8)
+                                                + _probe_sql("v", "t.event_id", "coalesce(t.message, '')", 500_000, 8) + f"""
+SELECT v.batch_id, CAST(sum(CASE WHEN p.hit THEN 1 ELSE 0 END) AS BIGINT) AS hits, count(*) AS events,
+       CAST(sum(CASE WHEN p.hit THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS value,
+       {O.ts_micros('max(v."timestamp")')} AS newest_considered,
+       {O.ts_micros('min(v."timestamp")')} AS oldest_considered
+FROM v JOIN probe p ON v.event_id = p.event_id
+GROUP BY v.batch_id HAVING count(v."timestamp") > 0""", dirty=True))
+def q_stream_bloom_hit_ratio(spark, sf_dir):
+    """Per-file hit ratio from the file stream (stateless, one row per file)."""
+    from pyspark.sql import functions as F
+    filt = bloom_build(_log_patterns(load_log_view(spark, sf_dir, dirty=True)), m_bits=500_000, k_hashes=8)
+    src = staged_log_files(spark, sf_dir)
+    out = scratch_path(spark, "stream-bloom-out")
+    q = start_bloom_ratio(spark, src, out, filt, m_bits=500_000, k_hashes=8, glob="*.txt",
+                          trigger={"availableNow": True}, max_files_per_trigger=STREAM_FILES)
+    q.awaitTermination()
+    res = spark.read.parquet(f"{out}/results")
+    return res.select(
+        F.regexp_extract("file_path", r"batch_id=(\d+)", 1).cast("bigint").alias("batch_id"),
+        "hits", "events", "value", "newest_considered", "oldest_considered")
