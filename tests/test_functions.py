@@ -60,3 +60,31 @@ def test_format_value_matches_python(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     got = [r[0] for r in df.select(L.format_value("v")).collect()]
     assert got == [f"{v:.4f}" for v in vals]
+
+
+def _strict_spec(message):
+    """Plain statement of the strict rule: text after the first tag, first token."""
+    tag = "HTTP Status Code: "
+    if tag not in message:
+        return None
+    rest = message.split(tag, 1)[1]
+    tokens = rest.split()
+    return tokens[0] if tokens else None
+
+
+def test_strict_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    parts = st.sampled_from(["HTTP Status Code: ", "HTTP Status Code:", " ", "\t", "\n", " ",
+                             " ", "200", "5xx", "abc", ":", "é"])
+    messages = st.lists(parts, max_size=8).map("".join)
+
+    @settings(max_examples=25, deadline=None)
+    @given(st.lists(messages, min_size=1, max_size=30))
+    def check(batch):
+        df = spark.createDataFrame([(m,) for m in batch], "m string")
+        got = [r[0] for r in df.select(L.status_strict("m")).collect()]
+        assert got == [_strict_spec(m) for m in batch]
+
+    check()

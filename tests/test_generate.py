@@ -1,0 +1,27 @@
+"""Synthetic generator invariants and the JSON-array writer round trip."""
+
+from pyspark.sql import functions as F
+
+from loglens.schema import SERVICES, STATUS_CODES
+from loglens.sources.files import read_logs, write_log_files
+from loglens.sources.generate import DEFAULT_START, generate_logs
+
+
+def test_generator_invariants(spark, tmp_path):
+    ids = spark.range(2500).select(F.col("id").alias("event_id"))
+    g = generate_logs(ids, events_per_batch=100)
+    rows = g.collect()
+    assert len(rows) == 2500
+    per = {}
+    for r in rows:
+        per.setdefault(r.batch_id, set()).add((r.timestamp, r.message))
+        assert r.service in SERVICES
+    assert all(len(v) == 1 for v in per.values())  # one code and one time per batch
+    times = [next(iter(per[b]))[0] for b in sorted(per)]
+    steps = [times[0] - DEFAULT_START] + [b - a for a, b in zip(times, times[1:])]
+    assert all(-100 <= s <= 300 for s in steps)
+    codes = {int(next(iter(v))[1].rsplit(" ", 1)[1]) for v in per.values()}
+    assert codes <= set(STATUS_CODES)
+    out = str(tmp_path / "gen")
+    write_log_files(g, out)
+    assert read_logs(spark, out, glob="*.txt").count() == 2500

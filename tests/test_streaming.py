@@ -129,3 +129,22 @@ def test_bloom_stream(spark, tmp_path):
         q.stop()
     assert [r.value for r in read_results(spark, out).collect()] == [0.5]
     assert time is not None
+
+
+def test_reservoir_stream_state_equals_batch_bottom_k(spark, tmp_path):
+    from loglens.operators.sample import reservoir_sample
+
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    os.makedirs(src)
+    q = start_reservoir(spark, src, out, k=7, seed=3, checkpoint=str(tmp_path / "ck"),
+                        trigger={"processingTime": "100 milliseconds"})
+    batches = [[ev(t=i * 10 + j, code=200 + j) for j in range(9)] for i in range(4)]
+    try:
+        _feed(spark, q, src, batches)
+    finally:
+        q.stop()
+    state = {(r.file_path, r.pos) for r in spark.read.parquet(f"{out}/state/v=3").collect()}
+    logs = read_logs(spark, src).withColumn(
+        "event_id", F.concat_ws(":", "file_path", F.col("pos").cast("string"))).withColumn("batch_id", F.lit(0))
+    want = {tuple(r.event_id.rsplit(":", 1)) for r in reservoir_sample(logs, k=7, seed=3).collect()}
+    assert {(p, str(n)) for p, n in state} == want
