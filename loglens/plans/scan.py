@@ -14,9 +14,11 @@ whole input into one task.  Instead the order key is cut into blocks:
 With one level (the default) the top window sees ``key range / width``
 rows (one per block: a million batches of 1024 make 1,000 rows), bounded by
 the key range, not by the data.  ``levels > 1`` blocks the block table again
-for very long orders.  The input is shuffled once (by block); block totals
-are aggregated on the window's output, which is already partitioned by
-block, so they need no exchange of their own.
+for very long orders.  The input is shuffled in full once (by block, for the
+window); block totals are a map-side partial aggregate (one row per block
+per task), so their shuffle is small.  The offsets join uses plain equality
+on the window's partitioning keys, so without a broadcast only the small
+offsets side is shuffled.
 """
 
 from __future__ import annotations
@@ -52,8 +54,9 @@ def prefix_scan(
 ) -> DataFrame:
     """Add running aggregates ``(out, kind, in)``, ``kind`` in sum/min/max.
 
-    Rows are ordered by ``order_key`` (numeric) then ``tie_by`` inside each
-    ``partition_by`` group; ``exclusive`` leaves out the current row.  Rows
+    Rows are ordered by ``order_key`` (numeric, non-null) then ``tie_by``
+    inside each ``partition_by`` group (non-null columns; coalesce first);
+    ``exclusive`` leaves out the current row.  Rows
     with equal ``(order_key, tie_by)`` are ordered arbitrarily, so callers
     pass a unique order.  ``block_width`` is in units of ``order_key``.
     """
@@ -74,9 +77,8 @@ def _scan(df, blk, order_cols, aggs, parts, fanout, levels, exclusive, descendin
          .rowsBetween(Window.unboundedPreceding, frame_end))
     local = df.withColumns({f"_l_{o}": _AGG[k](F.col(i)).over(w) for o, k, i in aggs})
 
-    # block totals from the window's output: it is already partitioned by
-    # (parts, block), so this aggregate needs no exchange and the input is
-    # consumed once
+    # block totals: Spark prunes the unused window column here, leaving a
+    # partial aggregate of the input (one row per block per task)
     totals = local.groupBy(*parts, blk).agg(*[_AGG[k](F.col(i)).alias(f"_t_{o}") for o, k, i in aggs])
     t_aggs = [(f"_o_{o}", k, f"_t_{o}") for o, k, _ in aggs]
     if levels > 1:
@@ -90,7 +92,10 @@ def _scan(df, blk, order_cols, aggs, parts, fanout, levels, exclusive, descendin
     offsets = offsets.select(*[F.col(c).alias(f"_k_{c}") for c in (*parts, blk)],
                              *[f"_o_{o}" for o, _, _ in aggs])
 
-    cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in (*parts, blk)]
+    # plain equality: the keys match the window's partitioning, so a
+    # sort-merge join (when the offsets are too big to broadcast) only
+    # shuffles the small side; null-safe keys would re-shuffle the input
+    cond = [F.col(c) == F.col(f"_k_{c}") for c in (*parts, blk)]
     joined = local.join(offsets, on=cond, how="left")
     return joined.select(
         *df.columns,
