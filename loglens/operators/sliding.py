@@ -65,9 +65,11 @@ def trailing_window_counts(df: DataFrame, weights: dict[str, Column], *,
     for n in names:
         c = F.col(n) != 0
         any_w = c if any_w is None else (any_w | c)
-    events = (weighted.where(any_w).groupBy("_arr", "_ts")
-              .agg(*[F.sum(n).alias(n) for n in names])
-              .withColumn("_q", F.col("_ts") + F.lit(float(window_seconds))))
+    # pre-aggregated (batch, ts) events: the as-of scan reads them through two
+    # branches with different column pruning, so they are written once
+    events = materialize(
+        weighted.where(any_w).groupBy("_arr", "_ts").agg(*[F.sum(n).alias(n) for n in names]),
+        "window-events").withColumn("_q", F.col("_ts") + F.lit(float(window_seconds)))
     # first emitting batch whose newest > ts + window
     ends = min_after(events, "_q", emits, "newest", batch, "_exp",
                      block_width=TIME_BLOCK_SECONDS, levels=TIME_LEVELS)

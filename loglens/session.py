@@ -11,7 +11,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def build_session(master: str | None = None, app: str = "loglens",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None,
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """Session for tests, benches and scripts (a cluster passes its own)."""
     builder = SparkSession.builder.appName(app)
     if master:
@@ -27,6 +28,7 @@ def build_session(master: str | None = None, app: str = "loglens",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -55,3 +55,12 @@ def test_shuffle_path_when_filter_exceeds_broadcast_limit(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert filter_bytes(1_000_000) < 200_000
+
+
+def test_dedupe_matches_per_row(spark):
+    pats = spark.createDataFrame([("HTTP Status Code: 500",), ("HTTP Status Code: 404",)], "pattern string")
+    filt = bloom_build(pats, m_bits=64, k_hashes=3)
+    df = events_df(spark, [[ev(t=i, code=c) for i, c in enumerate([200, 404, 500, 201, 302, 500])]])
+    a = {(r.event_id, r.hit) for r in bloom_contains(df, filt, "message", "hit", 64, 3).collect()}
+    b = {(r.event_id, r.hit) for r in bloom_contains(df, filt, "message", "hit", 64, 3, dedupe=True).collect()}
+    assert a == b
