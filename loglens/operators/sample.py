@@ -70,6 +70,20 @@ def reservoir_mode(df: DataFrame, k: int = RESERVOIR_SIZE, seed: int = GENERATOR
     return sample_mode(reservoir_sample(df, k, seed, id_col), df)
 
 
+def batch_candidates(df: DataFrame, k: int = RESERVOIR_SIZE, seed: int = GENERATOR_SEED,
+                     id_col: str = "event_id", batch: str = "batch_id") -> DataFrame:
+    """``(batch, _arr)``: the bottom ``k`` events of each batch as a sorted array.
+
+    The rank filter becomes a ``WindowGroupLimit`` that Spark also applies
+    before the shuffle, so each task ships at most ``k`` rows per batch.
+    """
+    keyed = _keyed(df, seed, id_col).select(batch, id_col, "code", "sample_key")
+    rank = Window.partitionBy(batch).orderBy("sample_key", id_col)
+    cand = keyed.withColumn("_rn", F.row_number().over(rank)).where(F.col("_rn") <= k)
+    item = F.struct(F.col("sample_key"), F.col(id_col).alias("event_id"), F.col("code"))
+    return cand.groupBy(batch).agg(_bottom_k(F.collect_list(item), k).alias("_arr"))
+
+
 def reservoir_sample_by_batch(df: DataFrame, k: int = RESERVOIR_SIZE,
                               seed: int = GENERATOR_SEED, id_col: str = "event_id",
                               batch: str = "batch_id", block_width: int = 32) -> DataFrame:
@@ -82,13 +96,8 @@ def reservoir_sample_by_batch(df: DataFrame, k: int = RESERVOIR_SIZE,
        by the blocked prefix merge of :mod:`loglens.plans.topk` (its depth
        is chosen from the batch-id range, one counter row to the driver).
     """
-    keyed = _keyed(df, seed, id_col).select(batch, id_col, "code", "sample_key")
-    rank = Window.partitionBy(batch).orderBy("sample_key", id_col)
-    cand = keyed.withColumn("_rn", F.row_number().over(rank)).where(F.col("_rn") <= k)
-    item = F.struct(F.col("sample_key"), F.col(id_col).alias("event_id"), F.col("code"))
     # at most k candidates per batch, read by every level of the merge: written once
-    per_batch = materialize(cand.groupBy(batch).agg(_bottom_k(F.collect_list(item), k).alias("_arr")),
-                            "sample-candidates")
+    per_batch = materialize(batch_candidates(df, k, seed, id_col, batch), "sample-candidates")
     bounds = per_batch.agg(F.min(batch), F.max(batch)).first()
     span = 0 if bounds[0] is None else int(bounds[1]) - int(bounds[0]) + 1
     merged = prefix_bottom_k(per_batch, batch, "_arr", "_s", k, width=block_width,
