@@ -1,6 +1,7 @@
 """Command line: run one operator over a folder of JSON log files.
 
     python -m loglens --source DIR --task NAME [--config FILE] [--order mtime|name]
+    python -m loglens generate --output DIR [--num-files N] [--events-per-batch M] [--seed S]
 
 Batches are the files, numbered by modification time (or name); the result
 is printed.  The Bloom operators take ``filter_file``, ``m_bits`` and
@@ -17,7 +18,32 @@ from loglens.sinks import show_results
 from loglens.sources.files import file_batches, read_logs
 
 
+def generate(argv: list[str]) -> None:
+    """Write synthetic log files (one JSON array per batch; read back with --glob '*.txt')."""
+    from pyspark.sql import functions as F
+
+    from loglens.sources.files import write_log_files
+    from loglens.sources.generate import generate_logs
+
+    ap = argparse.ArgumentParser(prog="loglens generate")
+    ap.add_argument("--output", required=True)
+    ap.add_argument("--num-files", type=int, default=10)
+    ap.add_argument("--events-per-batch", type=int, default=10)
+    ap.add_argument("--seed", type=int, default=42)
+    ap.add_argument("--master", default=None)
+    args = ap.parse_args(argv)
+    spark = build_session(args.master)
+    ids = spark.range(args.num_files * args.events_per_batch).select(F.col("id").alias("event_id"))
+    write_log_files(generate_logs(ids, events_per_batch=args.events_per_batch, seed=args.seed), args.output)
+
+
 def main(argv: list[str] | None = None) -> None:
+    import sys
+
+    argv = sys.argv[1:] if argv is None else argv
+    if argv and argv[0] == "generate":
+        generate(argv[1:])
+        return
     ap = argparse.ArgumentParser(prog="loglens")
     ap.add_argument("--source", required=True)
     ap.add_argument("--task", default="running_success_rate_target")

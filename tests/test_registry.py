@@ -53,3 +53,13 @@ def test_cli(spark, tmp_path, capsys):
     main(["--source", d, "--task", "running_success_rate_target"])
     out = capsys.readouterr().out
     assert "0.5" in out
+
+
+def test_cli_generate_then_summary(spark, tmp_path, capsys):
+    from loglens.__main__ import main
+
+    out = str(tmp_path / "gen")
+    main(["generate", "--output", out, "--num-files", "5", "--events-per-batch", "20"])
+    assert read_logs(spark, out, glob="*.txt").count() == 100
+    main(["--source", out, "--glob", "*.txt", "--task", "service_success_summary"])
+    assert "success_rate" in capsys.readouterr().out
