@@ -41,9 +41,12 @@ def read_raw_files(spark: SparkSession, path: str | list[str], *, glob: str | No
 
 def _single_value(text: Column) -> Column:
     """True when ``text`` is exactly one JSON value (``from_json`` alone would
-    accept a JSON-lines file by keeping its first object)."""
-    wrapped = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
-    return F.coalesce(F.size(wrapped) == 1, F.lit(False))
+    accept a JSON-lines file by keeping its first object).  Wrapped in
+    brackets, one value is a one-element array and anything else is invalid
+    or longer; ``json_array_length`` streams over the tokens without
+    materialising them."""
+    wrapped = F.concat(F.lit("["), text, F.lit("]"))
+    return F.coalesce(F.json_array_length(wrapped) == 1, F.lit(False))
 
 
 def _parsed(raw: DataFrame) -> DataFrame:
