@@ -67,19 +67,25 @@ def _bit(bitmap: str, index: str) -> Column:
 
 def _probe(df: DataFrame, side: DataFrame, text: str, out: str, m_bits: int,
            k_hashes: int) -> DataFrame:
+    """Add ``out`` to ``df`` (which holds the text column ``text``).
+
+    For each index: an equi-join on the bucket number (the same filter
+    DataFrame under k aliases: one broadcast, reused k times), then a
+    projection that keeps only the bit, so rows stay narrow.
+    """
+    cols = [F.col(f"`{c}`") for c in df.columns]
     cur = df
+    bits: list[Column] = []
     for i in range(k_hashes):
-        idx, f = f"_bl_i{i}", f"_bl_f{i}"
+        f, idx = f"_bl_f{i}", f"_bl_i{i}"
         cur = cur.withColumn(idx, bloom_index(text, i, m_bits))
-        # the same filter DataFrame under k aliases: one broadcast, reused k times
         cur = cur.join(side.alias(f), (F.floor(F.col(idx) / BUCKET_BITS) + 1) == F.col(f"{f}.bucket"), "left")
-        cur = cur.withColumn(f"_bl_h{i}", _bit(f"{f}.bitmap", idx)).drop(
-            F.col(f"{f}.bucket")).drop(F.col(f"{f}.bitmap")).drop(idx)
+        cur = cur.select(*cols, *bits, _bit(f"{f}.bitmap", idx).alias(f"_bl_h{i}"))
+        bits.append(F.col(f"_bl_h{i}"))
     hit = None
-    for i in range(k_hashes):
-        c = F.col(f"_bl_h{i}") == 1
-        hit = c if hit is None else (hit & c)
-    return cur.withColumn(out, hit).drop(*[f"_bl_h{i}" for i in range(k_hashes)])
+    for b in bits:
+        hit = (b == 1) if hit is None else (hit & (b == 1))
+    return cur.select(*cols, hit.alias(out))
 
 
 def bloom_contains(df: DataFrame, bitmaps: DataFrame, text: Column | str, out: str = "hit",
@@ -96,11 +102,11 @@ def bloom_contains(df: DataFrame, bitmaps: DataFrame, text: Column | str, out: s
     """
     side = _filter_side(bitmaps, m_bits)
     t = F.col(text) if isinstance(text, str) else text
+    with_text = df.withColumn("_bl_t", t)
     if not dedupe:
-        return _probe(df.withColumn("_bl_t", t), side, "_bl_t", out, m_bits, k_hashes).drop("_bl_t")
-    texts = df.select(t.alias("_bl_t")).distinct()
-    hits = _probe(texts, side, "_bl_t", out, m_bits, k_hashes)
-    return df.withColumn("_bl_t", t).join(hits, "_bl_t", "left").drop("_bl_t")
+        return _probe(with_text, side, "_bl_t", out, m_bits, k_hashes).drop("_bl_t")
+    hits = _probe(df.select(t.alias("_bl_t")).distinct(), side, "_bl_t", out, m_bits, k_hashes)
+    return with_text.join(hits, "_bl_t", "left").drop("_bl_t")
 
 
 def bloom_forward(df: DataFrame, bitmaps: DataFrame, message: str = "message",
