@@ -28,6 +28,10 @@ def build_session(master: str | None = None, app: str = "loglens",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # one JVM: listing many partition folders in the driver beats a
+        # listing job with one task per folder (clusters keep the default)
+        conf["spark.sql.sources.parallelPartitionDiscovery.threshold"] = "100000"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

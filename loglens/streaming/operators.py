@@ -296,9 +296,12 @@ def start_bloom_ratio(spark: SparkSession, source: str, out: str, bitmaps: DataF
                       m_bits: int, k_hashes: int, checkpoint: str | None = None,
                       trigger: dict | None = None, glob: str | None = "*.json",
                       max_files_per_trigger: int | None = None) -> StreamingQuery:
+    from loglens.plans.materialize import materialize
     from loglens.streaming.source import read_log_stream
 
     events = read_log_stream(spark, source, glob=glob, max_files_per_trigger=max_files_per_trigger)
+    # the filter (at most m/8 bytes) is built once, not once per micro-batch
+    bitmaps = materialize(bitmaps, "bloom-filter")
 
     def sink(df: DataFrame, epoch: int) -> None:
         if df.isEmpty():
