@@ -61,9 +61,15 @@ def read_results(spark: SparkSession, root: str) -> DataFrame:
 
 def last_epoch(spark: SparkSession, root: str, sub: str = "results") -> DataFrame:
     """Rows of the newest ``epoch=`` partition under ``root/sub`` (complete-mode
-    sinks: the whole answer); only the max epoch number reaches the driver."""
-    from pyspark.sql import functions as F
-
-    all_rows = spark.read.parquet(f"{root}/{sub}")
-    top = all_rows.agg(F.max("epoch")).first()[0]
-    return all_rows.where(F.col("epoch") == F.lit(top)).drop("epoch")
+    sinks: the whole answer).  The newest epoch is found by listing the
+    partition folders, so only that partition is read."""
+    jp = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{sub}")
+    fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
+    epochs = []
+    for st in fs.listStatus(jp):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("epoch="):
+            epochs.append(int(name.split("=", 1)[1]))
+    if not epochs:
+        raise FileNotFoundError(f"no results under {root}/{sub}")
+    return spark.read.parquet(f"{root}/{sub}/epoch={max(epochs)}")
