@@ -69,13 +69,15 @@ def windowed_success_rate_stream(events: DataFrame, window_duration: str = WINDO
     The watermark needs a ``TIMESTAMP`` column: ``timestamp_seconds`` of the
     truncated epoch (instant, zone-free).
     """
+    status = status_regex("message")
+    event_time = F.timestamp_seconds(F.col("timestamp").try_cast("bigint"))
     parsed = (
-        events.withColumns({
-            "status": status_regex("message"),
-            "event_time": F.timestamp_seconds(F.col("timestamp").try_cast("bigint")),
+        events.select("service", status.alias("status"), event_time.alias("event_time"))
+        .withColumns({
+            "_ok": F.col("service").isNotNull() & F.col("status").isNotNull()
+            & F.col("event_time").isNotNull(),
+            "is_success": success_below_400("status"),
         })
-        .dropna(subset=["service", "status", "event_time"])
-        .withColumn("is_success", success_below_400("status"))
         .withWatermark("event_time", watermark)
     )
     stats = window_success_stats(parsed, window_duration, slide_duration)
