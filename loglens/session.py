@@ -40,21 +40,25 @@ def build_session(master: str | None = None, app: str = "loglens",
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when the cluster names none (local tests)
-    is a fresh local folder set, so jobs never fall back to a machine-local
-    folder on a real cluster that configured one.
+    Read from the session (it is a static setting).  Only when the cluster
+    names none (local runs) is a fresh local folder used, registered as the
+    SparkContext checkpoint directory; jobs never fall back to a
+    machine-local folder on a cluster that configured one.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="loglens-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_ROOTS.get(app)
+        if root is None:
+            root = tempfile.mkdtemp(prefix="loglens-ckpt-")
+            _LOCAL_ROOTS[app] = root
+            spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -15,11 +15,15 @@ BASE = 1_761_498_000.0  # a fixed epoch second; fixture times are offsets from i
 
 @pytest.fixture(scope="session")
 def spark():
+    from pyspark import SparkConf
     from pyspark.sql import SparkSession
 
-    ckpt = tempfile.mkdtemp(prefix="loglens-test-ckpt-")
+    builder = SparkSession.builder
+    if not SparkConf().get("spark.checkpoint.dir", None):
+        # static setting: only set where the environment names none
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="loglens-test-ckpt-"))
     spark = (
-        SparkSession.builder.master("local[4]")
+        builder.master("local[4]")
         .appName("loglens-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
@@ -29,8 +33,6 @@ def spark():
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", ckpt)
     yield spark
 
 

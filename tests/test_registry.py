@@ -63,3 +63,27 @@ def test_cli_generate_then_summary(spark, tmp_path, capsys):
     assert read_logs(spark, out, glob="*.txt").count() == 100
     main(["--source", out, "--glob", "*.txt", "--task", "service_success_summary"])
     assert "success_rate" in capsys.readouterr().out
+
+
+def test_checkpoint_root_when_cluster_names_none(tmp_path):
+    """No spark.checkpoint.dir anywhere: a local folder is registered, nothing raises."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "from loglens.plans.materialize import materialize\n"
+        "from loglens.session import checkpoint_root\n"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "assert s.conf.get('spark.checkpoint.dir', None) is None\n"
+        "r = checkpoint_root(s)\n"
+        "assert materialize(s.range(3)).count() == 3\n"
+        "print('ROOT', r)\n" % root)
+    empty = tmp_path / "conf"
+    empty.mkdir()
+    env = dict(os.environ, SPARK_CONF_DIR=str(empty))
+    out = subprocess.run([sys.executable, "-c", script], env=env, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "ROOT " in out.stdout
