@@ -10,11 +10,54 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loglens import functions as LF
 from loglens import oracle as O
+from loglens.operators.bloom import (
+    BUCKET_BITS,
+    bloom_build,
+    bloom_contains,
+    bloom_forward,
+    bloom_hit_ratio,
+)
+from loglens.operators.parse import log_defaults, outcome_flags, parse_for_rates
+from loglens.operators.running import (
+    running_success_rate,
+    running_success_rate_target,
+    running_time_span,
+)
+from loglens.operators.sample import (
+    reservoir_mode,
+    reservoir_mode_by_batch,
+    reservoir_sample,
+    reservoir_sample_by_batch,
+)
+from loglens.operators.sliding import sliding_failure_rate, sliding_failures
 from loglens.operators.summary import service_success_summary
 from loglens.operators.windowed import hopping_success_rate, windowed_success_rate
-from loglens.sources.views import load_log_view
+from loglens.session import scratch_path
+from loglens.sinks import result_log_rows
+from loglens.sources.files import (
+    json_array_lines,
+    parse_log_files,
+    quarantine_files,
+    read_logs,
+    read_raw_files,
+    unprocessed_files,
+    write_batch_files,
+    write_log_files,
+)
+from loglens.sources.generate import generate_logs
+from loglens.sources.patterns import read_patterns
+from loglens.sources.views import load_log_view, read_table
+from loglens.streaming.operators import (
+    start_bloom_ratio,
+    start_running_success_rate,
+    start_sliding_failures,
+    start_windowed_success_rate,
+)
+from loglens.streaming.state import last_epoch
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -79,9 +122,6 @@ def q_hopping_success_rate(spark, sf_dir):
 
 # --- P1-P6, F2: per-event projections on the dirty view ---------------------
 
-from loglens import functions as LF  # noqa: E402
-from loglens.operators.parse import log_defaults, outcome_flags, parse_for_rates  # noqa: E402
-
 
 @register("status_strict", O.with_view(
     f"SELECT event_id, message, {O.status_strict()} AS status FROM v", dirty=True))
@@ -153,11 +193,6 @@ FROM p WHERE service IS NOT NULL AND status IS NOT NULL AND event_time IS NOT NU
 
 # --- A1, A2: running success rate and span (late + dirty view) --------------
 
-from loglens.operators.running import (  # noqa: E402
-    running_success_rate,
-    running_success_rate_target,
-    running_time_span,
-)
 
 _RUN_EVENTS = f"""
 , e AS (SELECT batch_id, coalesce(service, 'unknown_service') AS svc,
@@ -213,7 +248,6 @@ def q_running_success_rate_target(spark, sf_dir):
 
 # --- A3, A3b: trailing window anchored on the newest event ------------------
 
-from loglens.operators.sliding import sliding_failure_rate, sliding_failures  # noqa: E402
 
 _EMITS = """
 , b AS (SELECT batch_id, max(coalesce("timestamp", 0.0)) AS bmax FROM v GROUP BY batch_id)
@@ -265,12 +299,6 @@ def q_sliding_failure_rate_6h(spark, sf_dir):
 
 # --- A4, A4b, A5: uniform sample and its mode -------------------------------
 
-from loglens.operators.sample import (  # noqa: E402
-    reservoir_mode,
-    reservoir_mode_by_batch,
-    reservoir_sample,
-    reservoir_sample_by_batch,
-)
 
 _KEYED = f"""
 , k AS (SELECT event_id, batch_id, service, {O.status_last()} AS code,
@@ -335,15 +363,6 @@ def q_reservoir_mode_by_batch(spark, sf_dir):
 
 # --- A8, F7, A9: Bloom filter ------------------------------------------------
 
-from loglens.operators.bloom import (  # noqa: E402
-    BUCKET_BITS,
-    bloom_build,
-    bloom_contains,
-    bloom_forward,
-    bloom_hit_ratio,
-)
-from loglens.sources.views import read_table  # noqa: E402
-
 
 def _idx_sql(text: str, i: str, m: int) -> str:
     return (f"((('0x' || substr(sha256(unhex(lpad(to_hex({i}), 4, '0')) || encode({text})), 1, 8))"
@@ -353,7 +372,6 @@ def _idx_sql(text: str, i: str, m: int) -> str:
 def _log_patterns(v):
     """Patterns of interest derived from the stream: the messages of the
     monitoring service's 4xx/5xx events."""
-    from pyspark.sql import functions as F
     return (v.where((F.col("service") == "monitoring") & (LF.status_regex("message") >= 400))
             .select(F.col("message").alias("pattern")).distinct())
 
@@ -381,7 +399,6 @@ def _probe_sql(src: str, id_cols: str, text: str, m: int, k: int) -> str:
 SELECT item_id, r.i AS hash_number, {_idx_sql('text', 'r.i', 1_000_000)} AS bit
 FROM benchmark, range(0, 7) r(i)""")
 def q_bloom_indices(spark, sf_dir):
-    from pyspark.sql import functions as F
     b = read_table(spark, sf_dir, "benchmark")
     return b.select("item_id", F.posexplode(F.array(*LF.bloom_indices("text", 7, 1_000_000)))).select(
         "item_id", F.col("pos").cast("bigint").alias("hash_number"), F.col("col").alias("bit"))
@@ -392,7 +409,6 @@ WITH pat AS (SELECT text AS pattern FROM benchmark) {_bits_sql('pat', 1_000_000,
 SELECT CAST(bit // {BUCKET_BITS} + 1 AS BIGINT) AS bucket, count(*) AS bits_set
 FROM bits GROUP BY bit // {BUCKET_BITS}""")
 def q_bloom_build(spark, sf_dir):
-    from pyspark.sql import functions as F
     pats = read_table(spark, sf_dir, "benchmark").select(F.col("text").alias("pattern"))
     return bloom_build(pats, m_bits=1_000_000, k_hashes=7).select(
         "bucket", F.expr("bitmap_count(bitmap)").alias("bits_set"))
@@ -427,7 +443,6 @@ WITH pat AS (SELECT text AS pattern FROM benchmark) {_bits_sql('pat', 1_000_000,
 {_probe_sql('documents', 't.doc_id', "coalesce(t.text, '')", 1_000_000, 7)}
 SELECT doc_id, hit FROM probe""")
 def q_bloom_documents(spark, sf_dir):
-    from pyspark.sql import functions as F
     pats = read_table(spark, sf_dir, "benchmark").select(F.col("text").alias("pattern"))
     filt = bloom_build(pats, m_bits=1_000_000, k_hashes=7)
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -437,19 +452,6 @@ def q_bloom_documents(spark, sf_dir):
 
 # --- S1-S7, U2: file sources (write the view as files, read them back) -----
 
-from loglens.session import scratch_path  # noqa: E402
-from loglens.sources.files import (  # noqa: E402
-    json_array_lines,
-    parse_log_files,
-    quarantine_files,
-    read_logs,
-    read_raw_files,
-    unprocessed_files,
-    write_batch_files,
-    write_log_files,
-)
-from loglens.sources.patterns import read_patterns  # noqa: E402
-
 
 _STAGED: dict[tuple, str] = {}
 
@@ -470,7 +472,6 @@ def staged_log_files(spark, sf_dir: str) -> str:
 @register("read_logs", O.with_view(
     'SELECT batch_id, pos, service, "timestamp", message FROM v', dirty=True))
 def q_read_logs(spark, sf_dir):
-    from pyspark.sql import functions as F
     logs = read_logs(spark, staged_log_files(spark, sf_dir), glob="*.txt", require_files=True)
     return logs.select(F.col("batch_id").cast("bigint").alias("batch_id"), "pos", "service",
                        "timestamp", "message")
@@ -480,7 +481,6 @@ def damaged_log_lines(v):
     """The view as file lines, some files damaged: an unterminated array
     (batch mod 11 = 5) and JSON lines instead of an array (batch mod 13 = 7).
     Every event is still written."""
-    from pyspark.sql import functions as F
     lines = json_array_lines(v)
     b = F.col("batch_id")
     line = (F.when(b % 11 == 5, F.regexp_replace("line", r"\]$", ""))
@@ -502,7 +502,6 @@ def staged_damaged_files(spark, sf_dir: str) -> str:
 @register("quarantine_files", O.with_view("""
 SELECT DISTINCT batch_id FROM v WHERE batch_id % 11 = 5 OR batch_id % 13 = 7""", dirty=True))
 def q_quarantine_files(spark, sf_dir):
-    from pyspark.sql import functions as F
     raw = read_raw_files(spark, staged_damaged_files(spark, sf_dir), glob="*.txt")
     return quarantine_files(raw).select(F.col("batch_id").cast("bigint").alias("batch_id"))
 
@@ -511,7 +510,6 @@ def q_quarantine_files(spark, sf_dir):
 SELECT DISTINCT batch_id FROM v
 WHERE batch_id NOT IN (SELECT batch_id FROM v WHERE pos = 0 AND service = 'training')""", dirty=True))
 def q_unprocessed_files(spark, sf_dir):
-    from pyspark.sql import functions as F
     raw = read_raw_files(spark, staged_log_files(spark, sf_dir), glob="*.txt")
     listed = raw.select("file_path", "batch_id")
     events = parse_log_files(raw)
@@ -523,7 +521,6 @@ def q_unprocessed_files(spark, sf_dir):
 @register("read_patterns", O.with_view("""
 SELECT message AS pattern FROM v WHERE message IS NOT NULL AND message <> ''""", dirty=True))
 def q_read_patterns(spark, sf_dir):
-    from pyspark.sql import functions as F
     v = load_log_view(spark, sf_dir, dirty=True)
     out = scratch_path(spark, "patterns")
     padded = F.concat(F.lit("  "), F.coalesce("message", F.lit("")), F.lit(" \t"))
@@ -533,9 +530,6 @@ def q_read_patterns(spark, sf_dir):
 
 # --- K4: generator; K1/P8: result log ---------------------------------------
 
-from loglens.sinks import result_log_rows  # noqa: E402
-from loglens.sources.generate import generate_logs  # noqa: E402
-
 
 def _draw_sql(tag: str, x: str) -> str:
     return f"(('0x' || substr(md5('42:{tag}:' || CAST({x} AS VARCHAR)), 1, 8))::BIGINT)"
@@ -576,12 +570,6 @@ ORACLE["results_log"] = (
 
 # --- Streaming forms (file stream, availableNow) -----------------------------
 
-from loglens.streaming.operators import (  # noqa: E402
-    start_running_success_rate,
-    start_windowed_success_rate,
-)
-from loglens.streaming.state import last_epoch  # noqa: E402
-
 
 # files per micro-batch when replaying a whole table through a stream
 STREAM_FILES = 250
@@ -616,9 +604,6 @@ def q_stream_running_counts(spark, sf_dir):
     return last_epoch(spark, out, "per_service").select("service", "total", "successes")
 
 
-from loglens.streaming.operators import start_bloom_ratio, start_sliding_failures  # noqa: E402
-
-
 @register("stream_sliding_failures_6h", O.with_view(f"""
 , m AS (SELECT max(coalesce("timestamp", 0.0)) AS nw FROM v)
 , f AS (SELECT coalesce("timestamp", 0.0) AS ts FROM v
@@ -646,7 +631,6 @@ FROM v JOIN probe p ON v.event_id = p.event_id
 GROUP BY v.batch_id HAVING count(v."timestamp") > 0""", dirty=True))
 def q_stream_bloom_hit_ratio(spark, sf_dir):
     """Per-file hit ratio from the file stream (stateless, one row per file)."""
-    from pyspark.sql import functions as F
     filt = bloom_build(_log_patterns(load_log_view(spark, sf_dir, dirty=True)), m_bits=500_000, k_hashes=8)
     src = staged_log_files(spark, sf_dir)
     out = scratch_path(spark, "stream-bloom-out")
