@@ -79,3 +79,20 @@ def test_many_blocks_match_bruteforce(spark):
                 od = t if od is None else min(od, t)
         assert got[b].value == pytest.approx(s / n if n else 0.0)
         assert got[b].total == n
+
+
+def test_results_log_sink_appends(spark, tmp_path):
+    from loglens.sinks import append_results_log, result_display_rows
+
+    df = events_df(spark, [[ev(t=48, code=200), ev(t=96, code=500)], [ev(t=144, code=200)]])
+    res = running_success_rate_target(df)
+    out = str(tmp_path / "results_log")
+    append_results_log(res, out)
+    append_results_log(res, out)
+    lines = [r.value for r in spark.read.text(out).collect()]
+    assert len(lines) == 4
+    parts = sorted(line.split(",")[1:] for line in lines)
+    assert parts[0][0] == "0.5000" and parts[-1][0] == "0.6667"
+    assert all(len(p) == 3 for p in parts)
+    shown = {r.value_text for r in result_display_rows(res).collect()}
+    assert shown == {"0.5000", "0.6667"}

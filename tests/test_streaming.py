@@ -148,3 +148,16 @@ def test_reservoir_stream_state_equals_batch_bottom_k(spark, tmp_path):
         "event_id", F.concat_ws(":", "file_path", F.col("pos").cast("string"))).withColumn("batch_id", F.lit(0))
     want = {tuple(r.event_id.rsplit(":", 1)) for r in reservoir_sample(logs, k=7, seed=3).collect()}
     assert {(p, str(n)) for p, n in state} == want
+
+
+def test_stop_after_drain(spark, tmp_path):
+    from loglens.streaming import stop_after_drain
+
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    os.makedirs(src)
+    q = start_running_success_rate(spark, src, out, checkpoint=str(tmp_path / "ck"),
+                                   trigger={"processingTime": "10 seconds"})
+    write_json(src, "a.json", [ev(t=1, code=200), ev(t=2, code=500)])
+    stop_after_drain(q)
+    assert not q.isActive
+    assert [r.value for r in read_results(spark, out).collect()] == [0.5]
