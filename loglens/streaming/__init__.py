@@ -6,7 +6,7 @@ source's checkpoint replaces the reference's ``seen`` set); results go to
 replayed micro-batch overwrites its own output (idempotent).
 """
 
-from loglens.streaming.source import read_log_stream  # noqa: F401
+from loglens.streaming.source import read_log_stream, read_raw_stream  # noqa: F401
 
 
 def stop_after_drain(query, timeout_s: float | None = None) -> None:

@@ -314,3 +314,21 @@ def start_bloom_ratio(spark: SparkSession, source: str, out: str, bitmaps: DataF
     return _start(events, sink, checkpoint=checkpoint or scratch_path(spark, "ckpt-bloom"),
                   output_mode="append", trigger=trigger or {"processingTime": TRIGGER_INTERVAL},
                   name=None)
+
+
+# --- malformed files (quarantine) --------------------------------------------
+
+def start_quarantine(spark: SparkSession, source: str, out: str, *,
+                     checkpoint: str | None = None, trigger: dict | None = None,
+                     glob: str | None = "*.json",
+                     max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Malformed files of the stream (path, name, text) appended to a Parquet
+    table at ``out``: reported once, never fatal (exactly-once file sink)."""
+    from loglens.sources.files import quarantine_files
+    from loglens.streaming.source import read_raw_stream
+
+    raw = read_raw_stream(spark, source, glob=glob, max_files_per_trigger=max_files_per_trigger)
+    w = (quarantine_files(raw).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-quarantine"))
+         .outputMode("append").trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL})))
+    return w.start()

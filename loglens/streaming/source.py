@@ -9,11 +9,10 @@ from loglens.schema import MAX_FILES_PER_TRIGGER
 from loglens.sources.files import parse_log_files
 
 
-def read_log_stream(spark: SparkSession, path: str, *, glob: str | None = "*.json",
+def read_raw_stream(spark: SparkSession, path: str, *, glob: str | None = "*.json",
                     max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
                     recursive: bool = True) -> DataFrame:
-    """Streaming events ``(file_path, file_name, file_modified, pos, service,
-    timestamp, message)``; each new file is read whole, once."""
+    """One streaming row per new file: ``value`` (whole text) and file metadata."""
     reader = spark.readStream.format("text").option("wholetext", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -21,10 +20,19 @@ def read_log_stream(spark: SparkSession, path: str, *, glob: str | None = "*.jso
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    raw = reader.load(path).select(
+    return reader.load(path).select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_modification_time").alias("file_modified"),
     )
-    return parse_log_files(raw)
+
+
+def read_log_stream(spark: SparkSession, path: str, *, glob: str | None = "*.json",
+                    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+                    recursive: bool = True) -> DataFrame:
+    """Streaming events ``(file_path, file_name, file_modified, pos, service,
+    timestamp, message)``; each new file is read whole, once."""
+    return parse_log_files(read_raw_stream(spark, path, glob=glob,
+                                           max_files_per_trigger=max_files_per_trigger,
+                                           recursive=recursive))

@@ -161,3 +161,15 @@ def test_stop_after_drain(spark, tmp_path):
     stop_after_drain(q)
     assert not q.isActive
     assert [r.value for r in read_results(spark, out).collect()] == [0.5]
+
+
+def test_quarantine_stream(spark, tmp_path):
+    from loglens.streaming.operators import start_quarantine
+
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    write_json(src, "good.json", [ev(t=1, code=200)])
+    write_json(src, "bad.json", '[{"service": "x"', raw=True)
+    write_json(src, "lines.json", '{"service": "a"}\n{"service": "b"}', raw=True)
+    q = start_quarantine(spark, src, out, checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True})
+    q.awaitTermination()
+    assert sorted(r.file_name for r in spark.read.parquet(out).collect()) == ["bad.json", "lines.json"]
