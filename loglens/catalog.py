@@ -477,6 +477,14 @@ def q_read_logs(spark, sf_dir):
                        "timestamp", "message")
 
 
+@register("read_logs_multiline", ORACLE["read_logs"])
+def q_read_logs_multiline(spark, sf_dir):
+    """Same files through the streaming JSON parser (large-file mode)."""
+    logs = read_logs(spark, staged_log_files(spark, sf_dir), glob="*.txt", parser="multiline")
+    batch = F.regexp_extract("file_path", r"batch_id=(\d+)", 1).cast("bigint")
+    return logs.select(batch.alias("batch_id"), "pos", "service", "timestamp", "message")
+
+
 def damaged_log_lines(v):
     """The view as file lines, some files damaged: an unterminated array
     (batch mod 11 = 5) and JSON lines instead of an array (batch mod 13 = 7).

@@ -13,8 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from loglens.plans.materialize import materialize
-from loglens.schema import LOG_ARRAY_DDL
+from loglens.schema import LOG_ARRAY_DDL, LOG_SCHEMA
 
 FILE_COLS = ["file_path", "file_name", "file_modified"]
 
@@ -76,18 +78,93 @@ def quarantine_files(raw: DataFrame) -> DataFrame:
 
 
 def read_logs(spark: SparkSession, path: str | list[str], *, glob: str | None = "*.json",
-              recursive: bool = False, require_files: bool = False) -> DataFrame:
+              recursive: bool = False, require_files: bool = False,
+              parser: str = "wholetext") -> DataFrame:
     """All events of all log files under ``path`` (batch form of the stream).
 
     ``require_files`` raises when nothing matches, like a batch job that must
-    not silently report on no input.
+    not silently report on no input.  ``parser="multiline"`` streams each
+    file through the JSON reader instead of holding it as one value: for
+    files too large for one row (a source holding a large share of the data).
     """
+    if parser == "multiline":
+        events = read_logs_multiline(spark, path, glob=glob, recursive=recursive)
+        if require_files and events.select("file_path").isEmpty():
+            raise FileNotFoundError(f"no log events in files matching {glob!r} under {path}")
+        return events
     raw = read_raw_files(spark, path, glob=glob, recursive=recursive)
     if require_files and raw.select("file_path").isEmpty():
         raise FileNotFoundError(f"no log files matching {glob!r} under {path}")
     return parse_log_files(raw)
 
 
+_CORRUPT = "_corrupt_record"
+
+
+def _multiline_scan(spark: SparkSession, path, glob, recursive) -> DataFrame:
+    schema = T.StructType(LOG_SCHEMA.fields + [T.StructField(_CORRUPT, T.StringType(), True)])
+    reader = (spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", _CORRUPT))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    return reader.json(path).select(
+        "*",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_modification_time").alias("file_modified"),
+    )
+
+
+def _number_within_file(batches):
+    """Position of each row within its file.  The multi-line reader never
+    splits a file, so a file's rows are contiguous and in order in one task."""
+    import numpy as np
+
+    current, carried = None, 0
+    for pdf in batches:
+        files = pdf["file_path"].to_numpy(dtype=object)
+        n = len(files)
+        if n == 0:
+            yield pdf.assign(pos=np.zeros(0, dtype="int64"))
+            continue
+        starts = np.ones(n, dtype=bool)
+        starts[1:] = files[1:] != files[:-1]
+        starts[0] = files[0] != current
+        idx = np.arange(n)
+        seg_start = np.maximum.accumulate(np.where(starts, idx, 0))
+        pos = idx - seg_start
+        if not starts[0]:  # first segment continues the previous batch's file
+            pos[seg_start == 0] += carried
+        current = files[-1]
+        carried = int(pos[-1]) + 1
+        yield pdf.assign(pos=pos.astype("int64"))
+
+
+def read_logs_multiline(spark: SparkSession, path: str | list[str], *, glob: str | None = "*.json",
+                        recursive: bool = False) -> DataFrame:
+    """Events through the streaming JSON reader (``multiLine``): same columns as
+    :func:`read_logs`.  A JSON-lines file yields its first object here (the
+    whole-text parser quarantines it)."""
+    scan = _multiline_scan(spark, path, glob, recursive)
+    good = scan.where(F.col(_CORRUPT).isNull()).select(
+        *FILE_COLS, "service", "timestamp", "message")
+    out_schema = T.StructType(good.schema.fields + [T.StructField("pos", T.LongType(), False)])
+    numbered = good.mapInPandas(_number_within_file, out_schema)
+    return numbered.select(*FILE_COLS, "pos", "service", "timestamp", "message")
+
+
+def quarantine_files_multiline(spark: SparkSession, path: str | list[str], *,
+                               glob: str | None = "*.json", recursive: bool = False) -> DataFrame:
+    """Malformed files as seen by the multi-line reader, with their text."""
+    scan = _multiline_scan(spark, path, glob, recursive)
+    # a corrupt document has all data fields null; naming one keeps the scan
+    # from reading the corrupt-record column alone (which Spark refuses)
+    bad = F.col(_CORRUPT).isNotNull() & F.col("service").isNull()
+    return scan.where(bad).select(*FILE_COLS, F.col(_CORRUPT).alias("value"))
+
+
 def file_batches(events: DataFrame, order: tuple[str, ...] = ("file_modified", "file_path")) -> DataFrame:
     """Numeric, order-preserving ``batch_id`` per file, joined onto ``events``.
 

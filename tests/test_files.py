@@ -63,3 +63,31 @@ def test_patterns(spark, tmp_path):
         "HTTP Status Code: 203", "Something else"]
     with pytest.raises(FileNotFoundError):
         read_patterns(spark, str(tmp_path / "missing.txt"))
+
+
+def test_multiline_parser_matches_wholetext(spark, tmp_path):
+    from loglens.sources.files import quarantine_files_multiline
+
+    d = str(tmp_path / "logs")
+    write_json(d, "a.json", [ev(t=i, code=200 + i) for i in range(7)])
+    write_json(d, "b.json", ev(t=3, code=404))
+    write_json(d, "c.json", [])
+    write_json(d, "d.json", '[\n  {"service": "x",\n   "timestamp": 4.0},\n {"message": "m"}\n]', raw=True)
+    write_json(d, "e.json", '[{"service": "x"', raw=True)
+    cols = ["file_name", "pos", "service", "timestamp", "message"]
+    whole = sorted(tuple(r) for r in read_logs(spark, d).select(*cols).collect())
+    multi = sorted(tuple(r) for r in read_logs(spark, d, parser="multiline").select(*cols).collect())
+    assert whole == multi and len(whole) == 10
+    bad = [r.file_name for r in quarantine_files_multiline(spark, d).collect()]
+    assert bad == ["e.json"]
+
+
+def test_multiline_numbering_across_batches():
+    import pandas as pd
+
+    from loglens.sources.files import _number_within_file
+
+    batches = [pd.DataFrame({"file_path": ["a", "a", "b"]}), pd.DataFrame({"file_path": ["b", "b", "c"]}),
+               pd.DataFrame({"file_path": ["c"]})]
+    got = [list(p["pos"]) for p in _number_within_file(iter(batches))]
+    assert got == [[0, 1, 0], [1, 2, 0], [1]]
