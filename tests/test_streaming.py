@@ -173,3 +173,16 @@ def test_quarantine_stream(spark, tmp_path):
     q = start_quarantine(spark, src, out, checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True})
     q.awaitTermination()
     assert sorted(r.file_name for r in spark.read.parquet(out).collect()) == ["bad.json", "lines.json"]
+
+
+def test_multiline_stream_source(spark, tmp_path):
+    from loglens.streaming.source import read_log_stream
+
+    src = str(tmp_path / "src")
+    write_json(src, "a.json", [ev(t=i, code=200) for i in range(5)])
+    write_json(src, "b.json", '[\n {"service": "x", "timestamp": 9.0}\n]', raw=True)
+    stream = read_log_stream(spark, src, parser="multiline")
+    q = (stream.writeStream.format("memory").queryName("ml_stream").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r.file_name, r.pos) for r in spark.sql("select * from ml_stream").collect())
+    assert got == [("a.json", i) for i in range(5)] + [("b.json", 0)]
