@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from loglens import functions as LF
 from loglens import oracle as O
 from loglens.operators.bloom import (
-    BUCKET_BITS,
+    WORD_BITS,
     bloom_build,
     bloom_contains,
     bloom_forward,
@@ -406,12 +406,12 @@ def q_bloom_indices(spark, sf_dir):
 
 @register("bloom_build", f"""
 WITH pat AS (SELECT text AS pattern FROM benchmark) {_bits_sql('pat', 1_000_000, 7)}
-SELECT CAST(bit // {BUCKET_BITS} + 1 AS BIGINT) AS bucket, count(*) AS bits_set
-FROM bits GROUP BY bit // {BUCKET_BITS}""")
+SELECT CAST(bit // {WORD_BITS} AS BIGINT) AS word, count(*) AS bits_set
+FROM bits GROUP BY bit // {WORD_BITS}""")
 def q_bloom_build(spark, sf_dir):
     pats = read_table(spark, sf_dir, "benchmark").select(F.col("text").alias("pattern"))
     return bloom_build(pats, m_bits=1_000_000, k_hashes=7).select(
-        "bucket", F.expr("bitmap_count(bitmap)").alias("bits_set"))
+        "word", F.bit_count("bits").cast("bigint").alias("bits_set"))
 
 
 @register("bloom_forward", O.with_view(_LOG_PATTERNS_SQL + _bits_sql("pat", 64, 3)

@@ -1,15 +1,17 @@
 """Bloom-filter forwarding of messages of interest.
 
 Build: the ``k`` bit indices of every pattern, deduplicated, folded into
-Spark bitmaps (``bitmap_construct_agg``; 32,768 bits per bucket, bit ``i``
-in byte ``i // 8`` at bit ``i % 8``, LSB first).  The whole filter is
-``m / 8`` bytes, so its size is known before it is built: it is broadcast
-when that bound fits under the session's broadcast-join threshold and joined
-by shuffle otherwise (also when broadcasting is disabled).
-
-Test: for each index ``i`` an equi-join on the bucket number fetches one
-bucket, from which one bit is read.  The ``k`` joins are unrolled, so the
-probe side streams through broadcast hash joins with no shuffle.
+64-bit words: a table ``(word, bits)`` with ``word = i // 64`` and bit
+``i % 64`` of ``bits`` set (LSB first), only non-zero words kept.  The
+filter has at most ``ceil(m / 64)`` rows, so its size is known before it is
+built: it is broadcast when that bound fits under the session's
+broadcast-join threshold and joined by shuffle otherwise (also when
+broadcasting is disabled).
+
+Test: for each index ``i`` an equi-join on the word fetches one ``bigint``
+from which one bit is shifted out: numeric work only.  The ``k`` joins are
+unrolled, so the probe side streams through broadcast hash joins with no
+shuffle.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from loglens.functions import bloom_index, bloom_indices, epoch_to_timestamp
 from loglens.schema import BLOOM_BITS, BLOOM_HASHES
 
-BUCKET_BITS = 32768  # bits per Spark bitmap bucket
+WORD_BITS = 64
 DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
 
@@ -33,10 +35,11 @@ def bloom_bits(patterns: DataFrame, text_col: str = "pattern", m_bits: int = BLO
 
 def bloom_build(patterns: DataFrame, text_col: str = "pattern", m_bits: int = BLOOM_BITS,
                 k_hashes: int = BLOOM_HASHES) -> DataFrame:
-    """The filter as ``(bucket, bitmap)`` rows; at most ``ceil(m / 32768)`` rows."""
+    """The filter as ``(word, bits)`` rows; at most ``ceil(m / 64)`` rows."""
     bits = bloom_bits(patterns, text_col, m_bits, k_hashes)
-    return bits.groupBy(F.expr("bitmap_bucket_number(bit + 1)").alias("bucket")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(bit + 1))").alias("bitmap"))
+    mask = F.expr(f"shiftleft(cast(1 as bigint), cast(pmod(bit, {WORD_BITS}) as int))")
+    return bits.groupBy(F.floor(F.col("bit") / WORD_BITS).cast("bigint").alias("word")).agg(
+        F.bit_or(mask).alias("bits"))
 
 
 def broadcast_limit(spark) -> int:
@@ -48,28 +51,27 @@ def broadcast_limit(spark) -> int:
 
 
 def filter_bytes(m_bits: int) -> int:
-    """Upper bound of the built filter: m/8 bytes plus a row header per bucket."""
-    return m_bits // 8 + 64 * (m_bits // BUCKET_BITS + 1)
+    """Upper bound of the built filter: ceil(m/64) rows of two longs plus a
+    row header (48 bytes a row)."""
+    return 48 * (-(-m_bits // WORD_BITS))
 
 
-def _filter_side(bitmaps: DataFrame, m_bits: int) -> DataFrame:
-    limit = broadcast_limit(bitmaps.sparkSession)
-    return F.broadcast(bitmaps) if 0 < filter_bytes(m_bits) <= limit else bitmaps
+def _filter_side(words: DataFrame, m_bits: int) -> DataFrame:
+    limit = broadcast_limit(words.sparkSession)
+    return F.broadcast(words) if 0 < filter_bytes(m_bits) <= limit else words
 
 
-def _bit(bitmap: str, index: str) -> Column:
-    """Bit ``index % 32768`` of a bitmap bucket (0 when the bucket is absent)."""
-    return F.expr(
-        f"coalesce(shiftright(cast(conv(hex(substring({bitmap}, "
-        f"cast(pmod({index}, {BUCKET_BITS}) div 8 as int) + 1, 1)), 16, 10) as int), "
-        f"cast(pmod({index}, 8) as int)) & 1, 0)")
+def _bit(bits: str, index: str) -> Column:
+    """Bit ``index % 64`` of a filter word (0 when the word is absent)."""
+    return F.coalesce(
+        F.expr(f"shiftright({bits}, cast(pmod({index}, {WORD_BITS}) as int)) & 1"), F.lit(0))
 
 
 def _probe(df: DataFrame, side: DataFrame, text: str, out: str, m_bits: int,
            k_hashes: int) -> DataFrame:
     """Add ``out`` to ``df`` (which holds the text column ``text``).
 
-    For each index: an equi-join on the bucket number (the same filter
+    For each index: an equi-join on the word number (the same filter
     DataFrame under k aliases: one broadcast, reused k times), then a
     projection that keeps only the bit, so rows stay narrow.
     """
@@ -79,8 +81,8 @@ def _probe(df: DataFrame, side: DataFrame, text: str, out: str, m_bits: int,
     for i in range(k_hashes):
         f, idx = f"_bl_f{i}", f"_bl_i{i}"
         cur = cur.withColumn(idx, bloom_index(text, i, m_bits))
-        cur = cur.join(side.alias(f), (F.floor(F.col(idx) / BUCKET_BITS) + 1) == F.col(f"{f}.bucket"), "left")
-        cur = cur.select(*cols, *bits, _bit(f"{f}.bitmap", idx).alias(f"_bl_h{i}"))
+        cur = cur.join(side.alias(f), F.floor(F.col(idx) / WORD_BITS) == F.col(f"{f}.word"), "left")
+        cur = cur.select(*cols, *bits, _bit(f"`{f}`.bits", idx).alias(f"_bl_h{i}"))
         bits.append(F.col(f"_bl_h{i}"))
     hit = None
     for b in bits:
@@ -88,7 +90,7 @@ def _probe(df: DataFrame, side: DataFrame, text: str, out: str, m_bits: int,
     return cur.select(*cols, hit.alias(out))
 
 
-def bloom_contains(df: DataFrame, bitmaps: DataFrame, text: Column | str, out: str = "hit",
+def bloom_contains(df: DataFrame, words: DataFrame, text: Column | str, out: str = "hit",
                    m_bits: int = BLOOM_BITS, k_hashes: int = BLOOM_HASHES,
                    dedupe: bool = False) -> DataFrame:
     """Add boolean ``out``: all ``k`` bits of ``text`` are set (a probable member).
@@ -100,7 +102,7 @@ def bloom_contains(df: DataFrame, bitmaps: DataFrame, text: Column | str, out: s
     the input twice, so it only pays off when hashing dominates (long texts
     that repeat).
     """
-    side = _filter_side(bitmaps, m_bits)
+    side = _filter_side(words, m_bits)
     t = F.col(text) if isinstance(text, str) else text
     with_text = df.withColumn("_bl_t", t)
     if not dedupe:
@@ -109,21 +111,21 @@ def bloom_contains(df: DataFrame, bitmaps: DataFrame, text: Column | str, out: s
     return with_text.join(hits, "_bl_t", "left").drop("_bl_t")
 
 
-def bloom_forward(df: DataFrame, bitmaps: DataFrame, message: str = "message",
+def bloom_forward(df: DataFrame, words: DataFrame, message: str = "message",
                   m_bits: int = BLOOM_BITS, k_hashes: int = BLOOM_HASHES,
                   dedupe: bool = False) -> DataFrame:
     """Events whose message is (probably) in the pattern list; no false negatives."""
     msg = F.coalesce(F.col(message), F.lit(""))
-    return bloom_contains(df, bitmaps, msg, "_fwd", m_bits, k_hashes, dedupe).where("_fwd").drop("_fwd")
+    return bloom_contains(df, words, msg, "_fwd", m_bits, k_hashes, dedupe).where("_fwd").drop("_fwd")
 
 
-def bloom_hit_ratio(df: DataFrame, bitmaps: DataFrame, batch: str = "batch_id",
+def bloom_hit_ratio(df: DataFrame, words: DataFrame, batch: str = "batch_id",
                     m_bits: int = BLOOM_BITS, k_hashes: int = BLOOM_HASHES,
                     dedupe: bool = False) -> DataFrame:
     """Per batch: share of all its events that the filter forwards, with the
     batch's own time span; batches without any timestamp emit nothing."""
     msg = F.coalesce(F.col("message"), F.lit(""))
-    tested = bloom_contains(df, bitmaps, msg, "_hit", m_bits, k_hashes, dedupe)
+    tested = bloom_contains(df, words, msg, "_hit", m_bits, k_hashes, dedupe)
     return (tested.groupBy(batch)
             .agg(F.sum(F.col("_hit").cast("int")).alias("hits"),
                  F.count(F.lit(1)).alias("events"),

@@ -294,7 +294,7 @@ def start_reservoir(spark: SparkSession, source: str, out: str, *, k: int = RESE
 
 # --- Bloom hit ratio per file (stateless) -----------------------------------
 
-def start_bloom_ratio(spark: SparkSession, source: str, out: str, bitmaps: DataFrame, *,
+def start_bloom_ratio(spark: SparkSession, source: str, out: str, words: DataFrame, *,
                       m_bits: int, k_hashes: int, checkpoint: str | None = None,
                       trigger: dict | None = None, glob: str | None = "*.json",
                       max_files_per_trigger: int | None = None) -> StreamingQuery:
@@ -303,12 +303,12 @@ def start_bloom_ratio(spark: SparkSession, source: str, out: str, bitmaps: DataF
 
     events = read_log_stream(spark, source, glob=glob, max_files_per_trigger=max_files_per_trigger)
     # the filter (at most m/8 bytes) is built once, not once per micro-batch
-    bitmaps = materialize(bitmaps, "bloom-filter")
+    words = materialize(words, "bloom-filter")
 
     def sink(df: DataFrame, epoch: int) -> None:
         if df.isEmpty():
             return
-        write_result(bloom_hit_ratio(df, bitmaps, batch="file_path", m_bits=m_bits,
+        write_result(bloom_hit_ratio(df, words, batch="file_path", m_bits=m_bits,
                                      k_hashes=k_hashes), out, epoch)
 
     return _start(events, sink, checkpoint=checkpoint or scratch_path(spark, "ckpt-bloom"),
