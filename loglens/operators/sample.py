@@ -28,19 +28,18 @@ def sample_key(id_col: Column | str, seed: int = GENERATOR_SEED) -> Column:
     return F.md5(F.concat(c.cast("string"), F.lit(f":{seed}")))
 
 
-def _keyed(df: DataFrame, seed: int, id_col: str) -> DataFrame:
-    return df.withColumns({
-        "sample_key": sample_key(id_col, seed),
-        "code": status_last_segment("message"),
-    })
-
-
 def reservoir_sample(df: DataFrame, k: int = RESERVOIR_SIZE, seed: int = GENERATOR_SEED,
                      id_col: str = "event_id") -> DataFrame:
-    """The ``k``-event uniform sample (``code`` = text after the last ``': '``)."""
-    keyed = _keyed(df, seed, id_col)
-    return (keyed.orderBy("sample_key", id_col).limit(k)
-            .select(id_col, "batch_id", "service", "code", "sample_key"))
+    """The ``k``-event uniform sample (``code`` = text after the last ``': '``).
+
+    Only the key is computed per event; the code is read from the ``k``
+    sampled messages after the top-k.
+    """
+    keyed = df.select(id_col, "batch_id", "service", "message",
+                      sample_key(id_col, seed).alias("sample_key"))
+    top = keyed.orderBy("sample_key", id_col).limit(k)
+    return top.select(id_col, "batch_id", "service", status_last_segment("message").alias("code"),
+                      "sample_key")
 
 
 def sample_mode(sample: DataFrame, span_source: DataFrame) -> DataFrame:
@@ -77,10 +76,12 @@ def batch_candidates(df: DataFrame, k: int = RESERVOIR_SIZE, seed: int = GENERAT
     The rank filter becomes a ``WindowGroupLimit`` that Spark also applies
     before the shuffle, so each task ships at most ``k`` rows per batch.
     """
-    keyed = _keyed(df, seed, id_col).select(batch, id_col, "code", "sample_key")
+    keyed = df.select(batch, id_col, "message", sample_key(id_col, seed).alias("sample_key"))
     rank = Window.partitionBy(batch).orderBy("sample_key", id_col)
     cand = keyed.withColumn("_rn", F.row_number().over(rank)).where(F.col("_rn") <= k)
-    item = F.struct(F.col("sample_key"), F.col(id_col).alias("event_id"), F.col("code"))
+    # the code is parsed for the k candidates of a batch only
+    item = F.struct(F.col("sample_key"), F.col(id_col).alias("event_id"),
+                    status_last_segment("message").alias("code"))
     return cand.groupBy(batch).agg(_bottom_k(F.collect_list(item), k).alias("_arr"))
 
 
