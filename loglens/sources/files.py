@@ -41,14 +41,26 @@ def read_raw_files(spark: SparkSession, path: str | list[str], *, glob: str | No
     )
 
 
+def finite(c: Column) -> Column:
+    """Non-finite numbers (``NaN``, ``Infinity``, accepted by JSON parsers) as
+    null: they would otherwise win every ``max`` and poison running spans."""
+    return F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c)
+
+
 def _single_value(text: Column) -> Column:
     """True when ``text`` is exactly one JSON value (``from_json`` alone would
-    accept a JSON-lines file by keeping its first object).  Wrapped in
-    brackets, one value is a one-element array and anything else is invalid
-    or longer; ``json_array_length`` streams over the tokens without
-    materialising them."""
+    accept a JSON-lines file by keeping its first object).
+
+    Wrapped in brackets, one value is a one-element array and anything else
+    is invalid or longer.  ``json_array_length`` streams over the tokens
+    without materialising them; its tokenizer rejects ``NaN``/``Infinity``,
+    which the JSON parsers accept, so files it rejects get a second,
+    permissive check (only those: malformed files, or non-finite numbers).
+    """
     wrapped = F.concat(F.lit("["), text, F.lit("]"))
-    return F.coalesce(F.json_array_length(wrapped) == 1, F.lit(False))
+    fast = F.json_array_length(wrapped)
+    permissive = F.size(F.from_json(wrapped, "array<string>")) == 1
+    return F.when(fast.isNotNull(), fast == 1).otherwise(F.coalesce(permissive, F.lit(False)))
 
 
 def _parsed(raw: DataFrame) -> DataFrame:
@@ -66,7 +78,7 @@ def parse_log_files(raw: DataFrame) -> DataFrame:
         *keep,
         F.col("pos").cast("bigint").alias("pos"),
         F.col("_e.service").alias("service"),
-        F.col("_e.timestamp").alias("timestamp"),
+        finite(F.col("_e.timestamp")).alias("timestamp"),
         F.col("_e.message").alias("message"),
     )
 
@@ -149,7 +161,7 @@ def read_logs_multiline(spark: SparkSession, path: str | list[str], *, glob: str
     whole-text parser quarantines it)."""
     scan = _multiline_scan(spark, path, glob, recursive)
     good = scan.where(F.col(_CORRUPT).isNull()).select(
-        *FILE_COLS, "service", "timestamp", "message")
+        *FILE_COLS, "service", finite(F.col("timestamp")).alias("timestamp"), "message")
     out_schema = T.StructType(good.schema.fields + [T.StructField("pos", T.LongType(), False)])
     numbered = good.mapInPandas(_number_within_file, out_schema)
     return numbered.select(*FILE_COLS, "pos", "service", "timestamp", "message")

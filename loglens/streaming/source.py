@@ -49,7 +49,7 @@ def _multiline_stream(spark, path, glob, max_files_per_trigger, recursive) -> Da
     from pyspark.sql import types as T
 
     from loglens.schema import LOG_SCHEMA
-    from loglens.sources.files import FILE_COLS, _CORRUPT, _number_within_file
+    from loglens.sources.files import FILE_COLS, _CORRUPT, _number_within_file, finite
 
     schema = T.StructType(LOG_SCHEMA.fields + [T.StructField(_CORRUPT, T.StringType(), True)])
     reader = (spark.readStream.format("json").schema(schema).option("multiLine", "true")
@@ -66,7 +66,8 @@ def _multiline_stream(spark, path, glob, max_files_per_trigger, recursive) -> Da
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_modification_time").alias("file_modified"),
     )
-    good = scan.where(F.col(_CORRUPT).isNull()).select(*FILE_COLS, "service", "timestamp", "message")
+    good = scan.where(F.col(_CORRUPT).isNull()).select(
+        *FILE_COLS, "service", finite(F.col("timestamp")).alias("timestamp"), "message")
     out = T.StructType(good.schema.fields + [T.StructField("pos", T.LongType(), False)])
     return good.mapInPandas(_number_within_file, out).select(
         *FILE_COLS, "pos", "service", "timestamp", "message")

@@ -91,3 +91,12 @@ def test_multiline_numbering_across_batches():
                pd.DataFrame({"file_path": ["c"]})]
     got = [list(p["pos"]) for p in _number_within_file(iter(batches))]
     assert got == [[0, 1, 0], [1, 2, 0], [1]]
+
+
+def test_non_finite_timestamps_are_missing(spark, tmp_path):
+    d = str(tmp_path / "logs")
+    write_json(d, "a.json", '[{"service": "s", "timestamp": NaN}, {"service": "s", "timestamp": Infinity},'
+                            ' {"service": "s", "timestamp": 5.0}]', raw=True)
+    for parser in ("wholetext", "multiline"):
+        ts = sorted((r.pos, r.timestamp) for r in read_logs(spark, d, parser=parser).collect())
+        assert ts == [(0, None), (1, None), (2, 5.0)]
