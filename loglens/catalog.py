@@ -57,6 +57,7 @@ from loglens.streaming.operators import (
     start_sliding_failures,
     start_windowed_success_rate,
 )
+from loglens.streaming import run_available
 from loglens.streaming.state import last_epoch
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -594,7 +595,7 @@ def q_stream_windowed_success_rate(spark, sf_dir):
     q = start_windowed_success_rate(spark, src, out, glob="*.txt", output_mode="complete",
                                     trigger={"availableNow": True}, max_files_per_trigger=STREAM_FILES,
                                     window_duration="10 seconds", slide_duration="10 seconds")
-    q.awaitTermination()
+    run_available(q)
     return last_epoch(spark, out).select("window_start", "window_end", "service", "total",
                                          "successes", "success_rate")
 
@@ -608,7 +609,7 @@ def q_stream_running_counts(spark, sf_dir):
     out = scratch_path(spark, "stream-running-out")
     q = start_running_success_rate(spark, src, out, glob="*.txt", trigger={"availableNow": True},
                                    max_files_per_trigger=STREAM_FILES)
-    q.awaitTermination()
+    run_available(q)
     return last_epoch(spark, out, "per_service").select("service", "total", "successes")
 
 
@@ -625,7 +626,7 @@ def q_stream_sliding_failures_6h(spark, sf_dir):
     out = scratch_path(spark, "stream-sliding-out")
     q = start_sliding_failures(spark, src, out, glob="*.txt", trigger={"availableNow": True},
                                max_files_per_trigger=None, window_seconds=21600)
-    q.awaitTermination()
+    run_available(q)
     return last_epoch(spark, out).select("value", "newest_considered", "oldest_considered")
 
 
@@ -644,7 +645,7 @@ def q_stream_bloom_hit_ratio(spark, sf_dir):
     out = scratch_path(spark, "stream-bloom-out")
     q = start_bloom_ratio(spark, src, out, filt, m_bits=500_000, k_hashes=8, glob="*.txt",
                           trigger={"availableNow": True}, max_files_per_trigger=STREAM_FILES)
-    q.awaitTermination()
+    run_available(q)
     res = spark.read.parquet(f"{out}/results")
     return res.select(
         F.regexp_extract("file_path", r"batch_id=(\d+)", 1).cast("bigint").alias("batch_id"),
