@@ -12,25 +12,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jp = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(jp)
+    return jp, jp.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def read_state(spark: SparkSession, root: str, epoch: int, schema: T.StructType) -> DataFrame:
-    """State as of the end of micro-batch ``epoch - 1`` (empty before the first).
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Completed state versions (folders with ``_SUCCESS``), one listing."""
+    jp, fs = _fs(spark, f"{root}/state")
+    if not fs.exists(jp):
+        return []
+    out = []
+    for st in fs.listStatus(jp):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v=") and fs.exists(
+                spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name[2:]))
+    return sorted(out)
+
 
-    Versions of empty micro-batches are skipped by walking back to the last
-    written one.
-    """
-    v = epoch - 1
-    while v >= 0:
-        p = f"{root}/state/v={v}"
-        if _exists(spark, f"{p}/_SUCCESS"):
-            return spark.read.schema(schema).parquet(p)
-        v -= 1
-    return spark.createDataFrame([], schema)
+def read_state(spark: SparkSession, root: str, epoch: int, schema: T.StructType) -> DataFrame:
+    """State as of the end of micro-batch ``epoch - 1``: the newest completed
+    version below ``epoch`` (empty micro-batches write none); empty before
+    the first.  A replay of ``epoch`` reads the same version."""
+    below = [v for v in _versions(spark, root) if v < epoch]
+    if not below:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{root}/state/v={below[-1]}")
 
 
 # versions kept behind the newest, like Spark's spark.sql.streaming.minBatchesToRetain
@@ -38,15 +46,19 @@ RETAIN_VERSIONS = 100
 
 
 def write_state(df: DataFrame, root: str, epoch: int, retain: int | None = RETAIN_VERSIONS) -> DataFrame:
-    """Write version ``epoch``; drop the version ``retain`` micro-batches back."""
+    """Write version ``epoch``; drop versions more than ``retain`` micro-batches
+    back, except the predecessor of ``epoch`` (a replay of ``epoch`` reads it)."""
     spark = df.sparkSession
     p = f"{root}/state/v={epoch}"
     df.write.mode("overwrite").parquet(p)
-    if retain is not None and epoch - retain >= 0:
-        old = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/state/v={epoch - retain}")
-        fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
-        if fs.exists(old):
-            fs.delete(old, True)
+    if retain is not None:
+        versions = _versions(spark, root)
+        below = [v for v in versions if v < epoch]
+        keep_pred = below[-1] if below else None
+        for v in versions:
+            if v < epoch - retain and v != keep_pred:
+                old, fs = _fs(spark, f"{root}/state/v={v}")
+                fs.delete(old, True)
     return spark.read.schema(df.schema).parquet(p)
 
 

@@ -186,3 +186,19 @@ def test_multiline_stream_source(spark, tmp_path):
     q.awaitTermination()
     got = sorted((r.file_name, r.pos) for r in spark.sql("select * from ml_stream").collect())
     assert got == [("a.json", i) for i in range(5)] + [("b.json", 0)]
+
+
+def test_state_versions_read_and_retention(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from loglens.streaming.state import read_state, write_state
+
+    root = str(tmp_path / "st")
+    schema = T.StructType([T.StructField("x", T.LongType())])
+    assert read_state(spark, root, 0, schema).count() == 0
+    for e in (0, 3, 4, 9):  # epochs 1, 2, 5-8 were empty
+        write_state(spark.createDataFrame([(e,)], schema), root, e, retain=4)
+    assert [r.x for r in read_state(spark, root, 9, schema).collect()] == [4]
+    assert [r.x for r in read_state(spark, root, 10, schema).collect()] == [9]
+    # v=4 stays: it is the predecessor a replay of epoch 9 reads
+    assert sorted(d for d in os.listdir(os.path.join(root, "state")) if d.startswith("v=")) == ["v=4", "v=9"]
