@@ -1,7 +1,6 @@
 """JSON log files: shapes, quarantine, patterns, writer round trip."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from loglens.sources.files import (
     quarantine_files,

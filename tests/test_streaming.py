@@ -1,7 +1,6 @@
 """Streaming forms: equal to the batch forms on the same files."""
 
 import os
-import time
 
 from pyspark.sql import functions as F
 
@@ -128,7 +127,6 @@ def test_bloom_stream(spark, tmp_path):
     finally:
         q.stop()
     assert [r.value for r in read_results(spark, out).collect()] == [0.5]
-    assert time is not None
 
 
 def test_reservoir_stream_state_equals_batch_bottom_k(spark, tmp_path):
