@@ -22,7 +22,9 @@ def format_timestamp(ts_ntz: Column | str, with_micros: bool = True) -> Column:
     """``YYYY-MM-DD HH:MM:SS`` plus ``.ffffff`` when the micros are non-zero
     (``str(datetime)``); ``with_micros=False`` gives the display format."""
     c = _col(ts_ntz)
-    base = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    # the string form of a TIMESTAMP_NTZ involves no zone (``date_format``
+    # would convert through the session zone and shift DST-gap wall clocks)
+    base = F.substring(c.cast("timestamp_ntz").cast("string"), 1, 19)
     if not with_micros:
         return base
     micros = F.pmod(epoch_micros(c), F.lit(1_000_000))

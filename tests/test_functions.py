@@ -88,3 +88,15 @@ def test_strict_property(spark):
         assert got == [_strict_spec(m) for m in batch]
 
     check()
+
+
+def test_format_timestamp_zone_free(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(1710037800.5,), (1704067207.0,)], "t double")  # 02:30:00.5 is a NY gap
+        got = [tuple(r) for r in df.select(L.format_timestamp(L.epoch_to_timestamp("t")),
+                                           L.format_timestamp(L.epoch_to_timestamp("t"), with_micros=False)).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [("2024-03-10 02:30:00.500000", "2024-03-10 02:30:00"), ("2024-01-01 00:00:07", "2024-01-01 00:00:07")]
