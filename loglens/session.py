@@ -32,6 +32,8 @@ def build_session(master: str | None = None, app: str = "loglens",
         # one JVM: listing many partition folders in the driver beats a
         # listing job with one task per folder (clusters keep the default)
         conf["spark.sql.sources.parallelPartitionDiscovery.threshold"] = "100000"
+        # the driver JVM is the whole engine in local mode (applies at JVM launch)
+        conf["spark.driver.memory"] = "8g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
