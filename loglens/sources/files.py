@@ -89,6 +89,30 @@ def quarantine_files(raw: DataFrame) -> DataFrame:
     return _parsed(raw).where(F.col("_events").isNull()).select(*keep, "value")
 
 
+def empty_files(spark: SparkSession, path: str, *, glob: str | None = "*.json",
+                recursive: bool = False) -> DataFrame:
+    """Zero-byte files ``(file_path, file_name)``.
+
+    ``wholetext`` yields no row for them and Spark's file sources skip empty
+    files when planning splits, so they never reach
+    :func:`quarantine_files`.  They are found in the file listing (metadata
+    the driver lists for any file source anyway), not by reading data.
+    """
+    import fnmatch
+
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    it = fs.listFiles(root, bool(recursive))
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if st.getLen() == 0 and (not glob or fnmatch.fnmatch(name, glob)):
+            found.append((st.getPath().toString(), name))
+    return spark.createDataFrame(found, "file_path string, file_name string")
+
+
 def read_logs(spark: SparkSession, path: str | list[str], *, glob: str | None = "*.json",
               recursive: bool = False, require_files: bool = False,
               parser: str = "wholetext") -> DataFrame:

@@ -99,3 +99,13 @@ def test_non_finite_timestamps_are_missing(spark, tmp_path):
     for parser in ("wholetext", "multiline"):
         ts = sorted((r.pos, r.timestamp) for r in read_logs(spark, d, parser=parser).collect())
         assert ts == [(0, None), (1, None), (2, 5.0)]
+
+
+def test_empty_files_reported(spark, tmp_path):
+    from loglens.sources.files import empty_files
+
+    d = str(tmp_path / "logs")
+    write_json(d, "a.json", [ev(t=1, code=200)])
+    write_json(d, "z.json", "", raw=True)
+    assert [r.file_name for r in empty_files(spark, d).collect()] == ["z.json"]
+    assert quarantine_files(read_raw_files(spark, d)).count() == 0
