@@ -48,13 +48,17 @@ _LOCAL_ROOTS: dict[str, str] = {}
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session (it is a static setting).  Only when the cluster
-    names none (local runs) is a fresh local folder used, registered as the
-    SparkContext checkpoint directory; jobs never fall back to a
-    machine-local folder on a cluster that configured one.
+    Read from the session (it is a static setting).  Only a local-mode
+    session that names none gets a fresh local folder, registered as the
+    SparkContext checkpoint directory; a cluster session without one is an
+    error, never a silent machine-local fallback.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder shared by all executors "
+                "(e.g. on HDFS or an object store); a machine-local folder would lose data")
         app = spark.sparkContext.applicationId
         root = _LOCAL_ROOTS.get(app)
         if root is None:
