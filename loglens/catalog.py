@@ -232,7 +232,8 @@ def q_running_success_rate(spark, sf_dir):
     return running_success_rate(load_log_view(spark, sf_dir, dirty=True, late=True))
 
 
-@register("running_success_rate_target", O.with_view(_RUN_EVENTS + _SPAN + f"""
+def _running_target_sql(late: bool) -> str:
+    return O.with_view(_RUN_EVENTS + _SPAN + f"""
 , pb AS (SELECT batch_id, count(CASE WHEN svc = 'monitoring' THEN code END) AS n,
                 sum(CASE WHEN svc = 'monitoring' AND starts_with(code, '2') THEN 1 ELSE 0 END) AS s
          FROM e GROUP BY batch_id)
@@ -242,7 +243,10 @@ SELECT c.batch_id, CAST(successes AS BIGINT) AS successes, CAST(total AS BIGINT)
        coalesce(CAST(successes AS DOUBLE) / NULLIF(total, 0), 0.0) AS value,
        {O.ts_micros('newest')} AS newest_considered, {O.ts_micros('oldest')} AS oldest_considered
 FROM c JOIN sp ON c.batch_id = sp.batch_id
-WHERE newest IS NOT NULL AND oldest IS NOT NULL""", dirty=True, late=True))
+WHERE newest IS NOT NULL AND oldest IS NOT NULL""", dirty=True, late=late)
+
+
+@register("running_success_rate_target", _running_target_sql(late=True))
 def q_running_success_rate_target(spark, sf_dir):
     return running_success_rate_target(load_log_view(spark, sf_dir, dirty=True, late=True))
 
@@ -486,6 +490,14 @@ def q_read_logs_multiline(spark, sf_dir):
     return logs.select(batch.alias("batch_id"), "pos", "service", "timestamp", "message")
 
 
+@register("running_success_rate_files", _running_target_sql(late=False))
+def q_running_success_rate_files(spark, sf_dir):
+    """End to end from files: the staged log files read back, each file's
+    ``batch_id=N`` folder giving its batch, into the running rate."""
+    logs = read_logs(spark, staged_log_files(spark, sf_dir), glob="*.txt")
+    return running_success_rate_target(logs.withColumn("batch_id", F.col("batch_id").cast("bigint")))
+
+
 def damaged_log_lines(v):
     """The view as file lines, some files damaged: an unterminated array
     (batch mod 11 = 5) and JSON lines instead of an array (batch mod 13 = 7).
