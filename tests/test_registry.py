@@ -85,3 +85,16 @@ def test_checkpoint_root_when_cluster_names_none(tmp_path):
     out = subprocess.run([sys.executable, "-c", script], env=env, capture_output=True, text=True, timeout=300)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "ROOT " in out.stdout
+
+
+def test_cli_bloom_with_config(spark, tmp_path, capsys):
+    from loglens.__main__ import main
+
+    d = str(tmp_path / "logs")
+    write_json(d, "b1.json", [ev(service="s", t=0, code=200), ev(service="s", t=0, code=500)])
+    patterns = tmp_path / "known.txt"
+    patterns.write_text("HTTP Status Code: 500\nSomething else\n")
+    cfg = tmp_path / "cfg.json"
+    cfg.write_text(json.dumps({"filter_file": str(patterns), "m_bits": 8192, "k_hashes": 3}))
+    main(["--source", d, "--task", "bloom_hit_ratio", "--config", str(cfg)])
+    assert "0.5" in capsys.readouterr().out
