@@ -100,3 +100,32 @@ def test_format_timestamp_zone_free(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [("2024-03-10 02:30:00.500000", "2024-03-10 02:30:00"), ("2024-01-01 00:00:07", "2024-01-01 00:00:07")]
+
+
+def test_regex_and_last_segment_property(spark):
+    import re
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    rx = re.compile(r"HTTP Status Code:\s*(\d+)", re.ASCII)
+
+    def regex_spec(m):
+        hit = rx.search(m)
+        if not hit:
+            return None
+        v = int(hit.group(1))
+        return v if v < 2 ** 31 else None
+
+    parts = st.sampled_from(["HTTP Status Code:", "HTTP Status Code: ", " ", "\t", "404", "5",
+                             "99999999999", "x", ": ", ":"])
+    messages = st.lists(parts, max_size=7).map("".join)
+
+    @settings(max_examples=25, deadline=None)
+    @given(st.lists(messages, min_size=1, max_size=30))
+    def check(batch):
+        df = spark.createDataFrame([(m,) for m in batch], "m string")
+        got = [tuple(r) for r in df.select(L.status_regex("m"), L.status_last_segment("m")).collect()]
+        assert got == [(regex_spec(m), m.split(": ")[-1]) for m in batch]
+
+    check()
