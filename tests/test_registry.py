@@ -98,3 +98,12 @@ def test_cli_bloom_with_config(spark, tmp_path, capsys):
     cfg.write_text(json.dumps({"filter_file": str(patterns), "m_bits": 8192, "k_hashes": 3}))
     main(["--source", d, "--task", "bloom_hit_ratio", "--config", str(cfg)])
     assert "0.5" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("name", sorted(__import__("loglens.registry", fromlist=["OPERATORS"]).OPERATORS))
+def test_every_registered_operator_runs(spark, name):
+    from loglens.sources.views import load_log_view
+
+    v = load_log_view(spark, "/root/testdata/sf0.001", dirty=True, late=True)
+    opts = {"window_duration": "1 hour", "slide_duration": "10 minutes"} if name == "hopping_success_rate" else {}
+    assert run(name, v, **opts).count() > 0
