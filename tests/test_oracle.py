@@ -9,6 +9,8 @@ import __spark_entry__ as E
 from tools.check_oracle import TABLES, rows_key
 
 SF = "/root/testdata/sf0.001"
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                   "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables absent")
 
 
@@ -39,4 +41,8 @@ def test_query_matches_oracle(spark, con, name):
     cur = con.execute(sql)
     orows, ocols = cur.fetchall(), [d[0] for d in cur.description]
     assert sorted(cols) == sorted(ocols)
+    otypes = {d[0]: str(d[1]) for d in cur.description}
+    stypes = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in df.schema.fields}
+    assert stypes == otypes
     assert rows_key(rows, cols) == rows_key(orows, ocols)
