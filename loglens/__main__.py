@@ -2,6 +2,7 @@
 
     python -m loglens --source DIR --task NAME [--config FILE] [--order mtime|name]
     python -m loglens generate --output DIR [--num-files N] [--events-per-batch M] [--seed S]
+    python -m loglens --stream --out DIR --source DIR --task NAME [--available-now]
 
 Batches are the files, numbered by modification time (or name); the result
 is printed.  The Bloom operators take ``filter_file``, ``m_bits`` and
@@ -37,6 +38,43 @@ def generate(argv: list[str]) -> None:
     write_log_files(generate_logs(ids, events_per_batch=args.events_per_batch, seed=args.seed), args.output)
 
 
+def stream(spark, args, opts) -> None:
+    """Start the streaming form of ``args.task``; results go to ``args.out``."""
+    from loglens.streaming import stop_after_drain
+    from loglens.streaming import operators as S
+
+    if not args.out:
+        raise SystemExit("--stream needs --out")
+    trigger = {"availableNow": True} if args.available_now else None
+    common = {"trigger": trigger, "glob": args.glob}
+    task = args.task
+    if task == "windowed_success_rate":
+        q = S.start_windowed_success_rate(
+            spark, args.source, args.out, **common,
+            **{k: v for k, v in opts.items() if k in ("window_duration", "slide_duration", "watermark",
+                                                       "output_mode", "max_files_per_trigger")})
+    elif task == "running_success_rate_target":
+        q = S.start_running_success_rate(spark, args.source, args.out, **common)
+    elif task == "sliding_failures":
+        q = S.start_sliding_failures(spark, args.source, args.out, **common)
+    elif task == "reservoir_mode":
+        q = S.start_reservoir(spark, args.source, args.out, k=int(opts.get("reservoir_size", 10)), **common)
+    elif task == "bloom_hit_ratio":
+        from loglens.operators import bloom
+        from loglens.sources.patterns import read_patterns
+
+        m = int(opts.get("m_bits", bloom.BLOOM_BITS))
+        k = int(opts.get("k_hashes", bloom.BLOOM_HASHES))
+        words = bloom.bloom_build(read_patterns(spark, opts["filter_file"]), m_bits=m, k_hashes=k)
+        q = S.start_bloom_ratio(spark, args.source, args.out, words, m_bits=m, k_hashes=k, **common)
+    else:
+        raise SystemExit(f"no streaming form for {task!r}")
+    try:
+        q.awaitTermination()
+    except KeyboardInterrupt:
+        stop_after_drain(q)
+
+
 def main(argv: list[str] | None = None) -> None:
     import sys
 
@@ -51,10 +89,16 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--glob", default="*.json")
     ap.add_argument("--order", choices=["mtime", "name"], default="mtime")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--stream", action="store_true", help="run the Structured Streaming form")
+    ap.add_argument("--out", default=None, help="stream results folder (results/epoch=N)")
+    ap.add_argument("--available-now", action="store_true", help="process what exists, then stop")
     args = ap.parse_args(argv)
 
     spark = build_session(args.master)
     opts = load_options(args.config)
+    if args.stream:
+        stream(spark, args, opts)
+        return
     events = read_logs(spark, args.source, glob=args.glob, require_files=True)
     order = ("file_modified", "file_path") if args.order == "mtime" else ("file_path",)
     events = file_batches(events, order=order)

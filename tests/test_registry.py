@@ -107,3 +107,13 @@ def test_every_registered_operator_runs(spark, name):
     v = load_log_view(spark, "/root/testdata/sf0.001", dirty=True, late=True)
     opts = {"window_duration": "1 hour", "slide_duration": "10 minutes"} if name == "hopping_success_rate" else {}
     assert run(name, v, **opts).count() > 0
+
+
+def test_cli_stream_available_now(spark, tmp_path):
+    from loglens.__main__ import main
+    from loglens.streaming.state import read_results
+
+    d, out = str(tmp_path / "logs"), str(tmp_path / "out")
+    write_json(d, "b1.json", [ev(t=48, code=200), ev(t=96, code=500)])
+    main(["--stream", "--available-now", "--source", d, "--out", out, "--task", "running_success_rate_target"])
+    assert [r.value for r in read_results(spark, out).collect()] == [0.5]
