@@ -58,7 +58,9 @@ def main() -> None:
         t0 = time.perf_counter()
         fn().write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 2)
-    print(json.dumps({"base_rows": n, "rows": rows, "factor": factor, "seconds": times}))
+    rate = {k: round(rows / v) for k, v in times.items() if v}
+    print(json.dumps({"base_rows": n, "rows": rows, "factor": factor, "seconds": times,
+                      "rows_per_sec": rate}))
 
 
 if __name__ == "__main__":
