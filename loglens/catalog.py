@@ -50,15 +50,17 @@ from loglens.sources.files import (
 )
 from loglens.sources.generate import generate_logs
 from loglens.sources.patterns import read_patterns
-from loglens.sources.views import load_log_view, read_table
+from loglens.sources.views import BATCH_SIZE, load_log_view, read_table
 from loglens.streaming.operators import (
+    RESERVOIR_STATE,
     start_bloom_ratio,
+    start_reservoir,
     start_running_success_rate,
     start_sliding_failures,
     start_windowed_success_rate,
 )
 from loglens.streaming import run_available
-from loglens.streaming.state import last_epoch
+from loglens.streaming.state import last_epoch, read_state
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -592,8 +594,18 @@ ORACLE["results_log"] = (
 # --- Streaming forms (file stream, availableNow) -----------------------------
 
 
-# files per micro-batch when replaying a whole table through a stream
-STREAM_FILES = 250
+# micro-batches when replaying a whole table through a stream: state is
+# carried across several micro-batches at any scale
+STREAM_BATCHES = 4
+
+
+def files_per_trigger(spark, src: str, batches: int = STREAM_BATCHES) -> int:
+    """Files per micro-batch so that the staged files arrive in ``batches``
+    micro-batches (one folder listing: the staged layout has one folder per file)."""
+    jp = spark._jvm.org.apache.hadoop.fs.Path(src)
+    fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
+    n = sum(1 for st in fs.listStatus(jp) if st.isDirectory())
+    return max(1, -(-n // batches))
 
 
 def _stream_files(spark, sf_dir, name):
@@ -605,7 +617,7 @@ def q_stream_windowed_success_rate(spark, sf_dir):
     src = _stream_files(spark, sf_dir, "stream-windowed")
     out = scratch_path(spark, "stream-windowed-out")
     q = start_windowed_success_rate(spark, src, out, glob="*.txt", output_mode="complete",
-                                    trigger={"availableNow": True}, max_files_per_trigger=STREAM_FILES,
+                                    trigger={"availableNow": True}, max_files_per_trigger=files_per_trigger(spark, src),
                                     window_duration="10 seconds", slide_duration="10 seconds")
     run_available(q)
     return last_epoch(spark, out).select("window_start", "window_end", "service", "total",
@@ -620,7 +632,7 @@ def q_stream_running_counts(spark, sf_dir):
     src = _stream_files(spark, sf_dir, "stream-running")
     out = scratch_path(spark, "stream-running-out")
     q = start_running_success_rate(spark, src, out, glob="*.txt", trigger={"availableNow": True},
-                                   max_files_per_trigger=STREAM_FILES)
+                                   max_files_per_trigger=files_per_trigger(spark, src))
     run_available(q)
     return last_epoch(spark, out, "per_service").select("service", "total", "successes")
 
@@ -656,9 +668,26 @@ def q_stream_bloom_hit_ratio(spark, sf_dir):
     src = staged_log_files(spark, sf_dir)
     out = scratch_path(spark, "stream-bloom-out")
     q = start_bloom_ratio(spark, src, out, filt, m_bits=500_000, k_hashes=8, glob="*.txt",
-                          trigger={"availableNow": True}, max_files_per_trigger=STREAM_FILES)
+                          trigger={"availableNow": True}, max_files_per_trigger=files_per_trigger(spark, src))
     run_available(q)
     res = spark.read.parquet(f"{out}/results")
     return res.select(
         F.regexp_extract("file_path", r"batch_id=(\d+)", 1).cast("bigint").alias("batch_id"),
         "hits", "events", "value", "newest_considered", "oldest_considered")
+
+
+@register("stream_reservoir_sample", O.with_view(
+    _SAMPLE + " SELECT event_id, code, sample_key FROM s", dirty=True))
+def q_stream_reservoir_sample(spark, sf_dir):
+    """The sample carried across micro-batches in the versioned state table;
+    events are named by their id (``batch * 100 + pos``), so the final state
+    equals the batch bottom-k."""
+    src = staged_log_files(spark, sf_dir)
+    out = scratch_path(spark, "stream-reservoir-out")
+    batch = F.regexp_extract("file_path", r"batch_id=(\d+)", 1).cast("bigint")
+    ident = batch * BATCH_SIZE + F.col("pos")
+    q = start_reservoir(spark, src, out, k=10, seed=42, glob="*.txt", trigger={"availableNow": True},
+                        max_files_per_trigger=files_per_trigger(spark, src), identity=ident)
+    run_available(q)
+    state = read_state(spark, out, 1 << 62, RESERVOIR_STATE)
+    return state.select(F.col("ident").cast("bigint").alias("event_id"), "code", "sample_key")

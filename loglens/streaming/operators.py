@@ -238,6 +238,7 @@ def start_sliding_failures(spark: SparkSession, source: str, out: str, *,
 
 RESERVOIR_STATE = T.StructType([
     T.StructField("sample_key", T.StringType()),
+    T.StructField("ident", T.StringType()),
     T.StructField("file_path", T.StringType()),
     T.StructField("pos", T.LongType()),
     T.StructField("code", T.StringType()),
@@ -246,17 +247,24 @@ RESERVOIR_STATE = T.StructType([
 ])
 
 
-def reservoir_step(state: DataFrame, batch: DataFrame, *, k: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """Merge the batch into the ``k``-row sample; the span rides along."""
+def reservoir_step(state: DataFrame, batch: DataFrame, *, k: int, seed: int,
+                   identity: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Merge the batch into the ``k``-row sample; the span rides along.
+
+    ``identity`` names an event (default ``file_path:pos``); the key is
+    ``md5(identity:seed)``, as in the batch sample.
+    """
     from loglens.functions import status_last_segment
 
-    ident = F.concat_ws(":", F.col("file_path"), F.col("pos").cast("string"))
-    rows = batch.select(sample_key(ident, seed).alias("sample_key"), "file_path", "pos",
+    ident = identity if identity is not None else F.concat_ws(
+        ":", F.col("file_path"), F.col("pos").cast("string"))
+    rows = batch.select(sample_key(ident, seed).alias("sample_key"), ident.cast("string").alias("ident"),
+                        "file_path", "pos",
                         status_last_segment("message").alias("code"),
                         F.col("timestamp").alias("newest"), F.col("timestamp").alias("oldest"))
     span = state.select("newest", "oldest").unionByName(rows.select("newest", "oldest")).agg(
         F.max("newest").alias("nw"), F.min("oldest").alias("od")).first()
-    sample = (state.unionByName(rows).orderBy("sample_key", "file_path", "pos").limit(k)
+    sample = (state.unionByName(rows).orderBy("sample_key", "ident").limit(k)
               .withColumns({"newest": F.lit(span["nw"]).cast("double"),
                             "oldest": F.lit(span["od"]).cast("double")}))
     mode = (sample.groupBy("code").agg(F.count(F.lit(1)).alias("sample_count"))
@@ -270,7 +278,8 @@ def reservoir_step(state: DataFrame, batch: DataFrame, *, k: int, seed: int) ->
 def start_reservoir(spark: SparkSession, source: str, out: str, *, k: int = RESERVOIR_SIZE,
                     seed: int = GENERATOR_SEED, checkpoint: str | None = None,
                     trigger: dict | None = None, glob: str | None = "*.json",
-                    max_files_per_trigger: int | None = None) -> StreamingQuery:
+                    max_files_per_trigger: int | None = None,
+                    identity: Column | None = None) -> StreamingQuery:
     from loglens.streaming.source import read_log_stream
 
     events = read_log_stream(spark, source, glob=glob, max_files_per_trigger=max_files_per_trigger)
@@ -281,7 +290,7 @@ def start_reservoir(spark: SparkSession, source: str, out: str, *, k: int = RESE
         df.persist()
         try:
             state = read_state(spark, out, epoch, RESERVOIR_STATE)
-            sample, mode = reservoir_step(state, df, k=k, seed=seed)
+            sample, mode = reservoir_step(state, df, k=k, seed=seed, identity=identity)
             write_state(sample, out, epoch)
             write_result(mode, out, epoch)
         finally:
