@@ -48,7 +48,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .groupBy(*KEY).agg(F.count("one").alias("n_docs"), F.min("id").alias("keeper"))
              .where(F.col("n_docs") >= min_docs).select(*KEY, "keeper"))
     dropped = (lines.join(found, KEY).where(F.col("id") != F.col("keeper"))
-               .groupBy("id", "body").agg(F.collect_list("pos").alias("gone")))
+               .groupBy("id", "body").agg(F.collect_set("pos").alias("gone")))
     joined = rows.join(dropped, ["id", "body"], "left")
     # the outer one-element transform binds the split lines once per row
     kept = F.transform(

@@ -242,7 +242,7 @@ def query(spark, sf_dir) -> DataFrame:
 
 
 ORACLE = r"""
-WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
              'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0b\f\r]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s
       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM w WHERE len(w) > 0)),
@@ -251,13 +251,8 @@ e AS (SELECT x.doc_id AS a, y.doc_id AS b FROM s x JOIN s y ON x.s = y.s
       JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id
       WHERE x.doc_id <> y.doc_id AND least(p.n, q.n) * 100 >= 80 * greatest(p.n, q.n)
       GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*)))
-, r AS (SELECT doc_id AS id, doc_id AS at FROM documents)
-, c AS (SELECT id, min(at) AS comp FROM (
-    WITH RECURSIVE g(id, at) USING KEY (id) AS (
-      SELECT id, at FROM r UNION
-      SELECT e.a, min(g.at) FROM g JOIN e ON e.b = g.id JOIN recurring.g AS o ON o.id = e.a
-      WHERE g.at < o.at GROUP BY e.a)
-    SELECT id, at FROM g) GROUP BY id)
+, g(id, at) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.a, g.at FROM g JOIN e ON e.b = g.id)
+, c AS (SELECT id, min(at) AS comp FROM g GROUP BY id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.comp AS component_id, d.doc_id = c.comp AS kept
 FROM documents d LEFT JOIN n USING (doc_id) JOIN c ON c.id = d.doc_id
 """
