@@ -2,17 +2,34 @@
 
 from __future__ import annotations
 
-from loglens.llm import decontaminate, line_dedup, mixing, near_dup, quality_rules
+from loglens.llm import (
+    decontaminate,
+    html_extract,
+    line_dedup,
+    lm_scoring,
+    mixing,
+    near_dup,
+    ordinal_quality,
+    quality_rules,
+    suffix_dedup,
+    url_filter,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
+    "op2_ordinal_quality": ordinal_quality.query,
     "op3_decontaminate": decontaminate.query,
+    "op4_url_filter": url_filter.query,
+    "op5_html_extract": html_extract.query,
     "op6_near_dedup": near_dup.query,
     "op7_quality_rules": quality_rules.query,
     "op8_source_mixing": mixing.query,
+    "op9_suffix_dedup": suffix_dedup.query,
+    "op10_lm_scoring": lm_scoring.query,
 }
 
-#: Only where SQL gives the whole result in reasonable time.
+#: Only where SQL gives the whole result in reasonable time; the others are
+#: held against brute force in the tests.
 ORACLE = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op3_decontaminate": decontaminate.ORACLE,

@@ -16,8 +16,8 @@ similarity of 0.8 agree in a binomial number of coordinates, in at least
 Lists of up to ``LIST`` classes give all their pairs.  A longer list pairs its
 members with one hub, the member whose values are most frequent (the middle of
 a group of copies).  Links make components; what still lies apart in a long
-list is then compared component by component: a class with all members of
-the other component, in blocks, without a row per pair.
+list is then compared in blocks, without a row per pair: its members outside
+the largest component with that component and among themselves.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from loglens.llm.common import join_hot, mix, read, shingle_sets, stage, text_chunks
 
@@ -123,38 +122,38 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _dealt(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` (of, kind, id) dealt by hash into parts of about ``BLOCK`` ids each."""
+    parts = rows.groupBy("of", "kind").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    return rows.join(parts, ["of", "kind"]).select("of", "kind", "id", F.pmod(F.xxhash64("id"), "parts").alias(name))
+
+
 def _apart(long_lists: DataFrame, comps: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame | None:
     """Links across components among members of one long list, or None if no list
     holds two components.
 
-    Of two components that meet in a list, the members there of the one that
-    has fewer in it are asked against all members of the other, block by block.
+    A list's members outside its largest component are asked against all members
+    of that component (kind 0), and against all such members of its lists (kind 1),
+    in blocks of ids: rows grow with the blocks, not with the pairs.
     """
     member = long_lists.join(comps, "id", "left").select("v", "id", F.coalesce("comp", "id").alias("comp"))
     per = member.groupBy("v", "comp").agg(F.count("*").alias("c"))
-    several = per.groupBy("v").agg(F.count("*").alias("nc")).where("nc > 1").select("v")
-    member = stage(member.join(several, "v"), "apart")
-    if member.limit(1).count() == 0:
+    main = (per.groupBy("v").agg(F.max_by("comp", F.struct("c", "comp")).alias("of"), F.count("*").alias("nc"))
+            .where("nc > 1").select("v", "of"))
+    rest = stage(member.join(main, "v").where("comp <> of").select("of", "id").distinct(), "apart")
+    if rest.limit(1).count() == 0:
         return None
-    per = member.groupBy("v", "comp").agg(F.count("*").alias("c"))
-    main = per.groupBy("v").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
-    rest = member.join(main, "v").where(F.col("comp") != F.col("main"))
-    # every other component of the list is asked against the largest, and
-    # among each other the members go to the component with the smaller label
-    asks = rest.select("id", F.col("main").alias("of")).distinct()
-    among = (rest.select("v", "id", "comp").alias("x")
-             .join(rest.select("v", F.col("comp").alias("of")).distinct(), "v").where("comp > of").select("id", "of"))
-    asks = stage(asks.unionByName(among).distinct(), "asks")
-    owners = asks.select(F.col("of").alias("comp")).distinct()
-    labelled = texts.join(comps, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"), "body")
-    held = stage(labelled.join(owners, "comp").withColumn(
-        "block", F.floor((F.row_number().over(Window.partitionBy("comp").orderBy("id")) - 1) / BLOCK)), "held")
-    blocks = held.select("comp", "block").distinct()
-    turns = asks.withColumn("turn", F.floor((F.row_number().over(Window.partitionBy("of").orderBy("id")) - 1) / BLOCK))
-    asking = (turns.join(blocks.withColumnRenamed("comp", "of"), "of").join(texts, "id")
-              .select(F.col("of").alias("comp"), "block", "turn", F.lit(True).alias("asks"), "id", "body"))
-    held = (held.join(turns.select(F.col("of").alias("comp"), "turn").distinct(), "comp")
-            .select("comp", "block", "turn", F.lit(False).alias("asks"), "id", "body"))
+    kinds = F.explode(F.array(F.lit(0), F.lit(1))).alias("kind")
+    asks = _dealt(rest.select("of", kinds, "id"), "turn")
+    owners = rest.select("of").distinct()
+    members = (texts.select("id").join(comps, "id", "left").select(F.coalesce("comp", "id").alias("of"), "id")
+               .join(owners, "of").select("of", F.lit(0).alias("kind"), "id"))
+    held = stage(_dealt(members.unionByName(rest.select("of", F.lit(1).alias("kind"), "id")), "block"), "held")
+    asks = stage(asks, "asks")
+    side = ["of", "kind"]
+    held_rows = held.join(asks.select(*side, "turn").distinct(), side).withColumn("asks", F.lit(False))
+    asking = asks.join(held.select(*side, "block").distinct(), side).withColumn("asks", F.lit(True))
+    rows = held_rows.unionByName(asking).join(texts, "id")
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -176,8 +175,8 @@ def _apart(long_lists: DataFrame, comps: DataFrame, texts: DataFrame, k: int, pe
                 b += ids[rows[on]].tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return (held.unionByName(asking).groupBy("comp", "block", "turn")
-            .applyInArrow(run, "a bigint, b bigint"))
+    return (rows.groupBy("of", "kind", "block", "turn")
+            .applyInArrow(run, "a bigint, b bigint").where("a <> b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
