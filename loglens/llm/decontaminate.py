@@ -70,13 +70,13 @@ def item_sets(items: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame
 
 
 class Block:
-    """A block of items: sketches by hash, and the full sets."""
+    """A block of items (id, words, shingle hashes): sketches by hash, and the full sets."""
 
-    def __init__(self, rows: list, k: int, percent: int):
+    def __init__(self, rows: list[tuple[int, int, np.ndarray]], k: int, percent: int):
         self.k, self.percent = k, percent
-        self.ids = [r["id"] for r in rows]
-        self.sets = [np.array(r["hashes"], np.int64).view(np.uint64) for r in rows]
-        lengths = [min(k, r["n"]) for r in rows]
+        self.ids = [i for i, _, _ in rows]
+        self.sets = [s.view(np.uint64) for _, _, s in rows]
+        lengths = [min(k, n) for _, n, _ in rows]
         #: shingle lengths in use; short items are one shingle of all their words
         self.lengths = sorted(set(lengths))
         self.sketch: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
@@ -147,10 +147,10 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
         block = sets.where(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == b).orderBy("id").collect()
         if not block:
             continue
-        held = spark.sparkContext.broadcast(Block(block, k, percent))
+        held = spark.sparkContext.broadcast([(r["id"], r["n"], np.array(r["hashes"], np.int64)) for r in block])
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            block = held.value
+            block = Block(held.value, k, percent)
             for batch in batches:
                 found = []
                 for lo, _, raw, off in text_chunks(batch.column(1)):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglens.llm.common import read
+from loglens.llm.common import bounded_sample, read
 
 SAMPLE_PAGES, LAYOUTS, STEPS = 150, 4, 150
 
@@ -149,7 +149,7 @@ def block_features(blocks: list[Block]) -> list[list[str]]:
 class ChainModel:
     """Weights for the label article against the rest, and changes[i][j] from label i to j."""
 
-    def __init__(self, weights: dict[str, float], changes: np.ndarray):
+    def __init__(self, weights: dict[str, float], changes: np.ndarray | list[list[float]]):
         self.weights = weights
         self.changes = [[float(x) for x in row] for row in changes]
 
@@ -325,13 +325,14 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     has an empty text; repeated rows are read each; a page cut short is read as
     far as it goes; other columns are ignored.
     """
-    sample = (pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html")).where("html is not null")
-              .orderBy(F.xxhash64("id"), "id", "html").limit(sample_pages).select("html").collect())
-    held = pages.sparkSession.sparkContext.broadcast(train(training_pages([r[0] for r in sample])))
+    sample = bounded_sample(pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html"))
+                            .where("html is not null"), "id", sample_pages).select("html").collect()
+    model = train(training_pages([r[0] for r in sample]))
+    held = pages.sparkSession.sparkContext.broadcast((model.weights, model.changes))
     names = [id_col, *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
+        model = ChainModel(*held.value)
         for b in batches:
             texts = [extract(model, x.as_py()) for x in b.column(len(names))]
             yield pa.RecordBatch.from_arrays(

@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglens.llm.common import read, text_chunks, word_hashes
+from loglens.llm.common import bounded_sample, read, text_chunks, word_hashes
 
 BITS, SAMPLE_ROWS, GRADES = 18, 10_000, 3
-STEPS, PENALTY, MIN_DOCS = 200, 2e-5, 4
+STEPS, PENALTY, MIN_DOCS, SCORE = 200, 1e-4, 4, 3.5
 _KIND = np.zeros(256, np.int64)  # 0 other, 1 A-Z, 2 marks
 _KIND[65:91] = 1
 _KIND[[ord(c) for c in "#*$%&|<>!{}[]=^~\\"]] = 2
@@ -56,47 +56,53 @@ class OrdinalModel:
         return 1 / (1 + np.exp(-np.clip(s[:, None] - self.thresholds, -40, 40)))
 
 
+def _residuals(tail: np.ndarray, grades: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """P(grade = own), and d log P(grade = own) / ds = 1 - P(>= own) - P(>= own + 1), by row."""
+    at = np.arange(len(grades))
+    here, above = tail[at, grades], tail[at, grades + 1]
+    return (here - above).clip(1e-12), 1 - here - above
+
+
 def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES) -> OrdinalModel:
-    """Penalised maximum likelihood by full-batch adaptive gradient steps.
+    """Maximum likelihood with a small absolute-value penalty, by adaptive gradient steps.
 
-    Features in fewer than ``MIN_DOCS`` rows have no weight; grades weigh by the inverse
-    root of their frequency.  Without rows, or with one grade only, all rows score alike.
+    Only features that a score test at the model without weights finds related to the
+    grade (``SCORE`` standard deviations, at least ``MIN_DOCS`` rows) get a weight, so rare
+    words don't fit noise.  Grades weigh by the inverse root of their frequency.
+    Without rows, or with one grade only, all rows are good.
     """
     size = 1 << BITS
     if not rows or len(np.unique(grades)) < 2:
         return OrdinalModel(np.zeros(size), np.full(n_grades - 1, -10.0))
-    idx = np.concatenate(rows)
-    used = np.bincount(idx, minlength=size) >= MIN_DOCS
-    lens = np.array([int(used[r].sum()) for r in rows])
-    idx = idx[used[idx]]
+    n = np.bincount(grades, minlength=n_grades)
+    weight = (1 / np.sqrt(n.clip(1)))[grades]
+    weight /= weight.sum()
+    shares = np.concatenate(([1.0], n[::-1].cumsum()[::-1][1:] / n.sum(), [0.0]))
+    r = weight * _residuals(np.tile(shares, (len(rows), 1)), grades)[1]
+    r -= r.mean()
+    idx, row = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(x) for x in rows])
+    docs = np.bincount(idx, minlength=size)
+    spread = np.sqrt((docs * (1 - docs / len(rows)) * (r * r).mean()).clip(1e-30))
+    used = (np.abs(np.bincount(idx, r[row], size)) >= SCORE * spread) & (docs >= MIN_DOCS)
     keep = np.flatnonzero(used)
     number = np.zeros(size, np.int64)
     number[keep] = np.arange(len(keep))
-    idx, row = number[idx], np.repeat(np.arange(len(rows)), lens)
+    row, idx = row[used[idx]], number[idx[used[idx]]]
     w, b = np.zeros(len(keep)), np.linspace(-1, 1, n_grades - 1)
-    weight = 1 / np.sqrt(np.bincount(grades, minlength=n_grades).clip(1))[grades]
-    weight /= weight.sum()
-    m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), np.zeros_like(b), np.zeros_like(b)
-    edge = np.arange(1, n_grades)
+    moments = [np.zeros_like(x) for x in (w, w, b, b)]
     for t in range(1, STEPS + 1):
         s = np.bincount(row, w[idx], len(rows))
-        low = np.where(grades[:, None] == 0, 1.0, 0)[:, 0]
         tail = np.concatenate((np.ones((len(rows), 1)), OrdinalModel(w, b).tails(s), np.zeros((len(rows), 1))), axis=1)
-        here, above = tail[np.arange(len(rows)), grades], tail[np.arange(len(rows)), grades + 1]
-        del low
-        # d log(P(>= g) - P(>= g + 1)) / ds = 1 - P(>= g) - P(>= g + 1), for the logistic link
-        gs = weight * (1 - here - above)
-        gw = np.bincount(idx, gs[row], len(w)) - PENALTY * w
-        p = (here - above).clip(1e-12)
-        slope = tail * (1 - tail)
-        gb = np.array([(weight * ((grades == j - 1) * slope[:, j] - (grades == j) * slope[:, j]) / p).sum() for j in edge])
-        for x, g, a, c, rate in ((w, gw, m, v, 0.1), (b, gb, mb, vb, 0.1)):
-            a *= 0.9
-            a += 0.1 * g
-            c *= 0.99
-            c += 0.01 * g * g
-            x += rate * (a / (1 - 0.9 ** t)) / (np.sqrt(c / (1 - 0.99 ** t)) + 1e-7)
-        b = np.maximum.accumulate(b + np.arange(len(b)) * 1e-9)
+        p, gs = _residuals(tail, grades)
+        gw = np.bincount(idx, (weight * gs)[row], len(w))
+        gw = np.where(w != 0, gw - PENALTY * np.sign(w), np.sign(gw) * (np.abs(gw) - PENALTY).clip(0))
+        slope = weight[:, None] * tail * (1 - tail) / p[:, None]
+        gb = np.array([(slope[grades == j - 1, j].sum() - slope[grades == j, j].sum()) for j in range(1, n_grades)])
+        for x, g, first, second in ((w, gw, moments[0], moments[1]), (b, gb, moments[2], moments[3])):
+            first += 0.1 * (g - first)
+            second += 0.01 * (g * g - second)
+            x += 0.05 * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.99 ** t)) + 1e-7)
+        b[:] = np.maximum.accumulate(b)
     out = np.zeros(size)
     out[keep] = w
     return OrdinalModel(out, b)
@@ -105,8 +111,8 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES) -> O
 def rated_features(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, sample_rows: int) -> tuple[list, np.ndarray]:
     """Features and grades of at most ``sample_rows`` rated documents, those whose ids
     have the smallest hashes (the lowest grade where an id has several)."""
-    sample = (ratings.where("grade is not null").groupBy("id").agg(F.min("grade").alias("grade"))
-              .orderBy(F.xxhash64("id"), "id").limit(sample_rows))
+    sample = bounded_sample(ratings.where("grade is not null and id is not null")
+                            .groupBy("id").agg(F.min("grade").alias("grade")), "id", sample_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -119,7 +125,8 @@ def rated_features(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: s
     rows = (docs.select(F.col(id_col).cast("bigint").alias("id"), _utf8(text_col).alias("body"))
             .join(F.broadcast(sample), "id")  # at most sample_rows rows
             .select("id", "body", F.col("grade").cast("int")))
-    got = rows.mapInArrow(run, "id bigint, grade int, f array<int>").orderBy(F.xxhash64("id"), "id").limit(2 * sample_rows).toArrow()
+    got = rows.mapInArrow(run, "id bigint, grade int, f array<int>").toArrow()
+    got = got.take(np.lexsort((got["grade"].to_numpy(), got["id"].to_numpy())))  # the same order each time
     return ([x.values.to_numpy().astype(np.int64) for x in got["f"]], got["grade"].to_numpy().astype(np.int64))
 
 
@@ -141,10 +148,10 @@ def ordinal_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     ratings = labels.select(F.col(id_col).cast("bigint").alias("id"), grade.alias("grade"))
     rows, grades = rated_features(docs, ratings, id_col, text_col, sample_rows)
     model = fit(rows, grades)
-    held = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** BITS weights
+    held = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))  # 2 ** BITS weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
+        model = OrdinalModel(*held.value)
         for b in batches:
             s = np.array([model.weights[x].sum() for _, _, raw, off in text_chunks(b.column(1)) for x in features(raw, off)])
             t = model.tails(s.reshape(-1))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loglens.llm.common import mix, read, stage
+from loglens.llm.common import bounded_sample, mix, read, stage
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
           "n_lines", "n_upper", "n_marks", "n_digits"]
@@ -203,8 +203,8 @@ def learn_rules(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", lab
     rated = (labels.where(F.col(label_col).isNotNull())
              .groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("label")))
     feats = feature_columns()
-    rows = (stats.select(F.col(id_col).alias("id"), *[c.alias(f"f_{k}") for k, c in feats.items()])
-            .join(rated, "id").orderBy(F.xxhash64("id"), "id", *[f"f_{k}" for k in feats]).limit(sample_rows).collect())
+    rows = bounded_sample(stats.select(F.col(id_col).alias("id"), *[c.alias(f"f_{k}") for k, c in feats.items()])
+                          .join(rated, "id"), "id", sample_rows).collect()
     if not rows:
         return DecisionList([])
     x = np.array([[r[f"f_{k}"] for k in feats] for r in rows], float)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglens.llm.common import BASE, mix, powers, read, stage, text_chunks
+from loglens.llm.common import BASE, bounded_sample, mix, powers, read, stage, text_chunks
 
 LENGTH, SEED, GROUP, PART, SPLITTER_SAMPLE = 200, 40, 4096, 20_000, 10_000
 _VALUES = np.random.default_rng(9).integers(1, 2**63, 256, dtype=np.uint64)
@@ -295,13 +295,12 @@ def _windows(length: int):
 def _decide(spans: DataFrame, length: int) -> DataFrame:
     """``h, sh, low, high`` of the bytes repeated among different spans (h, sh, size,
     anchor, span, n) of one anchor each."""
-    spark = spans.sparkSession
     kinds = spans.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
     open_ = stage(spans.join(kinds, "h"), "open-spans")
     few = open_.where(F.col("kinds") <= GROUP).select("h", "sh", "size", "anchor", "span")
     seed = F.expr(f"substring(span, anchor + 1, {SEED})")
-    sample = sorted(bytes(r[0]) for r in few.select(seed.alias("s"), F.xxhash64("h").alias("o")).distinct()
-                    .orderBy("o", "s").limit(SPLITTER_SAMPLE).select("s").collect())
+    sample = sorted(bytes(r[1]) for r in bounded_sample(
+        few.groupBy("h").agg(F.first(seed).alias("s")), "h", SPLITTER_SAMPLE).collect())
     parts = max(1, -(-few.count() // PART))
     splitters = sorted({sample[len(sample) * i // parts] for i in range(1, parts)}) if sample else []
     merged = (few.mapInArrow(_sorted_runs(splitters), "part int, lcp array<int>, tails array<binary>, lefts array<binary>, "
