@@ -1,11 +1,11 @@
 """Command line: run one operator over a folder of JSON log files.
 
-    python -m loglens --source DIR --task NAME [--config FILE] [--order mtime|name]
-    python -m loglens generate --output DIR [--num-files N] [--events-per-batch M] [--seed S]
-    python -m loglens --stream --out DIR --source DIR --task NAME [--available-now]
+    python -m loglens --source DIR --task NAME [--config FILE] [--order mtime|name] [--out DIR [--format csv|parquet]]
+    python -m loglens --stream --out DIR --source DIR --task NAME [--available-now] [--checkpoint DIR] [--log DIR]
 
-Batches are the files, numbered by modification time (or name); the result
-is printed.  The Bloom operators take ``filter_file``, ``m_bits`` and
+Batches are the files, numbered by modification time (or name).  The full
+result goes to ``--out`` (with a preview on the console), or, without it, to
+the console in full.  The Bloom operators take ``filter_file``, ``m_bits`` and
 ``k_hashes`` from the config, as the shipped configuration does.
 """
 
@@ -13,29 +13,12 @@ from __future__ import annotations
 
 import argparse
 
-from loglens.registry import load_options, run
-from loglens.session import build_session
-from loglens.sinks import show_results
-from loglens.sources.files import file_batches, read_logs
-
-
-def generate(argv: list[str]) -> None:
-    """Write synthetic log files (one JSON array per batch; read back with --glob '*.txt')."""
-    from pyspark.sql import functions as F
-
-    from loglens.sources.files import write_log_files
-    from loglens.sources.generate import generate_logs
+from pyspark.sql import functions as F
 
-    ap = argparse.ArgumentParser(prog="loglens generate")
-    ap.add_argument("--output", required=True)
-    ap.add_argument("--num-files", type=int, default=10)
-    ap.add_argument("--events-per-batch", type=int, default=10)
-    ap.add_argument("--seed", type=int, default=42)
-    ap.add_argument("--master", default=None)
-    args = ap.parse_args(argv)
-    spark = build_session(args.master)
-    ids = spark.range(args.num_files * args.events_per_batch).select(F.col("id").alias("event_id"))
-    write_log_files(generate_logs(ids, events_per_batch=args.events_per_batch, seed=args.seed), args.output)
+from loglens.registry import load_options, run
+from loglens.session import build_session, clean_scratch
+from loglens.sinks import print_results, show_results, write_results
+from loglens.sources.files import file_batches, number_files, read_logs
 
 
 def stream(spark, args, opts) -> None:
@@ -46,7 +29,8 @@ def stream(spark, args, opts) -> None:
     if not args.out:
         raise SystemExit("--stream needs --out")
     trigger = {"availableNow": True} if args.available_now else None
-    common = {"trigger": trigger, "glob": args.glob}
+    common = {"trigger": trigger, "glob": args.glob, "checkpoint": args.checkpoint}
+    logged = common | {"log": args.log}
     task = args.task
     if task == "windowed_success_rate":
         q = S.start_windowed_success_rate(
@@ -54,11 +38,13 @@ def stream(spark, args, opts) -> None:
             **{k: v for k, v in opts.items() if k in ("window_duration", "slide_duration", "watermark",
                                                        "output_mode", "max_files_per_trigger")})
     elif task == "running_success_rate_target":
-        q = S.start_running_success_rate(spark, args.source, args.out, **common)
+        q = S.start_running_success_rate(spark, args.source, args.out, **logged)
     elif task == "sliding_failures":
-        q = S.start_sliding_failures(spark, args.source, args.out, **common)
+        q = S.start_sliding_failures(spark, args.source, args.out, **logged)
+    elif task == "sliding_failure_rate":
+        q = S.start_sliding_failures(spark, args.source, args.out, rate=True, **logged)
     elif task == "reservoir_mode":
-        q = S.start_reservoir(spark, args.source, args.out, k=int(opts.get("reservoir_size", 10)), **common)
+        q = S.start_reservoir(spark, args.source, args.out, k=int(opts.get("reservoir_size", 10)), **logged)
     elif task == "bloom_hit_ratio":
         from loglens.operators import bloom
         from loglens.sources.patterns import read_patterns
@@ -79,9 +65,6 @@ def main(argv: list[str] | None = None) -> None:
     import sys
 
     argv = sys.argv[1:] if argv is None else argv
-    if argv and argv[0] == "generate":
-        generate(argv[1:])
-        return
     ap = argparse.ArgumentParser(prog="loglens")
     ap.add_argument("--source", required=True)
     ap.add_argument("--task", default="running_success_rate_target")
@@ -90,7 +73,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--order", choices=["mtime", "name"], default="mtime")
     ap.add_argument("--master", default=None)
     ap.add_argument("--stream", action="store_true", help="run the Structured Streaming form")
-    ap.add_argument("--out", default=None, help="stream results folder (results/epoch=N)")
+    ap.add_argument("--out", default=None, help="folder for the full result (stream: results/epoch=N)")
+    ap.add_argument("--format", choices=["csv", "parquet"], default="csv", help="of --out in batch runs")
+    ap.add_argument("--checkpoint", default=None, help="stream checkpoint (default: in the --out folder)")
+    ap.add_argument("--log", default=None, help="result log that a stream appends to")
     ap.add_argument("--available-now", action="store_true", help="process what exists, then stop")
     args = ap.parse_args(argv)
 
@@ -101,23 +87,20 @@ def main(argv: list[str] | None = None) -> None:
         return
     events = read_logs(spark, args.source, glob=args.glob, require_files=True)
     order = ("file_modified", "file_path") if args.order == "mtime" else ("file_path",)
-    events = file_batches(events, order=order)
-    if args.task in ("bloom_hit_ratio", "bloom_forward"):
-        from loglens.operators import bloom
-        from loglens.sources.patterns import read_patterns
-
-        m = int(opts.get("m_bits", bloom.BLOOM_BITS))
-        k = int(opts.get("k_hashes", bloom.BLOOM_HASHES))
-        filt = bloom.bloom_build(read_patterns(spark, opts["filter_file"]), m_bits=m, k_hashes=k)
-        fn = bloom.bloom_hit_ratio if args.task == "bloom_hit_ratio" else bloom.bloom_forward
-        result = fn(events, filt, m_bits=m, k_hashes=k)
+    numbers = number_files(spark, args.source, glob=args.glob, order=order)
+    if args.task.startswith("reservoir"):
+        events = events.withColumn("event_id", F.concat_ws(":", "file_path", F.col("pos").cast("string")))
+    result = run(args.task, file_batches(events, numbers=numbers), **opts)
+    if "batch_id" in result.columns and not args.task.endswith("forward"):
+        result = result.orderBy("batch_id", *(["service"] if "service" in result.columns else []))
+    if args.out:
+        write_results(result, args.out, args.format)
+        print(f"full result in {args.out}; its first rows:")
+        saved = spark.read.parquet(args.out) if args.format == "parquet" else spark.read.csv(args.out, header=True)
+        show_results(saved)
     else:
-        if args.task.startswith("reservoir") and "event_id" not in events.columns:
-            from pyspark.sql import functions as F
-
-            events = events.withColumn("event_id", F.concat_ws(":", "file_path", F.col("pos").cast("string")))
-        result = run(args.task, events, **opts)
-    show_results(result)
+        print_results(result)
+    clean_scratch(spark, "mat-")
 
 
 if __name__ == "__main__":

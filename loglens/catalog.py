@@ -40,6 +40,7 @@ from loglens.session import scratch_path
 from loglens.sinks import result_log_rows
 from loglens.sources.files import (
     json_array_lines,
+    number_files,
     parse_log_files,
     quarantine_files,
     read_logs,
@@ -48,11 +49,12 @@ from loglens.sources.files import (
     write_batch_files,
     write_log_files,
 )
-from loglens.sources.generate import generate_logs
 from loglens.sources.patterns import read_patterns
 from loglens.sources.views import BATCH_SIZE, load_log_view, read_table
 from loglens.streaming.operators import (
     RESERVOIR_STATE,
+    SLIDING_STATE,
+    sliding_state_result,
     start_bloom_ratio,
     start_reservoir,
     start_running_success_rate,
@@ -60,7 +62,7 @@ from loglens.streaming.operators import (
     start_windowed_success_rate,
 )
 from loglens.streaming import run_available
-from loglens.streaming.state import last_epoch, read_state
+from loglens.streaming.state import last_epoch, read_results, read_state
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -234,8 +236,7 @@ def q_running_success_rate(spark, sf_dir):
     return running_success_rate(load_log_view(spark, sf_dir, dirty=True, late=True))
 
 
-def _running_target_sql(late: bool) -> str:
-    return O.with_view(_RUN_EVENTS + _SPAN + f"""
+_RUNNING_TARGET_TAIL = f"""
 , pb AS (SELECT batch_id, count(CASE WHEN svc = 'monitoring' THEN code END) AS n,
                 sum(CASE WHEN svc = 'monitoring' AND starts_with(code, '2') THEN 1 ELSE 0 END) AS s
          FROM e GROUP BY batch_id)
@@ -245,7 +246,11 @@ SELECT c.batch_id, CAST(successes AS BIGINT) AS successes, CAST(total AS BIGINT)
        coalesce(CAST(successes AS DOUBLE) / NULLIF(total, 0), 0.0) AS value,
        {O.ts_micros('newest')} AS newest_considered, {O.ts_micros('oldest')} AS oldest_considered
 FROM c JOIN sp ON c.batch_id = sp.batch_id
-WHERE newest IS NOT NULL AND oldest IS NOT NULL""", dirty=True, late=late)
+WHERE newest IS NOT NULL AND oldest IS NOT NULL"""
+
+
+def _running_target_sql(late: bool) -> str:
+    return O.with_view(_RUN_EVENTS + _SPAN + _RUNNING_TARGET_TAIL, dirty=True, late=late)
 
 
 @register("running_success_rate_target", _running_target_sql(late=True))
@@ -500,6 +505,43 @@ def q_running_success_rate_files(spark, sf_dir):
     return running_success_rate_target(logs.withColumn("batch_id", F.col("batch_id").cast("bigint")))
 
 
+_FILE_ORDER_SQL = """
+, names AS (SELECT DISTINCT batch_id AS b0 FROM v)
+, nr AS (SELECT b0, CAST(row_number() OVER (ORDER BY 'batch_id=' || CAST(b0 AS VARCHAR) || '/') - 1 AS BIGINT) AS nb FROM names)
+, f AS (SELECT v.* REPLACE (nr.nb AS batch_id) FROM v JOIN nr ON nr.b0 = v.batch_id)"""
+
+
+def _files_by_name(spark, sf_dir):
+    """The staged files' events, and the files numbered by path from metadata alone."""
+    src = staged_log_files(spark, sf_dir)
+    return read_logs(spark, src, glob="*.txt").drop("batch_id"), number_files(spark, src, glob="*.txt", order=("file_path",))
+
+
+@register("running_success_rate_by_file_name", O.with_view(
+    _FILE_ORDER_SQL + _RUN_EVENTS.replace("FROM v)", "FROM f)") + _SPAN + _RUNNING_TARGET_TAIL, dirty=True))
+def q_running_success_rate_by_file_name(spark, sf_dir):
+    """Running rate with files as batches in name order: numbered from metadata,
+    summed per file, then joined to the numbers."""
+    events, numbers = _files_by_name(spark, sf_dir)
+    return running_success_rate_target(events, numbers=numbers)
+
+
+@register("reservoir_sample_by_file_name", O.with_view(_FILE_ORDER_SQL + f"""
+, k AS (SELECT event_id, batch_id, {O.status_last()} AS code,
+               md5(CAST(event_id AS VARCHAR) || ':42') AS sample_key FROM f)
+, cand AS (SELECT * FROM k
+           QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY sample_key, event_id) <= 10)
+, b AS (SELECT DISTINCT batch_id FROM f)
+SELECT b.batch_id, cand.event_id, cand.code, cand.sample_key
+FROM b JOIN cand ON cand.batch_id <= b.batch_id
+QUALIFY row_number() OVER (PARTITION BY b.batch_id ORDER BY cand.sample_key, cand.event_id) <= 10""", dirty=True))
+def q_reservoir_sample_by_file_name(spark, sf_dir):
+    events, numbers = _files_by_name(spark, sf_dir)
+    batch = F.regexp_extract("file_path", r"batch_id=(\d+)", 1).cast("bigint")
+    ids = events.withColumn("event_id", batch * BATCH_SIZE + F.col("pos"))
+    return reservoir_sample_by_batch(ids, k=10, seed=42, numbers=numbers)
+
+
 def damaged_log_lines(v):
     """The view as file lines, some files damaged: an unterminated array
     (batch mod 11 = 5) and JSON lines instead of an array (batch mod 13 = 7).
@@ -551,28 +593,7 @@ def q_read_patterns(spark, sf_dir):
     return read_patterns(spark, out)
 
 
-# --- K4: generator; K1/P8: result log ---------------------------------------
-
-
-def _draw_sql(tag: str, x: str) -> str:
-    return f"(('0x' || substr(md5('42:{tag}:' || CAST({x} AS VARCHAR)), 1, 8))::BIGINT)"
-
-
-@register("generate_logs", f"""
-WITH e AS (SELECT CAST(event_id // 100 AS BIGINT) AS batch_id, CAST(event_id % 100 AS BIGINT) AS pos,
-                  ([{', '.join(O.q(s) for s in ('training', 'evaluation', 'inference', 'monitoring'))}])
-                  [{_draw_sql('service', 'event_id')} % 4 + 1] AS service
-           FROM events)
-, b AS (SELECT batch_id, {_draw_sql('step', 'batch_id')} % 401 - 100 AS step,
-               ([200, 201, 202, 203, 400, 401, 402, 403, 404, 500])[{_draw_sql('code', 'batch_id')} % 10 + 1] AS code
-        FROM (SELECT DISTINCT batch_id FROM e))
-, w AS (SELECT batch_id, 1704067200.0 + CAST(sum(step) OVER (ORDER BY batch_id
-               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS "timestamp",
-               'HTTP Status Code: ' || CAST(code AS VARCHAR) AS message FROM b)
-SELECT e.batch_id, e.pos, e.service, CAST(w."timestamp" AS DOUBLE) AS "timestamp", w.message
-FROM e JOIN w ON e.batch_id = w.batch_id""")
-def q_generate_logs(spark, sf_dir):
-    return generate_logs(read_table(spark, sf_dir, "events").select("event_id"))
+# --- K1/P8: result log ------------------------------------------------------
 
 
 def _fmt_ts_sql(x: str) -> str:
@@ -594,30 +615,23 @@ ORACLE["results_log"] = (
 # --- Streaming forms (file stream, availableNow) -----------------------------
 
 
-# micro-batches when replaying a whole table through a stream: state is
-# carried across several micro-batches at any scale
-STREAM_BATCHES = 4
+# files per micro-batch when replaying a whole table through a stream: 1,000
+# files of 100 events at sf0.1 make 4 micro-batches, and more data makes more
+FILES_PER_TRIGGER = 250
 
 
-def files_per_trigger(spark, src: str, batches: int = STREAM_BATCHES) -> int:
-    """Files per micro-batch so that the staged files arrive in ``batches``
-    micro-batches (one folder listing: the staged layout has one folder per file)."""
-    jp = spark._jvm.org.apache.hadoop.fs.Path(src)
-    fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
-    n = sum(1 for st in fs.listStatus(jp) if st.isDirectory())
-    return max(1, -(-n // batches))
-
-
-def _stream_files(spark, sf_dir, name):
-    return staged_log_files(spark, sf_dir)
+def files_per_trigger(spark, sf_dir: str) -> int:
+    """``FILES_PER_TRIGGER``, or fewer where the table has too few files for four micro-batches."""
+    n = read_table(spark, sf_dir, "events").count() // BATCH_SIZE
+    return max(1, min(FILES_PER_TRIGGER, -(-n // 4)))
 
 
 @register("stream_windowed_success_rate", ORACLE["windowed_success_rate"])
 def q_stream_windowed_success_rate(spark, sf_dir):
-    src = _stream_files(spark, sf_dir, "stream-windowed")
+    src = staged_log_files(spark, sf_dir)
     out = scratch_path(spark, "stream-windowed-out")
     q = start_windowed_success_rate(spark, src, out, glob="*.txt", output_mode="complete",
-                                    trigger={"availableNow": True}, max_files_per_trigger=files_per_trigger(spark, src),
+                                    trigger={"availableNow": True}, max_files_per_trigger=files_per_trigger(spark, sf_dir),
                                     window_duration="10 seconds", slide_duration="10 seconds")
     run_available(q)
     return last_epoch(spark, out).select("window_start", "window_end", "service", "total",
@@ -625,33 +639,76 @@ def q_stream_windowed_success_rate(spark, sf_dir):
 
 
 @register("stream_running_counts", O.with_view(f"""
-SELECT coalesce(service, 'unknown_service') AS service, count({O.status_strict()}) AS total,
-       CAST(sum(CASE WHEN starts_with({O.status_strict()}, '2') THEN 1 ELSE 0 END) AS BIGINT) AS successes
-FROM v GROUP BY 1""", dirty=True))
+SELECT service, total, successes, coalesce(CAST(successes AS DOUBLE) / NULLIF(total, 0), 0.0) AS value
+FROM (SELECT coalesce(service, 'unknown_service') AS service, count({O.status_strict()}) AS total,
+             CAST(sum(CASE WHEN starts_with({O.status_strict()}, '2') THEN 1 ELSE 0 END) AS BIGINT) AS successes
+      FROM v GROUP BY 1)""", dirty=True))
 def q_stream_running_counts(spark, sf_dir):
-    src = _stream_files(spark, sf_dir, "stream-running")
+    src = staged_log_files(spark, sf_dir)
     out = scratch_path(spark, "stream-running-out")
     q = start_running_success_rate(spark, src, out, glob="*.txt", trigger={"availableNow": True},
-                                   max_files_per_trigger=files_per_trigger(spark, src))
+                                   max_files_per_trigger=files_per_trigger(spark, sf_dir))
     run_available(q)
-    return last_epoch(spark, out, "per_service").select("service", "total", "successes")
+    return last_epoch(spark, out, "per_service").select("service", "total", "successes", "value")
 
 
-@register("stream_sliding_failures_6h", O.with_view(f"""
-, m AS (SELECT max(coalesce("timestamp", 0.0)) AS nw FROM v)
-, f AS (SELECT coalesce("timestamp", 0.0) AS ts FROM v
-        WHERE service = 'monitoring' AND {O.failure_not_ok()})
-SELECT CAST(count(f.ts) AS DOUBLE) AS value, {O.ts_micros('m.nw')} AS newest_considered,
+@register("stream_windowed_success_rate_append", O.with_view(f"""
+, p AS (SELECT service, {O.status_regex()} AS status, TRY_CAST(trunc("timestamp") AS BIGINT) AS t FROM v)
+, c AS (SELECT * FROM p WHERE service IS NOT NULL AND status IS NOT NULL AND t IS NOT NULL)
+SELECT make_timestamp(CAST(floor(t / 3600) * 3600 AS BIGINT) * 1000000) AS window_start,
+       make_timestamp(CAST(floor(t / 3600) * 3600 + 3600 AS BIGINT) * 1000000) AS window_end,
+       service, count(*) AS total, CAST(sum(CASE WHEN status < 400 THEN 1 ELSE 0 END) AS BIGINT) AS successes,
+       CAST(sum(CASE WHEN status < 400 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS success_rate
+FROM c WHERE floor(t / 3600) * 3600 + 3600 <= (SELECT max(t) FROM c) - 21600
+GROUP BY floor(t / 3600), service""", dirty=True))
+def q_stream_windowed_success_rate_append(spark, sf_dir):
+    """Append mode: the windows that a 6-hour watermark has closed, each once.  Files
+    carry no order of time, so they come in one micro-batch, which drops no row;
+    the watermark closes the windows in the next."""
+    out = scratch_path(spark, "stream-append-out")
+    q = start_windowed_success_rate(spark, staged_log_files(spark, sf_dir), out, glob="*.txt", output_mode="append",
+                                    trigger={"availableNow": True}, max_files_per_trigger=None,
+                                    window_duration="1 hour", slide_duration="1 hour", watermark="6 hours")
+    run_available(q)
+    return read_results(spark, out).select("window_start", "window_end", "service", "total", "successes", "success_rate")
+
+
+def _sliding_state_sql(rate: bool) -> str:
+    if rate:
+        rows = f"""SELECT coalesce("timestamp", 0.0) AS ts,
+               CASE WHEN {O.status_regex()} BETWEEN 400 AND 599 THEN 1 ELSE 0 END AS err
+        FROM v WHERE service = 'monitoring'"""
+        value = "coalesce(CAST(sum(f.err) AS DOUBLE) / NULLIF(count(f.ts), 0), 0.0)"
+    else:
+        rows = f"""SELECT coalesce("timestamp", 0.0) AS ts FROM v
+        WHERE service = 'monitoring' AND {O.failure_not_ok()}"""
+        value = "CAST(count(f.ts) AS DOUBLE)"
+    return O.with_view(f"""
+, m AS (SELECT max(coalesce("timestamp", 0.0)) AS nw FROM v), f AS ({rows})
+SELECT {value} AS value, {O.ts_micros('m.nw')} AS newest_considered,
        {O.ts_micros('m.nw - 21600.0')} AS oldest_considered
-FROM m LEFT JOIN f ON f.ts >= m.nw - 21600.0 GROUP BY m.nw""", dirty=True))
-def q_stream_sliding_failures_6h(spark, sf_dir):
-    """All files arrive before the first poll: one micro-batch, one result."""
+FROM m LEFT JOIN f ON f.ts >= m.nw - 21600.0 GROUP BY m.nw""", dirty=True)
+
+
+def _stream_sliding(spark, sf_dir, rate: bool):
+    """The final state over several micro-batches: the newest time and its window do
+    not depend on the order in which files arrive."""
     src = staged_log_files(spark, sf_dir)
     out = scratch_path(spark, "stream-sliding-out")
-    q = start_sliding_failures(spark, src, out, glob="*.txt", trigger={"availableNow": True},
-                               max_files_per_trigger=None, window_seconds=21600)
+    q = start_sliding_failures(spark, src, out, glob="*.txt", trigger={"availableNow": True}, rate=rate,
+                               max_files_per_trigger=files_per_trigger(spark, sf_dir), window_seconds=21600)
     run_available(q)
-    return last_epoch(spark, out).select("value", "newest_considered", "oldest_considered")
+    return sliding_state_result(read_state(spark, out, 1 << 62, SLIDING_STATE), 21600, rate)
+
+
+@register("stream_sliding_failures_6h", _sliding_state_sql(rate=False))
+def q_stream_sliding_failures_6h(spark, sf_dir):
+    return _stream_sliding(spark, sf_dir, rate=False)
+
+
+@register("stream_sliding_failure_rate_6h", _sliding_state_sql(rate=True))
+def q_stream_sliding_failure_rate_6h(spark, sf_dir):
+    return _stream_sliding(spark, sf_dir, rate=True)
 
 
 @register("stream_bloom_hit_ratio", O.with_view(_LOG_PATTERNS_SQL + _bits_sql("pat", 500_000, 8)
@@ -668,7 +725,7 @@ def q_stream_bloom_hit_ratio(spark, sf_dir):
     src = staged_log_files(spark, sf_dir)
     out = scratch_path(spark, "stream-bloom-out")
     q = start_bloom_ratio(spark, src, out, filt, m_bits=500_000, k_hashes=8, glob="*.txt",
-                          trigger={"availableNow": True}, max_files_per_trigger=files_per_trigger(spark, src))
+                          trigger={"availableNow": True}, max_files_per_trigger=files_per_trigger(spark, sf_dir))
     run_available(q)
     res = spark.read.parquet(f"{out}/results")
     return res.select(
@@ -687,7 +744,7 @@ def q_stream_reservoir_sample(spark, sf_dir):
     batch = F.regexp_extract("file_path", r"batch_id=(\d+)", 1).cast("bigint")
     ident = batch * BATCH_SIZE + F.col("pos")
     q = start_reservoir(spark, src, out, k=10, seed=42, glob="*.txt", trigger={"availableNow": True},
-                        max_files_per_trigger=files_per_trigger(spark, src), identity=ident)
+                        max_files_per_trigger=files_per_trigger(spark, sf_dir), identity=ident)
     run_available(q)
     state = read_state(spark, out, 1 << 62, RESERVOIR_STATE)
     return state.select(F.col("ident").cast("bigint").alias("event_id"), "code", "sample_key")

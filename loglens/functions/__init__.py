@@ -17,6 +17,6 @@ from loglens.functions.timefn import (  # noqa: F401
     epoch_to_timestamp,
     epoch_to_timestamp_seconds,
 )
-from loglens.functions.common import safe_ratio, with_log_defaults  # noqa: F401
+from loglens.functions.common import safe_ratio  # noqa: F401
 from loglens.functions.bloomhash import bloom_index, bloom_indices  # noqa: F401
 from loglens.functions.formatting import format_value, format_timestamp  # noqa: F401

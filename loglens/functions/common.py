@@ -1,29 +1,13 @@
-"""Defaults for missing keys and the safe ratio."""
+"""The safe ratio."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loglens.functions.status import _col
-from loglens.schema import DEFAULT_MESSAGE, DEFAULT_SERVICE, DEFAULT_TIMESTAMP
 
 
 def safe_ratio(num: Column | str, den: Column | str) -> Column:
     """``num / den`` as double, 0.0 when there is nothing to divide by."""
     return F.coalesce(F.try_divide(_col(num), _col(den)), F.lit(0.0))
-
-
-def with_log_defaults(df: DataFrame, service: str = "service",
-                      message: str = "message",
-                      timestamp: str = "timestamp") -> DataFrame:
-    """Fill missing keys: service, message and timestamp defaults.
-
-    Spark cannot tell a missing key from an explicit JSON null; both take
-    the default.
-    """
-    return df.withColumns({
-        service: F.coalesce(F.col(service), F.lit(DEFAULT_SERVICE)),
-        message: F.coalesce(F.col(message), F.lit(DEFAULT_MESSAGE)),
-        timestamp: F.coalesce(F.col(timestamp), F.lit(DEFAULT_TIMESTAMP)),
-    })

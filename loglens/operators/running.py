@@ -16,6 +16,8 @@ from loglens.plans.scan import prefix_scan
 from loglens.schema import DEFAULT_SERVICE, DEFAULT_TIMESTAMP, TARGET_SERVICE
 
 BATCH_BLOCK = 1024
+# batches are blocked twice: the top window sees #batches / 1024**2 rows
+BATCH_LEVELS = 2
 
 
 def _ts() -> Column:
@@ -41,7 +43,7 @@ def running_time_span(df: DataFrame, batch: str = "batch_id") -> DataFrame:
     batches before both exist emit nothing."""
     per_batch = df.groupBy(batch).agg(*_span_aggs())
     scanned = prefix_scan(per_batch, batch, [("_newest", "max", "_bnew"), ("_oldest", "min", "_bold")],
-                          block_width=BATCH_BLOCK)
+                          block_width=BATCH_BLOCK, levels=BATCH_LEVELS)
     return scanned.where(F.col("_newest").isNotNull() & F.col("_oldest").isNotNull()).select(
         *_span_cols(batch))
 
@@ -72,10 +74,10 @@ def running_success_rate(df: DataFrame, batch: str = "batch_id") -> DataFrame:
         *_span_aggs()), "running-per-batch")
     scanned = prefix_scan(per.drop("_bnew", "_bold"), batch,
                           [("total", "sum", "_n"), ("successes", "sum", "_s")],
-                          partition_by=["_svc"], block_width=BATCH_BLOCK)
+                          partition_by=["_svc"], block_width=BATCH_BLOCK, levels=BATCH_LEVELS)
     per_batch = per.groupBy(batch).agg(F.max("_bnew").alias("_bnew"), F.min("_bold").alias("_bold"))
     span = prefix_scan(per_batch, batch, [("_newest", "max", "_bnew"), ("_oldest", "min", "_bold")],
-                       block_width=BATCH_BLOCK)
+                       block_width=BATCH_BLOCK, levels=BATCH_LEVELS)
     span = span.where(F.col("_newest").isNotNull() & F.col("_oldest").isNotNull()).select(
         *_span_cols(batch))
     return scanned.join(span, on=batch, how="inner").select(
@@ -89,21 +91,27 @@ def running_success_rate(df: DataFrame, batch: str = "batch_id") -> DataFrame:
     )
 
 
-def running_success_rate_target(df: DataFrame, service: str = TARGET_SERVICE,
-                                batch: str = "batch_id") -> DataFrame:
+def running_success_rate_target(df: DataFrame, service: str = TARGET_SERVICE, batch: str = "batch_id",
+                                numbers: DataFrame | None = None) -> DataFrame:
     """The single-value result: cumulative rate of one service after every
-    batch (0.0 before it has coded events), with the running span."""
+    batch (0.0 before it has coded events), with the running span.
+
+    With ``numbers`` (``file_path``, ``batch_id``) a batch is a file: events are
+    summed per file and only those sums meet the number, so a large file is
+    never a join key of its events."""
     coded = _coded(df)
     mine = F.col("_svc") == F.lit(service)
-    per = coded.groupBy(batch).agg(
+    per = coded.groupBy("file_path" if numbers is not None else batch).agg(
         F.count(F.when(mine, F.col("_code"))).alias("_n"),
         F.sum(F.when(mine & F.col("_code").isNotNull(), F.col("_ok")).otherwise(0)).alias("_s"),
         *_span_aggs())
+    if numbers is not None:
+        per = per.join(numbers.select("file_path", F.col("batch_id").alias(batch)), "file_path").drop("file_path")
     scanned = prefix_scan(
         per, batch,
         [("total", "sum", "_n"), ("successes", "sum", "_s"),
          ("_newest", "max", "_bnew"), ("_oldest", "min", "_bold")],
-        block_width=BATCH_BLOCK)
+        block_width=BATCH_BLOCK, levels=BATCH_LEVELS)
     return scanned.where(F.col("_newest").isNotNull() & F.col("_oldest").isNotNull()).select(
         batch,
         F.col("successes").cast("bigint").alias("successes"),

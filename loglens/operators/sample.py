@@ -87,7 +87,8 @@ def batch_candidates(df: DataFrame, k: int = RESERVOIR_SIZE, seed: int = GENERAT
 
 def reservoir_sample_by_batch(df: DataFrame, k: int = RESERVOIR_SIZE,
                               seed: int = GENERATOR_SEED, id_col: str = "event_id",
-                              batch: str = "batch_id", block_width: int = 32) -> DataFrame:
+                              batch: str = "batch_id", block_width: int = 32,
+                              numbers: DataFrame | None = None) -> DataFrame:
     """The sample as it stands after every batch: ``k`` rows per batch.
 
     1. candidates: the bottom ``k`` of each batch (a ranked window whose
@@ -96,9 +97,16 @@ def reservoir_sample_by_batch(df: DataFrame, k: int = RESERVOIR_SIZE,
     2. one array of ``k`` structs per batch, merged along the batch order
        by the blocked prefix merge of :mod:`loglens.plans.topk` (its depth
        is chosen from the batch-id range, one counter row to the driver).
+
+    With ``numbers`` (``file_path``, ``batch_id``) a batch is a file, numbered
+    after its candidates are drawn.
     """
+    per_batch = batch_candidates(df, k, seed, id_col, batch if numbers is None else "file_path")
+    if numbers is not None:
+        per_batch = per_batch.join(numbers.select("file_path", F.col("batch_id").alias(batch)), "file_path") \
+            .select(batch, "_arr")
     # at most k candidates per batch, read by every level of the merge: written once
-    per_batch = materialize(batch_candidates(df, k, seed, id_col, batch), "sample-candidates")
+    per_batch = materialize(per_batch, "sample-candidates")
     bounds = per_batch.agg(F.min(batch), F.max(batch)).first()
     span = 0 if bounds[0] is None else int(bounds[1]) - int(bounds[0]) + 1
     merged = prefix_bottom_k(per_batch, batch, "_arr", "_s", k, width=block_width,
@@ -118,7 +126,7 @@ def reservoir_mode_by_batch(df: DataFrame, k: int = RESERVOIR_SIZE, seed: int =
     mode = counts.withColumn("_rn", F.row_number().over(best)).where(F.col("_rn") == 1).drop("_rn")
     per_batch = df.groupBy(batch).agg(F.max("timestamp").alias("_bmax"), F.min("timestamp").alias("_bmin"))
     span = prefix_scan(per_batch, batch, [("_new", "max", "_bmax"), ("_old", "min", "_bmin")],
-                       block_width=1024)
+                       block_width=1024, levels=2)
     return mode.join(span, batch).select(
         batch,
         F.col("code").try_cast("double").alias("value"),

@@ -28,6 +28,8 @@ from loglens.plans.scan import prefix_scan
 from loglens.schema import DEFAULT_TIMESTAMP, SLIDING_WINDOW_SECONDS, TARGET_SERVICE
 
 BATCH_BLOCK = 1024
+# batches are blocked twice: the top window sees #batches / 1024**2 rows
+BATCH_LEVELS = 2
 # As-of blocks: one second of event time (so one block holds at most the
 # distinct failure timestamps of one second, whatever the window), blocked
 # again by 1024 s so the top window sees span/1024 s rows.
@@ -35,15 +37,15 @@ TIME_BLOCK_SECONDS = 1.0
 TIME_LEVELS = 2
 
 
-def emitting_batches(df: DataFrame, batch: str = "batch_id") -> DataFrame:
-    """``(batch, newest)`` for the batches that raise the newest timestamp."""
-    ts = F.coalesce(F.col("timestamp"), F.lit(DEFAULT_TIMESTAMP))
-    per_batch = df.groupBy(batch).agg(F.max(ts).alias("_bmax"))
+def batch_times(per: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """``(batch, newest, emits)`` from rows (batch, _bmax): the newest time up to the
+    batch, and whether the batch raised it."""
+    per_batch = per.groupBy(batch).agg(F.max("_bmax").alias("_bmax"))
     scanned = prefix_scan(per_batch, batch, [("_prev", "max", "_bmax")],
-                          block_width=BATCH_BLOCK, exclusive=True)
-    return scanned.where(
-        F.col("_bmax") > F.coalesce(F.col("_prev"), F.lit(DEFAULT_TIMESTAMP))
-    ).select(batch, F.col("_bmax").alias("newest"))
+                          block_width=BATCH_BLOCK, levels=BATCH_LEVELS, exclusive=True)
+    before = F.coalesce(F.col("_prev"), F.lit(DEFAULT_TIMESTAMP))
+    return scanned.select(batch, F.greatest("_bmax", before).alias("newest"),
+                          (F.col("_bmax") > before).alias("emits"))
 
 
 def trailing_window_counts(df: DataFrame, weights: dict[str, Column], *,
@@ -52,24 +54,29 @@ def trailing_window_counts(df: DataFrame, weights: dict[str, Column], *,
     """Per emitting batch: ``newest`` and, per weight column, the sum of the
     weights of events with ``ts >= newest - window`` arrived so far.
 
-    ``weights`` are 0/1 (or counts) per event; rows where all are 0 are dropped
-    before any shuffle, and identical (batch, ts) rows are pre-aggregated.
+    ``weights`` are 0/1 (or counts) per event.  The events are read once, into
+    one row per (batch, time of weighted events) that also carries the batch's
+    newest time.  An event older than the window at its own arrival is dropped:
+    ``newest`` only grows, so it can never be counted.  (A missing time
+    counts as 0; those events would otherwise all share one as-of block.)
     """
     names = list(weights)
     ts = F.coalesce(F.col("timestamp"), F.lit(DEFAULT_TIMESTAMP))
-    # one row per emitting batch; materialised because three branches read it
-    emits = materialize(emitting_batches(df, batch), "emitting-batches")
-    weighted = df.select(F.col(batch).alias("_arr"), ts.alias("_ts"),
+    weighted = df.select(F.col(batch).alias("_arr"), ts.alias("_t"),
                          *[w.cast("bigint").alias(n) for n, w in weights.items()])
     any_w = None
     for n in names:
         c = F.col(n) != 0
         any_w = c if any_w is None else (any_w | c)
-    # pre-aggregated (batch, ts) events: the as-of scan reads them through two
-    # branches with different column pruning, so they are written once
-    events = materialize(
-        weighted.where(any_w).groupBy("_arr", "_ts").agg(*[F.sum(n).alias(n) for n in names]),
-        "window-events").withColumn("_q", F.col("_ts") + F.lit(float(window_seconds)))
+    # read by three branches, so written once
+    per = materialize(
+        weighted.groupBy("_arr", F.when(any_w, F.col("_t")).alias("_ts"))
+        .agg(F.max("_t").alias("_bmax"), *[F.sum(n).alias(n) for n in names]), "window-events")
+    times = materialize(batch_times(per, "_arr"), "batch-times")
+    emits = times.where("emits").select(F.col("_arr").alias(batch), "newest")
+    alive = F.col("_ts") >= F.col("newest") - F.lit(float(window_seconds))
+    events = (per.where(F.col("_ts").isNotNull()).join(times.select("_arr", "newest"), "_arr").where(alive)
+              .select("_arr", "_ts", *names, (F.col("_ts") + F.lit(float(window_seconds))).alias("_q")))
     # first emitting batch whose newest > ts + window
     ends = min_after(events, "_q", emits, "newest", batch, "_exp",
                      block_width=TIME_BLOCK_SECONDS, levels=TIME_LEVELS)
@@ -83,7 +90,7 @@ def trailing_window_counts(df: DataFrame, weights: dict[str, Column], *,
     deltas = (moves.unionByName(zeros)
               .groupBy(batch).agg(*[F.sum(n).alias(f"_d_{n}") for n in names]))
     active = prefix_scan(deltas, batch, [(n, "sum", f"_d_{n}") for n in names],
-                         block_width=BATCH_BLOCK)
+                         block_width=BATCH_BLOCK, levels=BATCH_LEVELS)
     return emits.join(active.select(batch, *names), on=batch, how="inner")
 
 

@@ -50,7 +50,7 @@ def windowed_success_rate(df: DataFrame, window_duration: str = WINDOW_DURATION,
         "window_start", "service")
 
 
-def hopping_success_rate(df: DataFrame, window_duration: str, slide_duration: str,
-                         **kw) -> DataFrame:
+def hopping_success_rate(df: DataFrame, window_duration: str, slide_duration: str, *,
+                         truncate_to_second: bool = True) -> DataFrame:
     """Hopping windows: ``slide < duration``; each row lands in several windows."""
-    return windowed_success_rate(df, window_duration, slide_duration, **kw)
+    return windowed_success_rate(df, window_duration, slide_duration, truncate_to_second=truncate_to_second)

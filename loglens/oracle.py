@@ -6,7 +6,6 @@ Spark side, so the two can only disagree on semantics, not on constants.
 
 from __future__ import annotations
 
-from loglens.functions.status import STRICT_PATTERN
 from loglens.schema import (
     OK_MESSAGE,
     SERVICES,
@@ -40,8 +39,17 @@ def status_regex(m: str = "message") -> str:
     return f"TRY_CAST(regexp_extract({m}, {q(STATUS_REGEX)}, 1) AS INTEGER)"
 
 
+# the white space that Python's str.split() splits at, as code points
+_WHITE = [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+
+
 def status_strict(m: str = "message") -> str:
-    return f"NULLIF(regexp_extract(coalesce({m}, ''), {q(STRICT_PATTERN)}, 1), '')"
+    """First token after the tag, by position and splitting (no regular expression:
+    the Spark side uses one, so the two check each other)."""
+    after = f"substr({m}, strpos({m}, {q(STATUS_TAG)}) + {len(STATUS_TAG)})"
+    spaced = f"translate({after}, {' || '.join(f'chr({c})' for c in _WHITE)}, repeat(' ', {len(_WHITE)}))"
+    return (f"CASE WHEN strpos(coalesce({m}, ''), {q(STATUS_TAG)}) > 0 "
+            f"THEN list_filter(string_split({spaced}, ' '), lambda t: t <> '')[1] END")
 
 
 def status_last(m: str = "message") -> str:

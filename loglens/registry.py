@@ -9,7 +9,26 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-from loglens.operators import running, sample, sliding, summary, windowed
+from loglens.operators import bloom, running, sample, sliding, summary, windowed
+from loglens.schema import BLOOM_BITS, BLOOM_HASHES
+from loglens.sources.patterns import read_patterns
+
+
+def _filter(df: DataFrame, filter_file: str, m_bits: int, k_hashes: int) -> DataFrame:
+    return bloom.bloom_build(read_patterns(df.sparkSession, filter_file), m_bits=int(m_bits), k_hashes=int(k_hashes))
+
+
+def bloom_forward(df: DataFrame, filter_file: str, m_bits: int = BLOOM_BITS,
+                  k_hashes: int = BLOOM_HASHES) -> DataFrame:
+    """Events whose message is in the pattern file's Bloom filter."""
+    return bloom.bloom_forward(df, _filter(df, filter_file, m_bits, k_hashes), m_bits=int(m_bits), k_hashes=int(k_hashes))
+
+
+def bloom_hit_ratio(df: DataFrame, filter_file: str, m_bits: int = BLOOM_BITS,
+                    k_hashes: int = BLOOM_HASHES, batch: str = "batch_id") -> DataFrame:
+    """Per batch the share of events that the pattern file's Bloom filter forwards."""
+    return bloom.bloom_hit_ratio(df, _filter(df, filter_file, m_bits, k_hashes), batch,
+                                 m_bits=int(m_bits), k_hashes=int(k_hashes))
 
 OPERATORS: dict[str, Callable[..., DataFrame]] = {
     "running_success_rate": running.running_success_rate,
@@ -24,6 +43,8 @@ OPERATORS: dict[str, Callable[..., DataFrame]] = {
     "service_success_summary": summary.service_success_summary,
     "windowed_success_rate": windowed.windowed_success_rate,
     "hopping_success_rate": windowed.hopping_success_rate,
+    "bloom_forward": bloom_forward,
+    "bloom_hit_ratio": bloom_hit_ratio,
 }
 
 # option names of the shipped JSON configs -> operator keywords
@@ -49,10 +70,9 @@ def run(name: str, df: DataFrame, **options: Any) -> DataFrame:
     except KeyError:
         raise ValueError(f"unknown operator {name!r}; known: {sorted(OPERATORS)}") from None
     params = inspect.signature(fn).parameters
-    takes_any = any(p.kind is inspect.Parameter.VAR_KEYWORD for p in params.values())
     kw = {}
     for k, v in options.items():
         k = ALIASES.get(k, k)
-        if takes_any or k in params:
+        if k in params:
             kw[k] = v
     return fn(df, **kw)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # --- Fixed values (must equal the values of the log format being analysed) ---
-# Services and status codes drawn by the synthetic log generator.
+# Services and status codes of the logs.
 SERVICES = ["training", "evaluation", "inference", "monitoring"]
 STATUS_CODES = [200, 201, 202, 203, 400, 401, 402, 403, 404, 500]
 # The message tag and the regex form of the status code.
@@ -23,21 +23,17 @@ TARGET_SERVICE = "monitoring"
 SLIDING_WINDOW_SECONDS = 60
 # Sample size of the reservoir.
 RESERVOIR_SIZE = 10
-# Bloom filter defaults (bits, hashes) and the shipped configuration.
+# Bloom filter defaults (bits, hashes).
 BLOOM_BITS = 1_000_000
 BLOOM_HASHES = 7
-BLOOM_CONFIG_BITS = 500_000
-BLOOM_CONFIG_HASHES = 8
 # Streaming defaults of the windowed success rate.
 WINDOW_DURATION = "10 seconds"
 SLIDE_DURATION = "10 seconds"
 WATERMARK = "30 seconds"
 MAX_FILES_PER_TRIGGER = 10
 TRIGGER_INTERVAL = "1 second"
-# Synthetic generator: seed, random-walk step bounds in seconds.
+# Seed of the sample keys.
 GENERATOR_SEED = 42
-GENERATOR_STEP_MIN = -100
-GENERATOR_STEP_MAX = 300
 # --- end of fixed values ---
 
 # One log event.  The parsers never infer a schema; missing keys come back null.
@@ -60,15 +56,3 @@ RESULT_SCHEMA = T.StructType(
         T.StructField("oldest_considered", T.TimestampNTZType(), True),
     ]
 )
-
-# Per-(window, service) statistics of the summary and windowed operators.
-WINDOW_STATS_SCHEMA = T.StructType(
-    [
-        T.StructField("window_start", T.TimestampNTZType(), True),
-        T.StructField("window_end", T.TimestampNTZType(), True),
-        T.StructField("service", T.StringType(), True),
-        T.StructField("total", T.LongType(), True),
-        T.StructField("successes", T.LongType(), True),
-        T.StructField("success_rate", T.DoubleType(), True),
-    ]
-)

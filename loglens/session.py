@@ -68,6 +68,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/loglens/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/loglens/{name}-{uuid.uuid4().hex}"
+    """A new, unique path in this application's part of the shared checkpoint folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean_scratch(spark: SparkSession, prefix: str = "") -> None:
+    """Remove this application's scratch tables (those whose name starts with ``prefix``).
+
+    Call it when the results built from them have been written: plans that still
+    read one of these tables cannot run afterwards."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    for st in fs.listStatus(root):
+        if st.getPath().getName().startswith(prefix):
+            fs.delete(st.getPath(), True)

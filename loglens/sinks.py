@@ -37,6 +37,23 @@ def append_results_log(results: DataFrame, path: str) -> None:
     rows.select(line.alias("value")).write.mode("append").text(path)
 
 
+def write_results(results: DataFrame, path: str, fmt: str = "csv") -> None:
+    """The full result as CSV (with header) or Parquet files; ``path`` must be new."""
+    w = results.write.mode("errorifexists")
+    if fmt == "csv":
+        w.option("header", "true").csv(path)
+    else:
+        w.parquet(path)
+
+
+def print_results(results: DataFrame) -> None:
+    """Every row on the console, tab-separated under a header line; rows stream
+    through the driver one partition at a time."""
+    print("\t".join(results.columns))
+    for row in results.toLocalIterator():
+        print("\t".join("" if x is None else str(x) for x in row))
+
+
 def show_results(results: DataFrame, n: int = 20) -> None:
-    """Console sink for interactive use (``df.show``)."""
+    """A preview of ``n`` rows (``df.show``)."""
     results.show(n, truncate=False)

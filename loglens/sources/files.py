@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
-from loglens.plans.materialize import materialize
+from loglens.plans.rank import with_rank
 from loglens.schema import LOG_ARRAY_DDL, LOG_SCHEMA
 
 FILE_COLS = ["file_path", "file_name", "file_modified"]
@@ -125,8 +125,8 @@ def read_logs(spark: SparkSession, path: str | list[str], *, glob: str | None =
     """
     if parser == "multiline":
         events = read_logs_multiline(spark, path, glob=glob, recursive=recursive)
-        if require_files and events.select("file_path").isEmpty():
-            raise FileNotFoundError(f"no log events in files matching {glob!r} under {path}")
+        if require_files and _no_files(spark, path, glob, recursive):
+            raise FileNotFoundError(f"no log files matching {glob!r} under {path}")
         return events
     raw = read_raw_files(spark, path, glob=glob, recursive=recursive)
     if require_files and raw.select("file_path").isEmpty():
@@ -134,6 +134,14 @@ def read_logs(spark: SparkSession, path: str | list[str], *, glob: str | None =
     return parse_log_files(raw)
 
 
+def _no_files(spark: SparkSession, path, glob, recursive) -> bool:
+    """Whether nothing matches, from the listing (a file may hold no event)."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(bool(recursive)).lower())
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load([path] if isinstance(path, str) else list(path)).select("path").isEmpty()
+
+
 _CORRUPT = "_corrupt_record"
 
 
@@ -201,18 +209,32 @@ def quarantine_files_multiline(spark: SparkSession, path: str | list[str], *,
     return scan.where(bad).select(*FILE_COLS, F.col(_CORRUPT).alias("value"))
 
 
-def file_batches(events: DataFrame, order: tuple[str, ...] = ("file_modified", "file_path")) -> DataFrame:
-    """Numeric, order-preserving ``batch_id`` per file, joined onto ``events``.
+def number_files(spark: SparkSession, path: str | list[str], *, glob: str | None = "*.json",
+                 recursive: bool = False, order: tuple[str, ...] = ("file_modified", "file_path")) -> DataFrame:
+    """``file_path, file_name, file_modified, batch_id``: the files numbered 0, 1, ... in
+    ``order``, from their metadata alone (no content is read or parsed)."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    paths = [path] if isinstance(path, str) else list(path)
+    files = reader.load(paths).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_modification_time").alias("file_modified"))
+    return with_rank(files, [F.asc(c) for c in order], "file-numbers", "batch_id")
+
+
+def file_batches(events: DataFrame, order: tuple[str, ...] = ("file_modified", "file_path"),
+                 numbers: DataFrame | None = None) -> DataFrame:
+    """Dense, order-preserving ``batch_id`` per file, joined onto ``events``.
 
-    The file list (one row per file) is sorted by ``order`` with Spark's
-    range-partitioned sort, numbered with ``monotonically_increasing_id``
-    (increasing along the sort, not dense) and written to the shared
-    checkpoint folder so a recomputed task sees the same numbers.  ``order=("file_path",)`` gives name order.
+    ``numbers`` (from :func:`number_files`) spares listing the files from the
+    parsed events.  Operators that sum per file take ``numbers`` themselves and
+    join them to the sums instead.
     """
-    files = events.select(*FILE_COLS).distinct()
-    numbered = materialize(files.orderBy(*order).select(
-        "file_path", F.monotonically_increasing_id().alias("batch_id")), "file-batches")
-    return events.drop("batch_id").join(numbered, "file_path")
+    if numbers is None:
+        files = events.select(*FILE_COLS).distinct()
+        numbers = with_rank(files, [F.asc(c) for c in order], "file-batches", "batch_id")
+    return events.drop("batch_id").join(numbers.select("file_path", "batch_id"), "file_path")
 
 
 def unprocessed_files(listed: DataFrame, processed: DataFrame, key: str = "file_path") -> DataFrame:

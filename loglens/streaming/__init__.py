@@ -20,10 +20,12 @@ def stop_after_drain(query, timeout_s: float | None = None) -> None:
         query.awaitTermination(timeout_s)
 
 
-def run_available(query, timeout_s: float = 900.0) -> None:
-    """Wait for an ``availableNow`` query to finish; stop it and raise if it
-    has not finished within ``timeout_s`` (a stuck stream must not hang the
-    caller)."""
-    if not query.awaitTermination(timeout_s):
+def run_available(query, timeout_s: float | None = None) -> None:
+    """Wait for an ``availableNow`` query to finish, however long its input takes.
+
+    With ``timeout_s`` a query still running then is stopped and the call raises."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"streaming query {query.name or query.id} still running after {timeout_s}s")

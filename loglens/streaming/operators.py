@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from loglens.functions import (
+    epoch_to_timestamp,
+    error_4xx_5xx,
     failure_not_ok_message,
     safe_ratio,
     status_regex,
@@ -43,8 +45,8 @@ from loglens.schema import (
     WATERMARK,
     WINDOW_DURATION,
 )
-from loglens.session import scratch_path
-from loglens.streaming.state import read_state, write_result, write_state
+from loglens.sinks import append_results_log
+from loglens.streaming.state import RETAIN_VERSIONS, read_state, run_checkpoint, write_result, write_state
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -54,11 +56,6 @@ def _ntz(ts: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.expr(_EPOCH_NTZ))
 
 
-def _micros_ntz(seconds: Column) -> Column:
-    micros = F.bround(seconds * F.lit(1_000_000.0), 0).try_cast("bigint")
-    return F.timestamp_add("MICROSECOND", micros, F.expr(_EPOCH_NTZ))
-
-
 # --- windowed success rate ---------------------------------------------------
 
 def windowed_success_rate_stream(events: DataFrame, window_duration: str = WINDOW_DURATION,
@@ -67,17 +64,16 @@ def windowed_success_rate_stream(events: DataFrame, window_duration: str = WINDO
     """Streaming (window, service) success rate; event time truncated to the second.
 
     The watermark needs a ``TIMESTAMP`` column: ``timestamp_seconds`` of the
-    truncated epoch (instant, zone-free).
+    truncated epoch (instant, zone-free).  An incomplete row has no event time
+    here, so it neither moves the watermark nor opens a window in the state.
     """
     status = status_regex("message")
     event_time = F.timestamp_seconds(F.col("timestamp").try_cast("bigint"))
+    seen = events.select("service", status.alias("status"), event_time.alias("_at"))
+    ok = F.col("service").isNotNull() & F.col("status").isNotNull() & F.col("_at").isNotNull()
     parsed = (
-        events.select("service", status.alias("status"), event_time.alias("event_time"))
-        .withColumns({
-            "_ok": F.col("service").isNotNull() & F.col("status").isNotNull()
-            & F.col("event_time").isNotNull(),
-            "is_success": success_below_400("status"),
-        })
+        seen.select("service", ok.alias("_ok"), success_below_400("status").alias("is_success"),
+                    F.when(ok, F.col("_at")).alias("event_time"))
         .withWatermark("event_time", watermark)
     )
     stats = window_success_stats(parsed, window_duration, slide_duration)
@@ -85,6 +81,13 @@ def windowed_success_rate_stream(events: DataFrame, window_duration: str = WINDO
                               "window_end": _ntz(F.col("window_end"))})
 
 
+def _result(df: DataFrame, out: str, epoch: int, log: str | None) -> None:
+    """One micro-batch's result rows, also appended to the result log ``log``."""
+    write_result(df, out, epoch)
+    if log:
+        append_results_log(df.sparkSession.read.parquet(f"{out}/results/epoch={epoch}"), log)
+
+
 def _start(df: DataFrame, fn: Callable[[DataFrame, int], None], *, checkpoint: str,
            output_mode: str, trigger: dict, name: str | None) -> StreamingQuery:
     w = df.writeStream.foreachBatch(fn).outputMode(output_mode).option("checkpointLocation", checkpoint)
@@ -102,18 +105,19 @@ def start_windowed_success_rate(spark: SparkSession, source: str, out: str, *,
                                 slide_duration: str | None = SLIDE_DURATION,
                                 watermark: str = WATERMARK) -> StreamingQuery:
     """Run the windowed stream; every micro-batch's rows (service kept) go to
-    ``out/results/epoch=<id>``; empty micro-batches write nothing."""
+    ``out/results/epoch=<id>``."""
     from loglens.streaming.source import read_log_stream
 
     events = read_log_stream(spark, source, glob=glob, max_files_per_trigger=max_files_per_trigger)
     stats = windowed_success_rate_stream(events, window_duration, slide_duration, watermark)
 
+    retain = RETAIN_VERSIONS if output_mode == "complete" else None
+
     def sink(df: DataFrame, epoch: int) -> None:
-        if df.isEmpty():
-            return
-        write_result(df.withColumn("success_rate", F.coalesce("success_rate", F.lit(0.0))), out, epoch)
+        write_result(df.withColumn("success_rate", F.coalesce("success_rate", F.lit(0.0))), out, epoch,
+                     retain=retain)
 
-    return _start(stats, sink, checkpoint=checkpoint or scratch_path(spark, "ckpt-windowed"),
+    return _start(stats, sink, checkpoint=run_checkpoint(spark, out, checkpoint),
                   output_mode=output_mode, trigger=trigger or {"processingTime": TRIGGER_INTERVAL},
                   name=None)
 
@@ -142,26 +146,29 @@ def running_result(state: DataFrame, service: str = TARGET_SERVICE) -> DataFrame
         F.max("newest").alias("nw"), F.min("oldest").alias("od"))
     return agg.where(F.col("nw").isNotNull() & F.col("od").isNotNull()).select(
         safe_ratio("s", "n").alias("value"),
-        _micros_ntz(F.col("nw")).alias("newest_considered"),
-        _micros_ntz(F.col("od")).alias("oldest_considered"))
+        epoch_to_timestamp(F.col("nw")).alias("newest_considered"),
+        epoch_to_timestamp(F.col("od")).alias("oldest_considered"))
 
 
 def start_running_success_rate(spark: SparkSession, source: str, out: str, *,
                                checkpoint: str | None = None, trigger: dict | None = None,
                                glob: str | None = "*.json", max_files_per_trigger: int | None = 1,
-                               service: str = TARGET_SERVICE) -> StreamingQuery:
+                               service: str = TARGET_SERVICE, log: str | None = None) -> StreamingQuery:
+    """Running rate per micro-batch: ``out/results`` holds the target's result,
+    ``out/per_service`` the rate, counts and span of every service; ``log`` names a
+    result log that gets a line per micro-batch."""
     from loglens.streaming.source import read_log_stream
 
     events = read_log_stream(spark, source, glob=glob, max_files_per_trigger=max_files_per_trigger)
     counts = running_counts_stream(events)
 
     def sink(df: DataFrame, epoch: int) -> None:
-        if df.isEmpty():
-            return
-        df.write.mode("overwrite").parquet(f"{out}/per_service/epoch={epoch}")
-        write_result(running_result(df, service), out, epoch)
+        write_result(df.withColumn("value", safe_ratio("successes", "total")), out, epoch, "per_service",
+                     retain=RETAIN_VERSIONS)
+        # a few rows, read back: the streaming aggregate runs once per micro-batch
+        _result(running_result(spark.read.parquet(f"{out}/per_service/epoch={epoch}"), service), out, epoch, log)
 
-    return _start(counts, sink, checkpoint=checkpoint or scratch_path(spark, "ckpt-running"),
+    return _start(counts, sink, checkpoint=run_checkpoint(spark, out, checkpoint),
                   output_mode="complete", trigger=trigger or {"processingTime": TRIGGER_INTERVAL},
                   name=None)
 
@@ -172,35 +179,62 @@ SLIDING_STATE = T.StructType([
     T.StructField("kind", T.StringType()),      # 'newest' or 'failure'
     T.StructField("ts", T.DoubleType()),
     T.StructField("n", T.LongType()),
+    T.StructField("total", T.LongType()),
 ])
 
 
-def sliding_step(state: DataFrame, batch: DataFrame, *, window_seconds: float,
-                 service: str) -> tuple[DataFrame, DataFrame]:
-    """One micro-batch: (new state, result rows: 0 or 1).
+def sliding_value(kept: DataFrame, rate: bool) -> DataFrame:
+    """The count (or, with ``rate``, the share) over a window's state rows."""
+    n, total = F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))
+    return kept.agg((safe_ratio(n, total) if rate else n.cast("double")).alias("value"))
 
-    State = the running newest plus the target's failures that can still
-    enter a window, pre-aggregated by timestamp (bounded by the window).
+
+def sliding_state_result(state: DataFrame, window_seconds: float, rate: bool = False) -> DataFrame:
+    """The result as of the state: newest time and the value of its window,
+    whatever order the events arrived in (one row, none before the first event)."""
+    newest = state.where(F.col("kind") == "newest").agg(F.max("ts")).first()[0]
+    if not newest:
+        return sliding_value(state.where("false"), rate).where("false").select(
+            "value", epoch_to_timestamp(F.lit(0.0)).alias("newest_considered"),
+            epoch_to_timestamp(F.lit(0.0)).alias("oldest_considered"))
+    low = newest - window_seconds
+    return sliding_value(state.where((F.col("kind") == "failure") & (F.col("ts") >= F.lit(low))), rate).select(
+        "value", epoch_to_timestamp(F.lit(float(newest))).alias("newest_considered"),
+        epoch_to_timestamp(F.lit(float(low))).alias("oldest_considered"))
+
+
+def sliding_step(state: DataFrame, batch: DataFrame, *, window_seconds: float, service: str,
+                 rate: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """One micro-batch: (new state, its result row or None).
+
+    State = the running newest plus the target's events (failures, or with
+    ``rate`` all of them with their errors) that can still enter a window,
+    pre-aggregated by timestamp (bounded by the window).
     """
     ts = F.coalesce(F.col("timestamp"), F.lit(DEFAULT_TIMESTAMP))
-    mine = (F.col("service") == F.lit(service)) & failure_not_ok_message("message")
+    mine = F.col("service") == F.lit(service)
+    if rate:
+        bad = F.coalesce(error_4xx_5xx(status_regex("message")), F.lit(False))
+    else:
+        mine, bad = mine & failure_not_ok_message("message"), F.lit(True)
     prev_newest = state.where(F.col("kind") == "newest").agg(F.max("ts")).first()[0]
     prev_newest = DEFAULT_TIMESTAMP if prev_newest is None else prev_newest
     batch_max = batch.agg(F.max(ts)).first()[0]
     newest = max(prev_newest, batch_max) if batch_max is not None else prev_newest
-    fails = (batch.where(mine).select(ts.alias("ts")).groupBy("ts").agg(F.count(F.lit(1)).alias("n"))
-             .select(F.lit("failure").alias("kind"), "ts", "n"))
+    fails = (batch.where(mine).select(ts.alias("ts"), bad.alias("bad")).groupBy("ts")
+             .agg(F.count(F.when(F.col("bad"), 1)).alias("n"), F.count(F.lit(1)).alias("total"))
+             .select(F.lit("failure").alias("kind"), "ts", "n", "total"))
     low = newest - window_seconds
     kept = (state.where(F.col("kind") == "failure").unionByName(fails)
-            .groupBy("kind", "ts").agg(F.sum("n").alias("n"))
+            .groupBy("kind", "ts").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
             .where(F.col("ts") >= F.lit(low)))
     spark = batch.sparkSession
-    new_state = kept.unionByName(spark.createDataFrame([("newest", float(newest), 0)], SLIDING_STATE))
+    new_state = kept.unionByName(spark.createDataFrame([("newest", float(newest), 0, 0)], SLIDING_STATE))
     if batch_max is not None and batch_max > prev_newest and newest > 0.0:
-        result = kept.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("double").alias("value")).select(
+        result = sliding_value(kept, rate).select(
             "value",
-            _micros_ntz(F.lit(float(newest))).alias("newest_considered"),
-            _micros_ntz(F.lit(float(low))).alias("oldest_considered"))
+            epoch_to_timestamp(F.lit(float(newest))).alias("newest_considered"),
+            epoch_to_timestamp(F.lit(float(low))).alias("oldest_considered"))
     else:
         result = None
     return new_state, result
@@ -210,8 +244,10 @@ def start_sliding_failures(spark: SparkSession, source: str, out: str, *,
                            checkpoint: str | None = None, trigger: dict | None = None,
                            glob: str | None = None, max_files_per_trigger: int | None = None,
                            window_seconds: float = SLIDING_WINDOW_SECONDS,
-                           service: str = TARGET_SERVICE) -> StreamingQuery:
-    """Sliding failure count per micro-batch (a poll of all new files)."""
+                           service: str = TARGET_SERVICE, rate: bool = False,
+                           log: str | None = None) -> StreamingQuery:
+    """Sliding failure count (with ``rate`` the documented 4xx/5xx share) per
+    micro-batch (a poll of all new files)."""
     from loglens.streaming.source import read_log_stream
 
     events = read_log_stream(spark, source, glob=glob, max_files_per_trigger=max_files_per_trigger)
@@ -222,14 +258,14 @@ def start_sliding_failures(spark: SparkSession, source: str, out: str, *,
         df.persist()
         try:
             state = read_state(spark, out, epoch, SLIDING_STATE)
-            new_state, result = sliding_step(state, df, window_seconds=window_seconds, service=service)
+            new_state, result = sliding_step(state, df, window_seconds=window_seconds, service=service, rate=rate)
             write_state(new_state, out, epoch)
             if result is not None:
-                write_result(result, out, epoch)
+                _result(result, out, epoch, log)
         finally:
             df.unpersist()
 
-    return _start(events, sink, checkpoint=checkpoint or scratch_path(spark, "ckpt-sliding"),
+    return _start(events, sink, checkpoint=run_checkpoint(spark, out, checkpoint),
                   output_mode="append", trigger=trigger or {"processingTime": TRIGGER_INTERVAL},
                   name=None)
 
@@ -270,8 +306,8 @@ def reservoir_step(state: DataFrame, batch: DataFrame, *, k: int, seed: int,
     mode = (sample.groupBy("code").agg(F.count(F.lit(1)).alias("sample_count"))
             .orderBy(F.desc("sample_count"), F.asc_nulls_last("code")).limit(1)
             .select(F.col("code").try_cast("double").alias("value"), "code", "sample_count",
-                    _micros_ntz(F.lit(span["nw"]).cast("double")).alias("newest_considered"),
-                    _micros_ntz(F.lit(span["od"]).cast("double")).alias("oldest_considered")))
+                    epoch_to_timestamp(F.lit(span["nw"]).cast("double")).alias("newest_considered"),
+                    epoch_to_timestamp(F.lit(span["od"]).cast("double")).alias("oldest_considered")))
     return sample, mode
 
 
@@ -279,7 +315,7 @@ def start_reservoir(spark: SparkSession, source: str, out: str, *, k: int = RESE
                     seed: int = GENERATOR_SEED, checkpoint: str | None = None,
                     trigger: dict | None = None, glob: str | None = "*.json",
                     max_files_per_trigger: int | None = None,
-                    identity: Column | None = None) -> StreamingQuery:
+                    identity: Column | None = None, log: str | None = None) -> StreamingQuery:
     from loglens.streaming.source import read_log_stream
 
     events = read_log_stream(spark, source, glob=glob, max_files_per_trigger=max_files_per_trigger)
@@ -292,11 +328,11 @@ def start_reservoir(spark: SparkSession, source: str, out: str, *, k: int = RESE
             state = read_state(spark, out, epoch, RESERVOIR_STATE)
             sample, mode = reservoir_step(state, df, k=k, seed=seed, identity=identity)
             write_state(sample, out, epoch)
-            write_result(mode, out, epoch)
+            _result(mode, out, epoch, log)
         finally:
             df.unpersist()
 
-    return _start(events, sink, checkpoint=checkpoint or scratch_path(spark, "ckpt-reservoir"),
+    return _start(events, sink, checkpoint=run_checkpoint(spark, out, checkpoint),
                   output_mode="append", trigger=trigger or {"processingTime": TRIGGER_INTERVAL},
                   name=None)
 
@@ -315,12 +351,10 @@ def start_bloom_ratio(spark: SparkSession, source: str, out: str, words: DataFra
     words = materialize(words, "bloom-filter")
 
     def sink(df: DataFrame, epoch: int) -> None:
-        if df.isEmpty():
-            return
         write_result(bloom_hit_ratio(df, words, batch="file_path", m_bits=m_bits,
                                      k_hashes=k_hashes), out, epoch)
 
-    return _start(events, sink, checkpoint=checkpoint or scratch_path(spark, "ckpt-bloom"),
+    return _start(events, sink, checkpoint=run_checkpoint(spark, out, checkpoint),
                   output_mode="append", trigger=trigger or {"processingTime": TRIGGER_INTERVAL},
                   name=None)
 
@@ -338,6 +372,6 @@ def start_quarantine(spark: SparkSession, source: str, out: str, *,
 
     raw = read_raw_stream(spark, source, glob=glob, max_files_per_trigger=max_files_per_trigger)
     w = (quarantine_files(raw).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-quarantine"))
+         .option("checkpointLocation", checkpoint or f"{out.rstrip('/')}/_checkpoint")
          .outputMode("append").trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL})))
     return w.start()

@@ -62,8 +62,35 @@ def write_state(df: DataFrame, root: str, epoch: int, retain: int | None = RETAI
     return spark.read.schema(df.schema).parquet(p)
 
 
-def write_result(df: DataFrame, root: str, epoch: int) -> None:
-    df.write.mode("overwrite").parquet(f"{root}/results/epoch={epoch}")
+def write_result(df: DataFrame, root: str, epoch: int, sub: str = "results",
+                 retain: int | None = None) -> None:
+    """Write micro-batch ``epoch``'s rows; with ``retain`` (complete mode, where an
+    epoch holds the whole answer) drop epochs more than that many back."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{root}/{sub}/epoch={epoch}")
+    if retain is not None:
+        jp, fs = _fs(spark, f"{root}/{sub}")
+        for st in fs.listStatus(jp):
+            name = st.getPath().getName()
+            if name.startswith("epoch=") and int(name.split("=", 1)[1]) < epoch - retain:
+                fs.delete(st.getPath(), True)
+
+
+def run_checkpoint(spark: SparkSession, root: str, checkpoint: str | None) -> str:
+    """The checkpoint that belongs to the results under ``root`` (default: inside it).
+
+    Results and state are only valid together with the checkpoint that made
+    them, so a folder that holds some is refused without its checkpoint:
+    a new run would mix its epochs with the old ones."""
+    path = checkpoint or f"{root.rstrip('/')}/_checkpoint"
+    jp, fs = _fs(spark, path)
+    if not fs.exists(jp):
+        for sub in ("results", "state", "per_service"):
+            old, ofs = _fs(spark, f"{root}/{sub}")
+            if ofs.exists(old):
+                raise FileExistsError(f"{root} holds {sub} of a run whose checkpoint is not at {path}; "
+                                      "name its checkpoint or a new output folder")
+    return path
 
 
 def read_results(spark: SparkSession, root: str) -> DataFrame:

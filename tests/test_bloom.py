@@ -57,10 +57,24 @@ def test_shuffle_path_when_filter_exceeds_broadcast_limit(spark):
     assert filter_bytes(1_000_000) < 1_000_000
 
 
-def test_dedupe_matches_per_row(spark):
+def test_probe_equals_all_bits(spark):
+    """Stopping at the first unset bit gives the same answers as testing all k."""
+    from loglens.functions import bloom_indices
+
     pats = spark.createDataFrame([("HTTP Status Code: 500",), ("HTTP Status Code: 404",)], "pattern string")
     filt = bloom_build(pats, m_bits=64, k_hashes=3)
-    df = events_df(spark, [[ev(t=i, code=c) for i, c in enumerate([200, 404, 500, 201, 302, 500])]])
-    a = {(r.event_id, r.hit) for r in bloom_contains(df, filt, "message", "hit", 64, 3).collect()}
-    b = {(r.event_id, r.hit) for r in bloom_contains(df, filt, "message", "hit", 64, 3, dedupe=True).collect()}
-    assert a == b
+    df = events_df(spark, [[ev(t=i, code=c) for i, c in enumerate([200, 404, 500, 201, 302, 500])] + [ev(t=9)]])
+    word = filt.first()["bits"] & (2**64 - 1)
+    got = bloom_contains(df, filt, F.coalesce("message", F.lit("")), "hit", 64, 3)
+    rows = got.withColumn("bits", F.array(*bloom_indices(F.coalesce("message", F.lit("")), 3, 64))).collect()
+    assert [r.hit for r in rows] == [all(word >> b & 1 for b in r.bits) for r in rows]
+
+
+def test_ratio_probes_messages_not_events(spark):
+    """No join on the message and no more shuffled rows than distinct (batch, message)."""
+    filt = bloom_build(spark.createDataFrame([("HTTP Status Code: 500",)], "pattern string"), m_bits=8192, k_hashes=3)
+    df = events_df(spark, [[ev(t=i, code=200 if i % 9 else 500) for i in range(200)] for _ in range(3)])
+    r = bloom_hit_ratio(df, filt, m_bits=8192, k_hashes=3)
+    assert [x.hits for x in r.orderBy("batch_id").collect()] == [23, 23, 23]
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "_bl_m" not in "".join(x for x in plan.split("\n") if "Join" in x)

@@ -11,6 +11,9 @@ from tools.check_oracle import TABLES, rows_key
 SF = "/root/testdata/sf0.001"
 SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
                    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+# results with a promised order
+SORTED = {"service_success_summary": ["service"], "windowed_success_rate": ["window_start", "service"],
+          "hopping_success_rate": ["window_start", "service"]}
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables absent")
 
 
@@ -38,8 +41,11 @@ def test_query_matches_oracle(spark, con, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan  # no pairs
     sql = E.oracle_sql().get(name)
     if sql is None:
-        assert len(rows) >= 0
+        assert rows and cols  # held against brute force elsewhere; here it must at least answer
         return
+    if name in SORTED:
+        keys = [tuple(r[c] for c in SORTED[name]) for r in rows]
+        assert keys == sorted(keys)
     cur = con.execute(sql)
     orows, ocols = cur.fetchall(), [d[0] for d in cur.description]
     assert sorted(cols) == sorted(ocols)

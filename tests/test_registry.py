@@ -53,14 +53,44 @@ def test_cli(spark, tmp_path, capsys):
     assert "0.5" in out
 
 
-def test_cli_generate_then_summary(spark, tmp_path, capsys):
+def test_cli_hands_out_every_result(spark, tmp_path, capsys):
     from loglens.__main__ import main
 
-    out = str(tmp_path / "gen")
-    main(["generate", "--output", out, "--num-files", "5", "--events-per-batch", "20"])
-    assert read_logs(spark, out, glob="*.txt").count() == 100
-    main(["--source", out, "--glob", "*.txt", "--task", "service_success_summary"])
-    assert "success_rate" in capsys.readouterr().out
+    d, out = str(tmp_path / "logs"), str(tmp_path / "out")
+    for i in range(40):
+        write_json(d, f"b{i:02d}.json", [ev(t=i + 1, code=200 if i % 2 else 500)])
+    main(["--source", d, "--order", "name", "--out", out])
+    assert spark.read.csv(out, header=True).count() == 40
+    capsys.readouterr()
+    main(["--source", d, "--order", "name"])
+    lines = capsys.readouterr().out.strip().splitlines()
+    ids = [int(x.split("\t")[0]) for x in lines[1:]]
+    assert ids == list(range(40))
+
+
+def test_number_files_from_metadata(spark, tmp_path):
+    from loglens.operators.running import running_success_rate_target
+    from loglens.sources.files import number_files
+
+    d = str(tmp_path / "logs")
+    for i, name in enumerate(["c.json", "a.json", "b.json"]):
+        write_json(d, name, [ev(t=i + 1, code=200 if i else 500)])
+    numbers = number_files(spark, d, order=("file_path",))
+    assert [(r.file_name, r.batch_id) for r in numbers.orderBy("batch_id").collect()] == [("a.json", 0), ("b.json", 1), ("c.json", 2)]
+    plan = numbers._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan and "content" not in plan
+    logs = read_logs(spark, d)
+    want = running_success_rate_target(file_batches(logs, numbers=numbers)).orderBy("batch_id").collect()
+    assert running_success_rate_target(logs, numbers=numbers).orderBy("batch_id").collect() == want
+
+
+def test_clean_scratch(spark):
+    from loglens.session import clean_scratch
+
+    path = materialize(spark.range(3), "to-clean").inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    clean_scratch(spark, "mat-to-clean")
+    assert not os.path.exists(path)
 
 
 def test_checkpoint_root_when_cluster_names_none(tmp_path):
@@ -101,11 +131,15 @@ def test_cli_bloom_with_config(spark, tmp_path, capsys):
 
 
 @pytest.mark.parametrize("name", sorted(__import__("loglens.registry", fromlist=["OPERATORS"]).OPERATORS))
-def test_every_registered_operator_runs(spark, name):
+def test_every_registered_operator_runs(spark, name, tmp_path):
     from loglens.sources.views import load_log_view
 
     v = load_log_view(spark, "/root/testdata/sf0.001", dirty=True, late=True)
-    opts = {"window_duration": "1 hour", "slide_duration": "10 minutes"} if name == "hopping_success_rate" else {}
+    opts = {"unknown_option": 1, "window_duration": "1 hour", "slide_duration": "10 minutes"}
+    if name.startswith("bloom"):
+        patterns = tmp_path / "patterns.txt"
+        patterns.write_text("HTTP Status Code: 500\n")
+        opts |= {"filter_file": str(patterns), "m_bits": 8192, "k_hashes": 3}
     assert run(name, v, **opts).count() > 0
 
 

@@ -200,3 +200,69 @@ def test_state_versions_read_and_retention(spark, tmp_path):
     assert [r.x for r in read_state(spark, root, 10, schema).collect()] == [9]
     # v=4 stays: it is the predecessor a replay of epoch 9 reads
     assert sorted(d for d in os.listdir(os.path.join(root, "state")) if d.startswith("v=")) == ["v=4", "v=9"]
+
+
+def test_incomplete_rows_do_not_move_the_watermark(spark, tmp_path):
+    """A coded row at 100 s, an uncoded one at 500 s, a coded one at 101 s: both coded rows count."""
+    rows = [[ev(service="s", t=100, code=200)], [ev(service="s", t=500, message="no code")], [ev(service="s", t=101, code=200)]]
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    os.makedirs(src)
+    q = start_windowed_success_rate(spark, src, out, output_mode="update", trigger={"processingTime": "100 milliseconds"},
+                                    max_files_per_trigger=1)
+    try:
+        _feed(spark, q, src, rows)
+    finally:
+        q.stop()
+    assert read_results(spark, out).agg(F.max("total")).first()[0] == 2
+
+
+def test_restart_continues_and_equals_one_run(spark, tmp_path):
+    from loglens.streaming.operators import SLIDING_STATE, sliding_state_result
+    from loglens.streaming.state import read_state
+
+    batches = [[ev(t=10, code=200), ev(t=20, code=500)], [ev(t=40, code=404)], [ev(t=75, code=200), ev(t=70, code=500)]]
+    starts = {"window": start_windowed_success_rate, "running": start_running_success_rate,
+              "sliding": start_sliding_failures, "sample": start_reservoir}
+    for name, start in starts.items():
+        src, out, one = (str(tmp_path / f"{name}-{x}") for x in ("src", "out", "one"))
+        for i, b in enumerate(batches):
+            write_json(src, f"b{i}.json", b)
+            q = start(spark, src, out, trigger={"availableNow": True})
+            q.awaitTermination()
+        q = start(spark, src, one, trigger={"availableNow": True}, max_files_per_trigger=None)
+        q.awaitTermination()
+        if name == "sliding":
+            a, b = (sliding_state_result(read_state(spark, x, 1 << 62, SLIDING_STATE), 60).collect() for x in (out, one))
+        else:
+            a, b = (sorted(map(tuple, last_epoch(spark, x).collect())) for x in (out, one))
+        assert a == b, name
+
+
+def test_results_without_their_checkpoint_are_refused(spark, tmp_path):
+    import pytest
+
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    write_json(src, "a.json", [ev(t=1, code=200)])
+    start_running_success_rate(spark, src, out, checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True}).awaitTermination()
+    with pytest.raises(FileExistsError):
+        start_running_success_rate(spark, src, out, trigger={"availableNow": True})
+
+
+def test_sliding_rate_stream_and_result_log(spark, tmp_path):
+    src, out, log = (str(tmp_path / x) for x in ("src", "out", "log"))
+    os.makedirs(src)
+    q = start_sliding_failures(spark, src, out, rate=True, log=log, trigger={"processingTime": "100 milliseconds"})
+    try:
+        _feed(spark, q, src, [[ev(t=10, code=200), ev(t=20, code=500)], [ev(t=75, code=404)]])
+    finally:
+        q.stop()
+    assert [r.value for r in read_results(spark, out).orderBy("epoch").collect()] == [0.5, 1.0]
+    assert sorted(r.value.split(",")[1] for r in spark.read.text(log).collect()) == ["0.5000", "1.0000"]
+
+
+def test_per_service_rates(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    write_json(src, "a.json", [ev(t=1, code=200), ev(t=2, code=500), ev(service="training", t=3, code=201)])
+    start_running_success_rate(spark, src, out, trigger={"availableNow": True}).awaitTermination()
+    got = {r.service: r.value for r in last_epoch(spark, out, "per_service").collect()}
+    assert got == {"monitoring": 0.5, "training": 1.0}
