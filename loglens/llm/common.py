@@ -8,9 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from loglens.plans.materialize import materialize
+from loglens.plans.rank import with_rank  # noqa: F401
 
 #: ASCII white space, \x20 and \x09-\x0D; also what ``bytes.split()`` splits at.
 WHITE = " \t\n\x0b\f\r"
@@ -35,21 +35,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
-def with_rank(df: DataFrame, order: list[Column], name: str, rank: str = "rank") -> DataFrame:
-    """``df`` plus its 0-based position in the total order ``order`` (a bigint).
+#: Rows of a few numbers (about 50 MB as a hash table) up to which a staged table is broadcast.
+SMALL_ROWS = 1_000_000
 
-    Range partitions are numbered on their own and shifted by the rows before
-    them, so no task sees more than one partition's rows; the only
-    unpartitioned window runs over one row per partition.
-    """
-    parts = stage(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), name)
-    before = (parts.groupBy("_part").agg(F.count("*").alias("_n"))
-              .withColumn("_before", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n"))
-              .select("_part", "_before"))
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return (parts.withColumn("_i", inside).join(before, "_part")
-            .withColumn(rank, (F.col("_before") + F.col("_i") - 1).cast("bigint"))
-            .drop("_part", "_i", "_before"))
+
+def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A staged table of narrow rows, marked for broadcast if a count finds it small
+    enough: the other side, of whole texts, then stays where it is.  A larger
+    table is joined by shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:

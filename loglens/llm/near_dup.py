@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglens.llm.common import join_hot, mix, read, shingle_sets, stage, text_chunks
+from loglens.llm.common import join_hot, mix, read, shingle_sets, small_side, stage, text_chunks
 
 COORDS, MATCHES, LIST, BLOCK = 64, 34, 32, 128
 _SEEDS = np.random.default_rng(6).integers(0, 2**62, (2, COORDS), dtype=np.uint64)
@@ -214,10 +214,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spokes = (long_.join(hubs, "v").where("id <> hub")
               .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")))
     pairs = stage(short.unionByName(spokes).distinct(), "pairs")
-    in_play = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))) \
-        .unionByName(long_.select("id")).distinct()
-    texts = stage(rows.join(in_play, "id").groupBy("id").agg(F.first("body").alias("body")), "texts")
-    sigs = stage(classes.join(in_play, "id").select("id", "sig"), "sigs")
+    in_play = stage(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))) \
+        .unionByName(long_.select("id")).distinct(), "in-play")
+    texts = stage(rows.join(small_side(in_play), "id").groupBy("id").agg(F.first("body").alias("body")), "texts")
+    sigs = stage(classes.join(small_side(in_play), "id").select("id", "sig"), "sigs")
     edges = stage(confirm(pairs, texts, sigs, k, percent), "links")
     comps = components(edges)
     more = _apart(long_.select("v", "id"), comps, texts, k, percent)
