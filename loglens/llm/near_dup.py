@@ -250,8 +250,8 @@ e AS (SELECT x.doc_id AS a, y.doc_id AS b FROM s x JOIN s y ON x.s = y.s
       JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id
       WHERE x.doc_id <> y.doc_id AND least(p.n, q.n) * 100 >= 80 * greatest(p.n, q.n)
       GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*)))
-, g(id, at) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.a, g.at FROM g JOIN e ON e.b = g.id)
-, c AS (SELECT id, min(at) AS comp FROM g GROUP BY id)
+, g(id, near) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.a, g.near FROM g JOIN e ON e.b = g.id)
+, c AS (SELECT id, min(near) AS comp FROM g GROUP BY id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.comp AS component_id, d.doc_id = c.comp AS kept
 FROM documents d LEFT JOIN n USING (doc_id) JOIN c ON c.id = d.doc_id
 """
