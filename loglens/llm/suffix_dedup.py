@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from loglens.llm.common import BASE, bounded_sample, mix, powers, read, stage, text_chunks
 
 LENGTH, SEED, GROUP, PART, SPLITTER_SAMPLE = 200, 40, 4096, 20_000, 10_000
+PAIRS = 48  # spans up to which the pairs of a group are gone through one by one
 _VALUES = np.random.default_rng(9).integers(1, 2**63, 256, dtype=np.uint64)
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -221,6 +222,30 @@ def repeated_windows(right: np.ndarray, left: np.ndarray, size: np.ndarray, anch
     return most, least
 
 
+def repeated_windows_of_few(right: list[int], lefts: list[bytes], size: list[int], anchor: list[int],
+                            length: int) -> tuple[list[int], list[int]]:
+    """:func:`repeated_windows` by pairs: the common prefix of two suffixes is the
+    smallest between them, and their equal windows are one range of a."""
+    g = len(right)
+    most, least = [-1] * g, [-1] * g
+    for i in range(g):
+        shared = length
+        for j in range(i + 1, g):
+            shared = min(shared, right[j])
+            low = max(length - shared, anchor[i] - size[i] + 1)
+            if low > anchor[i]:
+                break  # it only gets shorter
+            low = max(low, anchor[j] - size[j] + 1)
+            high = min(anchor[i], anchor[j])
+            if low <= high:
+                high = min(high, common(lefts[i], lefts[j]))
+                if low <= high:
+                    for x in (i, j):
+                        most[x] = max(most[x], high)
+                        least[x] = low if least[x] < 0 else min(least[x], low)
+    return most, least
+
+
 def _sorted_runs(splitters: list[bytes]):
     """Different spans to this task's sorted, front-coded run for each range."""
 
@@ -255,15 +280,18 @@ def _merged(length: int):
         group: list[tuple] = []
 
         def decide() -> None:
-            if len(group) > 1:
+            if len(group) > PAIRS:
                 right = np.array([x[0] for x in group])
                 size, anchor = np.array([x[4] for x in group]), np.array([x[5] for x in group])
                 order = sorted(range(len(group)), key=lambda i: group[i][1])
                 left = np.array([0, *(common(group[i][1], group[j][1]) for i, j in zip(order[:-1], order[1:], strict=True))])
-                most, least = repeated_windows(right, (np.array(order), left), size, anchor, length)
-                for x, a, b in zip(group, most.tolist(), least.tolist(), strict=True):
-                    if a >= 0:
-                        out.append((x[2], x[3], x[5] - a, x[5] - b + length))
+                most, least = (x.tolist() for x in repeated_windows(right, (np.array(order), left), size, anchor, length))
+            else:
+                right, lefts, size, anchor = ([x[i] for x in group] for i in (0, 1, 4, 5))
+                most, least = repeated_windows_of_few(right, lefts, size, anchor, length)
+            for x, a, b in zip(group, most, least, strict=True):
+                if a >= 0:
+                    out.append((x[2], x[3], x[5] - a, x[5] - b + length))
             group.clear()
 
         for _, lcp, r, i in merge_runs(list(zip(cols[0], cols[1], strict=True))):
