@@ -86,9 +86,10 @@ def repeats(rng, n):
     return out
 
 
-@pytest.mark.parametrize(("length", "group"), [(60, 4096), (60, 3), (200, 4096)])
-def test_suffix_dedup_brute_force(spark, monkeypatch, length, group):
+@pytest.mark.parametrize(("length", "group", "pairs"), [(60, 4096, 48), (60, 3, 48), (200, 4096, 48), (60, 4096, 0)])
+def test_suffix_dedup_brute_force(spark, monkeypatch, length, group, pairs):
     monkeypatch.setattr(sd, "GROUP", group)
+    monkeypatch.setattr(sd, "PAIRS", pairs)
     monkeypatch.setattr(sd, "PART", 20)
     rng = random.Random(length + group)
     texts = repeats(rng, 120) + ["ab" * 150, "x" * 250, "x" * 90 + "y" * 90, "abc " * 70, "é" * 110, "", None]
