@@ -2,7 +2,9 @@
 
 Derived from the driver's ``events`` table (every row repeated ``FACTOR``
 times); a third of all events are moved into batch 0 with one shared
-timestamp (a hot batch, a hot key and a hot time block at once).
+timestamp (a hot batch, a hot key and a hot time block at once), another third
+keep their batch but all lose their timestamp (one time shared by all
+batches), and nine of ten carry one message.
 Usage: python tools/stress.py [sf_dir] [factor]
 """
 
@@ -35,7 +37,10 @@ def main() -> None:
            .drop("_j"))
     hot = F.pmod(F.col("event_id"), F.lit(3)) == 0
     big = (big.withColumn("batch_id", F.when(hot, F.lit(0).cast("bigint")).otherwise(F.col("batch_id")))
-              .withColumn("timestamp", F.when(hot, F.lit(1_704_500_000.0)).otherwise(F.col("timestamp"))))
+              .withColumn("timestamp", F.when(hot, F.lit(1_704_500_000.0))
+                          .when(F.pmod(F.col("event_id"), F.lit(3)) != 1, F.col("timestamp")))
+              .withColumn("message", F.when(F.pmod(F.col("event_id"), F.lit(10)) > 0, F.lit("HTTP Status Code: 500"))
+                          .otherwise(F.col("message"))))
     path = scratch_path(spark, "stress")
     big.write.parquet(path)
     df = spark.read.parquet(path)
