@@ -35,6 +35,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files of a staged table; only once all that is built from it is staged."""
+    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent() if df.inputFiles() else None
+    if folder is not None:
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 #: Rows of a few numbers (about 50 MB as a hash table) up to which a staged table is broadcast.
 SMALL_ROWS = 1_000_000
 

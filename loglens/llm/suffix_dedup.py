@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglens.llm.common import BASE, bounded_sample, mix, powers, read, stage, text_chunks
+from loglens.llm.common import BASE, bounded_sample, discard, mix, powers, read, small_side, stage, text_chunks
 
 LENGTH, SEED, GROUP, PART, SPLITTER_SAMPLE = 200, 40, 4096, 20_000, 10_000
 PAIRS = 48  # spans up to which the pairs of a group are gone through one by one
@@ -280,6 +280,14 @@ def _merged(length: int):
         group: list[tuple] = []
 
         def decide() -> None:
+            if len({x[3] for x in group}) < len(group):  # a span may come from several tasks
+                once, shared = {}, 0
+                for x in group:  # the common prefix with the last one kept is the smallest in between
+                    shared = x[0] if not once else min(shared, x[0])
+                    if x[3] not in once:
+                        once[x[3]] = (shared, *x[1:])
+                        shared = length
+                group[:] = once.values()
             if len(group) > PAIRS:
                 right = np.array([x[0] for x in group])
                 size, anchor = np.array([x[4] for x in group]), np.array([x[5] for x in group])
@@ -320,23 +328,28 @@ def _windows(length: int):
     return run
 
 
-def _decide(spans: DataFrame, length: int) -> DataFrame:
-    """``h, sh, low, high`` of the bytes repeated among different spans (h, sh, size,
-    anchor, span, n) of one anchor each."""
+def _decide(found: DataFrame, spans: DataFrame, length: int) -> DataFrame:
+    """``h, sh, low, high`` of the bytes repeated among different spans of one anchor.
+
+    ``spans`` has a row per span (h, sh, n), ``found`` its bytes, possibly several times."""
     kinds = spans.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    open_ = stage(spans.join(kinds, "h"), "open-spans")
+    keys = stage(spans.join(kinds, "h").select("h", "sh", "kinds"), "open-spans")
+    open_ = (found.where("span is not null").select("h", "sh", "size", "anchor", "span")
+             .join(small_side(keys), ["h", "sh"]))
     few = open_.where(F.col("kinds") <= GROUP).select("h", "sh", "size", "anchor", "span")
+    chosen = bounded_sample(keys.where(F.col("kinds") <= GROUP).select("h").distinct(), "h", SPLITTER_SAMPLE)
     seed = F.expr(f"substring(span, anchor + 1, {SEED})")
-    sample = sorted(bytes(r[1]) for r in bounded_sample(
-        few.groupBy("h").agg(F.first(seed).alias("s")), "h", SPLITTER_SAMPLE).collect())
-    parts = max(1, -(-few.count() // PART))
+    sample = sorted(bytes(r[1]) for r in found.where("span is not null").select("h", seed.alias("s"))
+                    .join(F.broadcast(chosen), "h").groupBy("h").agg(F.first("s")).collect())
+    parts = max(1, -(-keys.where(F.col("kinds") <= GROUP).count() // PART))
     splitters = sorted({sample[len(sample) * i // parts] for i in range(1, parts)}) if sample else []
     merged = (few.mapInArrow(_sorted_runs(splitters), "part int, lcp array<int>, tails array<binary>, lefts array<binary>, "
                              "h array<bigint>, sh array<bigint>, size array<int>, anchor array<int>")
               .groupBy("part").applyInArrow(_merged(length), "h bigint, sh bigint, low int, high int"))
-    many = open_.where(F.col("kinds") > GROUP).select("h", "sh", "size", "span")
-    if many.limit(1).count() == 0:
+    if keys.where(F.col("kinds") > GROUP).limit(1).count() == 0:
         return merged
+    many = (open_.where(F.col("kinds") > GROUP).groupBy("h", "sh")
+            .agg(F.first("size").alias("size"), F.max("span").alias("span")))
     windows = stage(many.mapInArrow(_windows(length), "h bigint, sh bigint, at int, w bigint"), "windows")
     twice = windows.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
     counted = (windows.join(twice, "w").groupBy("h", "sh")
@@ -371,6 +384,12 @@ def _cut(id_col: str):
     return run
 
 
+def _with(rows: DataFrame, some: DataFrame, key: list[str]) -> DataFrame:
+    """Rows that a staged table holds, with its columns.  Where its keys are few enough to
+    broadcast, only the texts of those rows move."""
+    return rows.join(small_side(some.select(*key)), key, "left_semi").join(some, key)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """Per row: ``<id_col>, n_bytes, n_removed, n_spans, kept`` (binary: the bytes left).
 
@@ -387,20 +406,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = stage(rows.select(*key, "text").mapInArrow(
         _classes_of(length), "k1 bigint, k2 bigint, begin int, size int, anchor int, h bigint"), "classes")
     twice = classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    again = (classes.join(twice, "h").groupBy(*key)
-             .agg(F.collect_list(F.struct("begin", "size", "anchor", "h")).alias("classes")))
-    found = stage(rows.select(*key, "text").join(again, key).select(*key, "text", "classes").mapInArrow(
+    again = stage(classes.join(twice, "h").groupBy(*key)
+                  .agg(F.collect_list(F.struct("begin", "size", "anchor", "h")).alias("classes")), "again")
+    discard(classes)
+    found = stage(_with(rows.select(*key, "text"), again, key).select(*key, "text", "classes").mapInArrow(
         _spans_of(length), "k1 bigint, k2 bigint, begin int, size int, anchor int, h bigint, sh bigint, span binary"), "spans")
-    spans = stage(found.groupBy("h", "sh").agg(
-        F.count("*").alias("n"), F.first("size").alias("size"), F.first("anchor").alias("anchor"),
-        F.max("span").alias("span")), "span-kinds")
+    discard(again)
+    spans = stage(found.groupBy("h", "sh").agg(F.count("*").alias("n"), F.first("size").alias("size")), "span-kinds")
     whole = spans.where("n > 1").select("h", "sh", F.lit(0).alias("low"), (F.col("size") + (length - 1)).alias("high"))
-    repeats = stage(whole.unionByName(_decide(spans, length)), "repeats")
-    cuts = (found.select(*key, "begin", "h", "sh").join(repeats, ["h", "sh"])
+    repeats = stage(whole.unionByName(_decide(found, spans, length)), "repeats")
+    cuts = stage(found.select(*key, "begin", "h", "sh").join(repeats, ["h", "sh"])
             .groupBy(*key).agg(F.collect_set(F.struct((F.col("begin") + F.col("low")).alias("low"),
-                                                      (F.col("begin") + F.col("high")).alias("high"))).alias("cuts")))
-    return (rows.join(cuts, key, "left").select("id", "text", "cuts")
-            .mapInArrow(_cut(id_col), f"{id_col} bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"))
+                                                      (F.col("begin") + F.col("high")).alias("high"))).alias("cuts")), "cuts")
+    discard(found)
+    keys = small_side(cuts.select(*key))
+    whole_rows = rows.join(keys, key, "left_anti").withColumn("cuts", F.lit(None).cast(cuts.schema["cuts"].dataType))
+    both = _with(rows, cuts, key).select("id", "text", "cuts").unionByName(whole_rows.select("id", "text", "cuts"))
+    return (both.mapInArrow(_cut(id_col), f"{id_col} bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"))
 
 
 def query(spark, sf_dir) -> DataFrame:
