@@ -119,8 +119,8 @@ class Lookup:
     dense tables where those fit, else (and words) by binary search."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray, width: int | None = None, limit: int = 1 << 24):
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.values = keys[order], values[order]
+        self.keys, first = np.unique(keys, return_index=True)  # a chunk read by two tasks asks twice
+        self.values = values[first]
         self.steps: list[np.ndarray] | None = None
         if width and len(keys):
             symbol = np.zeros(256, np.int64)
@@ -240,7 +240,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     values = (gram_log10(totals.where(F.col("kind") == GRAM).select("key", "n"))
               .select(F.lit(GRAM).alias("kind"), "key", "value")
               .unionByName(totals.where(F.col("kind") == WORD).select("kind", "key", F.col("n").cast("double").alias("value"))))
-    answers = asked.select("chunk", "kind", "key").distinct().join(values, ["kind", "key"])
+    answers = asked.select("chunk", "kind", "key").join(values, ["kind", "key"])
     floor = float(np.log10(tokens + kinds + 1))
 
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
