@@ -217,7 +217,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     in_play = stage(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))) \
         .unionByName(long_.select("id")).distinct(), "in-play")
     texts = stage(rows.join(small_side(in_play), "id").groupBy("id").agg(F.first("body").alias("body")), "texts")
-    sigs = stage(classes.join(small_side(in_play), "id").select("id", "sig"), "sigs")
+    # 15 bits of each coordinate do for counting agreements; the sets confirm
+    short_sig = F.transform("sig", lambda x: x.bitwiseAND(F.lit(0x7FFF)).cast("smallint"))
+    sigs = stage(classes.join(small_side(in_play), "id").select("id", short_sig.alias("sig")), "sigs")
     edges = stage(confirm(pairs, texts, sigs, k, percent), "links")
     comps = components(edges)
     more = _apart(long_.select("v", "id"), comps, texts, k, percent)
