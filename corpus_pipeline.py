@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglens.llm.common import read, stage
+from loglens.llm.common import read, small_side, stage
 from loglens.llm.decontaminate import contained_items
 from loglens.llm.line_dedup import line_dedup
 from loglens.llm.mixing import mix_sources
@@ -20,14 +20,16 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Documents whose id is (``left_semi``) or is not (``left_anti``) in ``ids``."""
-    return docs.select(*COLUMNS).join(ids.select("doc_id"), "doc_id", how)
+    """Documents whose id is (``left_semi``) or is not (``left_anti``) in ``ids``; the
+    texts stay where they are if a count finds the ids few enough to broadcast."""
+    ids = stage(ids.select("doc_id").distinct(), "ids")
+    return docs.select(*COLUMNS).join(small_side(ids), "doc_id", how)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the learned decision list keep."""
     verdicts = quality_rules(docs, read(spark, sf_dir, "labels"))
-    return _only(docs, verdicts.where("not kept").distinct(), "left_anti")
+    return _only(docs, verdicts.where("not kept"), "left_anti")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,13 +43,13 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (5-word shingles, similarity 0.8): the smallest id."""
     verdicts = near_duplicates(docs, k=5, percent=80)
-    return _only(docs, verdicts.where("not kept").distinct(), "left_anti")
+    return _only(docs, verdicts.where("not kept"), "left_anti")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    pairs = stage(contained_items(docs, read(spark, sf_dir, "benchmark")), "leaks")
-    return _only(docs, pairs.select("doc_id").distinct(), "left_anti")
+    pairs = contained_items(docs, read(spark, sf_dir, "benchmark"))
+    return _only(docs, pairs, "left_anti")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
