@@ -21,7 +21,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Documents whose id is (``left_semi``) or is not (``left_anti``) in ``ids``; the
-    texts stay where they are if a count finds the ids few enough to broadcast."""
+    texts stay where they are if a count finds the ids few enough to broadcast.  A
+    document without an id cannot be named, so ``left_anti`` keeps it."""
     ids = stage(ids.select("doc_id").distinct(), "ids")
     return docs.select(*COLUMNS).join(small_side(ids), "doc_id", how)
 
