@@ -82,14 +82,16 @@ def _sets(col: pa.Array, k: int) -> list[np.ndarray]:
     return [s for _, _, raw, off in text_chunks(col) for s in shingle_sets(raw, off, k)]
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, sigs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of candidate ``pairs`` (a, b) those that agree in ``MATCHES`` coordinates
-    and whose full sets are similar enough."""
+def agreeing(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Of candidate ``pairs`` (a, b) those that agree in ``MATCHES`` coordinates."""
     agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-    near = (pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a")
+    return (pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a")
             .join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
             .where(agree >= MATCHES).select("a", "b"))
-    near = stage(near, "near-pairs")
+
+
+def confirm(near: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Of pairs (a, b) those whose full sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,13 +216,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spokes = (long_.join(hubs, "v").where("id <> hub")
               .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")))
     pairs = stage(short.unionByName(spokes).distinct(), "pairs")
-    in_play = stage(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))) \
-        .unionByName(long_.select("id")).distinct(), "in-play")
-    texts = stage(rows.join(small_side(in_play), "id").groupBy("id").agg(F.first("body").alias("body")), "texts")
+    ids = lambda p: p.select(F.col("a").alias("id")).unionByName(p.select(F.col("b").alias("id")))
     # 15 bits of each coordinate do for counting agreements; the sets confirm
     short_sig = F.transform("sig", lambda x: x.bitwiseAND(F.lit(0x7FFF)).cast("smallint"))
-    sigs = stage(classes.join(small_side(in_play), "id").select("id", short_sig.alias("sig")), "sigs")
-    edges = stage(confirm(pairs, texts, sigs, k, percent), "links")
+    paired = stage(ids(pairs).distinct(), "paired")
+    sigs = stage(classes.join(small_side(paired), "id").select("id", short_sig.alias("sig")), "sigs")
+    near = stage(agreeing(pairs, sigs), "near-pairs")
+    # texts are fetched only now: chance collisions are gone
+    in_play = stage(ids(near).unionByName(long_.select("id")).distinct(), "in-play")
+    texts = stage(rows.join(small_side(in_play), "id").groupBy("id").agg(F.first("body").alias("body")), "texts")
+    edges = stage(confirm(near, texts, k, percent), "links")
     comps = components(edges)
     more = _apart(long_.select("v", "id"), comps, texts, k, percent)
     if more is not None:
