@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loglens.llm.common import LOWER, UPPER, WHITE, lower_ascii
+from loglens.llm.common import LOWER, UPPER, WHITE, lower_ascii, read, small_side, stage
 
 KEY = ["h1", "h2"]
 
@@ -47,6 +47,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = (lines.groupBy(*KEY, "id").agg(F.lit(1).alias("one"))
              .groupBy(*KEY).agg(F.count("one").alias("n_docs"), F.min("id").alias("keeper"))
              .where(F.col("n_docs") >= min_docs).select(*KEY, "keeper"))
+    # staged, so that the join below reads plain exchanges, which Spark splits where a line is hot
+    found = small_side(stage(found, "found-lines"))
     dropped = (lines.join(found, KEY).where(F.col("id") != F.col("keeper"))
                .groupBy("id", "body").agg(F.collect_set("pos").alias("gone")))
     joined = rows.join(dropped, ["id", "body"], "left")
@@ -65,8 +67,6 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def query(spark, sf_dir) -> DataFrame:
-    from loglens.llm.common import read
-
     out = line_dedup(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
