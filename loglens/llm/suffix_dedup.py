@@ -405,8 +405,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                        F.xxhash64(text).alias("k2"), text.cast("binary").alias("text"))
     classes = stage(rows.select(*key, "text").mapInArrow(
         _classes_of(length), "k1 bigint, k2 bigint, begin int, size int, anchor int, h bigint"), "classes")
-    twice = classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    again = stage(classes.join(twice, "h").groupBy(*key)
+    # staged, so that the join below reads plain exchanges, which Spark splits where an anchor is hot
+    twice = stage(classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "twice")
+    again = stage(classes.join(small_side(twice), "h").groupBy(*key)
                   .agg(F.collect_list(F.struct("begin", "size", "anchor", "h")).alias("classes")), "again")
     discard(classes)
     found = stage(_with(rows.select(*key, "text"), again, key).select(*key, "text", "classes").mapInArrow(
