@@ -199,14 +199,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     key = ["h1", "h2"]
     classes = stage(named.groupBy(*key).agg(F.min("id").alias("id"), F.first("sig").alias("sig")), "classes")
     posts = classes.select("id", F.explode("sig").alias("v"))
-    often = posts.groupBy("v").agg(F.count("*").alias("f")).where("f > 1")
+    # staged, so that the join below reads plain exchanges, which Spark splits where a value is hot
+    often = stage(posts.groupBy("v").agg(F.count("*").alias("f")).where("f > 1"), "often")
     own = posts.join(often, "v").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("f", "v"))).alias("l"))
     live = stage(own.where(F.size("l") >= MATCHES).select(
         "id", F.aggregate("l", F.lit(0).cast("bigint"), lambda s, x: s + x["f"]).alias("middle"),
         F.slice(F.col("l.v"), F.lit(1), F.size("l") - (MATCHES - 1)).alias("prefix")), "live")
     lists = live.select("id", "middle", F.explode("prefix").alias("v"))
-    sizes = lists.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
-    lists = stage(lists.join(sizes, "v"), "lists")
+    sizes = stage(lists.groupBy("v").agg(F.count("*").alias("c")).where("c > 1"), "list-sizes")
+    lists = stage(lists.join(small_side(sizes), "v"), "lists")
     short = (lists.where(F.col("c") <= LIST).groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("m"))
              .select(F.explode(F.flatten(F.transform("m", lambda x: F.transform(
                  F.filter("m", lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p"))
