@@ -34,6 +34,8 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""",
 NAME = re.compile(r"[a-z]+")
 #: Tags whose text is never shown, tags without content, tags inside a line.
 HIDDEN = frozenset("script style template noscript head title svg iframe object math".split())
+#: Start tags that leave an open head open; any other one, or a visible character, ends it.
+IN_HEAD = frozenset("base link meta noframes noscript script style template title".split())
 RAW = frozenset("script style title textarea iframe noscript template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr del".split())
@@ -57,7 +59,12 @@ def leaf_blocks(page: str | None) -> list[Block]:
     linked: list[str] = []
     page = page or ""
 
+    def in_head() -> bool:
+        return bool(stack) and stack[-1][0] == "head"
+
     def text(lo: int, hi: int) -> None:
+        if in_head() and page[lo:hi].strip():
+            stack.pop()
         if hi > lo and not any(t in HIDDEN for t, _ in stack):
             parts.append(page[lo:hi])
             if any(t == "a" for t, _ in stack):
@@ -80,6 +87,8 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if not tag:
             continue
         close = bool(m[1] or m[4])
+        if not close and tag not in IN_HEAD and in_head():
+            stack.pop()
         if tag == "br":
             parts.append(" ")
             continue

@@ -97,6 +97,16 @@ def test_leaf_blocks():
     assert hx.landmark_labels(hx.leaf_blocks(PAGE)) == [0, 0, 0, 1, 1, 1, 0, 0]
 
 
+@pytest.mark.parametrize("start", ["<body>", "<body class=x>", "", "<div>", "<br>", "<img src=x>"])
+def test_leaf_blocks_without_head_end(start):
+    page = f"<html><head><title>No</title><meta name=a><link rel=b><script>no</script><style>no</style>\n{start}"
+    blocks = hx.leaf_blocks(page + "<article><p>Hello, <b>head</b></article>")
+    assert [b[0] for b in blocks] == ["Hello, head"]
+    assert "head" not in [t for t, _ in blocks[0][2]] and hx.landmark_labels(blocks) == [1]
+    assert [b[0] for b in hx.leaf_blocks(page + "Hello, <i>head</i><p>More")] == ["Hello, head", "More"]
+    assert hx.leaf_blocks("<head><noframes><p>no</p></noframes><title>no</title></head>") == []
+
+
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables absent")
 def test_extraction_held_out(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
