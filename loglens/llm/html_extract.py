@@ -138,8 +138,7 @@ def block_features(blocks: list[Block]) -> list[list[str]]:
              f"commas{min(3, text.count(','))}", f"place{4 * i // n}", f"first{min(i, 3)}", f"last{min(n - 1 - i, 3)}"]
         f.append(f"before{min(9, sizes[i - 1].bit_length()) if i else 'none'}")
         f.append(f"after{min(9, sizes[i + 1].bit_length()) if i + 1 < n else 'none'}")
-        low = text[:80].lower()
-        f += [f"sign{c}" for c in "©|»@" if c in low]
+        f += [f"sign{c}" for c in "©|»@" if c in text]
         inner = next((t for t, _ in reversed(stack) if t not in INLINE), "none")
         f.append(f"parent:{inner}")
         seen = set()

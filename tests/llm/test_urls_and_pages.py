@@ -107,6 +107,12 @@ def test_leaf_blocks_without_head_end(start):
     assert hx.leaf_blocks("<head><noframes><p>no</p></noframes><title>no</title></head>") == []
 
 
+def test_signs_anywhere_in_a_block():
+    long = "Some words of a long notice, " * 10
+    for c in "©|»@":
+        assert [f"sign{c}" in f for f in hx.block_features([(x, 0, []) for x in (long + c, c + long, long)])] == [True, True, False]
+
+
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables absent")
 def test_extraction_held_out(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
