@@ -1,6 +1,7 @@
 """The pipeline's stages, each against brute force on its own input, and run() as a whole."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline as cp
 from loglens.llm import quality_rules as qr
+from tests.llm.conftest import SCHEMA, prose
 from tests.llm.test_lines_and_rules import dedup_lines
 from tests.llm.test_mixing_suffixes_scores import targets
 from tests.llm.test_near_dup_and_contain import contained, groups
@@ -91,3 +93,21 @@ def test_stages_take_odd_documents(spark, odd_docs, no_docs):
     for _, function in cp.STAGES:
         function(spark, own, SF).collect()
         assert function(spark, no_docs, SF).collect() == []
+
+
+def test_stages_drop_rows_without_or_with_shared_ids(spark):
+    rng = random.Random(11)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
+
+    def kept(function, rows):
+        own = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+        return sorted(texts(function(spark, own, SF)), key=str)
+
+    for function, bad in ((cp.quality_stage, "too short"), (cp.decontamination_stage, f"{a} {item} {b}")):
+        assert kept(function, [(None, bad), (None, c), (5, d), (5, bad)]) == [(5, d), (None, c)]
+        assert kept(function, [(None, bad), (5, d), (6, bad)]) == [(5, d)]
+    rows = [(3, a), (5, a), (5, b), (None, a), (None, c), (None, c)]
+    assert kept(cp.near_dup_stage, rows) == sorted([(3, a), (5, b), (None, c)], key=str)
+    rows = [(None, "a line of two documents\nits own line"), (3, "a line of two documents\nanother line")]
+    assert kept(cp.line_stage, rows) == [(3, "a line of two documents\nanother line"), (None, "its own line")]
