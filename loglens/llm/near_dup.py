@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglens.llm.common import join_hot, mix, read, shingle_sets, small_side, stage, text_chunks
+from loglens.llm.common import join_hot, mix, read, shingle_sets, small_side, stage, text_chunks, with_rank
 
 COORDS, MATCHES, LIST, BLOCK = 64, 34, 32, 128
 _SEEDS = np.random.default_rng(6).integers(0, 2**62, (2, COORDS), dtype=np.uint64)
@@ -59,8 +59,8 @@ def _signed(k: int):
             ends = np.concatenate(([0], np.cumsum([len(x) for x in sigs]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(np.array(h1, np.uint64).view(np.int64)),
-                 pa.array(np.array(h2, np.uint64).view(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "n", "h1", "h2", "sig"])
+                 pa.array(np.array(h2, np.uint64).view(np.int64)), b.column(2),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "n", "h1", "h2", "t", "sig"])
 
     return run
 
@@ -190,14 +190,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Documents are linked at a Jaccard similarity of ``percent`` % or more;
     ``component_id`` is the smallest id reachable.  Defined cases: null, empty
     and blank texts have no set and are linked with nothing; rows that share an
-    id count as one node each with that id (each is returned, kept or not by
+    id are linked, whatever their texts (each is returned, kept or not by
     its component); a null id has the component null and is kept; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), _utf8(text_col).alias("body"))
-    signed = stage(rows.mapInArrow(_signed(k), "id bigint, n bigint, h1 bigint, h2 bigint, sig array<bigint>"), "signed")
+    rows = rows.withColumn("t", F.xxhash64("body"))  # rows may share an id but not the text
+    signed = stage(rows.mapInArrow(_signed(k), "id bigint, n bigint, h1 bigint, h2 bigint, t bigint, sig array<bigint>"), "signed")
     named = signed.where((F.col("n") > 0) & F.col("id").isNotNull())
     key = ["h1", "h2"]
-    classes = stage(named.groupBy(*key).agg(F.min("id").alias("id"), F.first("sig").alias("sig")), "classes")
+    # own, t: the row with the class's smallest id, which stands for it
+    classes = stage(named.groupBy(*key).agg(F.min(F.struct("id", "t")).alias("row"), F.first("sig").alias("sig"))
+                    .select(*key, F.col("row.id").alias("own"), F.col("row.t").alias("t"), "sig"), "classes")
+    shared = stage(named.groupBy("id").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in key for f in (F.min, F.max)])
+                   .where("min_h1 <> max_h1 or min_h2 <> max_h2").select("id"), "shared-ids")
+    some_shared = shared.limit(1).count() > 0
+    if some_shared:  # an id doesn't name one class: classes are numbered in the order of their ids
+        numbers = with_rank(classes.select(*key, "own"), [F.asc("own"), *map(F.asc, key)], "class-numbers", "id")
+        classes = stage(classes.join(numbers.select(*key, "id"), key), "classes")
+    else:
+        classes = classes.withColumn("id", F.col("own"))
     posts = classes.select("id", F.explode("sig").alias("v"))
     # staged, so that the join below reads plain exchanges, which Spark splits where a value is hot
     often = stage(posts.groupBy("v").agg(F.count("*").alias("f")).where("f > 1"), "often")
@@ -225,8 +236,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near = stage(agreeing(pairs, sigs), "near-pairs")
     # texts are fetched only now: chance collisions are gone
     in_play = stage(ids(near).unionByName(long_.select("id")).distinct(), "in-play")
-    texts = stage(rows.join(small_side(in_play), "id").groupBy("id").agg(F.first("body").alias("body")), "texts")
-    edges = stage(confirm(near, texts, k, percent), "links")
+    wanted = stage(classes.join(small_side(in_play), "id").select("id", "own", "t"), "wanted")
+    texts = stage(rows.withColumnRenamed("id", "own").join(small_side(wanted), ["own", "t"])
+                  .groupBy("id").agg(F.first("body").alias("body")), "texts")
+    edges = confirm(near, texts, k, percent)
+    if some_shared:
+        holds = stage(named.join(small_side(shared), "id").select(F.col("id").alias("doc"), *key).distinct()
+                      .join(classes.select(*key, "id"), key).select("doc", "id"), "holds")
+        least = holds.groupBy("doc").agg(F.min("id").alias("a"))
+        edges = edges.unionByName(holds.join(least, "doc").where("a <> id").select("a", F.col("id").alias("b")))
+    edges = stage(edges, "links")
     comps = components(edges)
     more = _apart(long_.select("v", "id"), comps, texts, k, percent)
     if more is not None:
@@ -237,6 +256,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             comps = components(joined)
     found = (classes.select(*key, "id").join(comps, "id", "left")
              .select(*key, F.coalesce("comp", "id").alias("component_id")))
+    if some_shared:  # from the smallest number to the smallest id
+        found = (join_hot(stage(found, "found"), classes.select(F.col("id").alias("component_id"), "own"), ["component_id"],
+                          F.col("h1")).select(*key, F.col("own").alias("component_id")))
     grouped = join_hot(named.select("id", "n", *key), found, key, F.col("id")).select("id", "n", "component_id")
     alone = signed.where((F.col("n") == 0) | F.col("id").isNull()).select("id", "n", F.col("id").alias("component_id"))
     return grouped.unionByName(alone).select(

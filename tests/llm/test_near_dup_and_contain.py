@@ -73,6 +73,19 @@ def test_near_duplicates_odd_cases(spark, odd_docs, no_docs):
     assert nd.near_duplicates(no_docs).collect() == []
 
 
+def test_near_duplicates_texts_that_share_an_id(spark):
+    rng = random.Random(21)
+    a, b = family(rng, 12, 120, 3), family(rng, 12, 120, 3)
+    c = family(rng, 6, 120, 3)
+    docs = [(50, a[0]), (50, b[0]), *[(60 + i, t) for i, t in enumerate(a[1:])], *[(80 + i, t) for i, t in enumerate(b[1:])],
+            (95, prose(rng, 90)), (95, c[0]), (95, c[0].upper()), *[(90 - i, t) for i, t in enumerate(c[1:4])],
+            (7, a[3]), (99, "one"), (98, "one"), (99, "two words"), (40, "two words"), (None, a[0]), (41, prose(rng, 70))]
+    want = sorted(map(str, groups(docs, 2)))
+    for rows in (docs, docs[::-1]):
+        got = nd.near_duplicates(spark.createDataFrame([(i, t, "", "", 0) for i, t in rows], SCHEMA), k=2).collect()
+        assert sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == want
+
+
 def test_components_of_a_chain(spark):
     n = 60
     edges = spark.createDataFrame([(i, i + 1) for i in range(100, 100 + n)] + [(7, 9)], "a bigint, b bigint")
