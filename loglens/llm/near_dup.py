@@ -1,13 +1,13 @@
 """MinHash near-dedup by a signature-coordinate inverted join.
 
 Equal shingle sets are one class.  Each class posts itself under its
-``COORDS`` coordinate-value pairs; classes whose sets have a Jaccard
-similarity of 0.8 agree in a binomial number of coordinates, in at least
-``MATCHES`` of them but for one link in three million.  Hence:
+``COORDS`` coordinate-value pairs; classes whose sets have the asked Jaccard
+similarity agree in a binomial number of coordinates, in at least ``matches``
+of them (34 at a similarity of 0.8) but for one link in three million (``MISS``).  Hence:
 
 * pairs found only once are dropped, and with them every class that has fewer
-  than ``MATCHES`` pairs left (it can have no partner);
-* of the m pairs left, a class posts only its m - MATCHES + 1 rarest (prefix);
+  than ``matches`` pairs left (it can have no partner);
+* of the m pairs left, a class posts only its m - matches + 1 rarest (prefix);
   two classes that agree often enough share one of those, and the most
   frequent, longest lists are skipped;
 * candidates are compared coordinate by coordinate, and those that agree often
@@ -23,6 +23,7 @@ the largest component with that component and among themselves.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +33,22 @@ from pyspark.sql import functions as F
 
 from loglens.llm.common import join_hot, mix, read, shingle_sets, small_side, stage, text_chunks, with_rank
 
-COORDS, MATCHES, LIST, BLOCK = 64, 34, 32, 128
+COORDS, LIST, BLOCK, MISS = 64, 32, 128, 1 / 3_000_000
 _SEEDS = np.random.default_rng(6).integers(0, 2**62, (2, COORDS), dtype=np.uint64)
 
 
+def matches(percent: int) -> int:
+    """Coordinates in which sets of a similarity of ``percent`` % agree, but for a share of at most ``MISS``."""
+    p, below = percent / 100, 0.0
+    for m in range(COORDS + 1):
+        below += comb(COORDS, m) * p ** m * (1 - p) ** (COORDS - m)
+        if below > MISS:
+            break
+    if not m:
+        raise ValueError(f"{COORDS} coordinates don't find all links at a similarity of {percent} %: ask for 21 or more")
+    return m
+
+
 def signature(s: np.ndarray) -> np.ndarray:
     """Per coordinate the smallest permuted shingle, marked with the coordinate."""
     out = np.full(COORDS, 2**64 - 1, np.uint64)
@@ -82,12 +95,12 @@ def _sets(col: pa.Array, k: int) -> list[np.ndarray]:
     return [s for _, _, raw, off in text_chunks(col) for s in shingle_sets(raw, off, k)]
 
 
-def agreeing(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Of candidate ``pairs`` (a, b) those that agree in ``MATCHES`` coordinates."""
+def agreeing(pairs: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
+    """Of candidate ``pairs`` (a, b) those that agree in ``least`` coordinates."""
     agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
     return (pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a")
             .join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
-            .where(agree >= MATCHES).select("a", "b"))
+            .where(agree >= least).select("a", "b"))
 
 
 def confirm(near: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -188,11 +201,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Words are lower-cased (A-Z) runs without ASCII white space; a document's set
     is its distinct ``k``-word shingles, or the whole sequence if shorter.
     Documents are linked at a Jaccard similarity of ``percent`` % or more;
-    ``component_id`` is the smallest id reachable.  Defined cases: null, empty
+    ``component_id`` is the smallest id reachable.  A ``percent`` under 21, which
+    the signatures cannot serve, is refused.  Defined cases: null, empty
     and blank texts have no set and are linked with nothing; rows that share an
     id are linked, whatever their texts (each is returned, kept or not by
     its component); a null id has the component null and is kept; other columns are ignored.
     """
+    least = matches(percent)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), _utf8(text_col).alias("body"))
     rows = rows.withColumn("t", F.xxhash64("body"))  # rows may share an id but not the text
     signed = stage(rows.mapInArrow(_signed(k), "id bigint, n bigint, h1 bigint, h2 bigint, t bigint, sig array<bigint>"), "signed")
@@ -213,9 +228,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # staged, so that the join below reads plain exchanges, which Spark splits where a value is hot
     often = stage(posts.groupBy("v").agg(F.count("*").alias("f")).where("f > 1"), "often")
     own = posts.join(often, "v").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("f", "v"))).alias("l"))
-    live = stage(own.where(F.size("l") >= MATCHES).select(
+    live = stage(own.where(F.size("l") >= least).select(
         "id", F.aggregate("l", F.lit(0).cast("bigint"), lambda s, x: s + x["f"]).alias("middle"),
-        F.slice(F.col("l.v"), F.lit(1), F.size("l") - (MATCHES - 1)).alias("prefix")), "live")
+        F.slice(F.col("l.v"), F.lit(1), F.size("l") - (least - 1)).alias("prefix")), "live")
     lists = live.select("id", "middle", F.explode("prefix").alias("v"))
     sizes = stage(lists.groupBy("v").agg(F.count("*").alias("c")).where("c > 1"), "list-sizes")
     lists = stage(lists.join(small_side(sizes), "v"), "lists")
@@ -233,7 +248,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     short_sig = F.transform("sig", lambda x: x.bitwiseAND(F.lit(0x7FFF)).cast("smallint"))
     paired = stage(ids(pairs).distinct(), "paired")
     sigs = stage(classes.join(small_side(paired), "id").select("id", short_sig.alias("sig")), "sigs")
-    near = stage(agreeing(pairs, sigs), "near-pairs")
+    near = stage(agreeing(pairs, sigs, least), "near-pairs")
     # texts are fetched only now: chance collisions are gone
     in_play = stage(ids(near).unionByName(long_.select("id")).distinct(), "in-play")
     wanted = stage(classes.join(small_side(in_play), "id").select("id", "own", "t"), "wanted")
@@ -243,8 +258,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if some_shared:
         holds = stage(named.join(small_side(shared), "id").select(F.col("id").alias("doc"), *key).distinct()
                       .join(classes.select(*key, "id"), key).select("doc", "id"), "holds")
-        least = holds.groupBy("doc").agg(F.min("id").alias("a"))
-        edges = edges.unionByName(holds.join(least, "doc").where("a <> id").select("a", F.col("id").alias("b")))
+        first = holds.groupBy("doc").agg(F.min("id").alias("a"))
+        edges = edges.unionByName(holds.join(first, "doc").where("a <> id").select("a", F.col("id").alias("b")))
     edges = stage(edges, "links")
     comps = components(edges)
     more = _apart(long_.select("v", "id"), comps, texts, k, percent)

@@ -86,6 +86,29 @@ def test_near_duplicates_texts_that_share_an_id(spark):
         assert sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == want
 
 
+def test_coordinates_asked_for_follow_the_similarity():
+    assert [nd.matches(p) for p in (21, 80, 100)] == [1, 34, 64]
+    assert all(nd.matches(p) <= nd.matches(p + 1) for p in range(21, 100))
+    for percent in (0, 20):
+        with pytest.raises(ValueError, match="similarity"):
+            nd.matches(percent)
+
+
+def test_near_duplicates_at_half_similarity(spark):
+    rng = random.Random(31)
+    docs = []
+    for _ in range(60):  # pairs a little above and below the threshold, by edits spread over the text
+        words = prose(rng, 100).split()
+        other = list(words)
+        for j in rng.sample(range(100), rng.randint(14, 20)):
+            other[j] = f"new{rng.randrange(10**6)}"
+        docs += [(len(docs), " ".join(words)), (len(docs) + 1, " ".join(other))]
+    got = nd.near_duplicates(spark.createDataFrame([(i, t, "", "", 0) for i, t in docs], SCHEMA), k=2, percent=50)
+    want = groups(docs, 2, 50)
+    assert 10 < sum(d != c for d, _, c in want) < 50
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == sorted(want)
+
+
 def test_components_of_a_chain(spark):
     n = 60
     edges = spark.createDataFrame([(i, i + 1) for i in range(100, 100 + n)] + [(7, 9)], "a bigint, b bigint")
