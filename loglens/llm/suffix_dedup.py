@@ -328,6 +328,11 @@ def _windows(length: int):
     return run
 
 
+def splitter_sample(parts: int) -> int:
+    """Anchors to draw splitters from, some for each wanted part."""
+    return max(SPLITTER_SAMPLE, 8 * parts)
+
+
 def _decide(found: DataFrame, spans: DataFrame, length: int) -> DataFrame:
     """``h, sh, low, high`` of the bytes repeated among different spans of one anchor.
 
@@ -337,11 +342,11 @@ def _decide(found: DataFrame, spans: DataFrame, length: int) -> DataFrame:
     open_ = (found.where("span is not null").select("h", "sh", "size", "anchor", "span")
              .join(small_side(keys), ["h", "sh"]))
     few = open_.where(F.col("kinds") <= GROUP).select("h", "sh", "size", "anchor", "span")
-    chosen = bounded_sample(keys.where(F.col("kinds") <= GROUP).select("h").distinct(), "h", SPLITTER_SAMPLE)
+    parts = max(1, -(-keys.where(F.col("kinds") <= GROUP).count() // PART))
+    chosen = bounded_sample(keys.where(F.col("kinds") <= GROUP).select("h").distinct(), "h", splitter_sample(parts))
     seed = F.expr(f"substring(span, anchor + 1, {SEED})")
     sample = sorted(bytes(r[1]) for r in found.where("span is not null").select("h", seed.alias("s"))
                     .join(F.broadcast(chosen), "h").groupBy("h").agg(F.first("s")).collect())
-    parts = max(1, -(-keys.where(F.col("kinds") <= GROUP).count() // PART))
     splitters = sorted({sample[len(sample) * i // parts] for i in range(1, parts)}) if sample else []
     merged = (few.mapInArrow(_sorted_runs(splitters), "part int, lcp array<int>, tails array<binary>, lefts array<binary>, "
                              "h array<bigint>, sh array<bigint>, size array<int>, anchor array<int>")
@@ -351,8 +356,8 @@ def _decide(found: DataFrame, spans: DataFrame, length: int) -> DataFrame:
     many = (open_.where(F.col("kinds") > GROUP).groupBy("h", "sh")
             .agg(F.first("size").alias("size"), F.max("span").alias("span")))
     windows = stage(many.mapInArrow(_windows(length), "h bigint, sh bigint, at int, w bigint"), "windows")
-    twice = windows.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
-    counted = (windows.join(twice, "w").groupBy("h", "sh")
+    twice = windows.groupBy("h", "w").agg(F.count("*").alias("n")).where("n > 1").select("h", "w")
+    counted = (windows.join(twice, ["h", "w"]).groupBy("h", "sh")
                .agg(F.min("at").alias("low"), (F.max("at") + length).alias("high")))
     return merged.unionByName(counted)
 

@@ -211,3 +211,17 @@ def test_training_grows_with_the_corpus(spark):
     one = lm.lm_scores(docs.where("doc_id < 20")).agg(F.max("train_tokens")).first()[0]
     two = lm.lm_scores(docs).agg(F.max("train_tokens")).first()[0]
     assert two > 1.5 * one
+
+
+def test_window_counts_stay_within_an_anchor(spark, monkeypatch):
+    monkeypatch.setattr(sd, "GROUP", 1)
+    rng = random.Random(41)
+    a, b, c, d = (rng.randbytes(250) for _ in range(4))
+    # anchors 1 and 2 hold equal windows, as windows do whose hashes collide
+    rows = [(h, sh, 51, 0, bytearray(x)) for h, sh, x in
+            ((1, 1, a), (1, 2, b), (2, 3, a), (2, 4, c), (3, 5, d), (3, 6, d[:210] + c[210:]))]
+    found = spark.createDataFrame(rows, "h bigint, sh bigint, size int, anchor int, span binary")
+    spans = found.groupBy("h", "sh").count()
+    got = sd._decide(found, spans, 200).collect()
+    assert sorted(map(tuple, got)) == [(3, 5, 0, 210), (3, 6, 0, 210)]
+    assert all(sd.splitter_sample(parts) >= parts for parts in (1, 10_000, 1_000_000))
