@@ -10,6 +10,7 @@ from loglens.llm import (
     mixing,
     near_dup,
     ordinal_quality,
+    phrase_mining,
     quality_rules,
     suffix_dedup,
     url_filter,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_source_mixing": mixing.query,
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_lm_scoring": lm_scoring.query,
+    "op11_phrase_mining": phrase_mining.query,
 }
 
 #: Only where SQL gives the whole result in reasonable time; the others are
@@ -34,4 +36,5 @@ ORACLE = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op3_decontaminate": decontaminate.ORACLE,
     "op6_near_dedup": near_dup.ORACLE,
+    "op11_phrase_mining": phrase_mining.ORACLE,
 }
