@@ -12,6 +12,7 @@ from loglens.llm import (
     ordinal_quality,
     phrase_mining,
     quality_rules,
+    spelling_variants,
     suffix_dedup,
     url_filter,
 )
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_lm_scoring": lm_scoring.query,
     "op11_phrase_mining": phrase_mining.query,
+    "op13_spelling_variants": spelling_variants.query,
 }
 
 #: Only where SQL gives the whole result in reasonable time; the others are
@@ -37,4 +39,5 @@ ORACLE = {
     "op3_decontaminate": decontaminate.ORACLE,
     "op6_near_dedup": near_dup.ORACLE,
     "op11_phrase_mining": phrase_mining.ORACLE,
+    "op13_spelling_variants": spelling_variants.ORACLE,
 }
