@@ -5,6 +5,7 @@ from __future__ import annotations
 from loglens.llm import (
     decontaminate,
     html_extract,
+    jaccard_join,
     line_dedup,
     lm_scoring,
     mixing,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_lm_scoring": lm_scoring.query,
     "op11_phrase_mining": phrase_mining.query,
+    "op12_jaccard_join": jaccard_join.query,
     "op13_spelling_variants": spelling_variants.query,
 }
 
@@ -39,5 +41,6 @@ ORACLE = {
     "op3_decontaminate": decontaminate.ORACLE,
     "op6_near_dedup": near_dup.ORACLE,
     "op11_phrase_mining": phrase_mining.ORACLE,
+    "op12_jaccard_join": jaccard_join.ORACLE,
     "op13_spelling_variants": spelling_variants.ORACLE,
 }

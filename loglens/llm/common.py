@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglens.plans.materialize import materialize
+from loglens.plans.materialize import materialize, tidied  # noqa: F401
 from loglens.plans.rank import with_rank  # noqa: F401
 
 #: ASCII white space, \x20 and \x09-\x0D; also what ``bytes.split()`` splits at.

@@ -25,7 +25,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loglens.llm.common import discard, join_hot, read, small_side, stage, text_chunks, with_rank
+from loglens.llm.common import join_hot, read, small_side, stage, text_chunks, tidied, with_rank
 
 #: Bytes of texts sorted at once in a task, suffixes aimed at in a part, suffixes sampled for each part.
 CHUNK, PART, SAMPLED = 8_000_000, 2_000_000, 200
@@ -276,6 +276,7 @@ def _some_words(words: Column, first: Column | int, count: Column) -> Column:
     return F.array_join(F.slice(words, first, count), " ")
 
 
+@tidied
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 10, max_words: int = 3,
                  absorbed: int = 50, top: int = 2000, part: int | None = None) -> DataFrame:
     """Per language the ``top`` phrases of 2 to ``max_words`` words by score: ``lang, rank, phrase, a, l, r, n, score``.
@@ -312,12 +313,9 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     best = (left.select("lang", "phrase", "a", "c.score", "c.l", "c.r").withColumn("rank", F.row_number().over(order))
             .where(F.col("rank") <= top))
     sizes = stage(counts.where("size = 0").select("lang", F.col("f").alias("n")), "phrase-sizes")
-    out = stage(best.join(small_side(sizes), "lang").select(
+    return best.join(small_side(sizes), "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase",
-        *[F.col(c).cast("bigint").alias(c) for c in ("a", "l", "r", "n", "score")]), "phrases")
-    for table in (counts, cuts, heads, sizes):
-        discard(table)
-    return out
+        *[F.col(c).cast("bigint").alias(c) for c in ("a", "l", "r", "n", "score")])
 
 
 def query(spark, sf_dir) -> DataFrame:

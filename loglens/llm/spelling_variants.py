@@ -25,7 +25,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglens.llm.common import discard, read, small_side, stage, text_chunks
+from loglens.llm.common import read, small_side, stage, text_chunks, tidied
 
 #: Bytes of texts read at once in a task; distinct words gathered in a task before they leave it;
 #: words indexed in a part, words of one half in a block, searches run at once.
@@ -322,6 +322,7 @@ def roots(forms: DataFrame) -> DataFrame:
         at = further.select("word", F.col("next").alias("root"))
 
 
+@tidied
 def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, ratio: int = 2,
                       one_in: int = ONE_IN, part: int | None = None, block: int | None = None) -> DataFrame:
     """Per word of the vocabulary: ``word, form, root, n, n_near, form_n``.
@@ -341,10 +342,7 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = stage(words.join(near, "word", "left").select(
         "word", F.when(fits, F.col("best.form")).alias("form"), "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
         F.when(fits, -F.col("best.m")).alias("form_n")), "spelling-forms")
-    out = stage(found.join(roots(found), "word").select("word", "form", "root", "n", "n_near", "form_n"), "spelling")
-    for table in (words, found):
-        discard(table)
-    return out
+    return found.join(roots(found), "word").select("word", "form", "root", "n", "n_near", "form_n")
 
 
 def query(spark, sf_dir) -> DataFrame:
