@@ -37,6 +37,10 @@ CHUNK, PART, BLOCK = 8_000_000, 2_000_000, 512
 FAN, MAX_BITS, BLOCK_BITS = 8, 1 << 16, 1 << 13
 
 
+def _sets(col: pa.Array, k: int) -> list[np.ndarray]:
+    return [s for _, _, raw, off in text_chunks(col) for s in shingle_sets(raw, off, k)]
+
+
 def _sized(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -63,9 +67,9 @@ def _met(k: int, bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, j, raw, off in text_chunks(b.column(1), CHUNK):
+            for i, j, _, _ in text_chunks(b.column(1), CHUNK):
                 ids = b.column(0).slice(i, j - i).to_numpy()
-                sets = list(shingle_sets(raw, off, k))
+                sets = _sets(b.column(1).slice(i, j - i), k)
                 token = np.concatenate(sets)
                 doc = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
                 order = np.argsort(token, kind="stable")
@@ -130,8 +134,8 @@ def live_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int, par
 def _tokens(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, j, raw, off in text_chunks(b.column(1), CHUNK):
-                sets = list(shingle_sets(raw, off, k))
+            for i, j, _, _ in text_chunks(b.column(1), CHUNK):
+                sets = _sets(b.column(1).slice(i, j - i), k)
                 ends = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
                 flat = np.concatenate(sets).view(np.int64)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["c", "s"])
