@@ -43,6 +43,7 @@ from loglens.sources.files import (
     number_files,
     parse_log_files,
     quarantine_files,
+    quarantine_files_multiline,
     read_logs,
     read_raw_files,
     unprocessed_files,
@@ -571,6 +572,74 @@ def q_quarantine_files(spark, sf_dir):
     return quarantine_files(raw).select(F.col("batch_id").cast("bigint").alias("batch_id"))
 
 
+def odd_log_lines(v):
+    """The view as file lines, files odd in more ways, first match wins: unterminated (batch mod 11 = 5),
+    JSON lines (13, 7), a number among the elements (19, 2), nulls among them (17, 3), braces and
+    quotes in a string of each event (31, 8).  Besides, empty arrays (23, 4) and bare objects, a batch's
+    first event (29, 6), as files of their own."""
+    b, line = F.col("batch_id"), F.col("line")
+    odd = (F.when(b % 11 == 5, F.regexp_replace("line", r"\]$", ""))
+           .when(b % 13 == 7, F.regexp_replace(F.regexp_replace("line", r"^[\[,]", ""), r"\]$", ""))
+           .when(b % 19 == 2, F.regexp_replace("line", r"^\[", "[1,"))
+           .when((b % 17 == 3) & (F.col("pos") % 7 == 0), F.regexp_replace("line", r"^([\[,])", "$1null, "))
+           .when(b % 31 == 8, F.regexp_replace("line", r"^([\[,])\{", r"$1 {" + '"note": "}{ \\\\"]}", "more": {"x": [{}]}, '))
+           .otherwise(line))
+    lines = json_array_lines(v)
+    empty = lines.where((b % 23 == 4) & (F.col("pos") == 0)).select((b + 1_000_000).alias("batch_id"), "pos", F.lit("[ ]").alias("line"))
+    bare = (v.where((b % 29 == 6) & (F.col("pos") == 0))
+            .select((b + 2_000_000).alias("batch_id"), "pos", F.to_json(F.struct("service", "timestamp", "message")).alias("line")))
+    return lines.withColumn("line", odd).unionByName(empty).unionByName(bare)
+
+
+def staged_odd_files(spark, sf_dir: str) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, "odd")
+    path = _STAGED.get(key)
+    if path is None:
+        path = scratch_path(spark, "staged-odd")
+        write_batch_files(odd_log_lines(load_log_view(spark, sf_dir, dirty=True)), path)
+        _STAGED[key] = path
+    return path
+
+
+_ODD_BAD = "batch_id % 11 = 5 OR batch_id % 13 = 7 OR batch_id % 19 = 2"
+_ODD_EVENTS_SQL = O.with_view(f"""
+SELECT batch_id, CAST(pos + CASE WHEN batch_id % 17 = 3 THEN pos // 7 + 1 ELSE 0 END AS BIGINT) AS pos,
+       service, "timestamp", message FROM v WHERE NOT ({_ODD_BAD})
+UNION ALL SELECT batch_id + 2000000, pos, service, "timestamp", message FROM v WHERE batch_id % 29 = 6 AND pos = 0""", dirty=True)
+_ODD_FILES_SQL = O.with_view(f"SELECT DISTINCT batch_id FROM v WHERE {_ODD_BAD}", dirty=True)
+
+
+def _file_batch():
+    return F.regexp_extract("file_path", r"batch_id=(\d+)", 1).cast("bigint").alias("batch_id")
+
+
+def _odd_events(spark, sf_dir, parser):
+    logs = read_logs(spark, staged_odd_files(spark, sf_dir), glob="*.txt", parser=parser)
+    return logs.select(_file_batch(), "pos", "service", "timestamp", "message")
+
+
+@register("read_odd_logs", _ODD_EVENTS_SQL)
+def q_read_odd_logs(spark, sf_dir):
+    """Events of odd files: nulls among elements, bare objects, empty arrays, malformed files."""
+    return _odd_events(spark, sf_dir, "wholetext")
+
+
+@register("read_odd_logs_multiline", _ODD_EVENTS_SQL)
+def q_read_odd_logs_multiline(spark, sf_dir):
+    """The same files read in pieces, by the same contract."""
+    return _odd_events(spark, sf_dir, "multiline")
+
+
+@register("quarantine_odd_files", _ODD_FILES_SQL)
+def q_quarantine_odd_files(spark, sf_dir):
+    return quarantine_files(read_raw_files(spark, staged_odd_files(spark, sf_dir), glob="*.txt")).select(_file_batch())
+
+
+@register("quarantine_odd_files_multiline", _ODD_FILES_SQL)
+def q_quarantine_odd_files_multiline(spark, sf_dir):
+    return quarantine_files_multiline(spark, staged_odd_files(spark, sf_dir), glob="*.txt").select(_file_batch())
+
+
 @register("unprocessed_files", O.with_view("""
 SELECT DISTINCT batch_id FROM v
 WHERE batch_id NOT IN (SELECT batch_id FROM v WHERE pos = 0 AND service = 'training')""", dirty=True))

@@ -13,10 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.sql import types as T
-
 from loglens.plans.rank import with_rank
-from loglens.schema import LOG_ARRAY_DDL, LOG_SCHEMA
+from loglens.schema import LOG_ARRAY_DDL
+from loglens.sources import split_json
 
 FILE_COLS = ["file_path", "file_name", "file_modified"]
 
@@ -51,21 +50,31 @@ def _single_value(text: Column) -> Column:
     """True when ``text`` is exactly one JSON value (``from_json`` alone would
     accept a JSON-lines file by keeping its first object).
 
-    Wrapped in brackets, one value is a one-element array and anything else
-    is invalid or longer.  ``json_array_length`` streams over the tokens
+    Wrapped in brackets, one value is a one-element array, and a two-element array
+    with another value behind it; text that closes the bracket itself cannot be both, and anything
+    else is invalid or longer.  ``json_array_length`` streams over the tokens
     without materialising them; its tokenizer rejects ``NaN``/``Infinity``,
     which the JSON parsers accept, so files it rejects get a second,
     permissive check (only those: malformed files, or non-finite numbers).
     """
-    wrapped = F.concat(F.lit("["), text, F.lit("]"))
-    fast = F.json_array_length(wrapped)
-    permissive = F.size(F.from_json(wrapped, "array<string>")) == 1
-    return F.when(fast.isNotNull(), fast == 1).otherwise(F.coalesce(permissive, F.lit(False)))
+
+    def holds(wrapped: Column, n: int) -> Column:
+        fast = F.json_array_length(wrapped)
+        permissive = F.size(F.from_json(wrapped, "array<string>")) == n
+        return F.when(fast.isNotNull(), fast == n).otherwise(F.coalesce(permissive, F.lit(False)))
+
+    return (holds(F.concat(F.lit("["), text, F.lit("]")), 1)
+            & holds(F.concat(F.lit("["), text, F.lit(",0]")), 2))
+
+
+def _events(text: Column) -> Column:
+    """The events of a text that is one JSON array of objects or one object, else null
+    (strings in single quotes are not JSON)."""
+    return F.when(_single_value(text), F.from_json(text, LOG_ARRAY_DDL, {"allowSingleQuotes": "false"}))
 
 
 def _parsed(raw: DataFrame) -> DataFrame:
-    events = F.from_json("value", LOG_ARRAY_DDL)
-    return raw.withColumn("_events", F.when(_single_value(F.col("value")), events))
+    return raw.withColumn("_events", _events(F.col("value")))
 
 
 def parse_log_files(raw: DataFrame) -> DataFrame:
@@ -119,9 +128,9 @@ def read_logs(spark: SparkSession, path: str | list[str], *, glob: str | None =
     """All events of all log files under ``path`` (batch form of the stream).
 
     ``require_files`` raises when nothing matches, like a batch job that must
-    not silently report on no input.  ``parser="multiline"`` streams each
-    file through the JSON reader instead of holding it as one value: for
-    files too large for one row (a source holding a large share of the data).
+    not silently report on no input.  ``parser="multiline"`` reads a file in pieces
+    instead of holding it as one value, by the same contract: for
+    files too large for one row or task (a source holding a large share of the data).
     """
     if parser == "multiline":
         events = read_logs_multiline(spark, path, glob=glob, recursive=recursive)
@@ -142,71 +151,19 @@ def _no_files(spark: SparkSession, path, glob, recursive) -> bool:
     return reader.load([path] if isinstance(path, str) else list(path)).select("path").isEmpty()
 
 
-_CORRUPT = "_corrupt_record"
-
-
-def _multiline_scan(spark: SparkSession, path, glob, recursive) -> DataFrame:
-    schema = T.StructType(LOG_SCHEMA.fields + [T.StructField(_CORRUPT, T.StringType(), True)])
-    reader = (spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", _CORRUPT))
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    return reader.json(path).select(
-        "*",
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_modification_time").alias("file_modified"),
-    )
-
-
-def _number_within_file(batches):
-    """Position of each row within its file.  The multi-line reader never
-    splits a file, so a file's rows are contiguous and in order in one task."""
-    import numpy as np
-
-    current, carried = None, 0
-    for pdf in batches:
-        files = pdf["file_path"].to_numpy(dtype=object)
-        n = len(files)
-        if n == 0:
-            yield pdf.assign(pos=np.zeros(0, dtype="int64"))
-            continue
-        starts = np.ones(n, dtype=bool)
-        starts[1:] = files[1:] != files[:-1]
-        starts[0] = files[0] != current
-        idx = np.arange(n)
-        seg_start = np.maximum.accumulate(np.where(starts, idx, 0))
-        pos = idx - seg_start
-        if not starts[0]:  # first segment continues the previous batch's file
-            pos[seg_start == 0] += carried
-        current = files[-1]
-        carried = int(pos[-1]) + 1
-        yield pdf.assign(pos=pos.astype("int64"))
-
-
 def read_logs_multiline(spark: SparkSession, path: str | list[str], *, glob: str | None = "*.json",
                         recursive: bool = False) -> DataFrame:
-    """Events through the streaming JSON reader (``multiLine``): same columns as
-    :func:`read_logs`.  A JSON-lines file yields its first object here (the
-    whole-text parser quarantines it)."""
-    scan = _multiline_scan(spark, path, glob, recursive)
-    good = scan.where(F.col(_CORRUPT).isNull()).select(
-        *FILE_COLS, "service", finite(F.col("timestamp")).alias("timestamp"), "message")
-    out_schema = T.StructType(good.schema.fields + [T.StructField("pos", T.LongType(), False)])
-    numbered = good.mapInPandas(_number_within_file, out_schema)
-    return numbered.select(*FILE_COLS, "pos", "service", "timestamp", "message")
+    """Events of :func:`read_logs`, file by file the same, from files read in pieces
+    (:mod:`loglens.sources.split_json`)."""
+    found = split_json.read_events(spark, path, glob, recursive, _events)
+    return found.select(*FILE_COLS, "pos", F.col("e.service").alias("service"),
+                        finite(F.col("e.timestamp")).alias("timestamp"), F.col("e.message").alias("message"))
 
 
 def quarantine_files_multiline(spark: SparkSession, path: str | list[str], *,
                                glob: str | None = "*.json", recursive: bool = False) -> DataFrame:
-    """Malformed files as seen by the multi-line reader, with their text."""
-    scan = _multiline_scan(spark, path, glob, recursive)
-    # a corrupt document has all data fields null; naming one keeps the scan
-    # from reading the corrupt-record column alone (which Spark refuses)
-    bad = F.col(_CORRUPT).isNotNull() & F.col("service").isNull()
-    return scan.where(bad).select(*FILE_COLS, F.col(_CORRUPT).alias("value"))
+    """Files that :func:`quarantine_files` sets aside, with their text, from files read in pieces."""
+    return split_json.malformed_files(spark, path, glob, recursive, _events)
 
 
 def number_files(spark: SparkSession, path: str | list[str], *, glob: str | None = "*.json",

@@ -34,40 +34,11 @@ def read_log_stream(spark: SparkSession, path: str, *, glob: str | None = "*.jso
     """Streaming events ``(file_path, file_name, file_modified, pos, service,
     timestamp, message)``; each new file is read once.
 
-    ``parser="multiline"`` uses the JSON stream source with the fixed schema
-    (no per-file value size limit), numbering positions per file as the
-    batch reader does.
+    A streamed file is one value, whichever ``parser`` is named: reading files in pieces takes
+    windows over a whole file, which a streaming plan has not.  Both parsers have one contract.
     """
-    if parser == "multiline":
-        return _multiline_stream(spark, path, glob, max_files_per_trigger, recursive)
+    if parser not in ("wholetext", "multiline"):
+        raise ValueError(f"unknown parser {parser!r}")
     return parse_log_files(read_raw_stream(spark, path, glob=glob,
                                            max_files_per_trigger=max_files_per_trigger,
                                            recursive=recursive))
-
-
-def _multiline_stream(spark, path, glob, max_files_per_trigger, recursive) -> DataFrame:
-    from pyspark.sql import types as T
-
-    from loglens.schema import LOG_SCHEMA
-    from loglens.sources.files import FILE_COLS, _CORRUPT, _number_within_file, finite
-
-    schema = T.StructType(LOG_SCHEMA.fields + [T.StructField(_CORRUPT, T.StringType(), True)])
-    reader = (spark.readStream.format("json").schema(schema).option("multiLine", "true")
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT))
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    scan = reader.load(path).select(
-        "*",
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_modification_time").alias("file_modified"),
-    )
-    good = scan.where(F.col(_CORRUPT).isNull()).select(
-        *FILE_COLS, "service", finite(F.col("timestamp")).alias("timestamp"), "message")
-    out = T.StructType(good.schema.fields + [T.StructField("pos", T.LongType(), False)])
-    return good.mapInPandas(_number_within_file, out).select(
-        *FILE_COLS, "pos", "service", "timestamp", "message")

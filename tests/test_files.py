@@ -81,15 +81,50 @@ def test_multiline_parser_matches_wholetext(spark, tmp_path):
     assert bad == ["e.json"]
 
 
-def test_multiline_numbering_across_batches():
-    import pandas as pd
-
-    from loglens.sources.files import _number_within_file
+ODD = {
+    "null among": '[{"service":"x}y","timestamp":1.0,"message":"m"},null, {"service":"z","extra":{"q":[{"a":1}]}}]',
+    "json lines": '{"service":"a"}\n{"service":"b"}', "numbers": "[1,2]", "empty": "[]", "bare": '{"service":"s"}',
+    "number after": '[{"service":"s"},1]', "one null": "[null]", "null": "null", "blank": "  ", "trailing comma": '[{"service":"s"},]',
+    "types": '[{"service":5,"timestamp":"oops"},{"service":"t"}]', "nested": '[[{"service":"s"}]]', "string": '"x"', "no keys": "[{}]",
+    "no comma": '[{"service":"s"} {"service":"t"}]', "escapes": '[{"service":"a\\\\"},{"service":"\\"}"}]', "object value": '[{"service":{"a":1}},{"service":"t"}]',
+    "inner comma": '[{"service":"s",}]', "single quotes": "[{'service':'s'}]", "white end": '[{"service":"s"}]\n\n  ',
+    "nulls": '[null,null,{"service":"s"},null]', "null and more": '[{"service":"s"},null 3]', "unterminated": '[{"service": "x"', "open string": '[{"service": "x}',
+    "two arrays": '[{"service":"s"}][{"service":"t"}]', "extra brace": '[{"service":"s"}},{"service":"t"}]', "null first": 'null,[{"service":"s"}]',
+    "commas": '[{"service":"s"},,{"service":"t"}]', "lead comma": '[,{"service":"s"}]', "bare and white": ' {"service":"é}"}\n', "null null": "[null null]",
+    "bare twice": '{"service":"s"} {"service":"t"}', "bare in array end": '{"service":"s"}]', "comma null": "[,null]", "null comma": "[null,]",
+    "lines": '[\n  {"service": "x",\n   "timestamp": 4.0},\n {"message": "m"}\n]',
+}
+
+
+@pytest.mark.parametrize("split", ["128m", "9"])
+def test_both_readers_agree_on_odd_files(spark, tmp_path, split):
+    """One contract, also where splits of nine bytes cut events, strings and escapes."""
+    from loglens.sources.files import quarantine_files_multiline
 
-    batches = [pd.DataFrame({"file_path": ["a", "a", "b"]}), pd.DataFrame({"file_path": ["b", "b", "c"]}),
-               pd.DataFrame({"file_path": ["c"]})]
-    got = [list(p["pos"]) for p in _number_within_file(iter(batches))]
-    assert got == [[0, 1, 0], [1, 2, 0], [1]]
+    d = str(tmp_path / "logs")
+    for name, text in ODD.items():
+        write_json(d, f"{name.replace(' ', '_')}.json", text, raw=True)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        cols = ["file_name", "pos", "service", "timestamp", "message"]
+        piece = sorted(map(str, read_logs(spark, d, parser="multiline").select(*cols).collect()))
+        bad_piece = sorted(map(tuple, quarantine_files_multiline(spark, d).select("file_name", "value").collect()))
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert piece == sorted(map(str, read_logs(spark, d).select(*cols).collect())) and len(piece) == 15
+    assert bad_piece == sorted(map(tuple, quarantine_files(read_raw_files(spark, d)).select("file_name", "value").collect()))
+    assert {n for n, _ in bad_piece}.isdisjoint(f"{n.replace(' ', '_')}.json" for n in ("null among", "bare", "empty", "nulls", "one null"))
+    assert {f"{n}.json" for n in ("json_lines", "numbers", "single_quotes", "unterminated", "blank", "no_comma")} <= {n for n, _ in bad_piece}
+
+
+def test_pieces_need_no_python_worker(spark, tmp_path):
+    d = str(tmp_path / "logs")
+    write_json(d, "a.json", [ev(t=1, code=200)])
+    plan = read_logs(spark, d, parser="multiline")._jdf.queryExecution().toString()
+    assert "Python" not in plan and "MapInPandas" not in plan
 
 
 def test_non_finite_timestamps_are_missing(spark, tmp_path):
