@@ -32,7 +32,7 @@ from loglens.llm.common import join_hot, read, shingle_sets, small_side, stage,
 from loglens.llm.near_dup import components, linked
 
 #: Bytes of texts read at once in a task, shingles aimed at in a part, sets in a block.
-CHUNK, PART, BLOCK = 8_000_000, 2_000_000, 512
+CHUNK, PART, BLOCK = 4_000_000, 1_000_000, 512
 #: Children of a node; leaf bitmaps have at least four bits a token up to MAX_BITS; bits of a block's signature.
 FAN, MAX_BITS, BLOCK_BITS = 8, 1 << 16, 1 << 13
 
@@ -190,7 +190,7 @@ def bits_for(*groups: list[np.ndarray]) -> int:
 def possible(x: tuple, i: np.ndarray, y: tuple, j: np.ndarray, percent: int) -> np.ndarray:
     """Node pairs that may hold a linked pair of sets of different labels."""
     out = np.zeros(len(i), bool)
-    step = max(1, (1 << 22) // x[0].shape[1])
+    step = max(1, (1 << 19) // x[0].shape[1])
     for at in range(0, len(i), step):
         a, b = i[at:at + step], j[at:at + step]
         least_a = np.maximum(x[1][a], -(-percent * y[1][b] // 100))
