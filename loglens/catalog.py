@@ -37,7 +37,7 @@ from loglens.operators.sliding import sliding_failure_rate, sliding_failures
 from loglens.operators.summary import service_success_summary
 from loglens.operators.windowed import hopping_success_rate, windowed_success_rate
 from loglens.session import scratch_path
-from loglens.sinks import result_log_rows
+from loglens.sinks import read_results_log, result_log_rows
 from loglens.sources.files import (
     json_array_lines,
     number_files,
@@ -50,14 +50,17 @@ from loglens.sources.files import (
     write_batch_files,
     write_log_files,
 )
+from loglens.sources.manifest import read_runs, run_new_files
 from loglens.sources.patterns import read_patterns
 from loglens.sources.views import BATCH_SIZE, load_log_view, read_table
 from loglens.streaming.operators import (
     RESERVOIR_STATE,
     SLIDING_STATE,
+    late_account,
     sliding_state_result,
     start_bloom_ratio,
     start_reservoir,
+    start_running_by_file,
     start_running_success_rate,
     start_sliding_failures,
     start_windowed_success_rate,
@@ -817,3 +820,155 @@ def q_stream_reservoir_sample(spark, sf_dir):
     run_available(q)
     state = read_state(spark, out, 1 << 62, RESERVOIR_STATE)
     return state.select(F.col("ident").cast("bigint").alias("event_id"), "code", "sample_key")
+
+
+# --- Folders that grow: name order, result log, restarts, runs by manifest ---
+
+
+def _write_wave(v, path: str, keep) -> None:
+    write_log_files(v.where(keep), path, mode="append")
+
+
+def _polled_by_name(spark, sf_dir):
+    """The running rate by file over a folder that grows between two polls: first the even batches' files,
+    then, by a stream continued from its checkpoint, the odd ones'."""
+    v = load_log_view(spark, sf_dir, dirty=True)
+    src, out, log = (scratch_path(spark, f"stream-by-name-{x}") for x in ("src", "out", "log"))
+    for odd in (0, 1):
+        _write_wave(v, src, F.col("batch_id") % 2 == odd)
+        run_available(start_running_by_file(spark, src, out, glob="*.txt", trigger={"availableNow": True}, log=log))
+    return out, log
+
+
+_POLL_ORDER_SQL = """
+, names AS (SELECT DISTINCT batch_id AS b0 FROM v)
+, nr AS (SELECT b0, CAST(row_number() OVER (ORDER BY b0 % 2, 'batch_id=' || CAST(b0 AS VARCHAR) || '/') - 1 AS BIGINT) AS nb FROM names)
+, f AS (SELECT v.* REPLACE (nr.nb AS batch_id) FROM v JOIN nr ON nr.b0 = v.batch_id)"""
+_BY_POLL_AND_NAME = O.with_view(_POLL_ORDER_SQL + _RUN_EVENTS.replace("FROM v)", "FROM f)") + _SPAN + _RUNNING_TARGET_TAIL, dirty=True)
+
+
+@register("stream_running_by_file_name", _BY_POLL_AND_NAME)
+def q_stream_running_by_file_name(spark, sf_dir):
+    """New files of a poll in name order: a result after each file, numbered on over the polls."""
+    out, _ = _polled_by_name(spark, sf_dir)
+    return read_results(spark, out).select("batch_id", "successes", "total", "value", "newest_considered", "oldest_considered")
+
+
+@register("stream_results_log", f"""
+SELECT CASE WHEN batch_id < (SELECT count(DISTINCT event_id // {BATCH_SIZE}) FROM events WHERE (event_id // {BATCH_SIZE}) % 2 = 0)
+            THEN 0 ELSE 1 END AS epoch, printf('%.4f', value) AS value_text, {_fmt_ts_sql('newest_considered')} AS newest_text,
+       {_fmt_ts_sql('oldest_considered')} AS oldest_text FROM ({_BY_POLL_AND_NAME})""")
+def q_stream_results_log(spark, sf_dir):
+    """The result log of that stream, read back: the lines of each epoch once."""
+    _, log = _polled_by_name(spark, sf_dir)
+    return read_results_log(spark, log).select(F.col("epoch").cast("int").alias("epoch"), "value_text", "newest_text", "oldest_text")
+
+
+WAVES = 4
+
+
+def _late_waves(spark, sf_dir):
+    """An ``update`` query over four micro-batches in a fixed order of arrival: the late view's files, written in
+    four waves of the same number of files one after the other, which the file source takes by time."""
+    # late rows share a batch with others of the same place: their ids order a file
+    v = load_log_view(spark, sf_dir, dirty=True, late=True).withColumn("pos", F.col("event_id"))
+    files = -(-v.select("batch_id").distinct().count() // WAVES)
+    src, out = scratch_path(spark, "stream-late-src"), scratch_path(spark, "stream-late-out")
+    for wave in range(WAVES):
+        _write_wave(v, src, F.floor(F.col("batch_id") / files) == wave)
+    q = start_windowed_success_rate(spark, src, out, glob="*.txt", output_mode="update", trigger={"availableNow": True},
+                                    max_files_per_trigger=files, window_duration="1 hour", slide_duration="1 hour", watermark="6 hours")
+    run_available(q)
+    return q, out
+
+
+_LATE_SQL = f"""
+, k AS (SELECT (count(DISTINCT batch_id) + {WAVES - 1}) // {WAVES} AS files FROM v)
+, p AS (SELECT batch_id // files AS wave, service, {O.status_regex()} AS status, TRY_CAST(trunc("timestamp") AS BIGINT) AS t FROM v, k)
+, c AS (SELECT *, CAST(floor(t / 3600) * 3600 AS BIGINT) AS ws FROM p WHERE service IS NOT NULL AND status IS NOT NULL AND t IS NOT NULL)
+, m AS (SELECT wave, max(t) AS newest FROM c GROUP BY wave)
+, wm AS (SELECT wave, greatest(0, coalesce(max(newest) OVER (ORDER BY wave ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 21600, 0)) AS wm FROM m)
+, r AS (SELECT c.*, wm, ws + 3600 > wm AS kept FROM c JOIN wm USING (wave))"""
+
+
+@register("stream_windowed_update_late", O.with_view(_LATE_SQL + """
+SELECT make_timestamp(ws * 1000000) AS window_start, make_timestamp((ws + 3600) * 1000000) AS window_end, service, count(*) AS total,
+       CAST(sum(CASE WHEN status < 400 THEN 1 ELSE 0 END) AS BIGINT) AS successes,
+       CAST(sum(CASE WHEN status < 400 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS success_rate
+FROM r WHERE kept GROUP BY ws, service""", dirty=True, late=True))
+def q_stream_windowed_update_late(spark, sf_dir):
+    """Windows after four micro-batches with late rows, those behind the watermark left out."""
+    _, out = _late_waves(spark, sf_dir)
+    cols = ["total", "successes", "success_rate"]
+    last = read_results(spark, out).groupBy("window_start", "window_end", "service").agg(F.max_by(F.struct(*cols), "epoch").alias("r"))
+    return last.select("window_start", "window_end", "service", *[F.col(f"r.{c}").alias(c) for c in cols])
+
+
+@register("stream_late_account", O.with_view(_LATE_SQL + """
+SELECT wave AS epoch, make_timestamp(wm * 1000000) AS watermark, count(*) AS seen, CAST(sum(CASE WHEN kept THEN 1 ELSE 0 END) AS BIGINT) AS kept,
+       CAST(sum(CASE WHEN kept THEN 0 ELSE 1 END) AS BIGINT) AS dropped FROM r GROUP BY wave, wm""", dirty=True, late=True))
+def q_stream_late_account(spark, sf_dir):
+    """Per micro-batch the rows seen, kept and dropped by the watermark."""
+    return late_account(*_late_waves(spark, sf_dir))
+
+
+@register("stream_sliding_by_service_6h", O.with_view(f"""
+, m AS (SELECT max(coalesce("timestamp", 0.0)) AS nw FROM v)
+, f AS (SELECT service, coalesce("timestamp", 0.0) AS ts, {O.failure_not_ok()} AS bad FROM v WHERE service IS NOT NULL)
+SELECT service, CAST(count(CASE WHEN bad AND ts >= nw - 21600.0 THEN 1 END) AS DOUBLE) AS value, {O.ts_micros('nw')} AS newest_considered,
+       {O.ts_micros('nw - 21600.0')} AS oldest_considered FROM f, m GROUP BY service, nw""", dirty=True))
+def q_stream_sliding_by_service_6h(spark, sf_dir):
+    """One stream, the window count of every service."""
+    src, out = staged_log_files(spark, sf_dir), scratch_path(spark, "stream-sliding-services-out")
+    run_available(start_sliding_failures(spark, src, out, glob="*.txt", trigger={"availableNow": True}, service=None,
+                                         max_files_per_trigger=files_per_trigger(spark, sf_dir), window_seconds=21600))
+    return sliding_state_result(read_state(spark, out, 1 << 62, SLIDING_STATE), 21600, service=None)
+
+
+def _stopped_halfway(start) -> None:
+    """Run a stream until its first micro-batches are through, stop it, and finish it from its checkpoint."""
+    import time
+
+    q = start({"processingTime": "0 seconds"})
+    while q.isActive and not any(p.numInputRows for p in q.recentProgress):
+        time.sleep(0.05)
+    q.stop()
+    if q.exception() is not None:
+        raise q.exception()
+    run_available(start({"availableNow": True}))
+
+
+@register("stream_windowed_restart", ORACLE["windowed_success_rate"])
+def q_stream_windowed_restart(spark, sf_dir):
+    """The windowed stream, stopped halfway and continued from its checkpoint."""
+    src, out, files = staged_log_files(spark, sf_dir), scratch_path(spark, "stream-restart-out"), files_per_trigger(spark, sf_dir)
+    _stopped_halfway(lambda trigger: start_windowed_success_rate(
+        spark, src, out, glob="*.txt", output_mode="complete", trigger=trigger, max_files_per_trigger=files,
+        window_duration="10 seconds", slide_duration="10 seconds"))
+    return last_epoch(spark, out).select("window_start", "window_end", "service", "total", "successes", "success_rate")
+
+
+@register("stream_sliding_restart", ORACLE["stream_sliding_failures_6h"])
+def q_stream_sliding_restart(spark, sf_dir):
+    """The sliding stream, stopped halfway and continued from its checkpoint."""
+    src, out, files = staged_log_files(spark, sf_dir), scratch_path(spark, "stream-restart-out"), files_per_trigger(spark, sf_dir)
+    _stopped_halfway(lambda trigger: start_sliding_failures(
+        spark, src, out, glob="*.txt", trigger=trigger, max_files_per_trigger=files, window_seconds=21600))
+    return sliding_state_result(read_state(spark, out, 1 << 62, SLIDING_STATE), 21600)
+
+
+@register("runs_by_manifest", O.with_view("""
+SELECT batch_id, count(*) AS events, CAST(CASE WHEN batch_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS run FROM v GROUP BY batch_id""", dirty=True))
+def q_runs_by_manifest(spark, sf_dir):
+    """Three batch runs over a folder that grows after the first: the second reads only the new files,
+    the third finds none."""
+    v = load_log_view(spark, sf_dir, dirty=True)
+    src, manifest, out = (scratch_path(spark, f"runs-{x}") for x in ("src", "manifest", "out"))
+
+    def per_file(events):
+        return events.groupBy("file_path").agg(F.count("*").alias("events"))
+
+    for wave in (F.col("batch_id") % 3 != 0, F.col("batch_id") % 3 == 0, F.lit(False)):
+        _write_wave(v, src, wave)
+        run_new_files(spark, src, manifest, out, per_file, glob="*.txt")
+    return read_runs(spark, manifest, out).select(_file_batch(), "events", "run")

@@ -91,10 +91,9 @@ def running_success_rate(df: DataFrame, batch: str = "batch_id") -> DataFrame:
     )
 
 
-def running_success_rate_target(df: DataFrame, service: str = TARGET_SERVICE, batch: str = "batch_id",
-                                numbers: DataFrame | None = None) -> DataFrame:
-    """The single-value result: cumulative rate of one service after every
-    batch (0.0 before it has coded events), with the running span.
+def running_target_scan(df: DataFrame, service: str = TARGET_SERVICE, batch: str = "batch_id",
+                        numbers: DataFrame | None = None) -> DataFrame:
+    """Per batch the cumulative counts of one service and span of all (``_newest``, ``_oldest``).
 
     With ``numbers`` (``file_path``, ``batch_id``) a batch is a file: events are
     summed per file and only those sums meet the number, so a large file is
@@ -106,12 +105,16 @@ def running_success_rate_target(df: DataFrame, service: str = TARGET_SERVICE, ba
         F.sum(F.when(mine & F.col("_code").isNotNull(), F.col("_ok")).otherwise(0)).alias("_s"),
         *_span_aggs())
     if numbers is not None:
-        per = per.join(numbers.select("file_path", F.col("batch_id").alias(batch)), "file_path").drop("file_path")
-    scanned = prefix_scan(
+        per = per.join(numbers.select("file_path", F.col("batch_id").alias(batch)), "file_path")
+    return prefix_scan(
         per, batch,
         [("total", "sum", "_n"), ("successes", "sum", "_s"),
          ("_newest", "max", "_bnew"), ("_oldest", "min", "_bold")],
         block_width=BATCH_BLOCK, levels=BATCH_LEVELS)
+
+
+def running_target_rows(scanned: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """Result rows of a scan; batches before a span exists emit nothing."""
     return scanned.where(F.col("_newest").isNotNull() & F.col("_oldest").isNotNull()).select(
         batch,
         F.col("successes").cast("bigint").alias("successes"),
@@ -119,3 +122,11 @@ def running_success_rate_target(df: DataFrame, service: str = TARGET_SERVICE, ba
         safe_ratio("successes", "total").alias("value"),
         *_span_cols(batch)[1:],
     )
+
+
+def running_success_rate_target(df: DataFrame, service: str = TARGET_SERVICE, batch: str = "batch_id",
+                                numbers: DataFrame | None = None) -> DataFrame:
+    """The single-value result: cumulative rate of one service after every
+    batch (0.0 before it has coded events), with the running span.  ``numbers``: as in
+    :func:`running_target_scan`."""
+    return running_target_rows(running_target_scan(df, service, batch, numbers), batch)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglens.functions import format_timestamp, format_value
@@ -29,12 +29,28 @@ def result_display_rows(results: DataFrame, keep: tuple[str, ...] = ("batch_id",
     )
 
 
+def _log_lines(results: DataFrame) -> DataFrame:
+    line = F.concat_ws(",", format_timestamp(F.localtimestamp()), "value_text", "newest_text", "oldest_text")
+    return result_log_rows(results, keep=()).select(line.alias("value"))
+
+
 def append_results_log(results: DataFrame, path: str) -> None:
     """Append ``processed_at, value, newest, oldest`` lines (CSV, no header)."""
-    rows = result_log_rows(results, keep=())
-    line = F.concat_ws(",", format_timestamp(F.localtimestamp()), "value_text",
-                       "newest_text", "oldest_text")
-    rows.select(line.alias("value")).write.mode("append").text(path)
+    _log_lines(results).write.mode("append").text(path)
+
+
+def write_log_epoch(results: DataFrame, path: str, epoch: int) -> None:
+    """The log lines of a micro-batch, in ``path/epoch=<epoch>``: a replayed micro-batch
+    replaces its lines, so each epoch is logged once."""
+    _log_lines(results).write.mode("overwrite").text(f"{path.rstrip('/')}/epoch={epoch}")
+
+
+def read_results_log(spark: SparkSession, path: str) -> DataFrame:
+    """``epoch, processed_at, value_text, newest_text, oldest_text`` of a stream's log, in epoch order."""
+    parts = F.split("value", ",")
+    names = ("processed_at", "value_text", "newest_text", "oldest_text")
+    return (spark.read.schema("value string, epoch bigint").text(path)
+            .select("epoch", *[F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(names)]).orderBy("epoch"))
 
 
 def write_results(results: DataFrame, path: str, fmt: str = "csv") -> None:

@@ -6,8 +6,9 @@
 * ``running_success_rate_stream``: one streaming aggregate per service
   (state = one row per service); ``foreachBatch`` rolls the per-service
   spans up to the global running span and emits the target's result.
-* ``sliding_failures_stream``, ``reservoir_stream``: ``foreachBatch`` over a
-  versioned state table (window contents / the ``k`` sampled rows).
+* ``start_running_by_file``: the running rate after every file, in name order.
+* ``start_sliding_failures``: window counts per service in a versioned state table, the events by
+  time in a table per micro-batch; ``start_reservoir``: the ``k`` sampled rows as versioned state.
 * ``bloom_ratio_stream``: stateless; one ratio per file per micro-batch.
 """
 
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -31,8 +32,11 @@ from loglens.functions import (
     success_below_400,
 )
 from loglens.operators.bloom import bloom_hit_ratio
+from loglens.operators.running import running_target_rows, running_target_scan
 from loglens.operators.sample import sample_key
 from loglens.operators.windowed import window_success_stats
+from loglens.plans.materialize import materialize
+from loglens.plans.rank import with_rank
 from loglens.schema import (
     DEFAULT_SERVICE,
     DEFAULT_TIMESTAMP,
@@ -45,7 +49,7 @@ from loglens.schema import (
     WATERMARK,
     WINDOW_DURATION,
 )
-from loglens.sinks import append_results_log
+from loglens.sinks import write_log_epoch
 from loglens.streaming.state import RETAIN_VERSIONS, read_state, run_checkpoint, write_result, write_state
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -74,6 +78,7 @@ def windowed_success_rate_stream(events: DataFrame, window_duration: str = WINDO
     parsed = (
         seen.select("service", ok.alias("_ok"), success_below_400("status").alias("is_success"),
                     F.when(ok, F.col("_at")).alias("event_time"))
+        .observe(SEEN, F.count(F.when(F.col("_ok"), 1)).alias("rows"))
         .withWatermark("event_time", watermark)
     )
     stats = window_success_stats(parsed, window_duration, slide_duration)
@@ -82,10 +87,10 @@ def windowed_success_rate_stream(events: DataFrame, window_duration: str = WINDO
 
 
 def _result(df: DataFrame, out: str, epoch: int, log: str | None) -> None:
-    """One micro-batch's result rows, also appended to the result log ``log``."""
+    """One micro-batch's result rows, also in the result log ``log`` (once per epoch)."""
     write_result(df, out, epoch)
     if log:
-        append_results_log(df.sparkSession.read.parquet(f"{out}/results/epoch={epoch}"), log)
+        write_log_epoch(df.sparkSession.read.parquet(f"{out}/results/epoch={epoch}"), log, epoch)
 
 
 def _start(df: DataFrame, fn: Callable[[DataFrame, int], None], *, checkpoint: str,
@@ -122,6 +127,29 @@ def start_windowed_success_rate(spark: SparkSession, source: str, out: str, *,
                   name=None)
 
 
+#: Name of the metric that counts the complete rows of each micro-batch, before the watermark drops late ones.
+SEEN = "complete_rows"
+
+
+def late_account(query: StreamingQuery, out: str) -> DataFrame:
+    """``epoch, watermark, seen, kept, dropped`` of a tumbling ``update`` query: the complete rows of each
+    micro-batch, those that its windows gained, and the rest, which came behind the watermark.
+
+    Seen rows come from the progress that Spark keeps of the last micro-batches
+    (``spark.sql.streaming.numRecentProgressUpdates``), kept ones from the results."""
+    spark = SparkSession.active()
+    seen = [(p.batchId, p.eventTime.get("watermark"), int(p.observedMetrics[SEEN].rows)) for p in query.recentProgress
+            if p.observedMetrics.get(SEEN)]
+    rows = {e: (e, w, n) for e, w, n in seen if n}  # a micro-batch without data only moves the watermark
+    epochs = spark.createDataFrame(list(rows.values()), "epoch bigint, watermark string, seen bigint")
+    order = Window.partitionBy("window_start", "service").orderBy("epoch")
+    gained = F.col("total") - F.coalesce(F.lag("total").over(order), F.lit(0))
+    kept = spark.read.parquet(f"{out}/results").withColumn("gained", gained).groupBy("epoch").agg(F.sum("gained").alias("kept"))
+    return epochs.join(kept.select(F.col("epoch").cast("bigint").alias("epoch"), "kept"), "epoch", "left").select(
+        "epoch", _ntz(F.to_timestamp("watermark")).alias("watermark"), "seen", F.coalesce("kept", F.lit(0)).alias("kept"),
+        (F.col("seen") - F.coalesce("kept", F.lit(0))).alias("dropped"))
+
+
 # --- running success rate ----------------------------------------------------
 
 def running_counts_stream(events: DataFrame) -> DataFrame:
@@ -173,97 +201,140 @@ def start_running_success_rate(spark: SparkSession, source: str, out: str, *,
                   name=None)
 
 
+RUNNING_FILES_STATE = T.StructType([
+    T.StructField("files", T.LongType()), T.StructField("total", T.LongType()), T.StructField("successes", T.LongType()),
+    T.StructField("newest", T.DoubleType()), T.StructField("oldest", T.DoubleType())])
+
+
+def start_running_by_file(spark: SparkSession, source: str, out: str, *, checkpoint: str | None = None,
+                          trigger: dict | None = None, glob: str | None = "*.json", service: str = TARGET_SERVICE,
+                          log: str | None = None) -> StreamingQuery:
+    """The target's running rate after every *file*: the new files of a micro-batch (all that a listing finds)
+    are taken in name order, whatever their modification times, and numbered on from those before.
+
+    Files are numbered from their paths, events summed per file, and the sums scanned in that
+    order on top of the counts and span that the last micro-batch left."""
+    from loglens.sources.files import parse_log_files
+    from loglens.streaming.source import read_raw_stream
+
+    raw = read_raw_stream(spark, source, glob=glob, max_files_per_trigger=None)
+
+    def sink(files: DataFrame, epoch: int) -> None:
+        state = read_state(spark, out, epoch, RUNNING_FILES_STATE).first()
+        before, total, successes, newest, oldest = state or (0, 0, 0, None, None)
+        numbers = with_rank(files.select("file_path"), [F.asc("file_path")], "stream-files", "batch_id")
+        numbers = materialize(numbers.select("file_path", (F.col("batch_id") + before).alias("batch_id")), "stream-numbers")
+        scanned = running_target_scan(parse_log_files(files), service, numbers=numbers)
+        scanned = materialize(scanned.select(
+            "file_path", "batch_id", (F.col("total") + total).alias("total"), (F.col("successes") + successes).alias("successes"),
+            F.greatest("_newest", F.lit(newest).cast("double")).alias("_newest"),
+            F.least("_oldest", F.lit(oldest).cast("double")).alias("_oldest")), "stream-running")
+        n = numbers.count()
+        if not n:
+            return
+        last = scanned.agg(F.max("total"), F.max("successes"), F.max("_newest"), F.min("_oldest")).first()
+        now = (before + n, total if last[0] is None else last[0], successes if last[1] is None else last[1],
+               newest if last[2] is None else last[2], oldest if last[3] is None else last[3])
+        names = scanned.select("batch_id", "file_path")
+        _result(running_target_rows(scanned).join(names, "batch_id"), out, epoch, log)
+        write_state(spark.createDataFrame([now], RUNNING_FILES_STATE), out, epoch)
+
+    return _start(raw, sink, checkpoint=run_checkpoint(spark, out, checkpoint),
+                  output_mode="append", trigger=trigger or {"processingTime": TRIGGER_INTERVAL},
+                  name=None)
+
+
 # --- sliding failure count (versioned state) --------------------------------
 
 SLIDING_STATE = T.StructType([
-    T.StructField("kind", T.StringType()),      # 'newest' or 'failure'
-    T.StructField("ts", T.DoubleType()),
-    T.StructField("n", T.LongType()),
+    T.StructField("service", T.StringType()),   # null: the run as a whole
+    T.StructField("failures", T.LongType()),    # events in the window whose message lacks the ok code
+    T.StructField("errors", T.LongType()),      # ... with a 4xx or 5xx code
     T.StructField("total", T.LongType()),
+    T.StructField("newest", T.DoubleType()),    # of all services
+    # micro-batches that hold events of the window, with their times
+    T.StructField("live", T.ArrayType(T.StructType([
+        T.StructField("epoch", T.LongType()), T.StructField("first", T.DoubleType()), T.StructField("last", T.DoubleType())]))),
 ])
 
 
-def sliding_value(kept: DataFrame, rate: bool) -> DataFrame:
-    """The count (or, with ``rate``, the share) over a window's state rows."""
-    n, total = F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))
-    return kept.agg((safe_ratio(n, total) if rate else n.cast("double")).alias("value"))
+def sliding_state_result(state: DataFrame, window_seconds: float, rate: bool = False,
+                         service: str | None = TARGET_SERVICE) -> DataFrame:
+    """The result as of the state, whatever order the events arrived in: newest time and value of the
+    window, of one service or (``service`` None, with a column ``service``) of each seen so far; none before the first event."""
+    row = state.where("service is null").first()
+    newest = row["newest"] if row else 0.0
+    value = safe_ratio("errors", "total") if rate else F.col("failures").cast("double")
+    counts = state.where("service is not null")
+    if service is not None:  # a service without events has a window too
+        counts = counts.where(F.col("service") == service).select("failures", "errors", "total").agg(
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("failures", "errors", "total")])
+    if not newest:
+        counts = counts.where("false")
+    return counts.select(
+        *(["service"] if service is None else []), value.alias("value"),
+        epoch_to_timestamp(F.lit(float(newest))).alias("newest_considered"),
+        epoch_to_timestamp(F.lit(float(newest - window_seconds))).alias("oldest_considered"))
 
 
-def sliding_state_result(state: DataFrame, window_seconds: float, rate: bool = False) -> DataFrame:
-    """The result as of the state: newest time and the value of its window,
-    whatever order the events arrived in (one row, none before the first event)."""
-    newest = state.where(F.col("kind") == "newest").agg(F.max("ts")).first()[0]
-    if not newest:
-        return sliding_value(state.where("false"), rate).where("false").select(
-            "value", epoch_to_timestamp(F.lit(0.0)).alias("newest_considered"),
-            epoch_to_timestamp(F.lit(0.0)).alias("oldest_considered"))
-    low = newest - window_seconds
-    return sliding_value(state.where((F.col("kind") == "failure") & (F.col("ts") >= F.lit(low))), rate).select(
-        "value", epoch_to_timestamp(F.lit(float(newest))).alias("newest_considered"),
-        epoch_to_timestamp(F.lit(float(low))).alias("oldest_considered"))
-
-
-def sliding_step(state: DataFrame, batch: DataFrame, *, window_seconds: float, service: str,
-                 rate: bool = False) -> tuple[DataFrame, DataFrame | None]:
-    """One micro-batch: (new state, its result row or None).
-
-    State = the running newest plus the target's events (failures, or with
-    ``rate`` all of them with their errors) that can still enter a window,
-    pre-aggregated by timestamp (bounded by the window).
-    """
+def sliding_step(spark: SparkSession, out: str, epoch: int, batch: DataFrame, window_seconds: float) -> bool:
+    """One micro-batch of the sliding window: writes its state, tells whether the newest time rose.
+
+    The events are summed by (service, time) once, into ``out/events/epoch=<epoch>``.  The window's counts per service
+    then gain those in the window and lose those of earlier micro-batches that the new
+    window leaves behind: only micro-batches with times between the old and the new edge
+    are read, so state read and written follows the events that enter and leave."""
     ts = F.coalesce(F.col("timestamp"), F.lit(DEFAULT_TIMESTAMP))
-    mine = F.col("service") == F.lit(service)
-    if rate:
-        bad = F.coalesce(error_4xx_5xx(status_regex("message")), F.lit(False))
-    else:
-        mine, bad = mine & failure_not_ok_message("message"), F.lit(True)
-    prev_newest = state.where(F.col("kind") == "newest").agg(F.max("ts")).first()[0]
-    prev_newest = DEFAULT_TIMESTAMP if prev_newest is None else prev_newest
-    batch_max = batch.agg(F.max(ts)).first()[0]
-    newest = max(prev_newest, batch_max) if batch_max is not None else prev_newest
-    fails = (batch.where(mine).select(ts.alias("ts"), bad.alias("bad")).groupBy("ts")
-             .agg(F.count(F.when(F.col("bad"), 1)).alias("n"), F.count(F.lit(1)).alias("total"))
-             .select(F.lit("failure").alias("kind"), "ts", "n", "total"))
-    low = newest - window_seconds
-    kept = (state.where(F.col("kind") == "failure").unionByName(fails)
-            .groupBy("kind", "ts").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-            .where(F.col("ts") >= F.lit(low)))
-    spark = batch.sparkSession
-    new_state = kept.unionByName(spark.createDataFrame([("newest", float(newest), 0, 0)], SLIDING_STATE))
-    if batch_max is not None and batch_max > prev_newest and newest > 0.0:
-        result = sliding_value(kept, rate).select(
-            "value",
-            epoch_to_timestamp(F.lit(float(newest))).alias("newest_considered"),
-            epoch_to_timestamp(F.lit(float(low))).alias("oldest_considered"))
-    else:
-        result = None
-    return new_state, result
+    sums = {"failures": failure_not_ok_message("message"),
+            "errors": F.coalesce(error_4xx_5xx(status_regex("message")), F.lit(False)), "total": F.lit(True)}
+    here = f"{out}/events/epoch={epoch}"
+    (batch.select("service", ts.alias("ts"), *[c.alias(n) for n, c in sums.items()]).groupBy("service", "ts")
+     .agg(*[F.count(F.when(F.col(n), 1)).alias(n) for n in sums])
+     .write.mode("overwrite").parquet(here))
+    mine = spark.read.parquet(here)
+    first, last = mine.agg(F.min("ts"), F.max("ts")).first()
+    if last is None:
+        return False
+    old = materialize(read_state(spark, out, epoch, SLIDING_STATE), "window-state")
+    run = old.where("service is null").first()
+    before, live = (run["newest"], run["live"]) if run else (DEFAULT_TIMESTAMP, [])
+    newest = max(before, last)
+    low, was = newest - window_seconds, before - window_seconds
+    left = [x for x in live if x["last"] >= was and x["first"] < low]
+    rows = [mine.where(F.col("ts") >= low), old.withColumn("ts", F.lit(0.0))]
+    if left and low > was:
+        gone = spark.read.parquet(*[f"{out}/events/epoch={x['epoch']}" for x in left])
+        rows.append(gone.where((F.col("ts") >= was) & (F.col("ts") < low)).select(
+            "service", "ts", *[(-F.col(n)).alias(n) for n in sums]))
+    # every service seen so far keeps a row, also with an empty window
+    rows.append(mine.select("service", "ts", *[F.lit(0).cast("bigint").alias(n) for n in sums]))
+    both = rows[0].select("service", *sums)
+    for r in rows[1:]:
+        both = both.unionByName(r.select("service", *sums))
+    counts = both.where("service is not null").groupBy("service").agg(*[F.sum(n).alias(n) for n in sums])
+    live = [tuple(x) for x in live if x["last"] >= low] + ([(epoch, first, last)] if last >= low else [])
+    whole = spark.createDataFrame([(None, 0, 0, 0, float(newest), live)], SLIDING_STATE)
+    write_state(counts.select("*", F.lit(None).cast("double").alias("newest"),
+                              F.lit(None).cast(SLIDING_STATE["live"].dataType).alias("live")).unionByName(whole), out, epoch)
+    return newest > before and newest > 0.0
 
 
 def start_sliding_failures(spark: SparkSession, source: str, out: str, *,
                            checkpoint: str | None = None, trigger: dict | None = None,
                            glob: str | None = None, max_files_per_trigger: int | None = None,
                            window_seconds: float = SLIDING_WINDOW_SECONDS,
-                           service: str = TARGET_SERVICE, rate: bool = False,
+                           service: str | None = TARGET_SERVICE, rate: bool = False,
                            log: str | None = None) -> StreamingQuery:
     """Sliding failure count (with ``rate`` the documented 4xx/5xx share) per
-    micro-batch (a poll of all new files)."""
+    micro-batch (a poll of all new files), of one service or, with ``service`` None, of every one."""
     from loglens.streaming.source import read_log_stream
 
     events = read_log_stream(spark, source, glob=glob, max_files_per_trigger=max_files_per_trigger)
 
     def sink(df: DataFrame, epoch: int) -> None:
-        if df.isEmpty():
-            return
-        df.persist()
-        try:
-            state = read_state(spark, out, epoch, SLIDING_STATE)
-            new_state, result = sliding_step(state, df, window_seconds=window_seconds, service=service, rate=rate)
-            write_state(new_state, out, epoch)
-            if result is not None:
-                _result(result, out, epoch, log)
-        finally:
-            df.unpersist()
+        if sliding_step(spark, out, epoch, df, window_seconds):
+            state = read_state(spark, out, epoch + 1, SLIDING_STATE)
+            _result(sliding_state_result(state, window_seconds, rate, service), out, epoch, log)
 
     return _start(events, sink, checkpoint=run_checkpoint(spark, out, checkpoint),
                   output_mode="append", trigger=trigger or {"processingTime": TRIGGER_INTERVAL},
@@ -343,7 +414,6 @@ def start_bloom_ratio(spark: SparkSession, source: str, out: str, words: DataFra
                       m_bits: int, k_hashes: int, checkpoint: str | None = None,
                       trigger: dict | None = None, glob: str | None = "*.json",
                       max_files_per_trigger: int | None = None) -> StreamingQuery:
-    from loglens.plans.materialize import materialize
     from loglens.streaming.source import read_log_stream
 
     events = read_log_stream(spark, source, glob=glob, max_files_per_trigger=max_files_per_trigger)
