@@ -888,7 +888,8 @@ _LATE_SQL = f"""
 , c AS (SELECT *, CAST(floor(t / 3600) * 3600 AS BIGINT) AS ws FROM p WHERE service IS NOT NULL AND status IS NOT NULL AND t IS NOT NULL)
 , m AS (SELECT wave, max(t) AS newest FROM c GROUP BY wave)
 , wm AS (SELECT wave, greatest(0, coalesce(max(newest) OVER (ORDER BY wave ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 21600, 0)) AS wm FROM m)
-, r AS (SELECT c.*, wm, ws + 3600 > wm AS kept FROM c JOIN wm USING (wave))"""
+, lm AS (SELECT wave, wm, lag(wm, 1, 0) OVER (ORDER BY wave) AS late FROM wm)
+, r AS (SELECT c.*, wm, ws + 3600 > late AS kept FROM c JOIN lm USING (wave))"""
 
 
 @register("stream_windowed_update_late", O.with_view(_LATE_SQL + """
@@ -897,7 +898,8 @@ SELECT make_timestamp(ws * 1000000) AS window_start, make_timestamp((ws + 3600)
        CAST(sum(CASE WHEN status < 400 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS success_rate
 FROM r WHERE kept GROUP BY ws, service""", dirty=True, late=True))
 def q_stream_windowed_update_late(spark, sf_dir):
-    """Windows after four micro-batches with late rows, those behind the watermark left out."""
+    """Windows after four micro-batches with late rows.  Spark closes windows by the watermark of a
+    micro-batch after its rows are in, and drops the rows of closed windows from the next on."""
     _, out = _late_waves(spark, sf_dir)
     cols = ["total", "successes", "success_rate"]
     last = read_results(spark, out).groupBy("window_start", "window_end", "service").agg(F.max_by(F.struct(*cols), "epoch").alias("r"))

@@ -133,7 +133,8 @@ SEEN = "complete_rows"
 
 def late_account(query: StreamingQuery, out: str) -> DataFrame:
     """``epoch, watermark, seen, kept, dropped`` of a tumbling ``update`` query: the complete rows of each
-    micro-batch, those that its windows gained, and the rest, which came behind the watermark.
+    micro-batch, those that its windows gained, and the rest, whose windows the watermark
+    had closed in an earlier micro-batch.
 
     Seen rows come from the progress that Spark keeps of the last micro-batches
     (``spark.sql.streaming.numRecentProgressUpdates``), kept ones from the results."""
