@@ -33,6 +33,8 @@ from loglens.llm.near_dup import components, linked
 
 #: Bytes of texts read at once in a task, shingles aimed at in a part, sets in a block.
 CHUNK, PART, BLOCK = 4_000_000, 1_000_000, 512
+#: Classes whose counts travel together.
+SPAN = 8192
 #: Children of a node; leaf bitmaps have at least four bits a token up to MAX_BITS; bits of a block's signature.
 FAN, MAX_BITS, BLOCK_BITS = 8, 1 << 16, 1 << 13
 
@@ -96,7 +98,7 @@ def _met(k: int, bits: int):
 
 
 def _repeated(group: pa.Table) -> pa.Table:
-    """Groups: how many shingles of a part each class has in common with others."""
+    """Groups: how many shingles of a part each class has in common with others, packed by ``SPAN`` classes."""
     rest, ids, known, held = [], [], [], []
     for r in group.to_pylist():
         names = np.frombuffer(r["ids"], np.int64)
@@ -119,7 +121,20 @@ def _repeated(group: pa.Table) -> pa.Table:
         known.append(found)
         held.append(np.ones(len(found), np.int32))
     known, at = np.unique(np.concatenate(known), return_inverse=True)
-    return pa.table({"c": known, "m": np.bincount(at, np.concatenate(held)).astype(np.int64)})
+    m = np.bincount(at, np.concatenate(held)).astype(np.int32)
+    span = known // SPAN
+    cuts = np.flatnonzero(np.diff(span, prepend=-1, append=-1))
+    return pa.table({"span": span[cuts[:-1]], "c": pa.array([(known[a:b] % SPAN).astype(np.uint16).tobytes() for a, b in zip(
+        cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+        "m": pa.array([m[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
+
+
+def _summed(group: pa.Table) -> pa.Table:
+    """Groups: the sums over all parts, for ``SPAN`` classes."""
+    c = np.frombuffer(b"".join(group["c"].to_pylist()), np.uint16)
+    total = np.bincount(c, np.frombuffer(b"".join(group["m"].to_pylist()), np.int32), SPAN).astype(np.int64)
+    some = np.flatnonzero(total)
+    return pa.table({"c": some + group["span"][0].as_py() * SPAN, "m": total[some]})
 
 
 def live_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int, part: int | None = None) -> DataFrame:
@@ -127,7 +142,8 @@ def live_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int, par
     total = classes.agg(F.sum("n")).first()[0] or 0
     bits = max(0, int(np.ceil(np.log2(max(1, total / (part or PART))))))
     sent = texts.select("c", "body").mapInArrow(_met(k, bits), "part bigint, low binary, high binary, one binary, ids binary, held binary")
-    held = sent.groupBy("part").applyInArrow(_repeated, "c bigint, m bigint").groupBy("c").agg(F.sum("m").alias("m"))
+    held = (sent.groupBy("part").applyInArrow(_repeated, "span bigint, c binary, m binary")
+            .groupBy("span").applyInArrow(_summed, "c bigint, m bigint"))
     return classes.join(held, "c").where(100 * F.col("m") >= percent * F.col("n")).drop("m")
 
 
@@ -236,17 +252,16 @@ def _top(labels: list[int], x: int) -> int:
     return x
 
 
-def joined(ids: np.ndarray, sets: list[np.ndarray], labels: np.ndarray, split: int, percent: int) -> list[tuple[int, int]]:
-    """Links that connect sets whose ``labels`` differ wherever any chain of links within them does: among all, or with ``split``
-    between the first ``split`` and the others."""
-    _, first, label = np.unique(labels, return_index=True, return_inverse=True)
-    tops, out = list(range(len(first))), []
+def joined(sets: list[np.ndarray], labels: np.ndarray, split: int, percent: int) -> list[tuple[int, int]]:
+    """``labels`` that links between the sets bring together, each with the smallest of its group: links among
+    all sets, or with ``split`` between the first ``split`` and the others."""
+    names, label = np.unique(labels, return_inverse=True)
+    tops = list(range(len(names)))
 
     def ask(i: int, j: int) -> None:
         a, b = _top(tops, int(label[i])), _top(tops, int(label[j]))
         if a != b and linked(sets[i], sets[j], percent):
             tops[max(a, b)] = min(a, b)
-            out.append((int(ids[i]), int(ids[j])))
 
     # neighbours in size, and all with a middle one, connect most of a family of copies
     middle = (split or len(sets)) // 2
@@ -262,11 +277,11 @@ def joined(ids: np.ndarray, sets: list[np.ndarray], labels: np.ndarray, split: i
         x = y = SignatureTree(sets, now, bits)
     for i, j in zip(*(z.tolist() for z in dual_traversal(x, y, percent)), strict=True):
         ask(i, j + split)
-    return out
+    return [(int(names[_top(tops, x)]), int(names[x])) for x in range(len(names)) if tops[x] != x]
 
 
 def _linking(percent: int, sides: bool):
-    """Groups of sets of one block (rows c, label, place, s), or of two (with side)."""
+    """Groups of sets of one block (rows label, place, s), or of two (with side)."""
 
     def run(group: pa.Table) -> pa.Table:
         order = np.lexsort((group["place"].to_numpy(), group["side"].to_numpy())) if sides else np.argsort(group["place"].to_numpy())
@@ -277,7 +292,7 @@ def _linking(percent: int, sides: bool):
         ends = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
         sets = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
         split = int((group["side"].to_numpy() == 0).sum()) if sides else 0
-        links = joined(group["c"].to_numpy(), sets, group["label"].to_numpy(), split, percent) if split < len(sets) and (split or not sides) else []
+        links = joined(sets, group["label"].to_numpy(), split, percent) if split < len(sets) and (split or not sides) else []
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
 
     return run
@@ -341,13 +356,13 @@ def block_pairs(asks: DataFrame, held: DataFrame, percent: int) -> DataFrame:
 
 
 def tree_links(sets: DataFrame, member: DataFrame, percent: int, block: int | None = None) -> DataFrame:
-    """``a, b``: links that connect ``sets`` (c, s) as all links within families (``member``: c, family) do."""
+    """``a, b``: pairs of classes that connect ``sets`` (c, s) as all links within families (``member``: c, family) do."""
     sized = sets.select("c", F.size("s").alias("n")).join(member, "c")
     ranked = with_rank(sized, [F.asc("family"), F.asc("n"), F.asc("c")], "join-order", "place")
     places = stage(ranked.select("c", "family", "place", F.floor(F.col("place") / (block or BLOCK)).cast("bigint").alias("block")), "join-places")
     laid = stage(sets.join(places, "c").withColumn("label", F.col("c")), "join-laid")
     link = "a bigint, b bigint"
-    links = stage(laid.select("c", "label", "block", "place", "s").groupBy("block").applyInArrow(_linking(percent, False), link), "join-links")
+    links = stage(laid.select("label", "block", "place", "s").groupBy("block").applyInArrow(_linking(percent, False), link), "join-links")
     wide = stage(places.groupBy("family").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).where("lo < hi"), "join-wide")
     if wide.limit(1).count() == 0:
         return links
@@ -358,7 +373,7 @@ def tree_links(sets: DataFrame, member: DataFrame, percent: int, block: int | No
                      .select("c", "family", "block", "place", "label", "s"), "join-labelled")
 
     def ask(rows: DataFrame, *key: str) -> DataFrame:
-        more = rows.select(*key, "side", "c", "label", "place", "s").groupBy(*key).applyInArrow(_linking(percent, True), link)
+        more = rows.select(*key, "side", "label", "place", "s").groupBy(*key).applyInArrow(_linking(percent, True), link)
         return stage(links.unionByName(stage(more, "join-more")), "join-links")
 
     now = labelled(wide)
