@@ -23,7 +23,7 @@ from loglens.sources.files import file_batches, number_files, read_logs
 
 def stream(spark, args, opts) -> None:
     """Start the streaming form of ``args.task``; results go to ``args.out``."""
-    from loglens.streaming import stop_after_drain
+    from loglens.streaming import run_until_signal
     from loglens.streaming import operators as S
 
     if not args.out:
@@ -39,6 +39,8 @@ def stream(spark, args, opts) -> None:
                                                        "output_mode", "max_files_per_trigger")})
     elif task == "running_success_rate_target":
         q = S.start_running_success_rate(spark, args.source, args.out, **logged)
+    elif task == "running_success_rate_by_file":
+        q = S.start_running_by_file(spark, args.source, args.out, **logged)
     elif task == "sliding_failures":
         q = S.start_sliding_failures(spark, args.source, args.out, **logged)
     elif task == "sliding_failure_rate":
@@ -55,10 +57,7 @@ def stream(spark, args, opts) -> None:
         q = S.start_bloom_ratio(spark, args.source, args.out, words, m_bits=m, k_hashes=k, **common)
     else:
         raise SystemExit(f"no streaming form for {task!r}")
-    try:
-        q.awaitTermination()
-    except KeyboardInterrupt:
-        stop_after_drain(q)
+    run_until_signal([q], drain=args.drain)  # SIGTERM or Ctrl-C: after the current micro-batch
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -77,6 +76,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--format", choices=["csv", "parquet"], default="csv", help="of --out in batch runs")
     ap.add_argument("--checkpoint", default=None, help="stream checkpoint (default: in the --out folder)")
     ap.add_argument("--log", default=None, help="result log that a stream appends to")
+    ap.add_argument("--drain", action="store_true", help="on a signal, process what exists before a stream stops")
     ap.add_argument("--available-now", action="store_true", help="process what exists, then stop")
     args = ap.parse_args(argv)
 
