@@ -20,6 +20,7 @@ from loglens.operators.bloom import (
     bloom_contains,
     bloom_forward,
     bloom_hit_ratio,
+    exact_forward,
 )
 from loglens.operators.parse import log_defaults, outcome_flags, parse_for_rates
 from loglens.operators.running import (
@@ -440,6 +441,14 @@ def q_bloom_forward(spark, sf_dir):
     return bloom_forward(v, filt, m_bits=64, k_hashes=3).select("event_id", "batch_id", "service", "message")
 
 
+@register("exact_forward", O.with_view(_LOG_PATTERNS_SQL + """
+SELECT event_id, batch_id, service, message FROM v WHERE coalesce(message, '') IN (SELECT pattern FROM pat)""", dirty=True))
+def q_exact_forward(spark, sf_dir):
+    """The twin of ``bloom_forward`` without false positives."""
+    v = load_log_view(spark, sf_dir, dirty=True)
+    return exact_forward(v, _log_patterns(v)).select("event_id", "batch_id", "service", "message")
+
+
 @register("bloom_hit_ratio", O.with_view(_LOG_PATTERNS_SQL + _bits_sql("pat", 500_000, 8)
                                          + _probe_sql("v", "t.event_id", "coalesce(t.message, '')", 500_000, 8) + f"""
 SELECT v.batch_id, CAST(sum(CASE WHEN p.hit THEN 1 ELSE 0 END) AS BIGINT) AS hits, count(*) AS events,

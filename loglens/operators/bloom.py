@@ -8,14 +8,22 @@ built: it is broadcast when that bound fits under the session's
 broadcast-join threshold and joined by shuffle otherwise (also when
 broadcasting is disabled).
 
-Test: for each index ``i`` an equi-join on the word fetches one ``bigint``
-from which one bit is shifted out: numeric work only.  The ``k`` joins are
-unrolled, so the probe side streams through broadcast hash joins with no
-shuffle, and a row stops hashing at its first unset bit.
+Test, by the size of the filter (``ceil(m / 64)`` words, known beforehand):
+
+* up to ``CONSTANT_WORDS`` words it enters the plan as one array constant, and the test is a projection;
+* up to the broadcast threshold, an equi-join on the word for each index, one broadcast reused ``k`` times;
+* beyond, by the words: each distinct message asks for its ``k`` words in one join, its bits are
+  AND-ed back by message, and the events meet the answers in their only exchange.
+
+In the first two a row stops hashing at its first unset bit.  ``exact_forward`` is the twin without
+false positives.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +31,7 @@ from loglens.functions import bloom_index, bloom_indices, epoch_to_timestamp
 from loglens.schema import BLOOM_BITS, BLOOM_HASHES
 
 WORD_BITS = 64
+CONSTANT_WORDS = 65_536  # half a megabyte in the plan
 DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
 
@@ -56,11 +65,6 @@ def filter_bytes(m_bits: int) -> int:
     return 48 * (-(-m_bits // WORD_BITS))
 
 
-def _filter_side(words: DataFrame, m_bits: int) -> DataFrame:
-    limit = broadcast_limit(words.sparkSession)
-    return F.broadcast(words) if 0 < filter_bytes(m_bits) <= limit else words
-
-
 def _bit(bits: str, index: str) -> Column:
     """Bit ``index % 64`` of a filter word (0 when the word is absent)."""
     return F.coalesce(
@@ -88,15 +92,68 @@ def _probe(df: DataFrame, side: DataFrame, text: str, out: str, m_bits: int,
     return cur.select(*cols, F.col("_bl_on").alias(out))
 
 
+def bloom_test(words: DataFrame, m_bits: int = BLOOM_BITS, k_hashes: int = BLOOM_HASHES) -> Callable[[Column], Column] | None:
+    """The test as a column function over an array constant of the filter's words, which is read here, once;
+    None if the filter may have more than ``CONSTANT_WORDS``."""
+    n = -(-m_bits // WORD_BITS)
+    if n > CONSTANT_WORDS:
+        return None
+    held = [0] * n
+    for word, bits in words.select("word", "bits").collect():
+        held[word] = bits
+    array = F.from_json(F.lit(json.dumps(held, separators=(",", ":"))), "array<bigint>")  # folded to a constant
+
+    def test(text: Column) -> Column:
+        out = F.lit(True)
+        for i in range(k_hashes):
+            at = bloom_index(text, i, m_bits)
+            word = F.get(array, F.floor(at / WORD_BITS).cast("int"))
+            out = out & (word.bitwiseAND(_mask(at)) != 0)
+        return F.coalesce(out, F.lit(False))  # a null is no member
+
+    return test
+
+
+def _mask(index: Column) -> Column:
+    """The bit of an index in its word."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(index, F.lit(WORD_BITS)).cast("int"))
+
+
+def _probe_by_word(df: DataFrame, words: DataFrame, text: str, out: str, m_bits: int, k_hashes: int) -> DataFrame:
+    """Add ``out`` to ``df`` with one exchange of its rows, however many hashes: the distinct messages (as
+    digests) ask for their words in one join."""
+    digest = F.md5(F.col(text))
+    index = [bloom_index(text, i, m_bits) for i in range(k_hashes)]
+    ask = F.array(*[F.struct(F.floor(i / WORD_BITS).cast("bigint").alias("word"), _mask(i).alias("mask")) for i in index])
+    asked = (df.select(digest.alias("_bl_d"), ask.alias("_bl_a")).groupBy("_bl_d").agg(F.first("_bl_a").alias("_bl_a"))
+             .select("_bl_d", F.inline("_bl_a")))
+    bit = F.coalesce(F.col("bits").bitwiseAND(F.col("mask")) != 0, F.lit(False))
+    answers = asked.join(words, "word", "left").groupBy("_bl_d").agg(F.bool_and(bit).alias(out))
+    return df.withColumn("_bl_d", digest).join(answers, "_bl_d", "left").drop("_bl_d").withColumn(out, F.coalesce(out, F.lit(False)))
+
+
 def bloom_contains(df: DataFrame, words: DataFrame, text: Column | str, out: str = "hit",
-                   m_bits: int = BLOOM_BITS, k_hashes: int = BLOOM_HASHES) -> DataFrame:
+                   m_bits: int = BLOOM_BITS, k_hashes: int = BLOOM_HASHES,
+                   test: Callable[[Column], Column] | None = None) -> DataFrame:
     """Add boolean ``out``: all ``k`` bits of ``text`` are set (a probable member).
 
-    Rows are probed in place: one read of the input, and with a filter that fits
-    the broadcast threshold no shuffle."""
-    side = _filter_side(words, m_bits)
+    With a filter of a constant's or a broadcast's size, rows are tested in place: one read of the input, no
+    shuffle; with a larger one they are exchanged once.  ``test``: of :func:`bloom_test`, where
+    the same filter is asked many times."""
     t = F.col(text) if isinstance(text, str) else text
-    return _probe(df.withColumn("_bl_t", t), side, "_bl_t", out, m_bits, k_hashes).drop("_bl_t")
+    test = test or bloom_test(words, m_bits, k_hashes)
+    if test is not None:
+        return df.withColumn(out, test(t))
+    df = df.withColumn("_bl_t", t)
+    if 0 < filter_bytes(m_bits) <= broadcast_limit(words.sparkSession):
+        return _probe(df, F.broadcast(words), "_bl_t", out, m_bits, k_hashes).drop("_bl_t")
+    return _probe_by_word(df, words, "_bl_t", out, m_bits, k_hashes).drop("_bl_t")
+
+
+def exact_forward(df: DataFrame, patterns: DataFrame, message: str = "message", text_col: str = "pattern") -> DataFrame:
+    """Events whose message is in the pattern list: what :func:`bloom_forward` gives without its false positives."""
+    known = patterns.select(F.col(text_col).alias("_pattern")).where(F.col("_pattern").isNotNull()).distinct()
+    return df.join(known, F.coalesce(F.col(message), F.lit("")) == F.col("_pattern"), "left_semi")
 
 
 def bloom_forward(df: DataFrame, words: DataFrame, message: str = "message",
@@ -107,7 +164,8 @@ def bloom_forward(df: DataFrame, words: DataFrame, message: str = "message",
 
 
 def bloom_hit_ratio(df: DataFrame, words: DataFrame, batch: str = "batch_id",
-                    m_bits: int = BLOOM_BITS, k_hashes: int = BLOOM_HASHES) -> DataFrame:
+                    m_bits: int = BLOOM_BITS, k_hashes: int = BLOOM_HASHES,
+                    test: Callable[[Column], Column] | None = None) -> DataFrame:
     """Per batch: share of all its events that the filter forwards, with the
     batch's own time span; batches without any timestamp emit nothing.
 
@@ -119,7 +177,7 @@ def bloom_hit_ratio(df: DataFrame, words: DataFrame, batch: str = "batch_id",
     per = (df.groupBy(batch, msg.alias("_bl_m"))
            .agg(F.count(F.lit(1)).alias("_n"), F.count("timestamp").alias("_nts"),
                 F.max("timestamp").alias("_new"), F.min("timestamp").alias("_old")))
-    tested = bloom_contains(per, words, "_bl_m", "_hit", m_bits, k_hashes)
+    tested = bloom_contains(per, words, "_bl_m", "_hit", m_bits, k_hashes, test)
     return (tested.groupBy(batch)
             .agg(F.sum(F.when(F.col("_hit"), F.col("_n")).otherwise(0)).alias("hits"),
                  F.sum("_n").alias("events"), F.sum("_nts").alias("_nts"),

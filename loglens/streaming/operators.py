@@ -31,7 +31,7 @@ from loglens.functions import (
     success_2xx,
     success_below_400,
 )
-from loglens.operators.bloom import bloom_hit_ratio
+from loglens.operators.bloom import bloom_hit_ratio, bloom_test
 from loglens.operators.running import running_target_rows, running_target_scan
 from loglens.operators.sample import sample_key
 from loglens.operators.windowed import window_success_stats
@@ -420,10 +420,11 @@ def start_bloom_ratio(spark: SparkSession, source: str, out: str, words: DataFra
     events = read_log_stream(spark, source, glob=glob, max_files_per_trigger=max_files_per_trigger)
     # the filter (at most m/8 bytes) is built once, not once per micro-batch
     words = materialize(words, "bloom-filter")
+    test = bloom_test(words, m_bits, k_hashes)
 
     def sink(df: DataFrame, epoch: int) -> None:
         write_result(bloom_hit_ratio(df, words, batch="file_path", m_bits=m_bits,
-                                     k_hashes=k_hashes), out, epoch)
+                                     k_hashes=k_hashes, test=test), out, epoch)
 
     return _start(events, sink, checkpoint=run_checkpoint(spark, out, checkpoint),
                   output_mode="append", trigger=trigger or {"processingTime": TRIGGER_INTERVAL},

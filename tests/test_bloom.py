@@ -2,9 +2,11 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
-from loglens.operators.bloom import bloom_build, bloom_contains, bloom_forward, bloom_hit_ratio
+from loglens.operators import bloom
+from loglens.operators.bloom import bloom_build, bloom_contains, bloom_forward, bloom_hit_ratio, exact_forward
 from loglens.sources.patterns import patterns_from_lines
 
 from .conftest import ev, events_df
@@ -39,22 +41,54 @@ def test_no_false_negatives_and_fp_rate(spark):
     assert abs(fp - theory) < 0.02
 
 
-def test_shuffle_path_when_filter_exceeds_broadcast_limit(spark):
-    from loglens.operators.bloom import broadcast_limit, filter_bytes
-
+@pytest.fixture
+def without_broadcasts(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert broadcast_limit(spark) == -1
-        pats = spark.createDataFrame([("HTTP Status Code: 500",)], "pattern string")
-        filt = bloom_build(pats, m_bits=8192, k_hashes=3)
-        df = events_df(spark, [[ev(service="s", t=0, code=200), ev(service="s", t=0, code=500)]])
-        r = bloom_hit_ratio(df, filt, m_bits=8192, k_hashes=3)
-        assert abs(r.first().value - 0.5) < 1e-9
-        assert "BroadcastExchange" not in r._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert filter_bytes(1_000_000) < 1_000_000
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_large_filters_take_one_exchange_of_the_events(spark, monkeypatch, without_broadcasts):
+    from loglens.operators.bloom import broadcast_limit, filter_bytes
+
+    assert broadcast_limit(spark) == -1 and filter_bytes(1_000_000) < 1_000_000
+    monkeypatch.setattr(bloom, "CONSTANT_WORDS", 0)
+    for k in (1, 3, 8):
+        filt = bloom_build(spark.createDataFrame([("HTTP Status Code: 500",)], "pattern string"), m_bits=8192, k_hashes=k)
+        df = events_df(spark, [[ev(service="s", t=0, code=200), ev(service="s", t=0, code=500), ev(service="s", t=1)]])
+        fwd = bloom_forward(df, filt, m_bits=8192, k_hashes=k)
+        assert [r.message for r in fwd.collect()] == ["HTTP Status Code: 500"]
+        plan = fwd._jdf.queryExecution().executedPlan().toString()
+        plan = plan[:plan.find("Initial Plan")] if "Initial Plan" in plan else plan
+        assert "Broadcast" not in plan
+        # the events with all their columns cross once, whatever k; the rest are digests and words
+        crossed = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "_bl_d" in x]
+        assert sum("ENSURE_REQUIREMENTS" in x for x in crossed) <= 4 and len(
+            [x for x in plan.split("\n") if "Exchange hashpartitioning(word" in x]) <= 3
+        r = bloom_hit_ratio(df, filt, m_bits=8192, k_hashes=k)
+        assert abs(r.first().value - 1 / 3) < 1e-9
+
+
+def test_all_probes_agree(spark, monkeypatch, without_broadcasts):
+    m, k = 512, 3
+    filt = bloom_build(spark.range(60).select(F.concat(F.lit("m"), "id").alias("pattern")), m_bits=m, k_hashes=k)
+    df = spark.range(400).select(F.when(F.col("id") % 50 != 7, F.concat(F.lit("m"), "id")).alias("t"), "id")
+    answers = []
+    for words, limit in ((1 << 16, "-1"), (0, "10m"), (0, "-1")):  # constant, broadcast, exchange
+        monkeypatch.setattr(bloom, "CONSTANT_WORDS", words)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        answers.append(sorted((r.id, r.hit) for r in bloom_contains(df, filt, "t", "hit", m, k).collect()))
+    assert answers[0] == answers[1] == answers[2] and sum(hit for _, hit in answers[0]) > 58
+    assert not any(hit for i, hit in answers[0] if i % 50 == 7)
+
+
+def test_exact_forward(spark):
+    df = events_df(spark, [[ev(t=0, code=200), ev(t=1, code=500), ev(t=2, message=None), ev(t=3, code=500)]])
+    pats = spark.createDataFrame([("HTTP Status Code: 500",), ("HTTP Status Code: 500",), (None,)], "pattern string")
+    assert [r.message for r in exact_forward(df, pats).collect()] == ["HTTP Status Code: 500"] * 2
+    plan = exact_forward(df, pats)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
 
 
 def test_probe_equals_all_bits(spark):
