@@ -378,6 +378,15 @@ def q_reservoir_mode_by_batch(spark, sf_dir):
     return reservoir_mode_by_batch(load_log_view(spark, sf_dir, dirty=True, late=True), k=10, seed=42)
 
 
+_LARGE_K = 10_000
+
+
+@register("reservoir_mode_by_batch_large", ORACLE["reservoir_mode_by_batch"].replace("<= 10)", f"<= {_LARGE_K})"))
+def q_reservoir_mode_by_batch_large(spark, sf_dir):
+    """The mode of a sample of ten thousand events after every batch."""
+    return reservoir_mode_by_batch(load_log_view(spark, sf_dir, dirty=True, late=True), k=_LARGE_K, seed=42)
+
+
 # --- A8, F7, A9: Bloom filter ------------------------------------------------
 
 

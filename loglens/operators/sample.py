@@ -16,12 +16,9 @@ from pyspark.sql import functions as F
 
 from loglens.functions import epoch_to_timestamp, status_last_segment
 from loglens.plans.materialize import materialize
-from loglens.plans.topk import bottom_k as _bottom_k
-from loglens.plans.topk import levels_for, prefix_bottom_k
+from loglens.plans.topk import bottom_k, levels_for, prefix_bottom_k
 from loglens.schema import GENERATOR_SEED, RESERVOIR_SIZE
 
-SAMPLE_FIELDS = ["sample_key", "event_id", "code"]
-
 
 def sample_key(id_col: Column | str, seed: int = GENERATOR_SEED) -> Column:
     c = F.col(id_col) if isinstance(id_col, str) else id_col
@@ -71,31 +68,28 @@ def reservoir_mode(df: DataFrame, k: int = RESERVOIR_SIZE, seed: int = GENERATOR
 
 def batch_candidates(df: DataFrame, k: int = RESERVOIR_SIZE, seed: int = GENERATOR_SEED,
                      id_col: str = "event_id", batch: str = "batch_id") -> DataFrame:
-    """``(batch, _arr)``: the bottom ``k`` events of each batch as a sorted array.
+    """``(batch, sample_key, event_id, code)``: the bottom ``k`` events of each batch.
 
     The rank filter becomes a ``WindowGroupLimit`` that Spark also applies
     before the shuffle, so each task ships at most ``k`` rows per batch.
     """
-    keyed = df.select(batch, id_col, "message", sample_key(id_col, seed).alias("sample_key"))
-    rank = Window.partitionBy(batch).orderBy("sample_key", id_col)
-    cand = keyed.withColumn("_rn", F.row_number().over(rank)).where(F.col("_rn") <= k)
+    keyed = df.select(batch, F.col(id_col).alias("event_id"), "message", sample_key(id_col, seed).alias("sample_key"))
     # the code is parsed for the k candidates of a batch only
-    item = F.struct(F.col("sample_key"), F.col(id_col).alias("event_id"),
-                    status_last_segment("message").alias("code"))
-    return cand.groupBy(batch).agg(_bottom_k(F.collect_list(item), k).alias("_arr"))
+    return bottom_k(keyed, batch, ["sample_key", "event_id"], k).select(
+        batch, "sample_key", "event_id", status_last_segment("message").alias("code"))
 
 
 def reservoir_sample_by_batch(df: DataFrame, k: int = RESERVOIR_SIZE,
                               seed: int = GENERATOR_SEED, id_col: str = "event_id",
                               batch: str = "batch_id", block_width: int = 32,
                               numbers: DataFrame | None = None) -> DataFrame:
-    """The sample as it stands after every batch: ``k`` rows per batch.
+    """The sample as it stands after every batch: ``k`` rows per batch, for any ``k``.
 
     1. candidates: the bottom ``k`` of each batch (a ranked window whose
        group limit Spark applies map-side before the shuffle, so a batch
        holding most of the rows still ships ``k`` rows per task);
-    2. one array of ``k`` structs per batch, merged along the batch order
-       by the blocked prefix merge of :mod:`loglens.plans.topk` (its depth
+    2. merged along the batch order by the blocked prefix merge of
+       :mod:`loglens.plans.topk`, row by row (its depth
        is chosen from the batch-id range, one counter row to the driver).
 
     With ``numbers`` (``file_path``, ``batch_id``) a batch is a file, numbered
@@ -103,15 +97,14 @@ def reservoir_sample_by_batch(df: DataFrame, k: int = RESERVOIR_SIZE,
     """
     per_batch = batch_candidates(df, k, seed, id_col, batch if numbers is None else "file_path")
     if numbers is not None:
-        per_batch = per_batch.join(numbers.select("file_path", F.col("batch_id").alias(batch)), "file_path") \
-            .select(batch, "_arr")
+        per_batch = per_batch.join(numbers.select("file_path", F.col("batch_id").alias(batch)), "file_path").drop("file_path")
     # at most k candidates per batch, read by every level of the merge: written once
     per_batch = materialize(per_batch, "sample-candidates")
     bounds = per_batch.agg(F.min(batch), F.max(batch)).first()
     span = 0 if bounds[0] is None else int(bounds[1]) - int(bounds[0]) + 1
-    merged = prefix_bottom_k(per_batch, batch, "_arr", "_s", k, width=block_width,
+    merged = prefix_bottom_k(per_batch, batch, ["sample_key", "event_id"], k, width=block_width,
                              levels=levels_for(span, block_width))
-    return merged.select(batch, F.inline("_s")).select(batch, "event_id", "code", "sample_key")
+    return merged.select(batch, "event_id", "code", "sample_key")
 
 
 def reservoir_mode_by_batch(df: DataFrame, k: int = RESERVOIR_SIZE, seed: int = GENERATOR_SEED,
