@@ -31,6 +31,7 @@ from loglens.llm.common import join_hot, read, small_side, stage, text_chunks, t
 CHUNK, PART, SAMPLED = 8_000_000, 2_000_000, 200
 #: Partitions of up to this many suffixes are sorted directly, as quicksorts do; every STRIDE-th suffix of a sampled text.
 DIRECT, STRIDE = 512, 64
+SALTS = 16
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK, _BREAK = np.zeros(256, bool), np.zeros(256, bool)
@@ -79,7 +80,7 @@ def suffixes(raw: np.ndarray, off: np.ndarray, langs: list, depth: int) -> tuple
     number = np.empty(len(order), np.int32)
     number[order] = np.arange(1, len(order) + 1)
     row = np.searchsorted(off, start, "right") - 1
-    piece = np.cumsum(_BREAK[low])[start] + row  # rises at every break and every row
+    piece = np.cumsum(_BREAK[low], dtype=np.int32)[start] + row  # rises at every break and every row
     keys[0] = np.searchsorted(names, langs)[row]
     keys[1] = number[words.indices.to_numpy()]
     for d in range(2, depth + 1):
@@ -309,9 +310,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     longer = inside.groupBy("lang", _some_words(F.col("w"), F.col("i"), F.col("m")).alias("phrase")).agg(F.max("f").alias("f"))
     left = (scored.join(longer, ["lang", "phrase"], "left")
             .where(F.col("f").isNull() | (100 * F.col("f") < absorbed * F.col("a"))))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    best = (left.select("lang", "phrase", "a", "c.score", "c.l", "c.r").withColumn("rank", F.row_number().over(order))
-            .where(F.col("rank") <= top))
+    best = left.select("lang", "phrase", "a", "c.score", "c.l", "c.r", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).alias("salt"))
+    for group in (["lang", "salt"], ["lang"]):  # a language's last ranking sees no more than SALTS * top of its phrases
+        order = Window.partitionBy(*group).orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+        best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     sizes = stage(counts.where("size = 0").select("lang", F.col("f").alias("n")), "phrase-sizes")
     return best.join(small_side(sizes), "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase",
