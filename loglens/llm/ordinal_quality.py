@@ -110,7 +110,8 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES) -> O
 
 def rated_features(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, sample_rows: int) -> tuple[list, np.ndarray]:
     """Features and grades of at most ``sample_rows`` rated documents, those whose ids
-    have the smallest hashes (the lowest grade where an id has several)."""
+    have the smallest hashes (the lowest grade where an id has several).  Ids are bounded
+    before the join, rows after it: an id may have many."""
     sample = bounded_sample(ratings.where("grade is not null and id is not null")
                             .groupBy("id").agg(F.min("grade").alias("grade")), "id", sample_rows)
 
@@ -125,7 +126,8 @@ def rated_features(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: s
     rows = (docs.select(F.col(id_col).cast("bigint").alias("id"), _utf8(text_col).alias("body"))
             .join(F.broadcast(sample), "id")  # at most sample_rows rows
             .select("id", "body", F.col("grade").cast("int")))
-    got = rows.mapInArrow(run, "id bigint, grade int, f array<int>").toArrow()
+    got = (rows.mapInArrow(run, "id bigint, grade int, f array<int>")
+           .orderBy(F.xxhash64("id"), "id", "f").limit(sample_rows).toArrow())
     got = got.take(np.lexsort((got["grade"].to_numpy(), got["id"].to_numpy())))  # the same order each time
     return ([x.values.to_numpy().astype(np.int64) for x in got["f"]], got["grade"].to_numpy().astype(np.int64))
 

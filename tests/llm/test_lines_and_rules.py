@@ -129,3 +129,20 @@ def test_ordinal_gradient_and_odd_cases(spark, odd_docs, no_docs):
 
 def test_hash_of_text_is_sha256(spark):
     assert spark.range(1).select(F.sha2(F.lit("é"), 256)).first()[0] == hashlib.sha256("é".encode()).hexdigest()
+
+
+def test_ordinal_sample_bounds_rows_of_one_id(spark):
+    """Two thousand rows of one rated id: no more than the asked rows are learned from."""
+    from pyspark.sql import functions as F
+
+    from loglens.llm.ordinal_quality import rated_features
+
+    docs = spark.range(2000).select(F.lit(7).cast("bigint").alias("doc_id"), F.concat(F.lit("word "), F.col("id")).alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(8, "other"), (9, None)], "doc_id bigint, text string"))
+    ratings = spark.createDataFrame([(7, 1), (8, 2), (9, 0), (9, 1)], "id bigint, grade int")
+    rows, grades = rated_features(docs, ratings, "doc_id", "text", 10)
+    assert len(rows) == len(grades) == 10
+    rows, grades = rated_features(docs, ratings, "doc_id", "text", 5000)
+    assert len(rows) == 2002 and sorted(grades.tolist()) == [0] + [1] * 2000 + [2]
+    again = rated_features(docs.repartition(5), ratings, "doc_id", "text", 10)
+    assert [x.tolist() for x in again[0]] == [x.tolist() for x in rated_features(docs, ratings, "doc_id", "text", 10)[0]]
