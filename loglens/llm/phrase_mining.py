@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from loglens.llm.common import join_hot, read, small_side, stage, text_chunks, tidied, with_rank
 
 #: Bytes of texts sorted at once in a task, suffixes aimed at in a part, suffixes sampled for each part.
-CHUNK, PART, SAMPLED = 8_000_000, 2_000_000, 200
+CHUNK, PART, SAMPLED = 6_000_000, 1_500_000, 200
 #: Partitions of up to this many suffixes are sorted directly, as quicksorts do; every STRIDE-th suffix of a sampled text.
 DIRECT, STRIDE = 512, 64
 SALTS = 16
@@ -190,6 +190,14 @@ def _places(names: list[str], words: pa.Array, keys: np.ndarray, splitters: list
     return out
 
 
+def _end(keys: np.ndarray, pick) -> int:
+    """The first (``pick`` np.min) or last column of ``keys`` in their order."""
+    at = np.arange(keys.shape[1])
+    for row in keys:
+        at = at[row[at] == pick(row[at])]
+    return int(at[0])
+
+
 def _counted(least: int):
     """Groups: the counts of a part's phrases; all words (size 0) and what may go on next door in any case."""
 
@@ -213,9 +221,8 @@ def _counted(least: int):
             depths.append(np.full(len(p), d))
             ptrs.append(p)
             counts.append(c)
-        order = np.lexsort(keys[::-1])
         rare = {}  # light groups that count: of the first and the last suffix, and of languages as a whole
-        for end in (order[0], order[-1]):
+        for end in (_end(keys, np.min), _end(keys, np.max)):
             same = np.ones(keys.shape[1], bool)
             for d in range(len(keys)):
                 same &= keys[d] == keys[d, end]
