@@ -37,8 +37,9 @@ from loglens.operators.sample import (
 from loglens.operators.sliding import sliding_failure_rate, sliding_failures
 from loglens.operators.summary import service_success_summary
 from loglens.operators.windowed import hopping_success_rate, windowed_success_rate
+from loglens.registry import run
 from loglens.session import scratch_path
-from loglens.sinks import read_results_log, result_log_rows
+from loglens.sinks import read_results_log, result_log_rows, write_results
 from loglens.sources.files import (
     json_array_lines,
     number_files,
@@ -378,6 +379,13 @@ def q_reservoir_mode_by_batch(spark, sf_dir):
     return reservoir_mode_by_batch(load_log_view(spark, sf_dir, dirty=True, late=True), k=10, seed=42)
 
 
+@register("reservoir_mode_by_options", ORACLE["reservoir_mode"].replace("LIMIT 10)", "LIMIT 25)"))
+def q_reservoir_mode_by_options(spark, sf_dir):
+    """An operator by its name in the registry, with options as a config file gives them: one under
+    its config name, one that the operator does not know."""
+    return run("reservoir_mode", load_log_view(spark, sf_dir, dirty=True), reservoir_size=25, refresh="0.3")
+
+
 _LARGE_K = 10_000
 
 
@@ -702,6 +710,14 @@ ORACLE["results_log"] = (
     f"FROM ({ORACLE['running_success_rate_target']})")
 
 
+@register("summary_written", ORACLE["service_success_summary"])
+def q_summary_written(spark, sf_dir):
+    """A full result handed out as CSV files with a header, read back."""
+    result, out = q_service_success_summary(spark, sf_dir), scratch_path(spark, "summary-out")
+    write_results(result, out, "csv")
+    return spark.read.schema(result.schema).option("header", "true").csv(out)
+
+
 # --- Streaming forms (file stream, availableNow) -----------------------------
 
 

@@ -144,3 +144,25 @@ def test_empty_files_reported(spark, tmp_path):
     write_json(d, "z.json", "", raw=True)
     assert [r.file_name for r in empty_files(spark, d).collect()] == ["z.json"]
     assert quarantine_files(read_raw_files(spark, d)).count() == 0
+
+
+def test_paths_of_another_file_system(spark, tmp_path):
+    """Readers, writers and the manifest take any Hadoop path: here one that only Spark resolves."""
+    from pyspark.sql import functions as F
+
+    from loglens.sources.files import number_files
+    from loglens.sources.manifest import read_runs, run_new_files
+
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.logs.link./store", f"file://{tmp_path}")
+    root = "viewfs://logs/store"
+    df = events_df(spark, [[ev(t=i, code=200 + i) for i in range(3)], [ev(service=None, t=5)]])
+    write_log_files(df, f"{root}/w")
+    for parser in ("wholetext", "multiline"):
+        back = read_logs(spark, f"{root}/w", glob="*.txt", parser=parser)
+        assert sorted((r.pos, r.timestamp) for r in back.collect()) == sorted((r.pos, r.timestamp) for r in df.collect())
+        assert all(r.file_path.startswith("viewfs://") for r in back.select("file_path").collect())
+    assert sorted(r.batch_id for r in number_files(spark, f"{root}/w", glob="*.txt").collect()) == [0, 1]
+    for want in (0, None):
+        assert run_new_files(spark, f"{root}/w", f"{root}/m", f"{root}/out", lambda e: e.groupBy("file_path").agg(F.count("*").alias("n")),
+                             glob="*.txt") == want
+    assert sorted(r.n for r in read_runs(spark, f"{root}/m", f"{root}/out").collect()) == [1, 3]
