@@ -39,7 +39,7 @@ from loglens.operators.summary import service_success_summary
 from loglens.operators.windowed import hopping_success_rate, windowed_success_rate
 from loglens.registry import run
 from loglens.session import scratch_path
-from loglens.sinks import read_results_log, result_log_rows, write_results
+from loglens.sinks import CSV_OPTIONS, read_results_log, result_log_rows, write_results
 from loglens.sources.files import (
     json_array_lines,
     number_files,
@@ -715,7 +715,7 @@ def q_summary_written(spark, sf_dir):
     """A full result handed out as CSV files with a header, read back."""
     result, out = q_service_success_summary(spark, sf_dir), scratch_path(spark, "summary-out")
     write_results(result, out, "csv")
-    return spark.read.schema(result.schema).option("header", "true").csv(out)
+    return spark.read.schema(result.schema).options(**CSV_OPTIONS).csv(out)
 
 
 # --- Streaming forms (file stream, availableNow) -----------------------------

@@ -53,11 +53,16 @@ def read_results_log(spark: SparkSession, path: str) -> DataFrame:
             .select("epoch", *[F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(names)]).orderBy("epoch"))
 
 
+#: CSV of results: a header, times with their microseconds (Spark's own format has milliseconds).
+CSV_OPTIONS = {"header": "true", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+               "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
+
+
 def write_results(results: DataFrame, path: str, fmt: str = "csv") -> None:
-    """The full result as CSV (with header) or Parquet files; ``path`` must be new."""
+    """The full result as CSV (``CSV_OPTIONS``) or Parquet files; ``path`` must be new."""
     w = results.write.mode("errorifexists")
     if fmt == "csv":
-        w.option("header", "true").csv(path)
+        w.options(**CSV_OPTIONS).csv(path)
     else:
         w.parquet(path)
 
