@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from loglens.llm.common import join_hot, read, small_side, stage, text_chunks, tidied, with_rank
 
 #: Bytes of texts sorted at once in a task, suffixes aimed at in a part, suffixes sampled for each part.
-CHUNK, PART, SAMPLED = 6_000_000, 1_500_000, 200
+CHUNK, PART, SAMPLED = 3_000_000, 1_500_000, 200
 #: Partitions of up to this many suffixes are sorted directly, as quicksorts do; every STRIDE-th suffix of a sampled text.
 DIRECT, STRIDE = 512, 64
 SALTS = 16
@@ -168,6 +168,7 @@ def _routed(depth: int, splitters: list[tuple]):
                          pa.ListArray.from_arrays(ends, words.take(pa.array(np.concatenate(used)))),
                          pa.array(packed, pa.list_(pa.binary())), pa.array(weights, pa.binary())],
                         ["part", "langs", "words", "keys", "weight"])
+                    pa.default_memory_pool().release_unused()
 
     return run
 
@@ -202,20 +203,24 @@ def _counted(least: int):
     """Groups: the counts of a part's phrases; all words (size 0) and what may go on next door in any case."""
 
     def run(group: pa.Table) -> pa.Table:
-        keys, weights = [], []
+        weights = [np.frombuffer(w, np.int32) for w in group["weight"].to_pylist()]
+        weight = np.concatenate(weights).astype(np.int64)
+        keys = np.empty((len(group["keys"][0]), len(weight)), np.int32)
+        at = 0
         names, lists = group["langs"].to_pylist(), group["words"].combine_chunks()
         all_names = sorted({x for ns in names for x in ns})
         known = lists.flatten().unique()
         known = known.take(pa.compute.sort_indices(known))
         numbers = pa.compute.index_in(lists.flatten(), known).to_numpy() + 1
         ends = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
-        for i, (packed, w) in enumerate(zip(group["keys"].to_pylist(), group["weight"].to_pylist(), strict=True)):
-            w = np.frombuffer(w, np.int32)
+        for i, w in enumerate(weights):
+            packed, n = group["keys"][i].as_py(), len(w)
             number = np.concatenate(([0], numbers[ends[i]:ends[i + 1]])).astype(np.int32)
-            lang = np.searchsorted(all_names, names[i]).astype(np.int32)[_unpacked(packed[0], len(w))]
-            keys.append(np.stack([lang, *(number[_unpacked(k, len(w))] for k in packed[1:])]))
-            weights.append(w.astype(np.int64))
-        keys, weight = np.concatenate(keys, 1), np.concatenate(weights)
+            keys[0, at:at + n] = np.searchsorted(all_names, names[i])[_unpacked(packed[0], n)]
+            for d, k in enumerate(packed[1:], 1):
+                keys[d, at:at + n] = number[_unpacked(k, n)]
+            at += n
+        del lists, numbers, weights
         depths, ptrs, counts = [], [], []
         for d, p, c in quicksort(keys, weight, least):
             depths.append(np.full(len(p), d))
@@ -233,8 +238,10 @@ def _counted(least: int):
         rare = [x for x in rare.values() if x[2] < least]
         depths, ptrs, counts = (np.concatenate([*x, np.array(y, np.int64)]).astype(np.int64) for x, y in
                                 zip((depths, ptrs, counts), zip(*rare, strict=True) if rare else ((), (), ()), strict=True))
-        spelled = known.cast(pa.string()).to_pylist()
-        phrases = [" ".join(spelled[keys[j, p] - 1] for j in range(1, d + 1)) for d, p in zip(depths, ptrs, strict=True)]
+        spelled = known.cast(pa.string())
+        words = [[None] + spelled.take(pa.array(np.maximum(k[ptrs], 1) - 1)).to_pylist() for k in keys[1:]]
+        phrases = [" ".join(w[i] for w in words[:d]) for i, d in enumerate(depths.tolist(), 1)]
+        pa.default_memory_pool().release_unused()
         return pa.table({"lang": pa.array([all_names[i] for i in keys[0, ptrs]], pa.string()), "size": pa.array(depths, pa.int32()),
                          "phrase": pa.array(phrases, pa.string()), "f": pa.array(counts, pa.int64())})
 
