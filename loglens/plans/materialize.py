@@ -22,12 +22,12 @@ _WRITTEN: list[tuple[SparkSession, str]] = []  # tables that a running ``tidied`
 _depth = 0
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", compression: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"mat-{name}")
     if _depth:
         _WRITTEN.append((spark, path))
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
