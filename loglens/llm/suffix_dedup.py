@@ -14,8 +14,11 @@ a class whose anchor occurs nowhere else holds no repeat.  What is left:
   the right of the anchor, and those of the reversed bytes to its left, say which
   windows of a class equal another's.
 
-An anchor with more than ``GROUP`` different spans isn't brought together: the windows
-of its classes are counted by hash instead, dealt out by window.
+An anchor with more than ``GROUP`` different spans isn't brought together in one task. Its
+windows are sorted instead, each from its anchor to its end and then from the anchor to
+its start, in the same front-coded runs and loser trees: splitters longer than the anchor cut
+it into many ranges. Of equal windows in one run one goes on to the merge, so a window that all
+spans share is a row per run there.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from loglens.llm.common import BASE, bounded_sample, discard, mix, powers, read,
 
 LENGTH, SEED, GROUP, PART, SPLITTER_SAMPLE = 200, 40, 4096, 20_000, 10_000
 PAIRS = 48  # spans up to which the pairs of a group are gone through one by one
+RUN_SPANS, WINDOW_PART = 500, 200_000  # spans whose windows make one run; windows wanted in a part
 _VALUES = np.random.default_rng(9).integers(1, 2**63, 256, dtype=np.uint64)
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -280,14 +284,6 @@ def _merged(length: int):
         group: list[tuple] = []
 
         def decide() -> None:
-            if len({x[3] for x in group}) < len(group):  # a span may come from several tasks
-                once, shared = {}, 0
-                for x in group:  # the common prefix with the last one kept is the smallest in between
-                    shared = x[0] if not once else min(shared, x[0])
-                    if x[3] not in once:
-                        once[x[3]] = (shared, *x[1:])
-                        shared = length
-                group[:] = once.values()
             if len(group) > PAIRS:
                 right = np.array([x[0] for x in group])
                 size, anchor = np.array([x[4] for x in group]), np.array([x[5] for x in group])
@@ -314,20 +310,88 @@ def _merged(length: int):
     return run
 
 
-def _windows(length: int):
-    """(h, sh, size, span) to one row a window: its hash and its place in the span."""
+def window_string(h: int, span: bytes, anchor: int, at: int, length: int) -> bytes:
+    """The window from ``at`` as it is sorted: anchor, bytes before the anchor, and those
+    bytes from the anchor on, then those before it from right to left."""
+    return (h.to_bytes(8, "big", signed=True) + (anchor - at + (1 << 31)).to_bytes(4, "big")
+            + span[max(at, anchor):at + length] + span[at:anchor][::-1])
+
+
+WINDOW_RUN = ("part int, lcp array<int>, tails array<binary>, h array<bigint>, sh array<bigint>, "
+              "low array<int>, high array<int>")
+
+
+def _window_runs(splitters: list[bytes], length: int):
+    """Different spans to sorted, front-coded runs of their different windows for each range;
+    part -1 holds the spans with windows that a run has twice, which need no merge."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int32(), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int64()),
+                 pa.list_(pa.int32()), pa.list_(pa.int32()))
         for b in batches:
-            for h, sh, size, span in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                w = _hashes(np.frombuffer(span, np.uint8), length).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(size, h)), pa.array(np.full(size, sh)),
-                     pa.array(np.arange(size, dtype=np.int32)), pa.array(w)], ["h", "sh", "at", "w"])
+            for lo in range(0, b.num_rows, RUN_SPANS):
+                rows = sorted((window_string(h, span, anchor, at, length), sh, at, h) for h, sh, size, anchor, span in
+                              zip(*(c.to_pylist() for c in b.slice(lo, RUN_SPANS).columns), strict=True) for at in range(size))
+                parts: dict[int, list] = {}
+                twice: dict[tuple[int, int], tuple[int, int]] = {}
+                last = None
+                for row in rows:
+                    if last is not None and row[0] == last[0]:
+                        for _, sh, at, h in (last, row):
+                            low, high = twice.get((h, sh), (at, at))
+                            twice[h, sh] = min(low, at), max(high, at)
+                    else:
+                        parts.setdefault(bisect_right(splitters, row[0]), []).append(row)
+                    last = row
+                out = []
+                for part, own in parts.items():
+                    lcp, tails = front_coded([x[0] for x in own])
+                    out.append((part, lcp, tails, [x[3] for x in own], [x[1] for x in own], [x[2] for x in own],
+                                [x[2] + length for x in own]))
+                if twice:
+                    out.append((-1, [], [], [h for h, _ in twice], [sh for _, sh in twice],
+                                [x for x, _ in twice.values()], [x + length for _, x in twice.values()]))
+                cols = list(zip(*out, strict=True)) if out else [()] * 7
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
+                                                 ["part", "lcp", "tails", "h", "sh", "low", "high"])
 
     return run
 
 
+def _merged_windows(runs: pa.Table) -> pa.Table:
+    """Runs of one range to (h, sh, low, high): the windows that two runs hold."""
+    lcps, tails, h, sh, low, high = (runs[c].to_pylist() for c in ("lcp", "tails", "h", "sh", "low", "high"))
+    out, last, again = [], None, False
+    for s, n, r, i in merge_runs(list(zip(lcps, tails, strict=True))):
+        row = (h[r][i], sh[r][i], low[r][i], high[r][i])
+        same = last is not None and n == len(s)
+        if same:
+            out += [row] if again else [last, row]
+        last, again = row, same
+    cols = list(zip(*out, strict=True)) if out else [()] * 4
+    return pa.table({k: pa.array(v, t) for k, v, t in zip(
+        ("h", "sh", "low", "high"), cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)})
+
+
+def _windows_merged(many: DataFrame, length: int) -> DataFrame:
+    """``h, sh, low, high`` of the bytes repeated among the spans (h, sh, size, anchor, span; staged),
+    window by window.  Splitters are windows of a sample of the spans, one of each."""
+    parts = max(1, -(-(many.agg(F.sum("size")).first()[0] or 0) // WINDOW_PART))
+    chosen = bounded_sample(many.select("sh", "h", "size", "anchor", "span"), "sh", splitter_sample(parts))
+    sample = sorted(window_string(r.h, bytes(r.span), r.anchor, r.sh % r.size, length) for r in chosen.toLocalIterator()) \
+        if parts > 1 else []
+    splitters = sorted({sample[len(sample) * i // parts] for i in range(1, parts)}) if sample else []
+    runs = stage(many.select("h", "sh", "size", "anchor", "span").mapInArrow(_window_runs(splitters, length), WINDOW_RUN),
+                 "window-runs")
+    ranged = (runs.where("part >= 0").groupBy("part")
+              .applyInArrow(_merged_windows, "h bigint, sh bigint, low int, high int"))
+    own = (runs.where("part < 0").select(F.explode(F.arrays_zip("h", "sh", "low", "high")).alias("x")).select("x.*"))
+    found = stage(ranged.unionByName(own).groupBy("h", "sh").agg(F.min("low").alias("low"), F.max("high").alias("high")),
+                  "window-repeats")
+    discard(runs)
+    return found
+
+
 def splitter_sample(parts: int) -> int:
     """Anchors to draw splitters from, some for each wanted part."""
     return max(SPLITTER_SAMPLE, 8 * parts)
@@ -339,8 +403,10 @@ def _decide(found: DataFrame, spans: DataFrame, length: int) -> DataFrame:
     ``spans`` has a row per span (h, sh, n), ``found`` its bytes, possibly several times."""
     kinds = spans.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
     keys = stage(spans.join(kinds, "h").select("h", "sh", "kinds"), "open-spans")
+    # one copy of a span leaves each task, and one goes on
     open_ = (found.where("span is not null").select("h", "sh", "size", "anchor", "span")
-             .join(small_side(keys), ["h", "sh"]))
+             .join(small_side(keys), ["h", "sh"]).groupBy("h", "sh", "kinds")
+             .agg(F.first("size").alias("size"), F.first("anchor").alias("anchor"), F.max("span").alias("span")))
     few = open_.where(F.col("kinds") <= GROUP).select("h", "sh", "size", "anchor", "span")
     parts = max(1, -(-keys.where(F.col("kinds") <= GROUP).count() // PART))
     chosen = bounded_sample(keys.where(F.col("kinds") <= GROUP).select("h").distinct(), "h", splitter_sample(parts))
@@ -353,13 +419,8 @@ def _decide(found: DataFrame, spans: DataFrame, length: int) -> DataFrame:
               .groupBy("part").applyInArrow(_merged(length), "h bigint, sh bigint, low int, high int"))
     if keys.where(F.col("kinds") > GROUP).limit(1).count() == 0:
         return merged
-    many = (open_.where(F.col("kinds") > GROUP).groupBy("h", "sh")
-            .agg(F.first("size").alias("size"), F.max("span").alias("span")))
-    windows = stage(many.mapInArrow(_windows(length), "h bigint, sh bigint, at int, w bigint"), "windows")
-    twice = windows.groupBy("h", "w").agg(F.count("*").alias("n")).where("n > 1").select("h", "w")
-    counted = (windows.join(twice, ["h", "w"]).groupBy("h", "sh")
-               .agg(F.min("at").alias("low"), (F.max("at") + length).alias("high")))
-    return merged.unionByName(counted)
+    many = stage(open_.where(F.col("kinds") > GROUP).select("h", "sh", "size", "anchor", "span"), "hot-spans")
+    return merged.unionByName(_windows_merged(many, length))
 
 
 def _cut(id_col: str):

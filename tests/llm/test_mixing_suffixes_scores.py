@@ -225,3 +225,20 @@ def test_window_counts_stay_within_an_anchor(spark, monkeypatch):
     got = sd._decide(found, spans, 200).collect()
     assert sorted(map(tuple, got)) == [(3, 5, 0, 210), (3, 6, 0, 210)]
     assert all(sd.splitter_sample(parts) >= parts for parts in (1, 10_000, 1_000_000))
+
+
+def test_suffix_dedup_hot_anchor(spark):
+    """Over 4,096 different spans of one anchor, some sharing more than its passage."""
+    rng = random.Random(43)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    some = lambda n: "".join(rng.choices(letters, k=n))
+    shared = some(150)
+    texts = [some(60) + shared + some(60) for _ in range(6000)]
+    for i in range(0, 6000, 7):  # windows that go on to the right, or to the left, of the passage
+        texts[i] = texts[i][:210] + texts[i - 1][210:] if i % 2 else texts[i - 1][:60] + texts[i][60:]
+    texts += [some(9) + texts[5] for _ in range(9)]
+    frame = spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(texts)], SCHEMA).repartition(7)
+    got = sorted(sd.remove_repeats(frame).collect(), key=lambda r: r["doc_id"])
+    want = sd.brute_force([t.encode() for t in texts])
+    assert [(r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in got] == want
+    assert sum(w[1] > 0 for w in want) > 1000
