@@ -28,11 +28,11 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back: cuts
     the lineage, so a lost executor re-reads files, and several readers don't
     compute it again."""
-    return materialize(df, name)
+    return materialize(df, name, compression)
 
 
 def discard(df: DataFrame) -> None:

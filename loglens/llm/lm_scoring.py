@@ -10,7 +10,7 @@ its score is the log10 probability.
 The trie lives in tables, one per order: counts of (context, symbol), and per
 context its total T, its distinct symbols d and what exclusion leaves of the next
 shorter context (T', d').  Nothing of it is broadcast as a whole.  Documents are
-cut into chunks; a chunk asks for the distinct (ORDER + 1)-grams and words that it
+cut into chunks of at most ``CHUNK`` bytes (or one document); a chunk asks for the distinct (ORDER + 1)-grams and words that it
 holds, gets their values by a join, and is scored with them in one task.
 """
 
@@ -20,13 +20,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglens.llm.common import read, text_chunks, word_hashes, stage
-from loglens.session import scratch_path
+from loglens.llm.common import read, stage, text_chunks, tidied, word_hashes
 
 ORDER, SYMBOLS = 4, 256
+CHUNK = 16_000_000
 GRAM, WORD = 0, 1
 FLUSH = 2_000_000
 LOWER = np.arange(256, dtype=np.uint8)
@@ -76,6 +78,25 @@ class Tally:
         return keys[first], np.add.reduceat(n, first)
 
 
+def _chunked(chunk_bytes: int):
+    """(id, held, text) with the number of a row's chunk: runs of a task's rows of at most
+    ``chunk_bytes`` bytes together, or of one row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, n, size = TaskContext.get().partitionId() << 32, 0, 0
+        for b in batches:
+            sizes = pc.binary_length(b.column(2)).to_pylist()
+            chunks = np.empty(len(sizes), np.int64)
+            for i, x in enumerate(sizes):
+                if size and size + x > chunk_bytes:
+                    n, size = n + 1, 0
+                size += x
+                chunks[i] = first + n
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(chunks)], ["id", "held", "text", "chunk"])
+
+    return run
+
+
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(chunk, held, text) to (chunk, kind, key, n): what a chunk holds, and how
     often in its training documents."""
@@ -212,25 +233,24 @@ def gram_log10(totals: DataFrame) -> DataFrame:
     return done.unionByName(rest)
 
 
+@tidied
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7,
-              held_out: int = 2) -> DataFrame:
+              held_out: int = 2, chunk_bytes: int = CHUNK) -> DataFrame:
     """Per row: ``<id_col>, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Documents whose crc32(id as text) mod ``folds`` is ``held_out`` are scored
     but not learned from.  ``base_score`` is a word model with add-one
-    smoothing, ``score`` the byte model.  Defined cases: a null or empty text
+    smoothing, ``score`` the byte model.  A task scores one chunk of at most ``chunk_bytes``
+    bytes (or one document) at a time, however large the input's partitions.  Defined cases: a null or empty text
     is the end symbol alone; repeated rows are learned from and scored each; a
     null id is learned from; where nothing is learned from, every byte is uniform;
     an empty table gives no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
     fold = F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds))
-    path = scratch_path(spark, "lm-chunks")
-    (docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(fold == held_out, F.lit(False)).alias("held"),
-                 F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"),
-                 F.spark_partition_id().cast("bigint").alias("chunk"))
-     .write.option("compression", "zstd").parquet(path))  # written once: a row's chunk is fixed from here on
-    rows = spark.read.parquet(path)
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(fold == held_out, F.lit(False)).alias("held"),
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
+    # written once: a row's chunk is fixed from here on
+    rows = stage(rows.mapInArrow(_chunked(chunk_bytes), "id bigint, held boolean, text binary, chunk bigint"), "lm-chunks", "zstd")
     asked = stage(rows.select("chunk", "held", "text").mapInArrow(_asked, "chunk bigint, kind int, key bigint, n bigint"), "asked")
     totals = stage(asked.groupBy("kind", "key").agg(F.sum("n").alias("n")), "totals")
     tokens, kinds = totals.where(F.col("kind") == WORD).agg(

@@ -242,3 +242,14 @@ def test_suffix_dedup_hot_anchor(spark):
     want = sd.brute_force([t.encode() for t in texts])
     assert [(r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in got] == want
     assert sum(w[1] > 0 for w in want) > 1000
+
+
+def test_scores_do_not_depend_on_chunks(spark):
+    rng = random.Random(16)
+    docs = [(i, prose(rng, rng.randint(0, 40))) for i in range(60)] + [(60, prose(rng, 900)), (61, None)]
+    frame = spark.createDataFrame([(i, t, "", "", 0) for i, t in docs], SCHEMA).coalesce(1)
+    same(lm.lm_scores(frame, chunk_bytes=700).collect(), scores(docs))
+    rows = frame.selectExpr("doc_id id", "true held", "cast(coalesce(text, '') as binary) text")
+    cut = rows.mapInArrow(lm._chunked(700), "id bigint, held boolean, text binary, chunk bigint")
+    sizes = cut.groupBy("chunk").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("b")).collect()
+    assert len(sizes) > 10 and all(r["b"] <= 700 or r["n"] <= 2 for r in sizes)
