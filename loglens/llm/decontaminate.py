@@ -8,9 +8,11 @@ an item misses at most floor((1 - t) u) of its shingles, so it always holds one
 of any s of them: the sketch alone finds every candidate (no false negative,
 however long the document), and the full sets then confirm it.
 
-Items are searched in blocks of at most ``block_shingles`` shingles; a block's
-sketches and sets (a checked size) go to every task, and the documents stream past
-in Arrow batches, without a shuffle.
+Items of at most ``block_shingles`` shingles together (a checked size) go to every task
+as one block, and the documents stream past in Arrow batches, without a shuffle.  A larger
+benchmark stays in tables: the sketches' hashes are joined with the documents'
+shingles, which a bit map of fixed size thins out before they move, and the pairs found are
+confirmed by a join of both full sets.
 """
 
 from __future__ import annotations
@@ -22,9 +24,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loglens.llm.common import read, shingle_hashes, stage, text_chunks, word_hashes
+from loglens.llm.common import read, shingle_hashes, small_side, stage, text_chunks, word_hashes
 
 K, PERCENT, BLOCK_SHINGLES = 5, 80, 1_000_000
+MAP_BITS, PAGE_BITS = 27, 15  # slots of the bit map of sketch hashes (16 MB); slots of a page of it
 #: Bytes between words: ASCII other than letters and digits.
 APART = np.ones(256, bool)
 APART[128:] = False
@@ -69,6 +72,12 @@ def item_sets(items: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame
             .mapInArrow(run, "id bigint, n bigint, hashes array<bigint>"))
 
 
+def sketch_of(own: np.ndarray, percent: int) -> np.ndarray:
+    """The sketch of a set of (unsigned) hashes: as many as its size partition takes."""
+    top = 2 ** len(own).bit_length() - 1  # the largest size in this partition
+    return np.sort(own)[: top * (100 - percent) // 100 + 1]
+
+
 class Block:
     """A block of items (id, words, shingle hashes): sketches by hash, and the full sets."""
 
@@ -84,8 +93,7 @@ class Block:
             hashes, owner = [], []
             for i, s in enumerate(self.sets):
                 if lengths[i] == length:
-                    top = 2 ** len(s).bit_length() - 1  # the largest size in this partition
-                    keep = np.sort(s)[: top * (100 - percent) // 100 + 1]
+                    keep = sketch_of(s, percent)
                     hashes.append(keep)
                     owner.append(np.full(len(keep), i))
             h, o = np.concatenate(hashes), np.concatenate(owner)
@@ -116,6 +124,95 @@ class Block:
         return out
 
 
+def _sketches(percent: int):
+    """(no, hashes) to one row a hash of the item's sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for item, own in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                h = sketch_of(own.values.to_numpy().view(np.uint64), percent).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([item] * len(h), pa.int64()), pa.array(h)], ["item", "hash"])
+
+    return run
+
+
+def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(page, slots) to (page, its bits)."""
+    for b in batches:
+        out = []
+        for slots in b.column(1):
+            on = np.zeros(1 << PAGE_BITS, bool)
+            on[slots.values.to_numpy()] = True
+            out.append(np.packbits(on, bitorder="little").tobytes())
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["page", "bits"])
+
+
+def bit_map(sketches: DataFrame) -> bytes:
+    """A bit for each leading ``MAP_BITS`` bits that a sketch hash has; packed by the tasks."""
+    slot = F.shiftrightunsigned("hash", 64 - MAP_BITS)
+    pages = (sketches.select(F.shiftright(slot, PAGE_BITS).cast("int").alias("page"),
+                             slot.bitwiseAND(F.lit((1 << PAGE_BITS) - 1)).cast("int").alias("slot"))
+             .groupBy("page").agg(F.collect_set("slot").alias("slots")).mapInArrow(_pages, "page int, bits binary"))
+    bits, size = bytearray(1 << MAP_BITS - 3), 1 << PAGE_BITS - 3
+    for r in pages.toLocalIterator():
+        bits[r["page"] * size:(r["page"] + 1) * size] = r["bits"]
+    return bytes(bits)
+
+
+def _held_shingles(lengths: list[int], bits=None):
+    """(k1, k2, text) to the row's distinct shingles of each length, those on the bit map if one is given."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        on = None if bits is None else np.frombuffer(bits.value, np.uint8)
+        for b in batches:
+            k1, k2 = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for lo, _, raw, off in text_chunks(b.column(2)):
+                h, at = words_of(raw, off)
+                rows, found = [], []
+                for i in range(len(at) - 1):
+                    words = h[at[i]:at[i + 1]]
+                    for length in lengths:
+                        if len(words) >= length:
+                            mine = np.unique(shingle_hashes(words, length))
+                            if on is not None:
+                                slot = mine >> np.uint64(64 - MAP_BITS)
+                                mine = mine[(on[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0]
+                            rows.append(np.full(len(mine), lo + i))
+                            found.append(mine)
+                if rows:
+                    row = np.concatenate(rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(k1[row]), pa.array(k2[row]), pa.array(np.concatenate(found).view(np.int64))], ["k1", "k2", "hash"])
+
+    return run
+
+
+def _joined(rows: DataFrame, sets: DataFrame, id_col: str, item_col: str, k: int, percent: int) -> DataFrame:
+    """Pairs of a benchmark of any size, by joins.  ``rows``: id and text; both are read twice.
+
+    A row is known by its id and the hash of its text; copies are told from it at the end."""
+    spark, key = rows.sparkSession, ["k1", "k2"]
+    lengths = sorted(r[0] for r in sets.select(F.least("n", F.lit(k)).cast("int")).distinct().collect())
+    docs = rows.select(F.col(id_col).alias("id"), F.coalesce(id_col, F.lit(0)).alias("k1"),
+                       F.xxhash64("text", F.col(id_col).isNull()).alias("k2"), "text")
+    sketches = stage(sets.select("no", "hashes").mapInArrow(_sketches(percent), "item bigint, hash bigint"), "sketches")
+    bits = spark.sparkContext.broadcast(bit_map(sketches))
+    hits = stage(docs.select(*key, "text").mapInArrow(_held_shingles(lengths, bits), "k1 bigint, k2 bigint, hash bigint"), "hits")
+    pairs = stage(hits.join(sketches, "hash").select(*key, "item").distinct(), "pairs")
+    asked = stage(docs.join(small_side(stage(pairs.select(*key).distinct(), "asked-keys")), key, "left_semi"), "asked")
+    own = asked.select(*key, "text").mapInArrow(_held_shingles(lengths), "k1 bigint, k2 bigint, hash bigint")
+    wanted = pairs.join(sets.select(F.col("no").alias("item"), F.size("hashes").cast("bigint").alias("size"),
+                                    F.explode("hashes").alias("hash")), "item")
+    shared = wanted.join(own, [*key, "hash"]).groupBy(*key, "item", "size").agg(F.count("*").alias("c"))
+    copies = asked.groupBy(*key).agg(F.count("*").alias("copies"))  # each copy counted every shingle once
+    found = (shared.join(copies, key).withColumn("n", F.expr("c div copies"))
+             .where(100 * F.col("n") >= percent * F.col("size")))
+    named = found.join(sets.select(F.col("no").alias("item"), F.col("id").alias("named")), "item")
+    return (asked.select("id", *key).join(named, key)
+            .select(F.col("id").alias(id_col), F.col("named").alias(item_col), F.col("size").alias("n_shingles"),
+                    F.col("n").alias("n_shared")))
+
+
 def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     item_col: str = "item_id", item_text: str = "text", k: int = K, percent: int = PERCENT,
                     block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
@@ -126,45 +223,34 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     count as letters, but for U+0080-00BF and U+2000-207F, signs and
     punctuation), so neither case nor punctuation hides a passage.  An item of 1 to k-1 words is one
     shingle as a whole.  Defined cases: a null text has no words; an item
-    without words is contained in nothing; repeated document rows give repeated
-    pairs; an empty table on either side gives no pair; other columns are ignored.
+    without words is contained in nothing; repeated rows on either side, and missing ids, give
+    pairs each; an empty table on either side gives no pair; other columns are ignored.
     """
     spark = docs.sparkSession
-    sets = stage(item_sets(items, item_col, item_text, k), "items")
-    n_blocks, total = 1, sets.agg(F.sum(F.size("hashes"))).first()[0] or 0
-    n_blocks = max(1, -(-total // block_shingles))
-    while n_blocks > 1:  # hash-dealt blocks: halve them until the largest fits (or is one item)
-        at = F.pmod(F.xxhash64("id"), F.lit(n_blocks)).alias("b")
-        largest = sets.groupBy(at).agg(F.sum(F.size("hashes")).alias("s"), F.count("*").alias("c")) \
-            .where((F.col("s") > block_shingles) & (F.col("c") > 1)).limit(1).count()
-        if not largest:
-            break
-        n_blocks *= 2
+    sets = stage(item_sets(items, item_col, item_text, k).withColumn("no", F.monotonically_increasing_id()), "items")
+    rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), lowered(text_col).alias("text"))
+    if (sets.agg(F.sum(F.size("hashes"))).first()[0] or 0) > block_shingles:
+        return _joined(rows, sets, id_col, item_col, k, percent)
     schema = f"{id_col} bigint, {item_col} bigint, n_shingles bigint, n_shared bigint"
-    rows = docs.select(F.col(id_col).cast("bigint"), lowered(text_col))
-    out = None
-    for b in range(n_blocks):
-        block = sets.where(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == b).orderBy("id").collect()
-        if not block:
-            continue
-        held = spark.sparkContext.broadcast([(r["id"], r["n"], np.array(r["hashes"], np.int64)) for r in block])
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            block = Block(held.value, k, percent)
-            for batch in batches:
-                found = []
-                for lo, _, raw, off in text_chunks(batch.column(1)):
-                    h, at = words_of(raw, off)
-                    for i in range(len(at) - 1):
-                        for x, n, m in block.search(h[at[i]:at[i + 1]]):
-                            found.append((batch.column(0)[lo + i].as_py(), block.ids[x], n, m))
-                cols = list(zip(*found, strict=True)) if found else [()] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
-                                                 [id_col, item_col, "n_shingles", "n_shared"])
-
-        part = rows.mapInArrow(run, schema)
-        out = part if out is None else out.unionByName(part)
-    return spark.createDataFrame([], schema) if out is None else out
+    block = sets.orderBy("id").collect()
+    if not block:
+        return spark.createDataFrame([], schema)
+    held = spark.sparkContext.broadcast([(r["id"], r["n"], np.array(r["hashes"], np.int64)) for r in block])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = Block(held.value, k, percent)
+        for batch in batches:
+            found = []
+            for lo, _, raw, off in text_chunks(batch.column(1)):
+                h, at = words_of(raw, off)
+                for i in range(len(at) - 1):
+                    for x, n, m in block.search(h[at[i]:at[i + 1]]):
+                        found.append((batch.column(0)[lo + i].as_py(), block.ids[x], n, m))
+            cols = list(zip(*found, strict=True)) if found else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
+                                             [id_col, item_col, "n_shingles", "n_shared"])
+
+    return rows.mapInArrow(run, schema)
 
 
 def query(spark, sf_dir) -> DataFrame:

@@ -161,3 +161,16 @@ def test_containment_odd_cases(spark, odd_docs, no_docs):
     assert sorted(r["doc_id"] for r in dc.contained_items(odd_docs, items).collect()) == [9, 10]
     assert dc.contained_items(no_docs, items).collect() == []
     assert dc.contained_items(odd_docs, items.where("false")).collect() == []
+
+
+def test_containment_joined_odd_cases(spark, odd_docs, no_docs):
+    """A benchmark beyond one block: repeated rows, missing ids, an item above the block's size."""
+    docs = [(r["doc_id"], r["text"]) for r in odd_docs.select("doc_id", "text").collect()]
+    items = [(1, "one"), (2, None), (3, docs[4][1]), (4, docs[3][1]), (5, docs[3][1]), (6, " ".join(docs[4][1].split()[50:90])),
+             (6, "one"), (None, docs[3][1])]
+    frame = spark.createDataFrame(items, "item_id bigint, text string")
+    got = dc.contained_items(odd_docs, frame, block_shingles=40).collect()
+    key = lambda r: tuple(-1 if x is None else x for x in r)
+    assert sorted(map(key, got)) == sorted(map(key, contained(docs, items)))
+    assert sum(r["doc_id"] == 5 for r in got) == 6 and sum(r["doc_id"] is None for r in got) == 3
+    assert dc.contained_items(no_docs, frame, block_shingles=40).collect() == []
