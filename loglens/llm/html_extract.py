@@ -18,6 +18,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from loglens.llm.common import bounded_sample, read
 
 SAMPLE_PAGES, LAYOUTS, STEPS = 150, 4, 150
+PARAGRAPHS, AROUND_CHARS = 30, 300  # of a training article and a training text around it in a made layout
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][\w:-]*)([^>]*)>""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -47,27 +49,91 @@ SCOPE = frozenset("ul ol dl table div section article main aside nav header foot
 ARTICLE, AROUND = frozenset(("article", "main")), frozenset("nav header footer aside form button select dialog menu".split())
 AROUND_WORDS = frozenset("ad ads advert advertisement banner sponsor promo cookie consent notice newsletter subscribe comment comments reply share social related sidebar widget menu nav navbar breadcrumb footer header popup modal login search".split())
 
-Block = tuple[str, int, list[tuple[str, tuple[str, ...]]]]  # text, characters inside links, ancestors
+
+class Node:
+    """An open tag: its parent, and what a block inside it inherits.
+
+    ``new`` holds the features that no tag around it has, so a page's tags hold
+    together no more than the page does."""
+
+    __slots__ = ("tag", "names", "parent", "new", "inner", "hidden", "linked", "article", "around")
+
+    def __init__(self, tag: str, names: tuple[str, ...], parent: Node | None, new: tuple[str, ...]):
+        self.tag, self.names, self.parent, self.new = tag, names, parent, new
+        self.inner = tag if tag not in INLINE else parent.inner if parent else "none"
+        self.hidden = tag in HIDDEN or bool(parent and parent.hidden)
+        self.linked = tag == "a" or bool(parent and parent.linked)
+        self.article = tag in ARTICLE or bool(parent and parent.article)
+        self.around = tag in AROUND or not AROUND_WORDS.isdisjoint(names) or bool(parent and parent.around)
+
+    def upwards(self) -> Iterator[Node]:
+        node: Node | None = self
+        while node is not None:
+            yield node
+            node = node.parent
+
+    def __iter__(self) -> Iterator[tuple[str, tuple[str, ...]]]:
+        """Tags and the words of their class and id, outermost first."""
+        return iter([(n.tag, n.names) for n in self.upwards()][::-1])
+
+
+Block = tuple[str, int, Node | None]  # text, characters inside links, innermost open tag
+
+
+def tag_features(tag: str, names: tuple[str, ...]) -> set[str]:
+    out = {f"in:{tag}", *(f"name:{w}" for w in names)}
+    if not AROUND_WORDS.isdisjoint(names):
+        out.add("around")
+    if tag in ARTICLE:
+        out.add("landmark")
+    return out
+
+
+class OpenTags:
+    """The open tags of a page, how often each tag and each feature is among them."""
+
+    def __init__(self):
+        self.nodes: list[Node] = []
+        self.tags: Counter[str] = Counter()
+        self.features: set[str] = set()
+
+    @property
+    def top(self) -> Node | None:
+        return self.nodes[-1] if self.nodes else None
+
+    def push(self, tag: str, names: tuple[str, ...]) -> None:
+        new = tuple(sorted(tag_features(tag, names) - self.features))
+        self.features.update(new)
+        self.tags[tag] += 1
+        self.nodes.append(Node(tag, names, self.top, new))
+
+    def end(self, i: int) -> None:
+        """End the tag at place ``i`` and what is open in it."""
+        while len(self.nodes) > i:
+            node = self.nodes.pop()
+            self.features.difference_update(node.new)
+            self.tags[node.tag] -= 1
 
 
 def leaf_blocks(page: str | None) -> list[Block]:
     """Leaf blocks with a visible text, in page order: character references decoded,
     white space in one space, trimmed."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack = OpenTags()
     parts: list[str] = []
     linked: list[str] = []
     page = page or ""
+    endless: set[str] = set()  # tags with no end tag in the rest of the page
 
     def in_head() -> bool:
-        return bool(stack) and stack[-1][0] == "head"
+        return bool(stack.nodes) and stack.nodes[-1].tag == "head"
 
     def text(lo: int, hi: int) -> None:
         if in_head() and page[lo:hi].strip():
-            stack.pop()
-        if hi > lo and not any(t in HIDDEN for t, _ in stack):
+            stack.end(len(stack.nodes) - 1)
+        if hi > lo and not (stack.nodes and stack.nodes[-1].hidden):
             parts.append(page[lo:hi])
-            if any(t == "a" for t, _ in stack):
+            if stack.nodes and stack.nodes[-1].linked:
                 linked.append(page[lo:hi])
 
     def flush() -> None:
@@ -75,7 +141,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
             joined = " ".join(html.unescape("".join(parts)).split())
             if joined:
                 links = len(" ".join(html.unescape(" ".join(linked)).split())) if linked else 0
-                out.append((joined, links, list(stack)))
+                out.append((joined, links, stack.top))
             parts.clear()
             linked.clear()
 
@@ -88,50 +154,54 @@ def leaf_blocks(page: str | None) -> list[Block]:
             continue
         close = bool(m[1] or m[4])
         if not close and tag not in IN_HEAD and in_head():
-            stack.pop()
+            stack.end(len(stack.nodes) - 1)
         if tag == "br":
             parts.append(" ")
             continue
         if tag not in INLINE:
             flush()
         if close:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
+            for i in range(len(stack.nodes) - 1 if stack.tags[tag] else -1, -1, -1):
+                if stack.nodes[i].tag == tag:
+                    stack.end(i)
                     break
-                if tag in INLINE and stack[i][0] not in INLINE:
+                if tag in INLINE and stack.nodes[i].tag not in INLINE:
                     break  # a stray end tag inside a line ends nothing outside it
             continue
         attrs = m[3] if m[2] else m[6]
         if tag in VOID or attrs.endswith("/"):
             continue
         if tag not in INLINE:  # a new block ends an open paragraph and what is open in it
-            for i in range(len(stack) - 1, -1, -1):
-                t = stack[i][0]
-                if t == "p" or t in ENDS.get(tag, ()):
-                    del stack[i:]
+            ends = ENDS.get(tag, ())
+            for i in range(len(stack.nodes) - 1 if stack.tags["p"] or any(stack.tags[t] for t in ends) else -1, -1, -1):
+                t = stack.nodes[i].tag
+                if t == "p" or t in ends:
+                    stack.end(i)
                     break
                 if t in SCOPE:
                     break
         names = tuple(w for a in ATTRIBUTE.finditer(attrs) for w in NAME.findall(a[2].lower())) if "=" in attrs else ()
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            end = None if tag in endless else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            if not end:
+                endless.add(tag)
             if tag == "textarea" and not end:
                 continue
             at = end.end() if end else len(page)
             continue
-        stack.append((tag, names))
+        stack.push(tag, names)
     text(at, len(page))
     flush()
     return out
 
 
-def block_features(blocks: list[Block]) -> list[list[str]]:
-    """Names of the features of each block, its neighbours' lengths included."""
+def block_features(blocks: list[Block], inherited: bool = True) -> list[list[str]]:
+    """Names of the features of each block, its neighbours' lengths included; those of its
+    open tags only if ``inherited``."""
     sizes = [len(t) for t, _, _ in blocks]
     n = len(blocks)
     out = []
-    for i, (text, links, stack) in enumerate(blocks):
+    for i, (text, links, node) in enumerate(blocks):
         words = text.count(" ") + 1
         f = ["bias", f"len{min(9, sizes[i].bit_length())}", f"words{min(7, words.bit_length())}",
              f"links{min(4, 4 * links // max(1, sizes[i]))}", f"end{text[-1] if text[-1] in '.!?:,;…' else ''}",
@@ -139,17 +209,9 @@ def block_features(blocks: list[Block]) -> list[list[str]]:
         f.append(f"before{min(9, sizes[i - 1].bit_length()) if i else 'none'}")
         f.append(f"after{min(9, sizes[i + 1].bit_length()) if i + 1 < n else 'none'}")
         f += [f"sign{c}" for c in "©|»@" if c in text]
-        inner = next((t for t, _ in reversed(stack) if t not in INLINE), "none")
-        f.append(f"parent:{inner}")
-        seen = set()
-        for t, names in stack:
-            seen.add(f"in:{t}")
-            seen.update(f"name:{w}" for w in names)
-            if not AROUND_WORDS.isdisjoint(names):
-                seen.add("around")
-        if not seen.isdisjoint(("in:article", "in:main")):
-            seen.add("landmark")
-        f += sorted(seen)
+        f.append(f"parent:{node.inner if node else 'none'}")
+        if inherited and node:
+            f += sorted(x for above in node.upwards() for x in above.new)
         out.append(f)
     return out
 
@@ -163,9 +225,21 @@ class ChainModel:
 
     def viterbi(self, blocks: list[Block]) -> list[int]:
         get, (c0, c1) = self.weights.get, self.changes
+        worth: dict[Node, float] = {}  # weights of a tag's features and of those around it
+
+        def of(node: Node | None) -> float:
+            path = []
+            while node is not None and node not in worth:
+                path.append(node)
+                node = node.parent
+            total = worth[node] if node is not None else 0.0
+            for x in reversed(path):
+                total = worth[x] = total + sum([get(y, 0.0) for y in x.new])
+            return total
+
         rest, main, back = 0.0, 0.0, []
-        for i, f in enumerate(block_features(blocks)):
-            w = sum([get(x, 0.0) for x in f])
+        for i, f in enumerate(block_features(blocks, inherited=False)):
+            w = sum([get(x, 0.0) for x in f]) + of(blocks[i][2] or None)
             if i:
                 a, b = rest + c0[0], main + c1[0]
                 c, d = rest + c0[1], main + c1[1]
@@ -235,14 +309,9 @@ def train(pages: list[tuple[list[Block], list[int]]], steps: int = STEPS, penalt
 
 def landmark_labels(blocks: list[Block]) -> list[int] | None:
     """1 for blocks in an article landmark and in nothing around it; None without landmarks."""
-    if not any(t in ARTICLE for _, _, stack in blocks for t, _ in stack):
+    if not any(node and node.article for _, _, node in blocks):
         return None
-    out = []
-    for _, _, stack in blocks:
-        inside = max((i for i, (t, _) in enumerate(stack) if t in ARTICLE), default=None)
-        around = any(t in AROUND or not AROUND_WORDS.isdisjoint(names) for t, names in stack)
-        out.append(int(inside is not None and not around))
-    return out
+    return [int(bool(node) and node.article and not node.around) for _, _, node in blocks]
 
 
 #: Furniture texts set around training articles.
@@ -291,8 +360,10 @@ def layout(rng: random.Random, title: str, paragraphs: list[str], others: list[s
             {" ".join(x.split()) for x in [title, *paragraphs]})
 
 
-def training_pages(pages: list[str], layouts: int = LAYOUTS, seed: int = 5) -> list[tuple[list[Block], list[int]]]:
-    """Labelled pages: the given ones that have landmarks, and their texts in other layouts."""
+def training_pages(pages: list[str], layouts: int = LAYOUTS, seed: int = 5, paragraphs: int = PARAGRAPHS,
+                   around_chars: int = AROUND_CHARS) -> list[tuple[list[Block], list[int]]]:
+    """Labelled pages: the given ones that have landmarks, whole, and their texts in other layouts: at most
+    ``paragraphs`` blocks of an article, and around it texts of at most ``around_chars`` characters."""
     rng = random.Random(seed)
     out, articles, others = [], [], []
     for page in pages:
@@ -308,12 +379,12 @@ def training_pages(pages: list[str], layouts: int = LAYOUTS, seed: int = 5) -> l
         articles = [[f"Title {i}", *["A plain sentence with some words, and one more. " * (2 + (i + j) % 5) for j in range(1 + i % 6)]] for i in range(50)]
     for texts in articles:
         for _ in range(layouts):
-            page, main = layout(rng, texts[0] if len(texts[0]) < 200 else "", texts[1:][:30] or texts,
-                                others + [t[:300] for t in rng.choice(articles)])
+            page, main = layout(rng, texts[0] if len(texts[0]) < 200 else "", texts[1:][:paragraphs] or texts,
+                                others + [t[:around_chars] for t in rng.choice(articles)])
             blocks = leaf_blocks(page)
-            inside = [any("comment" in w for _, names in s for w in names) for _, _, s in blocks]
-            out.append((blocks, [int(b[0] in main and not c and not any(t in AROUND for t, _ in b[2])
-                                     and not any("sidebar" in n or "ad" in n or "notice" in n for _, n in b[2]))
+            inside = [any("comment" in w for _, names in s or () for w in names) for _, _, s in blocks]
+            out.append((blocks, [int(b[0] in main and not c and not any(t in AROUND for t, _ in b[2] or ())
+                                     and not any("sidebar" in n or "ad" in n or "notice" in n for _, n in b[2] or ()))
                                  for b, c in zip(blocks, inside, strict=True)]))
     return out
 
@@ -325,17 +396,18 @@ def extract(model: ChainModel, page: str | None) -> str:
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ("url",),
-                 sample_pages: int = SAMPLE_PAGES) -> DataFrame:
+                 sample_pages: int = SAMPLE_PAGES, paragraphs: int = PARAGRAPHS, around_chars: int = AROUND_CHARS) -> DataFrame:
     """Per row: ``<id_col>``, the columns in ``keep``, ``text`` and ``n_chars`` (code points).
 
     The field is trained on ``sample_pages`` of the pages, those with the smallest hash
-    of their id.  Defined cases: a null or empty page, or one without an article,
+    of their id, and on layouts made of them (``paragraphs``, ``around_chars``: see
+    :func:`training_pages`); every page is read whole.  Defined cases: a null or empty page, or one without an article,
     has an empty text; repeated rows are read each; a page cut short is read as
     far as it goes; other columns are ignored.
     """
     sample = bounded_sample(pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html"))
                             .where("html is not null"), "id", sample_pages).select("html").collect()
-    model = train(training_pages([r[0] for r in sample]))
+    model = train(training_pages([r[0] for r in sample], paragraphs=paragraphs, around_chars=around_chars))
     held = pages.sparkSession.sparkContext.broadcast((model.weights, model.changes))
     names = [id_col, *keep]
 

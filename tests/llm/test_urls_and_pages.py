@@ -3,6 +3,7 @@
 import math
 import os
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -150,3 +151,72 @@ def test_viterbi_is_the_best_chain():
 
     best = max(([int(c) for c in f"{i:07b}"] for i in range(128)), key=worth)
     assert model.viterbi(blocks) == best
+
+
+#: Pages written by hand, without landmark tags, in layouts that the training ones cannot have, and their article blocks.
+BY_HAND = [
+    ("""<html><body bgcolor=white><center><font size=6>The Lighthouse Pages</font></center><table width=760><tr><td width=140 valign=top>
+<a href=i.html>Index</a><br><a href=m.html>Map</a><br><a href=g.html>Guest book</a></td><td valign=top><h3>How the lamp was kept</h3>
+The lamp had to be trimmed every four hours, and the keeper slept in a chair beside it through most of the winter.
+<p>Oil came by boat in spring, when the sea allowed it, and was carried up the stairs in cans of five gallons each.
+<p>In 1911 the station was rebuilt, and the old lens, which weighed two tons, was sold to a museum on the mainland.</td></tr></table>
+<hr><center><font size=1>Best viewed at 800 x 600. Last change: May 1999</font></center></body></html>""",
+     ["How the lamp was kept", "The lamp had", "Oil came by", "In 1911 the"]),
+    ("""<div id=wrap><div id=top><a href=/>Granary Kitchen</a><ul><li><a href=/r>Recipes</a><li><a href=/s>Seasons</a><li><a href=/a>About us</a></ul></div>
+<div id=page><h1>Barley soup with leeks</h1><p>This is what we cook on the first cold evening of the year, because it asks for little and keeps for days.</p>
+<h2>What you need</h2><ul><li>200 g of pearl barley, rinsed well</li><li>three leeks, white and pale green parts only, sliced</li></ul>
+<p>Soften the leeks slowly in butter, add the barley and a litre and a half of stock, and leave it alone for forty minutes.</p>
+<p>Season at the end, since the stock thickens and what seemed mild at first may turn out to be salty.</p></div>
+<div id=bottom><p>Granary Kitchen 2019. <a href=/c>Contact</a> <a href=/p>Privacy</a></p></div></div>""",
+     ["Barley soup", "This is what", "What you need", "200 g", "three leeks", "Soften the", "Season at"]),
+    ("""<body><div class=masthead>The Valley Courier</div><div class=tabs><a href=/1>Local</a> | <a href=/2>Sport</a> | <a href=/3>Weather</a></div>
+<div class=col1><div class=hd>Bridge to close for repairs in June</div><div class=by>By a staff writer, 12 April</div>
+<div class=txt>The council decided on Tuesday to close the old stone bridge for six weeks, the third time in ten years.</div>
+<div class=txt>Shop owners on the east bank said that they had not been asked, and that the detour of nine miles would keep customers away.</div>
+<div class=txt>Work begins on 3 June. Buses will run over the northern crossing, and the footpath is to stay open.</div></div>
+<div class=col2><div class=ttl>Most read</div><a href=/x>Fire at mill</a><br><a href=/y>School wins cup</a><div class=sponsor>Sponsored: cheap tyres here</div></div>
+<div class=legal>All rights reserved. Valley Courier Ltd.</div></body>""",
+     ["Bridge to close", "By a staff writer", "The council decided", "Shop owners on", "Work begins on"]),
+    ("""<html><title>x</title><body><p><a href=..>Up</a> <a href=n>Next</a> <a href=p>Previous</a></p><h2>4.2 Reading a configuration</h2>
+<p>A configuration is read once, when the program starts, from the first file that exists in the list given below.</p>
+<pre>/etc/tool.conf
+~/.toolrc</pre><p>Later files do not override earlier ones; use an include line where a value must come from elsewhere.</p>
+<blockquote>Note that names are compared without regard to case, but values are not.</blockquote>
+<form action=/q><input name=q><button>Search the manual</button></form><p><small>Copyright 2004 the tool authors</small></p></body></html>""",
+     ["4.2 Reading", "A configuration is", "/etc/tool.conf", "Later files", "Note that names"]),
+    ("""<body><div class="x1 popup"><p>We value your privacy. Accept all or choose settings.</p><button>Accept</button></div><div class=x2>
+<p>When the river froze in February, people walked across it to the market, and for one week nobody paid the ferryman.</p>
+<p>He sat in his hut, it was said, and carved spoons; some of them can still be seen in the town hall.</p></div>
+<div class=x3><div class=reply><b>anna</b><p>My grandfather had one of these spoons!</p></div><div class=reply><b>tom</b><p>Great story, thanks.</p></div></div></body>""",
+     ["When the river", "He sat in"]),
+]
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables absent")
+def test_extraction_of_pages_by_hand(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").limit(hx.SAMPLE_PAGES)
+    model = hx.train(hx.training_pages([r["html"] for r in pages.select("html").collect()]))
+    right = found = wanted = 0
+    for page, starts in BY_HAND:
+        blocks = hx.leaf_blocks(page)
+        want = [any(b[0].startswith(x) for x in starts) for b in blocks]
+        assert sum(want) == len(starts) and hx.landmark_labels(blocks) is None
+        got = model.viterbi(blocks)
+        right += sum(w and g for w, g in zip(want, got, strict=True))
+        found, wanted = found + sum(got), wanted + sum(want)
+        print([(b[0][:30], g, int(w)) for b, g, w in zip(blocks, got, want, strict=True) if g != w])
+    print(f"precision {right / max(1, found):.2f}, recall {right / wanted:.2f} of {wanted} blocks")
+    assert right >= 0.7 * wanted and right >= 0.7 * found
+
+
+def test_nested_pages_take_time_in_proportion():
+    model = hx.ChainModel({"in:div": 0.5, "in:span": 0.25, "name:a": 1.0, "bias": -0.7}, [[0.0, 0.0], [0.0, 0.0]])
+    page = "".join(f"<div class=a><span>word {i} " for i in range(4000))
+    start = time.perf_counter()
+    blocks = hx.leaf_blocks(page)
+    assert model.viterbi(blocks) == [1] * 4000
+    assert time.perf_counter() - start < 2
+    assert sum(len(n.new) for n in blocks[-1][2].upwards()) == 3
+    shallow = hx.leaf_blocks("".join(f"<div class=a><span>word {i} " for i in range(9)))
+    assert [sorted(f) for f in hx.block_features(shallow)] == [
+        sorted([*own, "in:div", "in:span", "name:a"]) for own in hx.block_features(shallow, inherited=False)]
