@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from loglens.llm.common import read, stage, text_chunks, tidied, word_hashes
 
 ORDER, SYMBOLS = 4, 256
-CHUNK = 16_000_000
+CHUNK = 32_000_000
 GRAM, WORD = 0, 1
 FLUSH = 2_000_000
 LOWER = np.arange(256, dtype=np.uint8)
