@@ -496,6 +496,18 @@ def q_bloom_documents(spark, sf_dir):
 
 
 _STAGED: dict[tuple, str] = {}
+FILES_PER_TASK = 250
+
+
+def n_files(spark, sf_dir: str) -> int:
+    """Log files that the table makes, about (from the row count in its metadata)."""
+    return -(-read_table(spark, sf_dir, "events").count() // BATCH_SIZE)
+
+
+def write_tasks(spark, sf_dir: str, waves: int = 1) -> int:
+    """Tasks that write the table's log files (in ``waves`` parts): ``FILES_PER_TASK`` each, at least one a core."""
+    n = -(-n_files(spark, sf_dir) // waves)
+    return max(1, -(-n // FILES_PER_TASK), min(n, spark.sparkContext.defaultParallelism))
 
 
 def staged_log_files(spark, sf_dir: str) -> str:
@@ -506,7 +518,7 @@ def staged_log_files(spark, sf_dir: str) -> str:
     path = _STAGED.get(key)
     if path is None:
         path = scratch_path(spark, "staged-logs")
-        write_log_files(load_log_view(spark, sf_dir, dirty=True), path)
+        write_log_files(load_log_view(spark, sf_dir, dirty=True), path, tasks=write_tasks(spark, sf_dir))
         _STAGED[key] = path
     return path
 
@@ -572,11 +584,11 @@ def q_reservoir_sample_by_file_name(spark, sf_dir):
     return reservoir_sample_by_batch(ids, k=10, seed=42, numbers=numbers)
 
 
-def damaged_log_lines(v):
+def damaged_log_lines(v, tasks=None):
     """The view as file lines, some files damaged: an unterminated array
     (batch mod 11 = 5) and JSON lines instead of an array (batch mod 13 = 7).
     Every event is still written."""
-    lines = json_array_lines(v)
+    lines = json_array_lines(v, tasks=tasks)
     b = F.col("batch_id")
     line = (F.when(b % 11 == 5, F.regexp_replace("line", r"\]$", ""))
             .when(b % 13 == 7, F.regexp_replace(F.regexp_replace("line", r"^[\[,]", ""), r"\]$", ""))
@@ -589,7 +601,8 @@ def staged_damaged_files(spark, sf_dir: str) -> str:
     path = _STAGED.get(key)
     if path is None:
         path = scratch_path(spark, "staged-damaged")
-        write_batch_files(damaged_log_lines(load_log_view(spark, sf_dir, dirty=True)), path, clustered=True)
+        v = load_log_view(spark, sf_dir, dirty=True)
+        write_batch_files(damaged_log_lines(v, write_tasks(spark, sf_dir)), path, clustered=True)
         _STAGED[key] = path
     return path
 
@@ -625,7 +638,7 @@ def staged_odd_files(spark, sf_dir: str) -> str:
     path = _STAGED.get(key)
     if path is None:
         path = scratch_path(spark, "staged-odd")
-        write_batch_files(odd_log_lines(load_log_view(spark, sf_dir, dirty=True)), path)
+        write_batch_files(odd_log_lines(load_log_view(spark, sf_dir, dirty=True)), path, tasks=write_tasks(spark, sf_dir))
         _STAGED[key] = path
     return path
 
@@ -722,14 +735,17 @@ def q_summary_written(spark, sf_dir):
 
 
 # files per micro-batch when replaying a whole table through a stream: 1,000
-# files of 100 events at sf0.1 make 4 micro-batches, and more data makes more
+# files of 100 events at sf0.1 make 4 micro-batches, and more data makes more, up to
+# MICRO_BATCHES; beyond, they grow with the backlog, since each costs seconds besides its files
 FILES_PER_TRIGGER = 250
+MICRO_BATCHES = 8
 
 
 def files_per_trigger(spark, sf_dir: str) -> int:
-    """``FILES_PER_TRIGGER``, or fewer where the table has too few files for four micro-batches."""
-    n = read_table(spark, sf_dir, "events").count() // BATCH_SIZE
-    return max(1, min(FILES_PER_TRIGGER, -(-n // 4)))
+    """``FILES_PER_TRIGGER``, fewer where the table has too few files for four micro-batches,
+    more where it has too many for ``MICRO_BATCHES``."""
+    n = n_files(spark, sf_dir)
+    return max(1, min(FILES_PER_TRIGGER, -(-n // 4)), -(-n // MICRO_BATCHES))
 
 
 @register("stream_windowed_success_rate", ORACLE["windowed_success_rate"])
@@ -859,8 +875,8 @@ def q_stream_reservoir_sample(spark, sf_dir):
 # --- Folders that grow: name order, result log, restarts, runs by manifest ---
 
 
-def _write_wave(v, path: str, keep) -> None:
-    write_log_files(v.where(keep), path, mode="append")
+def _write_wave(v, path: str, keep, tasks: int) -> None:
+    write_log_files(v.where(keep), path, mode="append", tasks=tasks)
 
 
 def _polled_by_name(spark, sf_dir):
@@ -868,8 +884,9 @@ def _polled_by_name(spark, sf_dir):
     then, by a stream continued from its checkpoint, the odd ones'."""
     v = load_log_view(spark, sf_dir, dirty=True)
     src, out, log = (scratch_path(spark, f"stream-by-name-{x}") for x in ("src", "out", "log"))
+    tasks = write_tasks(spark, sf_dir, 2)
     for odd in (0, 1):
-        _write_wave(v, src, F.col("batch_id") % 2 == odd)
+        _write_wave(v, src, F.col("batch_id") % 2 == odd, tasks)
         run_available(start_running_by_file(spark, src, out, glob="*.txt", trigger={"availableNow": True}, log=log))
     return out, log
 
@@ -908,8 +925,9 @@ def _late_waves(spark, sf_dir):
     v = load_log_view(spark, sf_dir, dirty=True, late=True).withColumn("pos", F.col("event_id"))
     files = -(-v.select("batch_id").distinct().count() // WAVES)
     src, out = scratch_path(spark, "stream-late-src"), scratch_path(spark, "stream-late-out")
+    tasks = write_tasks(spark, sf_dir, WAVES)
     for wave in range(WAVES):
-        _write_wave(v, src, F.floor(F.col("batch_id") / files) == wave)
+        _write_wave(v, src, F.floor(F.col("batch_id") / files) == wave, tasks)
     q = start_windowed_success_rate(spark, src, out, glob="*.txt", output_mode="update", trigger={"availableNow": True},
                                     max_files_per_trigger=files, window_duration="1 hour", slide_duration="1 hour", watermark="6 hours")
     run_available(q)
@@ -1005,6 +1023,6 @@ def q_runs_by_manifest(spark, sf_dir):
         return events.groupBy("file_path").agg(F.count("*").alias("events"))
 
     for wave in (F.col("batch_id") % 3 != 0, F.col("batch_id") % 3 == 0, F.lit(False)):
-        _write_wave(v, src, wave)
+        _write_wave(v, src, wave, write_tasks(spark, sf_dir, 3))
         run_new_files(spark, src, manifest, out, per_file, glob="*.txt")
     return read_runs(spark, manifest, out).select(_file_batch(), "events", "run")

@@ -42,6 +42,18 @@ def build_session(master: str | None = None, app: str = "loglens",
     return spark
 
 
+LISTING_TASKS_CONF = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def few_listing_tasks(spark: SparkSession) -> None:
+    """Let a listing of many folders run in a few tasks a core (a session setting, kept if already set).
+
+    Log files lie in a folder each.  Spark lists more than 32 folders in a job of a task a folder, up to
+    10,000 tasks, which takes longer than listing them; a file stream lists its files the same way."""
+    if spark.conf.get(LISTING_TASKS_CONF, None) is None:
+        spark.conf.set(LISTING_TASKS_CONF, str(max(32, 4 * spark.sparkContext.defaultParallelism)))
+
+
 _LOCAL_ROOTS: dict[str, str] = {}
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from loglens.plans.rank import with_rank
 from loglens.schema import LOG_ARRAY_DDL
+from loglens.session import few_listing_tasks
 from loglens.sources import split_json
 
 FILE_COLS = ["file_path", "file_name", "file_modified"]
@@ -26,6 +27,7 @@ def read_raw_files(spark: SparkSession, path: str | list[str], *, glob: str | No
 
     Partition directories (``key=value``) become columns unless ``recursive``.
     """
+    few_listing_tasks(spark)
     opts = {"wholetext": True}
     if glob:
         opts["pathGlobFilter"] = glob
@@ -145,6 +147,7 @@ def read_logs(spark: SparkSession, path: str | list[str], *, glob: str | None =
 
 def _no_files(spark: SparkSession, path, glob, recursive) -> bool:
     """Whether nothing matches, from the listing (a file may hold no event)."""
+    few_listing_tasks(spark)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(bool(recursive)).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -170,6 +173,7 @@ def number_files(spark: SparkSession, path: str | list[str], *, glob: str | None
                  recursive: bool = False, order: tuple[str, ...] = ("file_modified", "file_path")) -> DataFrame:
     """``file_path, file_name, file_modified, batch_id``: the files numbered 0, 1, ... in
     ``order``, from their metadata alone (no content is read or parsed)."""
+    few_listing_tasks(spark)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -199,13 +203,16 @@ def unprocessed_files(listed: DataFrame, processed: DataFrame, key: str = "file_
     return listed.join(processed.select(key).distinct(), key, "left_anti")
 
 
-def json_array_lines(events: DataFrame, batch: str = "batch_id", pos: str = "pos") -> DataFrame:
+def json_array_lines(events: DataFrame, batch: str = "batch_id", pos: str = "pos", tasks: int | None = None) -> DataFrame:
     """Text lines that make each batch one JSON array: ``[{..}``, ``,{..}``, ``..}]``.
 
-    Missing values are left out of the objects (missing key = null).
+    Missing values are left out of the objects (missing key = null).  With ``tasks`` the batches
+    are dealt to so many partitions (default: as many as their bytes need).
     """
     from pyspark.sql import Window
 
+    if tasks:
+        events = events.repartition(tasks, batch)
     obj = F.to_json(F.struct("service", "timestamp", "message"))
     w = Window.partitionBy(batch)
     first = F.col(pos) == F.min(pos).over(w)
@@ -216,21 +223,25 @@ def json_array_lines(events: DataFrame, batch: str = "batch_id", pos: str = "pos
 
 
 def write_batch_files(lines: DataFrame, path: str, batch: str = "batch_id", pos: str = "pos",
-                      mode: str = "errorifexists", clustered: bool = False) -> None:
+                      mode: str = "errorifexists", clustered: bool = False, tasks: int | None = None) -> None:
     """One file per batch under ``path/<batch>=<id>/``, lines in position order.
 
     ``clustered`` says the rows of each batch already sit in one partition
     (as :func:`json_array_lines` leaves them); otherwise one shuffle on the
-    batch co-locates them first.
+    batch co-locates them first, in ``tasks`` partitions.
+
+    Small files cost by their number, not their bytes, which is what Spark sizes partitions by: name
+    ``tasks`` for many batches.  Each task moves its own files in place (commit algorithm 2); the driver
+    would move them one by one.  A failed write may so leave some files: read a folder after its write.
     """
-    d = lines if clustered else lines.repartition(batch)
+    d = lines if clustered else lines.repartition(*([tasks] if tasks else []), batch)
     (d.sortWithinPartitions(batch, pos).select(batch, "line")
-     .write.mode(mode).partitionBy(batch).text(path))
+     .write.mode(mode).option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(batch).text(path))
 
 
 def write_log_files(events: DataFrame, path: str, batch: str = "batch_id", pos: str = "pos",
-                    mode: str = "errorifexists") -> None:
+                    mode: str = "errorifexists", tasks: int | None = None) -> None:
     """Write events as JSON-array log files, one per batch (``.txt`` part files).
 
-    One shuffle on the batch (the window that marks first and last lines)."""
-    write_batch_files(json_array_lines(events, batch, pos), path, batch, pos, mode, clustered=True)
+    One shuffle on the batch (the window that marks first and last lines), in ``tasks`` partitions."""
+    write_batch_files(json_array_lines(events, batch, pos, tasks), path, batch, pos, mode, clustered=True)

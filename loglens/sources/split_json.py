@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loglens.plans.materialize import materialize, tidied
+from loglens.session import few_listing_tasks
 
 _WS = "[ \\t\\r\\n]*"
 _FILE = ["file_path", "file_name", "file_modified"]
@@ -25,6 +26,7 @@ _FILE = ["file_path", "file_name", "file_modified"]
 
 def _records(spark: SparkSession, path: str | list[str], glob: str | None, recursive: bool) -> DataFrame:
     """One row per piece of text up to a ``}``, which is left out."""
+    few_listing_tasks(spark)
     opts = {"lineSep": "}"}
     if glob:
         opts["pathGlobFilter"] = glob

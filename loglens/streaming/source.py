@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglens.schema import MAX_FILES_PER_TRIGGER
+from loglens.session import few_listing_tasks
 from loglens.sources.files import parse_log_files
 
 
@@ -13,6 +14,7 @@ def read_raw_stream(spark: SparkSession, path: str, *, glob: str | None = "*.jso
                     max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
                     recursive: bool = True) -> DataFrame:
     """One streaming row per new file: ``value`` (whole text) and file metadata."""
+    few_listing_tasks(spark)
     reader = spark.readStream.format("text").option("wholetext", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)

@@ -166,3 +166,19 @@ def test_paths_of_another_file_system(spark, tmp_path):
         assert run_new_files(spark, f"{root}/w", f"{root}/m", f"{root}/out", lambda e: e.groupBy("file_path").agg(F.count("*").alias("n")),
                              glob="*.txt") == want
     assert sorted(r.n for r in read_runs(spark, f"{root}/m", f"{root}/out").collect()) == [1, 3]
+
+
+def test_listing_runs_in_few_tasks(spark, tmp_path):
+    from loglens.session import LISTING_TASKS_CONF
+
+    for i in range(40):
+        write_json(str(tmp_path / f"batch_id={i}"), "a.json", [ev(code=200)])
+    spark.conf.unset(LISTING_TASKS_CONF)
+    try:
+        assert read_logs(spark, str(tmp_path)).count() == 40
+        assert int(spark.conf.get(LISTING_TASKS_CONF)) <= max(32, 4 * spark.sparkContext.defaultParallelism)
+        spark.conf.set(LISTING_TASKS_CONF, "7")  # what a session has set stays
+        assert read_logs(spark, str(tmp_path)).count() == 40
+        assert spark.conf.get(LISTING_TASKS_CONF) == "7"
+    finally:
+        spark.conf.unset(LISTING_TASKS_CONF)
