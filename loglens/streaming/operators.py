@@ -52,6 +52,9 @@ from loglens.schema import (
 from loglens.sinks import write_log_epoch
 from loglens.streaming.state import RETAIN_VERSIONS, read_state, run_checkpoint, write_result, write_state
 
+SHUFFLE_CONF = "spark.sql.shuffle.partitions"
+STATE_TASKS_A_CORE = 2
+
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -95,11 +98,20 @@ def _result(df: DataFrame, out: str, epoch: int, log: str | None) -> None:
 
 def _start(df: DataFrame, fn: Callable[[DataFrame, int], None], *, checkpoint: str,
            output_mode: str, trigger: dict, name: str | None) -> StreamingQuery:
+    """Start the stream with at most ``STATE_TASKS_A_CORE`` shuffle partitions a core: each keeps a state of its
+    own, written in every micro-batch even if empty.  A query takes the setting over when it starts (and
+    from its checkpoint when it goes on), so the session's own is put back."""
+    spark = df.sparkSession
+    session = int(spark.conf.get(SHUFFLE_CONF))
     w = df.writeStream.foreachBatch(fn).outputMode(output_mode).option("checkpointLocation", checkpoint)
     w = w.trigger(**trigger)
     if name:
         w = w.queryName(name)
-    return w.start()
+    spark.conf.set(SHUFFLE_CONF, str(min(session, STATE_TASKS_A_CORE * spark.sparkContext.defaultParallelism)))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(SHUFFLE_CONF, str(session))
 
 
 def start_windowed_success_rate(spark: SparkSession, source: str, out: str, *,
