@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from loglens.functions import epoch_to_timestamp, status_last_segment
 from loglens.plans.materialize import materialize
+from loglens.plans.scan import prefix_scan
 from loglens.plans.topk import bottom_k, levels_for, prefix_bottom_k
 from loglens.schema import GENERATOR_SEED, RESERVOIR_SIZE
 
@@ -107,16 +108,82 @@ def reservoir_sample_by_batch(df: DataFrame, k: int = RESERVOIR_SIZE,
     return merged.select(batch, "event_id", "code", "sample_key")
 
 
+BLOCK_SAMPLES = 8  # candidates of a block of batches, in samples
+
+
+def sample_mode_by_batch(candidates: DataFrame, k: int, batch: str) -> DataFrame:
+    """``batch, code, sample_count`` after every batch, from :func:`batch_candidates`, without the ``k`` rows of each batch.
+
+    Batches are cut into blocks of about ``BLOCK_SAMPLES`` x ``k`` candidates.  What a block inherits is the
+    bottom ``k`` of the blocks before (:mod:`loglens.plans.topk`); one task takes a block's candidates
+    that can still enter in batch order and counts the codes of the sample as events enter and leave."""
+    key = ["sample_key", "event_id"]
+    cand = materialize(candidates, "sample-candidates")
+    sizes = prefix_scan(cand.groupBy(batch).agg(F.count("*").alias("_n")), batch, [("_upto", "sum", "_n")], block_width=1024, levels=2)
+    blocks = materialize(sizes.select(batch, F.floor((F.col("_upto") - F.col("_n")) / (BLOCK_SAMPLES * k)).cast("bigint").alias("_block")),
+                         "sample-blocks")
+    own = materialize(cand.join(blocks, batch), "sample-by-block")
+    top = blocks.agg(F.max("_block")).first()[0] or 0
+    summary = bottom_k(own.drop(batch), "_block", key, k)
+    inherited = materialize(prefix_bottom_k(summary, "_block", key, k, places=blocks.select("_block").distinct(), width=32,
+                                            levels=levels_for(top + 1, 32), exclusive=True), "sample-inherited")
+    last = F.struct(*key)
+    full = inherited.groupBy("_block").agg(F.count("*").alias("_n"), F.max(last).alias("_last")).where(F.col("_n") == k).drop("_n")
+    own = own.join(full, "_block", "left").where(F.col("_last").isNull() | (last < F.col("_last"))).drop("_last")
+    no_batch, typ = F.lit(0).cast(own.schema[batch].dataType), own.schema[batch].dataType.simpleString()
+    rows = (inherited.select("_block", *key, "code", no_batch.alias("batch"), F.lit(0).alias("kind"))
+            .unionByName(own.select("_block", *key, "code", F.col(batch).alias("batch"), F.lit(1).alias("kind"))))
+    place = F.row_number().over(Window.partitionBy("_block").orderBy(*key, "kind", "batch"))
+    placed = rows.select("_block", "batch", "kind", "code", place.alias("place")).unionByName(blocks.select(
+        "_block", F.col(batch).alias("batch"), F.lit(2).alias("kind"), F.lit(None).cast("string").alias("code"), F.lit(0).alias("place")))
+
+    def modes_in_block(rows):
+        """The mode after every batch of a block: ``rows`` hold what the block inherits (kind 0), its own candidates (1) and one
+        row per batch (2), with their ``place`` in the block's key order."""
+        import heapq
+
+        import pandas as pd
+
+        codes = [None if pd.isna(c) else c for c in rows["code"]]
+        order = {c: i for i, c in enumerate(sorted(set(codes), key=lambda c: (c is None, c or "")))}
+        named = list(order)
+        code = {}   # place of a sampled event -> its code's number
+        sample = []  # largest place first
+        counts = [0] * len(order)
+        best = []   # (-count, code) as of each change; outdated ones go when they come to the top
+
+        def change(c, by):
+            counts[c] += by
+            heapq.heappush(best, (-counts[c], c))
+
+        out = []
+        steps = sorted(zip(rows["kind"] > 0, rows["batch"], rows["kind"], rows["place"], codes, strict=True), key=lambda x: x[:4])
+        for _, batch, kind, place, c in steps:
+            if kind < 2:
+                if len(sample) == k and place > -sample[0]:
+                    continue
+                code[place] = order[c]
+                change(order[c], 1)
+                gone = heapq.heappushpop(sample, -place) if len(sample) == k else heapq.heappush(sample, -place)
+                if gone is not None:
+                    change(code.pop(-gone), -1)
+            else:
+                while -best[0][0] != counts[best[0][1]]:
+                    heapq.heappop(best)
+                out.append((batch, named[best[0][1]], -best[0][0]))
+        return pd.DataFrame(out, columns=["batch", "code", "sample_count"])
+
+    # a function of its own, sent to the workers by value: they need not have this package
+    modes = placed.where(F.col("batch").isNotNull()).groupBy("_block").applyInPandas(
+        modes_in_block, f"batch {typ}, code string, sample_count bigint")
+    return modes.withColumnRenamed("batch", batch)
+
+
 def reservoir_mode_by_batch(df: DataFrame, k: int = RESERVOIR_SIZE, seed: int = GENERATOR_SEED,
                             id_col: str = "event_id", batch: str = "batch_id") -> DataFrame:
     """The result after every batch: mode of the sample at that point (ties:
     smallest code) and the running span of all timestamps seen."""
-    from loglens.plans.scan import prefix_scan
-
-    samples = reservoir_sample_by_batch(df, k, seed, id_col, batch)
-    counts = samples.groupBy(batch, "code").agg(F.count(F.lit(1)).alias("sample_count"))
-    best = Window.partitionBy(batch).orderBy(F.desc("sample_count"), F.asc_nulls_last("code"))
-    mode = counts.withColumn("_rn", F.row_number().over(best)).where(F.col("_rn") == 1).drop("_rn")
+    mode = sample_mode_by_batch(batch_candidates(df, k, seed, id_col, batch), k, batch)
     per_batch = df.groupBy(batch).agg(F.max("timestamp").alias("_bmax"), F.min("timestamp").alias("_bmin"))
     span = prefix_scan(per_batch, batch, [("_new", "max", "_bmax"), ("_old", "min", "_bmin")],
                        block_width=1024, levels=2)

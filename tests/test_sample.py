@@ -87,3 +87,30 @@ def test_by_batch_hot_batch(spark):
             seen.append((hashlib.md5(f"{eid}:1".encode()).hexdigest(), eid))
             eid += 1
         assert got[b] == {e for _, e in sorted(seen)[:5]}
+
+
+@pytest.mark.parametrize("k", [1, 3, 40])
+def test_mode_by_batch_over_blocks_equals_brute_force(spark, monkeypatch, k):
+    """Blocks smaller than the table; the rows handed to a block stay near the sample's size."""
+    import hashlib
+
+    from loglens.operators import sample
+
+    codes = [200, 404, 500, None]
+    evs = [[ev(t=b, code=codes[(b * 7 + p * p) % 4]) if codes[(b * 7 + p * p) % 4] else ev(t=b) for p in range(1 + b % 5)] for b in range(60)]
+    df = events_df(spark, evs)
+    sizes = []
+    monkeypatch.setattr(sample, "prefix_bottom_k", lambda rows, *a, real=sample.prefix_bottom_k, **kw: sizes.append(rows.count()) or real(rows, *a, **kw))
+    got = {r.batch_id: (r.code, r.sample_count) for r in sample.reservoir_mode_by_batch(df, k=k, seed=42).collect()}
+    rows = [(r.batch_id, hashlib.md5(f"{r.event_id}:42".encode()).hexdigest(), r.event_id, r.message) for r in df.collect()]
+    want = {}
+    for b in range(60):
+        low = sorted(((m, i, c) for x, m, i, c in rows if x <= b))[:k]
+        n = {}
+        for _, _, c in low:
+            c = c.split(": ")[-1] if c else None
+            n[c] = n.get(c, 0) + 1
+        code = min(n, key=lambda c: (-n[c], c is None, c or ""))
+        want[b] = (code, n[code])
+    assert got == want
+    assert sizes and max(sizes) <= len(rows)
