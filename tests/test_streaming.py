@@ -266,3 +266,30 @@ def test_per_service_rates(spark, tmp_path):
     start_running_success_rate(spark, src, out, trigger={"availableNow": True}).awaitTermination()
     got = {r.service: r.value for r in last_epoch(spark, out, "per_service").collect()}
     assert got == {"monitoring": 0.5, "training": 1.0}
+
+
+def test_backlog_makes_a_bounded_number_of_micro_batches(spark, monkeypatch):
+    from loglens import catalog
+
+    for files, batches in ((10, 4), (1000, 4), (2000, 8), (60_000, 8), (360_000, 8)):
+        monkeypatch.setattr(catalog, "n_files", lambda *_, n=files: n)
+        per_trigger = catalog.files_per_trigger(spark, "")
+        assert -(-files // per_trigger) <= batches
+        assert 1 <= catalog.write_tasks(spark, "") <= max(files, 1)
+
+
+def test_state_has_few_partitions_and_the_session_keeps_its_own(spark, tmp_path):
+    from loglens.streaming import run_available
+    from loglens.streaming.operators import STATE_TASKS_A_CORE
+
+    write_json(str(tmp_path / "src"), "a.json", [ev(t=1, code=200)])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        out = str(tmp_path / "out")
+        run_available(start_running_success_rate(spark, str(tmp_path / "src"), out, trigger={"availableNow": True}))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+        state = [d for d in os.listdir(f"{out}/_checkpoint/state/0") if d.isdigit()]
+        assert 0 < len(state) <= STATE_TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
