@@ -10,6 +10,8 @@ of the right shape are quarantined, not fatal.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -233,10 +235,71 @@ def write_batch_files(lines: DataFrame, path: str, batch: str = "batch_id", pos:
     Small files cost by their number, not their bytes, which is what Spark sizes partitions by: name
     ``tasks`` for many batches.  Each task moves its own files in place (commit algorithm 2); the driver
     would move them one by one.  A failed write may so leave some files: read a folder after its write.
+
+    In a folder of the local file system (one that all executors see) the tasks write the files themselves: Hadoop's
+    starts a ``chmod`` process for every folder and file that it makes, four a batch.  Other file systems
+    and modes that replace files are left to Spark's writer.  Both make the same folders and texts.
     """
     d = lines if clustered else lines.repartition(*([tasks] if tasks else []), batch)
-    (d.sortWithinPartitions(batch, pos).select(batch, "line")
-     .write.mode(mode).option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(batch).text(path))
+    d = d.sortWithinPartitions(batch, pos).select(batch, "line")
+    spark = d.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getUri().getScheme() != "file" or mode not in ("error", "errorifexists", "append"):
+        (d.write.mode(mode).option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(batch).text(path))
+        return
+    # Spark's writer, without rows, refuses or makes the folder as the mode says
+    (spark.createDataFrame([], d.schema).write.mode(mode)
+     .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy(batch).text(path))
+    write = _local_writer(fs.makeQualified(root).toUri().getPath(), batch)
+    (d.select(F.col(batch).cast("string").alias("batch"), "line").mapInArrow(write, "files bigint")
+     .write.format("noop").mode("overwrite").save())
+    fs.create(spark._jvm.org.apache.hadoop.fs.Path(root, "_SUCCESS"), True).close()
+
+
+def _local_writer(folder: str, batch: str):
+    """A function for ``mapInArrow`` over ``(batch, line)``, sorted by batch: writes each run of a batch to a new file
+    in ``folder/<batch>=<id>``, one line at a time, and yields their number.
+
+    A file gets its name when it is whole, so a task that runs again replaces its own files.  The function holds all
+    it needs: workers need not have this package."""
+    job = uuid.uuid4().hex
+
+    def write(parts):
+        import os
+        import re
+        from itertools import groupby
+
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        def escaped(name: str) -> str:  # as Spark and Hive name the folder of a value
+            return re.sub(r"[\x01-\x1f\"#%'*/:=?\\\x7f{\[\]^]", lambda m: f"%{ord(m.group()):02X}", name)
+
+        task = TaskContext.get()
+        now, out, at, name, files = None, None, None, None, 0
+
+        def finish() -> None:
+            out.close()
+            os.replace(f"{at}/.{name}.{task.taskAttemptId()}", f"{at}/{name}")
+
+        for part in parts:
+            rows = zip(part.column("batch").to_pylist(), part.column("line").to_pylist())
+            for value, run in groupby(rows, lambda row: row[0]):
+                if out is None or value != now:
+                    if out is not None:
+                        finish()
+                    now, files = value, files + 1
+                    name = f"part-{task.partitionId():05d}-{job}.c{files:03d}.txt"
+                    at = f"{folder}/{escaped(batch)}={escaped(value) if value else '__HIVE_DEFAULT_PARTITION__'}"
+                    os.makedirs(at, exist_ok=True)
+                    out = open(f"{at}/.{name}.{task.taskAttemptId()}", "w", encoding="utf-8", newline="")
+                out.writelines(f"{line or ''}\n" for _, line in run)
+        if out is not None:
+            finish()
+        yield pa.RecordBatch.from_pydict({"files": [files]})
+
+    return write
 
 
 def write_log_files(events: DataFrame, path: str, batch: str = "batch_id", pos: str = "pos",

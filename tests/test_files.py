@@ -182,3 +182,32 @@ def test_listing_runs_in_few_tasks(spark, tmp_path):
         assert spark.conf.get(LISTING_TASKS_CONF) == "7"
     finally:
         spark.conf.unset(LISTING_TASKS_CONF)
+
+
+def test_batch_files_start_no_process_and_equal_sparks(spark, tmp_path):
+    """Files that the tasks write themselves: folders and texts of Spark's writer, no permission process a file
+    (whose checksum files would show Hadoop's local file system), both modes."""
+    import glob
+    import os
+
+    import loglens.sources.files as files
+
+    rows = [(b, p, f"{b}:{p} é") for b in ("a", "x y", "x/y=1%", "", None) for p in range(3)] + [("z", 0, None)]
+    lines = spark.createDataFrame(rows, "day string, pos bigint, line string")
+
+    def texts(root):
+        return sorted((os.path.relpath(os.path.dirname(f), root), open(f, encoding="utf-8", newline="").read())
+                      for f in glob.glob(f"{glob.escape(root)}/*/part-*"))
+
+    want, got = str(tmp_path / "spark"), str(tmp_path / "own")
+    lines.repartition("day").sortWithinPartitions("day", "pos").select("day", "line").write.partitionBy("day").text(want)
+    files.write_batch_files(lines, got, "day", tasks=3)
+    by_folder = [{d: sorted("".join(t for e, t in texts(root) if e == d).split("\n")) for d, _ in texts(root)} for root in (want, got)]
+    assert by_folder[0] == by_folder[1] and len(by_folder[1]) == 5
+    assert not glob.glob(f"{got}/*/.*") and os.path.exists(f"{got}/_SUCCESS")
+    files.write_batch_files(lines.where("day = 'a'"), got, "day", mode="append")
+    assert [t for d, t in texts(got) if d == "day=a"] == ["a:0 é\na:1 é\na:2 é\n"] * 2
+    with pytest.raises(Exception, match="already exists"):
+        files.write_batch_files(lines, got, "day")
+    files.write_batch_files(lines.limit(0), str(tmp_path / "none"), "day")
+    assert os.path.exists(tmp_path / "none" / "_SUCCESS")
