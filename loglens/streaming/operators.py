@@ -235,7 +235,8 @@ def start_running_by_file(spark: SparkSession, source: str, out: str, *, checkpo
     def sink(files: DataFrame, epoch: int) -> None:
         state = read_state(spark, out, epoch, RUNNING_FILES_STATE).first()
         before, total, successes, newest, oldest = state or (0, 0, 0, None, None)
-        numbers = with_rank(files.select("file_path"), [F.asc("file_path")], "stream-files", "batch_id")
+        paths = materialize(files.select("file_path"), "stream-paths")  # ranking samples them, which would read the files again
+        numbers = with_rank(paths, [F.asc("file_path")], "stream-files", "batch_id")
         numbers = materialize(numbers.select("file_path", (F.col("batch_id") + before).alias("batch_id")), "stream-numbers")
         scanned = running_target_scan(parse_log_files(files), service, numbers=numbers)
         scanned = materialize(scanned.select(

@@ -211,3 +211,12 @@ def test_numbers_of_files_by_name(spark, tmp_path):
     numbers = number_files(spark, src, order=("file_path",))
     rows = file_batches(read_logs(spark, src), numbers=numbers).orderBy("batch_id").collect()
     assert [r.file_name for r in rows] == ["a.json", "b.json", "c.json"]
+
+
+def test_running_by_file_reads_each_file_twice(spark, tmp_path):
+    """Once for its path and once for its events: the ranking's samples don't read files."""
+    src = str(tmp_path / "src")
+    for i in range(6):
+        write_json(src, f"{i}.json", [ev(t=i, code=200)])
+    q = _now(start_running_by_file(spark, src, str(tmp_path / "out"), trigger={"availableNow": True}))
+    assert sum(p.numInputRows for p in q.recentProgress) == 2 * 6
