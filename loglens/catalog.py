@@ -523,6 +523,17 @@ def staged_log_files(spark, sf_dir: str) -> str:
     return path
 
 
+def staged_stream_files(spark, sf_dir: str) -> str:
+    """The same files for streams, which look them up recursively: in a folder a task, not one a file."""
+    key = (spark.sparkContext.applicationId, sf_dir, "stream")
+    path = _STAGED.get(key)
+    if path is None:
+        path = scratch_path(spark, "staged-stream")
+        write_log_files(load_log_view(spark, sf_dir, dirty=True), path, tasks=write_tasks(spark, sf_dir), folder_a_batch=False)
+        _STAGED[key] = path
+    return path
+
+
 @register("read_logs", O.with_view(
     'SELECT batch_id, pos, service, "timestamp", message FROM v', dirty=True))
 def q_read_logs(spark, sf_dir):
@@ -750,7 +761,7 @@ def files_per_trigger(spark, sf_dir: str) -> int:
 
 @register("stream_windowed_success_rate", ORACLE["windowed_success_rate"])
 def q_stream_windowed_success_rate(spark, sf_dir):
-    src = staged_log_files(spark, sf_dir)
+    src = staged_stream_files(spark, sf_dir)
     out = scratch_path(spark, "stream-windowed-out")
     q = start_windowed_success_rate(spark, src, out, glob="*.txt", output_mode="complete",
                                     trigger={"availableNow": True}, max_files_per_trigger=files_per_trigger(spark, sf_dir),
@@ -766,7 +777,7 @@ FROM (SELECT coalesce(service, 'unknown_service') AS service, count({O.status_st
              CAST(sum(CASE WHEN starts_with({O.status_strict()}, '2') THEN 1 ELSE 0 END) AS BIGINT) AS successes
       FROM v GROUP BY 1)""", dirty=True))
 def q_stream_running_counts(spark, sf_dir):
-    src = staged_log_files(spark, sf_dir)
+    src = staged_stream_files(spark, sf_dir)
     out = scratch_path(spark, "stream-running-out")
     q = start_running_success_rate(spark, src, out, glob="*.txt", trigger={"availableNow": True},
                                    max_files_per_trigger=files_per_trigger(spark, sf_dir))
@@ -788,7 +799,7 @@ def q_stream_windowed_success_rate_append(spark, sf_dir):
     carry no order of time, so they come in one micro-batch, which drops no row;
     the watermark closes the windows in the next."""
     out = scratch_path(spark, "stream-append-out")
-    q = start_windowed_success_rate(spark, staged_log_files(spark, sf_dir), out, glob="*.txt", output_mode="append",
+    q = start_windowed_success_rate(spark, staged_stream_files(spark, sf_dir), out, glob="*.txt", output_mode="append",
                                     trigger={"availableNow": True}, max_files_per_trigger=None,
                                     window_duration="1 hour", slide_duration="1 hour", watermark="6 hours")
     run_available(q)
@@ -815,7 +826,7 @@ FROM m LEFT JOIN f ON f.ts >= m.nw - 21600.0 GROUP BY m.nw""", dirty=True)
 def _stream_sliding(spark, sf_dir, rate: bool):
     """The final state over several micro-batches: the newest time and its window do
     not depend on the order in which files arrive."""
-    src = staged_log_files(spark, sf_dir)
+    src = staged_stream_files(spark, sf_dir)
     out = scratch_path(spark, "stream-sliding-out")
     q = start_sliding_failures(spark, src, out, glob="*.txt", trigger={"availableNow": True}, rate=rate,
                                max_files_per_trigger=files_per_trigger(spark, sf_dir), window_seconds=21600)
@@ -844,7 +855,7 @@ GROUP BY v.batch_id HAVING count(v."timestamp") > 0""", dirty=True))
 def q_stream_bloom_hit_ratio(spark, sf_dir):
     """Per-file hit ratio from the file stream (stateless, one row per file)."""
     filt = bloom_build(_log_patterns(load_log_view(spark, sf_dir, dirty=True)), m_bits=500_000, k_hashes=8)
-    src = staged_log_files(spark, sf_dir)
+    src = staged_stream_files(spark, sf_dir)
     out = scratch_path(spark, "stream-bloom-out")
     q = start_bloom_ratio(spark, src, out, filt, m_bits=500_000, k_hashes=8, glob="*.txt",
                           trigger={"availableNow": True}, max_files_per_trigger=files_per_trigger(spark, sf_dir))
@@ -861,7 +872,7 @@ def q_stream_reservoir_sample(spark, sf_dir):
     """The sample carried across micro-batches in the versioned state table;
     events are named by their id (``batch * 100 + pos``), so the final state
     equals the batch bottom-k."""
-    src = staged_log_files(spark, sf_dir)
+    src = staged_stream_files(spark, sf_dir)
     out = scratch_path(spark, "stream-reservoir-out")
     batch = F.regexp_extract("file_path", r"batch_id=(\d+)", 1).cast("bigint")
     ident = batch * BATCH_SIZE + F.col("pos")
@@ -973,7 +984,7 @@ SELECT service, CAST(count(CASE WHEN bad AND ts >= nw - 21600.0 THEN 1 END) AS D
        {O.ts_micros('nw - 21600.0')} AS oldest_considered FROM f, m GROUP BY service, nw""", dirty=True))
 def q_stream_sliding_by_service_6h(spark, sf_dir):
     """One stream, the window count of every service."""
-    src, out = staged_log_files(spark, sf_dir), scratch_path(spark, "stream-sliding-services-out")
+    src, out = staged_stream_files(spark, sf_dir), scratch_path(spark, "stream-sliding-services-out")
     run_available(start_sliding_failures(spark, src, out, glob="*.txt", trigger={"availableNow": True}, service=None,
                                          max_files_per_trigger=files_per_trigger(spark, sf_dir), window_seconds=21600))
     return sliding_state_result(read_state(spark, out, 1 << 62, SLIDING_STATE), 21600, service=None)
@@ -995,7 +1006,7 @@ def _stopped_halfway(start) -> None:
 @register("stream_windowed_restart", ORACLE["windowed_success_rate"])
 def q_stream_windowed_restart(spark, sf_dir):
     """The windowed stream, stopped halfway and continued from its checkpoint."""
-    src, out, files = staged_log_files(spark, sf_dir), scratch_path(spark, "stream-restart-out"), files_per_trigger(spark, sf_dir)
+    src, out, files = staged_stream_files(spark, sf_dir), scratch_path(spark, "stream-restart-out"), files_per_trigger(spark, sf_dir)
     _stopped_halfway(lambda trigger: start_windowed_success_rate(
         spark, src, out, glob="*.txt", output_mode="complete", trigger=trigger, max_files_per_trigger=files,
         window_duration="10 seconds", slide_duration="10 seconds"))
@@ -1005,7 +1016,7 @@ def q_stream_windowed_restart(spark, sf_dir):
 @register("stream_sliding_restart", ORACLE["stream_sliding_failures_6h"])
 def q_stream_sliding_restart(spark, sf_dir):
     """The sliding stream, stopped halfway and continued from its checkpoint."""
-    src, out, files = staged_log_files(spark, sf_dir), scratch_path(spark, "stream-restart-out"), files_per_trigger(spark, sf_dir)
+    src, out, files = staged_stream_files(spark, sf_dir), scratch_path(spark, "stream-restart-out"), files_per_trigger(spark, sf_dir)
     _stopped_halfway(lambda trigger: start_sliding_failures(
         spark, src, out, glob="*.txt", trigger=trigger, max_files_per_trigger=files, window_seconds=21600))
     return sliding_state_result(read_state(spark, out, 1 << 62, SLIDING_STATE), 21600)

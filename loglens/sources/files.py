@@ -63,9 +63,8 @@ def _single_value(text: Column) -> Column:
     """
 
     def holds(wrapped: Column, n: int) -> Column:
-        fast = F.json_array_length(wrapped)
         permissive = F.size(F.from_json(wrapped, "array<string>")) == n
-        return F.when(fast.isNotNull(), fast == n).otherwise(F.coalesce(permissive, F.lit(False)))
+        return F.coalesce(F.json_array_length(wrapped) == n, permissive, F.lit(False))
 
     return (holds(F.concat(F.lit("["), text, F.lit("]")), 1)
             & holds(F.concat(F.lit("["), text, F.lit(",0]")), 2))
@@ -86,7 +85,8 @@ def parse_log_files(raw: DataFrame) -> DataFrame:
     timestamp, message.  ``[]`` yields no rows; a bare object one row;
     null array elements are skipped."""
     keep = [c for c in raw.columns if c != "value"]
-    exploded = _parsed(raw).select(*keep, F.posexplode("_events").alias("pos", "_e"))
+    # outer: for the inner form Spark adds a filter on the array, which parses each file three times
+    exploded = _parsed(raw).select(*keep, F.posexplode_outer("_events").alias("pos", "_e"))
     return exploded.where(F.col("_e").isNotNull()).select(
         *keep,
         F.col("pos").cast("bigint").alias("pos"),
@@ -225,7 +225,8 @@ def json_array_lines(events: DataFrame, batch: str = "batch_id", pos: str = "pos
 
 
 def write_batch_files(lines: DataFrame, path: str, batch: str = "batch_id", pos: str = "pos",
-                      mode: str = "errorifexists", clustered: bool = False, tasks: int | None = None) -> None:
+                      mode: str = "errorifexists", clustered: bool = False, tasks: int | None = None,
+                      folder_a_batch: bool = True) -> None:
     """One file per batch under ``path/<batch>=<id>/``, lines in position order.
 
     ``clustered`` says the rows of each batch already sit in one partition
@@ -239,6 +240,9 @@ def write_batch_files(lines: DataFrame, path: str, batch: str = "batch_id", pos:
     In a folder of the local file system (one that all executors see) the tasks write the files themselves: Hadoop's
     starts a ``chmod`` process for every folder and file that it makes, four a batch.  Other file systems
     and modes that replace files are left to Spark's writer.  Both make the same folders and texts.
+
+    Folders cost more than files, to make and to list.  For readers that look up files recursively ``folder_a_batch=False``
+    lets a task that writes the files itself keep them in one folder, as ``<batch>=<id>.<..>.txt``.
     """
     d = lines if clustered else lines.repartition(*([tasks] if tasks else []), batch)
     d = d.sortWithinPartitions(batch, pos).select(batch, "line")
@@ -249,17 +253,17 @@ def write_batch_files(lines: DataFrame, path: str, batch: str = "batch_id", pos:
         (d.write.mode(mode).option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(batch).text(path))
         return
     # Spark's writer, without rows, refuses or makes the folder as the mode says
-    (spark.createDataFrame([], d.schema).write.mode(mode)
+    (d.limit(0).write.mode(mode)
      .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy(batch).text(path))
-    write = _local_writer(fs.makeQualified(root).toUri().getPath(), batch)
+    write = _local_writer(fs.makeQualified(root).toUri().getPath(), batch, folder_a_batch)
     (d.select(F.col(batch).cast("string").alias("batch"), "line").mapInArrow(write, "files bigint")
      .write.format("noop").mode("overwrite").save())
     fs.create(spark._jvm.org.apache.hadoop.fs.Path(root, "_SUCCESS"), True).close()
 
 
-def _local_writer(folder: str, batch: str):
+def _local_writer(folder: str, batch: str, folder_a_batch: bool):
     """A function for ``mapInArrow`` over ``(batch, line)``, sorted by batch: writes each run of a batch to a new file
-    in ``folder/<batch>=<id>``, one line at a time, and yields their number.
+    in ``folder/<batch>=<id>`` (or in a folder of the task), a part of the rows at a time, and yields their number.
 
     A file gets its name when it is whole, so a task that runs again replaces its own files.  The function holds all
     it needs: workers need not have this package."""
@@ -268,9 +272,9 @@ def _local_writer(folder: str, batch: str):
     def write(parts):
         import os
         import re
-        from itertools import groupby
 
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         def escaped(name: str) -> str:  # as Spark and Hive name the folder of a value
@@ -284,17 +288,25 @@ def _local_writer(folder: str, batch: str):
             os.replace(f"{at}/.{name}.{task.taskAttemptId()}", f"{at}/{name}")
 
         for part in parts:
-            rows = zip(part.column("batch").to_pylist(), part.column("line").to_pylist())
-            for value, run in groupby(rows, lambda row: row[0]):
+            runs = pc.run_end_encode(part.column("batch"))
+            ends = runs.run_ends.to_pylist()
+            lines = pc.fill_null(part.column("line"), "")
+            # the lines of a run as one text, each with its line break
+            texts = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), lines), "\n")
+            for value, text in zip(runs.values.to_pylist(), texts):
                 if out is None or value != now:
                     if out is not None:
                         finish()
                     now, files = value, files + 1
-                    name = f"part-{task.partitionId():05d}-{job}.c{files:03d}.txt"
-                    at = f"{folder}/{escaped(batch)}={escaped(value) if value else '__HIVE_DEFAULT_PARTITION__'}"
+                    where = f"{escaped(batch)}={escaped(value) if value else '__HIVE_DEFAULT_PARTITION__'}"
+                    if folder_a_batch:
+                        at, name = f"{folder}/{where}", f"part-{task.partitionId():05d}-{job}.c{files:03d}.txt"
+                    else:
+                        at, name = f"{folder}/part-{task.partitionId():05d}-{job}", f"{where}.c{files:03d}.txt"
                     os.makedirs(at, exist_ok=True)
-                    out = open(f"{at}/.{name}.{task.taskAttemptId()}", "w", encoding="utf-8", newline="")
-                out.writelines(f"{line or ''}\n" for _, line in run)
+                    out = open(f"{at}/.{name}.{task.taskAttemptId()}", "wb")
+                out.write(text.as_buffer())
+                out.write(b"\n")
         if out is not None:
             finish()
         yield pa.RecordBatch.from_pydict({"files": [files]})
@@ -303,8 +315,9 @@ def _local_writer(folder: str, batch: str):
 
 
 def write_log_files(events: DataFrame, path: str, batch: str = "batch_id", pos: str = "pos",
-                    mode: str = "errorifexists", tasks: int | None = None) -> None:
+                    mode: str = "errorifexists", tasks: int | None = None, folder_a_batch: bool = True) -> None:
     """Write events as JSON-array log files, one per batch (``.txt`` part files).
 
     One shuffle on the batch (the window that marks first and last lines), in ``tasks`` partitions."""
-    write_batch_files(json_array_lines(events, batch, pos, tasks), path, batch, pos, mode, clustered=True)
+    write_batch_files(json_array_lines(events, batch, pos, tasks), path, batch, pos, mode, clustered=True,
+                      folder_a_batch=folder_a_batch)

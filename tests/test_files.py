@@ -1,12 +1,14 @@
 """JSON log files: shapes, quarantine, patterns, writer round trip."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from loglens.sources.files import (
     quarantine_files,
     read_logs,
     read_raw_files,
     file_batches,
+    parse_log_files,
     unprocessed_files,
     write_log_files,
 )
@@ -211,3 +213,34 @@ def test_batch_files_start_no_process_and_equal_sparks(spark, tmp_path):
         files.write_batch_files(lines, got, "day")
     files.write_batch_files(lines.limit(0), str(tmp_path / "none"), "day")
     assert os.path.exists(tmp_path / "none" / "_SUCCESS")
+
+
+def test_a_file_is_parsed_once(spark, tmp_path):
+    write_json(str(tmp_path), "a.json", [{"service": "a"}, None])
+    write_json(str(tmp_path), "b.json", [])
+    events = parse_log_files(read_raw_files(spark, str(tmp_path)))
+    assert events._jdf.queryExecution().executedPlan().toString().count("from_json(ArrayType(StructType") == 1
+    assert [(r.file_name, r.pos, r.service) for r in events.collect()] == [("a.json", 0, "a")]
+
+
+def test_files_of_a_task_in_one_folder(spark, tmp_path):
+    """The same batches and texts as in a folder a batch, in fewer folders; two writes do not replace each other's files."""
+    import os
+
+    from loglens.sources.files import write_log_files
+
+    events = events_df(spark, [[ev(service="a", t=i, code=200), ev(service="b", t=i, code=500)] for i in range(40)])
+    events = events.withColumn("batch_id", F.when(F.col("batch_id") != 7, F.col("batch_id")))
+    found = []
+    for flat in (False, True):
+        path = str(tmp_path / f"flat-{flat}")
+        for wave in (0, 1):
+            write_log_files(events.where(F.coalesce("batch_id", F.lit(0)) % 2 == wave), path, mode="append", tasks=3, folder_a_batch=not flat)
+        files = read_raw_files(spark, path, glob="*.txt", recursive=True)
+        texts = files.select(F.regexp_extract("file_path", r"/batch_id=([^/.]+)", 1).alias("batch"), "value")
+        found.append(sorted(map(tuple, texts.collect())))
+        if flat:
+            assert len([d for d in os.listdir(path) if not d.startswith(("_", "."))]) <= 6
+    assert len(found[0]) == 40 and found[0][-1][0] == "__HIVE_DEFAULT_PARTITION__"
+    assert found[0] == found[1]
+    assert parse_log_files(files).count() == 80

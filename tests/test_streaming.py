@@ -293,3 +293,50 @@ def test_state_has_few_partitions_and_the_session_keeps_its_own(spark, tmp_path)
         assert 0 < len(state) <= STATE_TASKS_A_CORE * spark.sparkContext.defaultParallelism
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+# --- cost of a file ----------------------------------------------------------
+
+
+def _streamed(spark, df, tmp_path):
+    """The rows of a stream, run to its end."""
+    out = str(tmp_path / "rows")
+    df.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "rows-ck")).trigger(
+        availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out)
+
+
+def test_stream_reads_plain_files_by_the_binary_reader_with_the_same_rows(spark, tmp_path):
+    from loglens.streaming.source import read_raw_stream
+
+    src = tmp_path / "src" / "batch_id=1"
+    src.mkdir(parents=True)
+    texts = {"plain": b'[{"service": "a"}]\n', "bom": b"\xef\xbb\xbf[]", "broken": b'["\xff\xfe"]', "accents": "[\"é中\"]\r\n".encode(),
+             "nul": b"[\x00]"}
+    for name, text in texts.items():
+        (src / f"{name}.txt").write_bytes(text)
+    (src / "none.txt").write_bytes(b"")
+    raw = read_raw_stream(spark, str(tmp_path / "src"), glob="*.txt", max_files_per_trigger=2)
+    assert "binaryfile" in raw._jdf.queryExecution().analyzed().toString().lower()
+    cols = [F.encode("value", "utf-8").alias("bytes"), "file_path", "file_name", "file_modified"]
+    got = _streamed(spark, raw, tmp_path)
+    want = spark.read.text(str(tmp_path / "src"), wholetext=True, recursiveFileLookup=True).select(
+        "value", *[F.col(f"_metadata.{m}").alias(c) for c, m in
+                   (("file_path", "file_path"), ("file_name", "file_name"), ("file_modified", "file_modification_time"))])
+    assert got.schema["value"].dataType == want.schema["value"].dataType
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+    assert got.count() == len(texts)
+
+
+def test_stream_still_unpacks_compressed_files(spark, tmp_path):
+    import gzip
+
+    from loglens.streaming.source import read_log_stream
+
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "a.json.gz").write_bytes(gzip.compress(b'[{"service": "zipped"}]'))
+    for i, glob in enumerate(("*.gz", "*", None, "*.{json,gz}")):
+        (tmp_path / str(i)).mkdir()
+        events = read_log_stream(spark, str(src), glob=glob)
+        assert [r.service for r in _streamed(spark, events, tmp_path / str(i)).collect()] == ["zipped"]
