@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -309,7 +310,7 @@ def sliding_step(spark: SparkSession, out: str, epoch: int, batch: DataFrame, wi
     first, last = mine.agg(F.min("ts"), F.max("ts")).first()
     if last is None:
         return False
-    old = materialize(read_state(spark, out, epoch, SLIDING_STATE), "window-state")
+    old = read_state(spark, out, epoch, SLIDING_STATE)
     run = old.where("service is null").first()
     before, live = (run["newest"], run["live"]) if run else (DEFAULT_TIMESTAMP, [])
     newest = max(before, last)
@@ -327,7 +328,10 @@ def sliding_step(spark: SparkSession, out: str, epoch: int, batch: DataFrame, wi
         both = both.unionByName(r.select("service", *sums))
     counts = both.where("service is not null").groupBy("service").agg(*[F.sum(n).alias(n) for n in sums])
     live = [tuple(x) for x in live if x["last"] >= low] + ([(epoch, first, last)] if last >= low else [])
-    whole = spark.createDataFrame([(None, 0, 0, 0, float(newest), live)], SLIDING_STATE)
+    # not createDataFrame, whose tasks start Python workers for one row
+    whole = json.dumps({"failures": 0, "errors": 0, "total": 0, "newest": float(newest),
+                        "live": [{"epoch": e, "first": f, "last": l} for e, f, l in live]})
+    whole = spark.range(1).select(F.from_json(F.lit(whole), SLIDING_STATE).alias("s")).select("s.*")
     write_state(counts.select("*", F.lit(None).cast("double").alias("newest"),
                               F.lit(None).cast(SLIDING_STATE["live"].dataType).alias("live")).unionByName(whole), out, epoch)
     return newest > before and newest > 0.0

@@ -9,6 +9,7 @@ Results are written to ``<root>/results/epoch=<e>`` the same way.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -37,7 +38,8 @@ def read_state(spark: SparkSession, root: str, epoch: int, schema: T.StructType)
     the first.  A replay of ``epoch`` reads the same version."""
     below = [v for v in _versions(spark, root) if v < epoch]
     if not below:
-        return spark.createDataFrame([], schema)
+        # not createDataFrame, whose tasks start Python workers for no rows
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     return spark.read.schema(schema).parquet(f"{root}/state/v={below[-1]}")
 
 

@@ -340,3 +340,19 @@ def test_stream_still_unpacks_compressed_files(spark, tmp_path):
         (tmp_path / str(i)).mkdir()
         events = read_log_stream(spark, str(src), glob=glob)
         assert [r.service for r in _streamed(spark, events, tmp_path / str(i)).collect()] == ["zipped"]
+
+
+def test_sliding_state_starts_no_python(spark, tmp_path):
+    """The state's first version and its row of the run are made by Spark alone."""
+    from loglens.streaming.operators import SLIDING_STATE, sliding_state_result, sliding_step
+    from loglens.streaming.state import read_state
+
+    out = str(tmp_path / "out")
+    empty = read_state(spark, out, 0, SLIDING_STATE)
+    assert empty.schema == SLIDING_STATE and empty.count() == 0
+    assert "RDD" not in empty._jdf.queryExecution().executedPlan().toString()
+    for epoch, events in enumerate(([ev(t=0.1, code=500), ev(t=50, code=200)], [ev(t=60.0001, code=500)])):
+        assert sliding_step(spark, out, epoch, events_df(spark, [events]), 60)
+    whole = read_state(spark, out, 2, SLIDING_STATE).where("service is null").first()
+    assert (whole.newest, [tuple(x) for x in whole.live]) == (BASE + 60.0001, [(0, BASE + 0.1, BASE + 50), (1, BASE + 60.0001, BASE + 60.0001)])
+    assert sliding_state_result(read_state(spark, out, 2, SLIDING_STATE), 60).first().value == 2.0
