@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,27 @@ def discard(df: DataFrame) -> None:
         folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Jobs run inside hand rows to Python workers in batches of about ``limit`` bytes, or one row
+    (a session setting: kept if already set, else unset again).
+
+    Spark's own bounds are 10,000 rows and 64 MB: a batch of whole texts is then held several times
+    over beside the heap (vectors and a buffer, which grow by doubling, in the executor, the
+    batch and what comes of it in the worker), in every task at once."""
+    if spark.conf.get(BATCH_CONF, None) is not None:
+        yield
+        return
+    spark.conf.set(BATCH_CONF, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_CONF)
+
+
 #: Rows of a few numbers (about 50 MB as a hash table) up to which a staged table is broadcast.
 SMALL_ROWS = 1_000_000
 

@@ -33,11 +33,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglens.llm.common import BASE, bounded_sample, discard, mix, powers, read, small_side, stage, text_chunks
+from loglens.llm.common import BASE, arrow_batches, bounded_sample, discard, mix, powers, read, small_side, stage, text_chunks
 
 LENGTH, SEED, GROUP, PART, SPLITTER_SAMPLE = 200, 40, 4096, 20_000, 10_000
 PAIRS = 48  # spans up to which the pairs of a group are gone through one by one
 RUN_SPANS, WINDOW_PART = 500, 200_000  # spans whose windows make one run; windows wanted in a part
+BATCH_BYTES, CHUNK = 4_000_000, 125_000  # bytes of a batch that goes to a worker, and of the texts it hashes at once
 _VALUES = np.random.default_rng(9).integers(1, 2**63, 256, dtype=np.uint64)
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -84,11 +85,11 @@ def window_classes(raw: np.ndarray, off: np.ndarray, length: int = LENGTH, seed:
     return row, begin - off[row], size, anchor - begin, h[anchor]
 
 
-def _classes_of(length: int):
+def _classes_of(length: int, chunk: int = CHUNK):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             k1, k2 = b.column(0).to_numpy(), b.column(1).to_numpy()
-            for i, _, raw, off in text_chunks(b.column(2)):
+            for i, _, raw, off in text_chunks(b.column(2), chunk):
                 row, begin, size, anchor, h = window_classes(raw, off, length)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(k1[row + i]), pa.array(k2[row + i]), pa.array(begin.astype(np.int32)),
@@ -431,17 +432,14 @@ def _cut(id_col: str):
             out = []
             for r in range(b.num_rows):
                 text = b.column(1)[r].as_py()
-                n, gone, spans, kept = len(text), 0, 0, text
-                if b.column(2)[r].is_valid:
-                    cuts = b.column(2)[r].values
-                    edge = np.zeros(n + 1, np.int64)
-                    np.add.at(edge, cuts.field(0).to_numpy(), 1)
-                    np.add.at(edge, cuts.field(1).to_numpy(), -1)
-                    on = np.cumsum(edge[:n]) > 0
-                    gone = int(on.sum())
-                    spans = int(on[0]) + int((on[1:] & ~on[:-1]).sum())
-                    kept = np.frombuffer(text, np.uint8)[~on].tobytes()
-                out.append((n, gone, spans, kept))
+                cuts = b.column(2)[r].values
+                n = len(text)
+                edge = np.zeros(n + 1, np.int32)
+                np.add.at(edge, cuts.field(0).to_numpy(), 1)
+                np.add.at(edge, cuts.field(1).to_numpy(), -1)
+                on = np.cumsum(edge[:n]) > 0
+                out.append((n, int(on.sum()), int(on[0]) + int((on[1:] & ~on[:-1]).sum()),
+                            np.frombuffer(text, np.uint8)[~on].tobytes()))
             cols = list(zip(*out, strict=True)) if out else [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())],
@@ -465,6 +463,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     than ``length`` stay whole; repeated rows repeat each other and go, if
     long enough; ids may be null; other columns are ignored.
     """
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        return _removed(docs, id_col, text_col, length)
+
+
+def _removed(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
+    """:func:`remove_repeats`; no step that runs in workers is left to the reader of the result."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     key = ["k1", "k2"]
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(0)).alias("k1"),
@@ -487,9 +491,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                                       (F.col("begin") + F.col("high")).alias("high"))).alias("cuts")), "cuts")
     discard(found)
     keys = small_side(cuts.select(*key))
-    whole_rows = rows.join(keys, key, "left_anti").withColumn("cuts", F.lit(None).cast(cuts.schema["cuts"].dataType))
-    both = _with(rows, cuts, key).select("id", "text", "cuts").unionByName(whole_rows.select("id", "text", "cuts"))
-    return (both.mapInArrow(_cut(id_col), f"{id_col} bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"))
+    cut = stage(_with(rows, cuts, key).select("id", "text", "cuts").mapInArrow(
+        _cut(id_col), f"{id_col} bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"), "cut-rows")
+    none = F.lit(0).cast("bigint")
+    whole_rows = rows.join(keys, key, "left_anti").select(
+        F.col("id").alias(id_col), F.length("text").cast("bigint").alias("n_bytes"), none.alias("n_removed"),
+        none.alias("n_spans"), F.col("text").alias("kept"))
+    return cut.unionByName(whole_rows)
 
 
 def query(spark, sf_dir) -> DataFrame:

@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import os
 import random
+import tempfile
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -244,6 +246,68 @@ def test_suffix_dedup_hot_anchor(spark):
     assert sum(w[1] > 0 for w in want) > 1000
 
 
+def test_suffix_dedup_batches_are_bounded_by_bytes(spark, monkeypatch, tmp_path):
+    """Workers get whole texts in batches of some bytes, not of 10,000 rows."""
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    monkeypatch.setattr(sd, "BATCH_BYTES", 20_000, raising=False)
+    folder = str(tmp_path)
+
+    def noted(step):
+        make = getattr(sd, step)
+
+        def of(*args):
+            inner = make(*args)
+
+            def run(batches):
+                def sizes():
+                    for b in batches:
+                        f, _ = tempfile.mkstemp(prefix=f"{step}-{b.nbytes}-", dir=folder)
+                        os.close(f)
+                        yield b
+
+                return inner(sizes())
+
+            return run
+
+        monkeypatch.setattr(sd, step, of)
+
+    for step in ("_classes_of", "_spans_of", "_cut"):
+        noted(step)
+    rng = random.Random(44)
+    shared = [prose(rng, 120) for _ in range(20)]
+    texts = [" ".join([prose(rng, 400), shared[i % 20], rng.choice(shared)]) for i in range(60)]
+    frame = spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(texts)], SCHEMA).coalesce(1)
+    want = sd.brute_force([t.encode() for t in texts])
+    before = spark.conf.get(conf, None)
+    out = sd.remove_repeats(frame)
+    assert spark.conf.get(conf, None) == before is None
+    got = sorted(out.collect(), key=lambda r: r["doc_id"])
+    assert [(r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in got] == want
+    sizes = defaultdict(list)
+    for f in os.listdir(folder):
+        sizes[f.split("-")[0]].append(int(f.split("-")[1]))
+    assert len(sizes) == 3
+    for step, found in sizes.items():
+        assert len(found) > 4 and max(found) < 20_000 + 9_000, (step, sorted(found))
+
+
+def test_batch_setting_of_the_session_stays(spark):
+    from loglens.llm.common import arrow_batches
+
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(conf, "77777")
+    try:
+        with arrow_batches(spark, 5):
+            assert spark.conf.get(conf) == "77777"
+        assert spark.conf.get(conf) == "77777"
+    finally:
+        spark.conf.unset(conf)
+    with pytest.raises(ValueError), arrow_batches(spark, 5):
+        assert spark.conf.get(conf) == "5"
+        raise ValueError
+    assert spark.conf.get(conf, None) is None
+
+
 def test_scores_do_not_depend_on_chunks(spark):
     rng = random.Random(16)
     docs = [(i, prose(rng, rng.randint(0, 40))) for i in range(60)] + [(60, prose(rng, 900)), (61, None)]
