@@ -37,7 +37,7 @@ from loglens.llm.common import BASE, arrow_batches, bounded_sample, discard, mix
 
 LENGTH, SEED, GROUP, PART, SPLITTER_SAMPLE = 200, 40, 4096, 20_000, 10_000
 PAIRS = 48  # spans up to which the pairs of a group are gone through one by one
-RUN_SPANS, WINDOW_PART = 500, 200_000  # spans whose windows make one run; windows wanted in a part
+RUN_SPANS, WINDOW_PART = 500, 100_000  # spans whose windows make one run; windows wanted in a part
 BATCH_BYTES, CHUNK = 4_000_000, 125_000  # bytes of a batch that goes to a worker, and of the texts it hashes at once
 _VALUES = np.random.default_rng(9).integers(1, 2**63, 256, dtype=np.uint64)
 _POWERS: dict[str, np.ndarray] = {}
@@ -359,17 +359,53 @@ def _window_runs(splitters: list[bytes], length: int):
     return run
 
 
+class _Part:
+    """Values ``lo`` to ``hi`` of a flat column, each made when it is asked for."""
+
+    __slots__ = ("value", "lo", "n")
+
+    def __init__(self, value, lo: int, hi: int) -> None:
+        self.value, self.lo, self.n = value, lo, hi - lo
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, i: int):
+        return self.value(self.lo + i)
+
+
+def _binary_values(column: pa.Array):
+    """A function from place to value of a binary column without nulls, over its buffers."""
+    off = np.frombuffer(column.buffers()[1], np.int32)[column.offset:]
+    data = memoryview(column.buffers()[2] or b"")
+    return lambda i: data[off.item(i):off.item(i + 1)].tobytes()
+
+
 def _merged_windows(runs: pa.Table) -> pa.Table:
-    """Runs of one range to (h, sh, low, high): the windows that two runs hold."""
-    lcps, tails, h, sh, low, high = (runs[c].to_pylist() for c in ("lcp", "tails", "h", "sh", "low", "high"))
-    out, last, again = [], None, False
-    for s, n, r, i in merge_runs(list(zip(lcps, tails, strict=True))):
-        row = (h[r][i], sh[r][i], low[r][i], high[r][i])
-        same = last is not None and n == len(s)
+    """Runs of one range to (h, sh, low, high): of each span the first and last of its windows that two runs hold.
+
+    The runs stay in their Arrow columns: as Python values they take some ten times as much."""
+    lists = {c: runs[c].combine_chunks() for c in ("lcp", "tails", "h", "sh", "low", "high")}
+    ends = lists["tails"].offsets.to_numpy()
+    value = {c: _binary_values(x.values) if c == "tails" else x.values.to_numpy().item for c, x in lists.items()}
+    at = [(lo, hi) for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+    found: dict[tuple[int, int], tuple[int, int]] = {}
+
+    def add(i: int) -> None:
+        span, low, high = (value["h"](i), value["sh"](i)), value["low"](i), value["high"](i)
+        a, b = found.get(span, (low, high))
+        found[span] = min(a, low), max(b, high)
+
+    last, again = -1, False
+    for s, n, r, i in merge_runs([(_Part(value["lcp"], *x), _Part(value["tails"], *x)) for x in at]):
+        place = at[r][0] + i
+        same = last >= 0 and n == len(s)
         if same:
-            out += [row] if again else [last, row]
-        last, again = row, same
-    cols = list(zip(*out, strict=True)) if out else [()] * 4
+            if not again:
+                add(last)
+            add(place)
+        last, again = place, same
+    cols = [*zip(*found, strict=True), *zip(*found.values(), strict=True)] if found else [()] * 4
     return pa.table({k: pa.array(v, t) for k, v, t in zip(
         ("h", "sh", "low", "high"), cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)})
 

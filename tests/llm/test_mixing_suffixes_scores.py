@@ -5,10 +5,12 @@ import math
 import os
 import random
 import tempfile
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -229,6 +231,42 @@ def test_window_counts_stay_within_an_anchor(spark, monkeypatch):
     assert all(sd.splitter_sample(parts) >= parts for parts in (1, 10_000, 1_000_000))
 
 
+def test_window_merge_keeps_runs_in_arrow():
+    """Equal windows of several runs give their spans' first and last; a run's windows aren't made Python values at once."""
+    rng = random.Random(8)
+    shared = [rng.randbytes(200) for _ in range(1_500)]
+    rows, runs = [], []
+    for r in range(20):
+        windows = sorted({rng.choice(shared) if rng.random() < 0.3 else rng.randbytes(200) for _ in range(1_500)})
+        lcp, tails = sd.front_coded(windows)
+        span = [(rng.randrange(40), r * 1_000 + rng.randrange(300)) for _ in windows]
+        low = [rng.randrange(160) for _ in windows]
+        rows += zip(windows, span, low)
+        runs.append((r, lcp, tails, [h for h, _ in span], [s for _, s in span], low, [x + 200 for x in low]))
+    names = [x.split()[0] for x in sd.WINDOW_RUN.split(", ")]
+    kinds = [pa.int32(), pa.list_(pa.int32()), pa.list_(pa.binary()), *[pa.list_(pa.int64())] * 2, *[pa.list_(pa.int32())] * 2]
+    batches = [pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(run, kinds)], names) for run in runs]
+    table = pa.Table.from_batches(batches)
+    number = Counter(w for w, _, _ in rows)
+    want = {}
+    for w, span, low in rows:
+        if number[w] > 1:
+            a, b = want.get(span, (low, low + 200))
+            want[span] = min(a, low), max(b, low + 200)
+    tracemalloc.start()
+    try:
+        got = sd._merged_windows(table).to_pylist()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    found = {}
+    for x in got:
+        a, b = found.get((x["h"], x["sh"]), (x["low"], x["high"]))
+        found[x["h"], x["sh"]] = min(a, x["low"]), max(b, x["high"])
+    assert found == want and len(want) > 1_000
+    assert peak < 150 * len(rows), peak / len(rows)
+
+
 def test_suffix_dedup_hot_anchor(spark):
     """Over 4,096 different spans of one anchor, some sharing more than its passage."""
     rng = random.Random(43)
