@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -54,6 +56,28 @@ def few_listing_tasks(spark: SparkSession) -> None:
         spark.conf.set(LISTING_TASKS_CONF, str(max(32, 4 * spark.sparkContext.defaultParallelism)))
 
 
+#: Bytes that count as much as opening a file, and bytes of file listings that the driver keeps after their use.
+SMALL_FILES_CONF = {"spark.sql.files.openCostInBytes": str(1 << 16), "spark.sql.hive.filesourcePartitionFileCacheSize": "0"}
+
+
+@contextmanager
+def small_files(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside read many small files with less on the driver (session settings: each kept if already set,
+    else unset again).
+
+    Small files are dealt out by their bytes, each counting 64 KB more.  Spark counts 4 MB, so a task gets
+    4 to 32 log files, and the driver keeps figures of every task that has run.  Listings are not cached: the
+    cache, of up to 250 MB, serves tables of a catalog and holds each listing of a folder anew."""
+    own = {k: v for k, v in SMALL_FILES_CONF.items() if spark.conf.get(k, None) is None}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k in own:
+            spark.conf.unset(k)
+
+
 _LOCAL_ROOTS: dict[str, str] = {}
 
 

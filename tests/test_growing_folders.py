@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from loglens.operators.running import running_success_rate_target
 from loglens.operators.sliding import sliding_failure_rate, sliding_failures
+from loglens.session import SMALL_FILES_CONF, small_files
 from loglens.sinks import read_results_log, write_log_epoch
+from loglens.sources import manifest as sources_manifest
 from loglens.sources.files import file_batches, number_files, read_logs
 from loglens.sources.manifest import committed_runs, processed_files, read_runs, run_new_files
 from loglens.streaming import run_until_signal
@@ -220,3 +222,50 @@ def test_running_by_file_reads_each_file_twice(spark, tmp_path):
         write_json(src, f"{i}.json", [ev(t=i, code=200)])
     q = _now(start_running_by_file(spark, src, str(tmp_path / "out"), trigger={"availableNow": True}))
     assert sum(p.numInputRows for p in q.recentProgress) == 2 * 6
+
+
+def test_runs_read_many_new_files_in_parts(spark, tmp_path, monkeypatch):
+    """The driver holds a few paths at a time; the operator still gets all events of a run at once."""
+    src, manifest, out = (str(tmp_path / x) for x in ("src", "manifest", "out"))
+    reads, calls = [], []
+    monkeypatch.setattr(sources_manifest, "PATHS_A_READ", 3, raising=False)
+    monkeypatch.setattr(sources_manifest, "read_logs", lambda s, paths, **k: reads.append(len(paths)) or read_logs(s, paths, **k))
+
+    def by_service(events):
+        calls.append(1)
+        return events.groupBy("service").agg(F.count("*").alias("n"), F.countDistinct("file_path").alias("files"), F.max("pos").alias("pos"))
+
+    for i in range(8):
+        write_json(src, f"{i}.json", [ev(service="s", t=i, code=200)] * (i + 1) + [ev(service=None, t=i)])
+    write_json(src, "empty.json", [])
+    assert run_new_files(spark, src, manifest, out, by_service) == 0
+    assert reads == [3, 3, 3] and len(calls) == 1
+    for parser in ("wholetext", "multiline"):
+        for i in range(4):
+            write_json(src, f"{parser}{i}.json", [ev(service=parser, t=i, code=200)] * 2)
+        assert run_new_files(spark, src, manifest, out, by_service, parser=parser) == len(calls) - 1
+    assert run_new_files(spark, src, manifest, out, by_service) is None
+    assert reads == [3, 3, 3, 3, 1, 3, 1] and len(calls) == 3
+    got = read_runs(spark, manifest, out).select("service", "n", "files", "pos", "run").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [("s", 36, 8, 7, 0), (None, 8, 8, 8, 0), ("wholetext", 8, 4, 1, 1), ("multiline", 8, 4, 1, 2)], key=str)
+    assert processed_files(spark, manifest).count() == 17
+
+
+def test_small_files_are_dealt_out_in_few_tasks(spark, tmp_path):
+    for i in range(300):
+        write_json(str(tmp_path / "src"), f"{i}.json", [ev(t=i, code=200)])
+    usual = read_logs(spark, str(tmp_path / "src")).rdd.getNumPartitions()
+    with small_files(spark):
+        assert all(spark.conf.get(k) == v for k, v in SMALL_FILES_CONF.items())
+        few = read_logs(spark, str(tmp_path / "src")).rdd.getNumPartitions()
+    assert few <= spark.sparkContext.defaultParallelism + 1 < usual
+    own, other = SMALL_FILES_CONF
+    assert spark.conf.get(own, None) is None and spark.conf.get(other, None) is None
+    spark.conf.set(own, "1m")
+    try:
+        with small_files(spark):
+            assert spark.conf.get(own) == "1m"
+        assert spark.conf.get(own) == "1m"
+    finally:
+        spark.conf.unset(own)
